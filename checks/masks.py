@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from lethe.functions.drawing import FIRST_NAMES, LAST_NAMES, LETTERS, MAIL_CHARACTERS
+from lethe.functions.drawing import FIRST_NAMES, LAST_NAMES
 from lethe.operators.masking import apply_rules
 from lethe.specs import Rule
 
@@ -23,36 +23,58 @@ def number(hexadecimal: str, start: int, digits: int) -> str:
     return f"CAST('0x' || substr({hexadecimal}, {start}, {digits}) AS BIGINT)"
 
 
-def piece(s: str, i: str) -> str:
-    """Number of the piece at position i (from 1)."""
-    block = f"CASE WHEN {i} <= 16 THEN {s} ELSE sha256({s} || '|' || CAST(({i} - 1) // 16 AS VARCHAR)) END"
-    return f"CAST('0x' || substr({block}, CAST((({i} - 1) % 16) * 4 + 1 AS INT), 4) AS INT)"
+def block(s: str, b: str) -> str:
+    return f"CASE WHEN {b} = 0 THEN {s} ELSE sha256({s} || '|' || CAST({b} AS VARCHAR)) END"
 
 
-def along(text: str, body: str) -> str:
-    """Text of ``body`` for each position i of a text."""
-    return f"array_to_string(list_transform(range(1, length({text}) + 1), lambda i: {body}), '')"
+# Base -> symbols of a 60-bit number, symbols kept of them.
+BASES = {10: (19, 15), 26: (13, 11), 36: (12, 9)}
 
 
-def letter(alphabet: str, s: str) -> str:
-    return f"substr('{alphabet}', {piece(s, 'i')} % {len(alphabet)} + 1, 1)"
+def slice_of(h: str, k: int, base: int) -> str:
+    width, kept = BASES[base]
+    return f"substr(to_base({number(h, 15 * k + 1, 15)}, {base}, {width}), {width - kept + 1}, {kept})"
 
 
-def char(text: str) -> str:
-    return f"substr({text}, CAST(i AS INT), 1)"
+def as_letters(text: str) -> str:
+    return f"translate({text}, '0123456789ABCDEFGHIJKLMNOP', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
 
 
-def substituted(text: str, s: str, letters: bool = True) -> str:
-    c = char(text)
-    cases = f"WHEN {c} BETWEEN '0' AND '9' THEN chr(48 + {piece(s, 'i')} % 10)"
-    if letters:
-        cases += f" WHEN {c} BETWEEN 'A' AND 'Z' THEN chr(65 + {piece(s, 'i')} % 26)"
-        cases += f" WHEN {c} BETWEEN 'a' AND 'z' THEN chr(97 + {piece(s, 'i')} % 26)"
-    return along(text, f"CASE {cases} ELSE {c} END")
+def drawn(s: str, length: str, base: int) -> str:
+    """Characters of a base for a seed, all slices of as many hashes as the length needs."""
+    per_hash = 4 * BASES[base][1]
+    h = block(s, "b")
+    slices = " || ".join(slice_of(f"({h})", k, base) for k in range(4))
+    text = (
+        f"substr(array_to_string(list_transform(range(0, 1 + greatest({length} - 1, 0) // {per_hash}), "
+        f"lambda b: {slices}), ''), 1, {length})"
+    )
+    return {10: text, 26: as_letters(text), 36: f"lower({text})"}[base]
+
+
+def along(chars: str, body: str) -> str:
+    """Text of ``body`` for each position i of a list of characters."""
+    return f"array_to_string(list_transform(range(1, len({chars}) + 1), lambda i: {body}), '')"
+
+
+def chars_of(text: str) -> str:
+    return f"regexp_extract_all({text}, '(?s).')"
 
 
-def of_length(alphabet: str, s: str, length: str) -> str:
-    return f"array_to_string(list_transform(range(1, {length} + 1), lambda i: {letter(alphabet, s)}), '')"
+def substituted(chars: str, s: str) -> str:
+    """Letters and digits of a list of characters: 22 of each hash, digits in front of letters."""
+    h = f"({block(s, '((i - 1) // 22)')})"
+    at = "CAST((i - 1) % 22 + 1 AS INT)"
+    digit = f"substr({slice_of(h, 0, 10)} || {slice_of(h, 1, 10)}, {at}, 1)"
+    capital = f"substr({as_letters(slice_of(h, 2, 26) + ' || ' + slice_of(h, 3, 26))}, {at}, 1)"
+    c = f"{chars}[i]"
+    return along(chars, f"""CASE WHEN {c} BETWEEN '0' AND '9' THEN {digit} WHEN {c} BETWEEN 'A' AND 'Z' THEN {capital}
+      WHEN {c} BETWEEN 'a' AND 'z' THEN lower({capital}) ELSE {c} END""")
+
+
+def digits_replaced(text: str, digits: str) -> str:
+    c = f"{chars_of(text)}[i]"
+    return along(chars_of(text), f"CASE WHEN {c} BETWEEN '0' AND '9' THEN substr({digits}, CAST(i AS INT), 1) ELSE {c} END")
 
 
 def unless_null(value: str, body: str) -> str:
@@ -71,7 +93,7 @@ def numeric(column: str, dtype: str) -> str:
     text = f"CAST({column} AS VARCHAR)"
     s = seed(column, column)
     lead = f"CAST(1 + {number(s, 61, 4)} % 9 AS VARCHAR)"
-    plain = substituted(text, s, letters=False)
+    plain = digits_replaced(text, drawn(s, f"length({text})", 10))
     kept = (
         f"CASE WHEN regexp_extract({text}, '[0-9]') = '0' THEN {plain} "
         f"ELSE regexp_replace({plain}, '^([^0-9]*)0', '\\1' || {lead}) END"
@@ -96,20 +118,14 @@ ROW = "c_custkey"
 
 
 def iban_sql() -> str:
-    account = f"""list_transform(range(5, length(iban) + 1), lambda p: substr(iban, CAST(p AS INT), 1))"""
-    masked = (
-        "array_to_string(list_transform(range(1, length(iban) - 3), lambda i: "
-        f"CASE WHEN a[i] BETWEEN '0' AND '9' THEN chr(48 + {piece('s', 'i')} % 10) "
-        f"WHEN a[i] BETWEEN 'A' AND 'Z' THEN chr(65 + {piece('s', 'i')} % 26) "
-        f"WHEN a[i] BETWEEN 'a' AND 'z' THEN chr(97 + {piece('s', 'i')} % 26) ELSE a[i] END), '')"
-    )
     fold = (
         "list_reduce(list_transform(range(1, length(u) + 1), lambda i: ascii(substr(u, CAST(i AS INT), 1))), "
         "lambda r, c: CASE WHEN c < 65 THEN (r * 10 + c - 48) % 97 ELSE (r * 100 + c - 55) % 97 END, 0)"
     )
     return f"""
-      WITH base AS MATERIALIZED (SELECT c_custkey, iban, {seed('iban', 'iban')} AS s, {account} AS a FROM pii),
-      body AS MATERIALIZED (SELECT *, {masked} AS m, {substituted('iban', 's')} AS whole FROM base),
+      WITH base AS MATERIALIZED (SELECT c_custkey, iban, {seed('iban', 'iban')} AS s,
+        {chars_of('substr(iban, 5)')} AS a, {chars_of('iban')} AS w FROM pii),
+      body AS MATERIALIZED (SELECT *, {substituted('a', 's')} AS m, {substituted('w', 's')} AS whole FROM base),
       bare AS MATERIALIZED (SELECT *, upper(m || substr(iban, 1, 2)) || '00' AS u FROM body)
       SELECT c_custkey, CASE WHEN iban IS NULL THEN NULL
         WHEN regexp_matches(iban, '^[A-Za-z]{{2}}[0-9]{{2}}')
@@ -154,18 +170,14 @@ def over_table(name: str, table: str, key: tuple[str, ...], column: str, method:
 label = f"({words('label')})"
 over_pii("mask_id", "label", "id", None, statement=f"""
   WITH b AS MATERIALIZED (SELECT c_custkey, {label} AS label FROM pii),
-  s AS MATERIALIZED (SELECT *, {seed('label', 'label')} AS s FROM b)
-  SELECT c_custkey, {unless_null('label', substituted('label', 's'))} AS label FROM s""")
+  s AS MATERIALIZED (SELECT *, {seed('label', 'label')} AS s, {chars_of('label')} AS a FROM b)
+  SELECT c_custkey, {unless_null('label', substituted('a', 's'))} AS label FROM s""")
 
-# Whole documents: characters come from a list, since substr counts from the start each time.
+# Whole documents.
 over_table("mask_chaine", "documents", ("doc_id",), "text", "chaine", f"""
   WITH b AS MATERIALIZED (SELECT doc_id, {words('text')} AS text FROM documents),
-  s AS MATERIALIZED (SELECT doc_id, text, {seed('text', 'text')} AS s, regexp_extract_all(text, '(?s).') AS a FROM b)
-  SELECT doc_id, CASE WHEN text IS NOT NULL THEN array_to_string(list_transform(range(1, len(a) + 1), lambda i:
-    CASE WHEN a[i] BETWEEN '0' AND '9' THEN chr(48 + {piece('s', 'i')} % 10)
-      WHEN a[i] BETWEEN 'A' AND 'Z' THEN chr(65 + {piece('s', 'i')} % 26)
-      WHEN a[i] BETWEEN 'a' AND 'z' THEN chr(97 + {piece('s', 'i')} % 26) ELSE a[i] END), '') END AS text
-  FROM s""")
+  s AS MATERIALIZED (SELECT doc_id, text, {seed('text', 'text')} AS s, {chars_of('text')} AS a FROM b)
+  SELECT doc_id, {unless_null('text', substituted('a', 's'))} AS text FROM s""")
 over_pii("mask_numeric", "amount_int", "numeric", numeric("amount_int", "INT"))
 over_pii("mask_numeric_long", "amount_long", "numeric", numeric("amount_long", "BIGINT"))
 over_pii("mask_numeric_double", "amount_double", "numeric", numeric("amount_double", "DOUBLE"))
@@ -180,15 +192,15 @@ last4 = "regexp_extract(card, '([0-9][^0-9]*){4}$')"
 over_pii("mask_card", "card", "card", f"""CASE WHEN length(regexp_replace(card, '[^0-9]', '', 'g')) <= 4 THEN card
   ELSE translate(substr(card, 1, length(card) - length({last4})), '0123456789', 'XXXXXXXXXX') || {last4} END""")
 over_pii("mask_email", "email", "email",
-         unless_null("email", of_length(MAIL_CHARACTERS, row["email"], "10") + " || '@example.com'"))
+         unless_null("email", drawn(row["email"], "10", 36) + " || '@example.com'"))
 domain = "regexp_extract(email, '@[^@]*$')"
-over_pii("mask_email_domain", "email", "email", unless_null("email", of_length(
-    MAIL_CHARACTERS, row["email"], f"(length(email) - length({domain}))") + f" || {domain}"), {"keep_domaine": "true"})
+over_pii("mask_email_domain", "email", "email", unless_null("email", drawn(
+    row["email"], f"(length(email) - length({domain}))", 36) + f" || {domain}"), {"keep_domaine": "true"})
 head = r"regexp_extract(tel, '^\+?[0-9]{2}')"
 tail = f"substr(tel, length({head}) + 1)"
-over_pii("mask_tel", "tel", "tel", unless_null("tel", f"{head} || {substituted(tail, row['tel'], letters=False)}"))
+over_pii("mask_tel", "tel", "tel", unless_null("tel", f"{head} || {digits_replaced(tail, drawn(row['tel'], f'length({tail})', 10))}"))
 area = number(row["tel"], 61, 4)
-eight = of_length("0123456789", row["tel"], "8")
+eight = drawn(row["tel"], "8", 10)
 over_pii("mask_tel_new", "tel", "tel", unless_null("tel", f"'0' || CAST(1 + {area} % 5 AS VARCHAR) || {eight}"),
          {"keep_indicator": "false"})
 over_pii("mask_tel_cell", "tel", "tel", unless_null("tel", f"'0' || CAST(6 + {area} % 2 AS VARCHAR) || {eight}"),
@@ -204,22 +216,25 @@ over_pii("mask_blank", "amount_int", "blank", "''")
 over_pii("mask_blank_typed", "amount_double", "blank", "CAST(0 AS DOUBLE)", {"respect_type": "true"})
 over_pii("mask_null", "birth", "null", "CAST(NULL AS DATE)", {"respect_type": "true"})
 over_pii("mask_alpha", "label", "randomAlphabeticChars",
-         unless_null(label, of_length(LETTERS, row["label"], f"length({label})")))
+         unless_null(label, drawn(row["label"], f"length({label})", 26)))
 over_pii("mask_alpha_len", "label", "randomAlphabeticChars",
-         unless_null(label, of_length(LETTERS, row["label"], "40")), {"length": "40"})
+         unless_null(label, drawn(row["label"], "40", 26)), {"length": "40"})
 
 
-def spaced(alphabet: str) -> str:
-    c = char("label")
-    return unless_null(label, along("label", f"CASE WHEN {c} = ' ' THEN ' ' ELSE {letter(alphabet, row['label'])} END"))
+def spaced(base: int) -> str:
+    text = drawn(row["label"], "length(label)", base)
+    c = f"{chars_of('label')}[i]"
+    return unless_null(
+        label, along(chars_of("label"), f"CASE WHEN {c} = ' ' THEN ' ' ELSE substr({text}, CAST(i AS INT), 1) END")
+    )
 
 
-over_pii("mask_alpha_spaces", "label", "randomAlphabeticChars", spaced(LETTERS), {"preserve_spaces": "true"})
+over_pii("mask_alpha_spaces", "label", "randomAlphabeticChars", spaced(26), {"preserve_spaces": "true"})
 over_pii("mask_digits", "label", "randomNumericChars",
-         unless_null(label, of_length("0123456789", row["label"], f"length({label})")))
+         unless_null(label, drawn(row["label"], f"length({label})", 10)))
 over_pii("mask_digits_len", "label", "randomNumericChars",
-         unless_null(label, of_length("0123456789", row["label"], "5")), {"length": "5"})
-over_pii("mask_digits_spaces", "label", "randomNumericChars", spaced("0123456789"), {"preserve_spaces": "true"})
+         unless_null(label, drawn(row["label"], "5", 10)), {"length": "5"})
+over_pii("mask_digits_spaces", "label", "randomNumericChars", spaced(10), {"preserve_spaces": "true"})
 over_pii("mask_int", "amount_int", "randomInts",
          unless_null("amount_int", f"CAST(-50 + {number(row['amount_int'], 1, 15)} % 150 AS INT)"),
          {"int_bounds": "[-50;100]"})
@@ -298,8 +313,8 @@ def _expression(name: str, column: str) -> str:
 QUERIES["mask_table"] = mask_table
 ORACLES["mask_table"] = f"""
 WITH pii AS MATERIALIZED ({fx.PII_DUCK}),
-s AS MATERIALIZED (SELECT *, {seed('label', label)} AS s FROM pii)
-SELECT c_custkey, {unless_null(label, substituted('label', 's'))} AS label, sha256(iban) AS iban,
+s AS MATERIALIZED (SELECT *, {seed('label', label)} AS s, {chars_of('label')} AS a FROM pii)
+SELECT c_custkey, {unless_null(label, substituted('a', 's'))} AS label, sha256(iban) AS iban,
   {_expression('mask_card', 'card')} AS card, {_expression('mask_email', 'email')} AS email,
   {_expression('mask_tel', 'tel')} AS tel, {_expression('mask_lastname', 'name')} AS name,
   {unless_null('amount_int', f"CAST({number(row['amount_int'], 1, 15)} % 1000 AS INT)")} AS amount_int,

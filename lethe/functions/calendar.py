@@ -34,10 +34,6 @@ def _months() -> Column:
     return F.make_ym_interval(months=F.lit(1))
 
 
-def _format(day: Column, fmt: Format) -> Column:
-    return F.call_function("date_format", day, F.lit(fmt) if isinstance(fmt, str) else fmt)
-
-
 def _no_dates() -> Column:
     return F.array().cast("array<date>")
 
@@ -59,7 +55,21 @@ def _by_grain(fmt: Format, daily: Column, monthly: Column) -> Column:
 
 
 def _values(dates: Column, fmt: Format) -> Column:
-    return F.transform(dates, lambda d: _format(d, fmt))
+    """Dates written in a format; a format column is matched against the known ones.
+
+    A constant format is compiled once, one that changes by row for every date.
+    """
+
+    def written(pattern: str) -> Column:
+        return F.transform(dates, lambda d: F.date_format(d, pattern))
+
+    if isinstance(fmt, str):
+        return written(fmt)
+    first, *others = DAY_FORMATS + MONTH_FORMATS
+    chosen = F.when(fmt == first, written(first))
+    for pattern in others:
+        chosen = chosen.when(fmt == pattern, written(pattern))
+    return chosen.otherwise(dates.cast("array<string>"))
 
 
 def cutoff(run_date: Column, months: Column | int) -> Column:

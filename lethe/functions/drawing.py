@@ -9,11 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lethe.functions import prf
-from lethe.functions.substitution import per_character, substitute_digit
-
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-DIGITS = "0123456789"
-MAIL_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+from lethe.functions.substitution import characters, digits_replaced
 
 # Invented names for the dictionary masks.
 FIRST_NAMES = (
@@ -47,30 +43,16 @@ def pick(names: Sequence[str], seed: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), index)
 
 
-def letter(alphabet: str, piece: Column) -> Column:
-    return F.substring(F.lit(alphabet), prf.piece_number(piece) % len(alphabet) + 1, F.lit(1))
-
-
-def text_of_length(alphabet: str, char_pieces: Column, length: Column | int) -> Column:
-    n = F.lit(length) if isinstance(length, int) else length
-    return F.array_join(F.transform(F.slice(char_pieces, F.lit(1), n), lambda p: letter(alphabet, p)), "")
-
-
 def random_text(
     value: Column, alphabet: str, derived_key: str, row_key: Sequence[Column], length: int, keep_spaces: bool
 ) -> Column:
     """Random characters: of a given length, or of the length of the value."""
-    if length > 0:
-        drawn = text_of_length(alphabet, prf.pieces_for(derived_key, row_key, F.lit(length)), length)
-    else:
-        drawn_pieces = prf.pieces_for(derived_key, row_key, F.length(value))
-        if keep_spaces:
-            drawn = per_character(
-                value, F.slice(drawn_pieces, F.lit(1), F.length(value)),
-                lambda c, p: F.when(c == " ", c).otherwise(letter(alphabet, p)),
-            )
-        else:
-            drawn = text_of_length(alphabet, drawn_pieces, F.length(value))
+    drawn = prf.symbols(derived_key, row_key, alphabet, length if length > 0 else F.length(value))
+    if keep_spaces and length <= 0:
+        spaced = F.zip_with(
+            characters(value), characters(drawn), lambda c, d: F.when(c == " ", c).otherwise(d)
+        )
+        drawn = F.array_join(spaced, "")
     return F.when(value.isNotNull(), drawn)
 
 
@@ -79,28 +61,26 @@ def email(value: Column, derived_key: str, row_key: Sequence[Column], keep_domai
     if keep_domain:
         domain = F.regexp_extract(value, "@[^@]*$", 0)
         length = F.length(value) - F.length(domain)
-        local = text_of_length(MAIL_CHARACTERS, prf.pieces_for(derived_key, row_key, length), length)
-        return F.when(value.isNotNull(), F.concat(local, domain))
-    local = text_of_length(
-        MAIL_CHARACTERS, prf.pieces_for(derived_key, row_key, F.lit(NEW_MAIL_LENGTH)), NEW_MAIL_LENGTH
-    )
-    return F.when(value.isNotNull(), F.concat(local, F.lit("@" + MAIL_DOMAIN)))
+        local = prf.symbols(derived_key, row_key, prf.LETTERS_AND_DIGITS, length)
+    else:
+        domain = F.lit("@" + MAIL_DOMAIN)
+        local = prf.symbols(derived_key, row_key, prf.LETTERS_AND_DIGITS, NEW_MAIL_LENGTH)
+    return F.when(value.isNotNull(), F.concat(local, domain))
 
 
 def phone_keeping_indicator(value: Column, derived_key: str, row_key: Sequence[Column]) -> Column:
     """The leading ``+cc`` or first two digits stay, every further digit is drawn."""
     head = F.regexp_extract(value, KEPT_INDICATOR, 0)
     tail = F.substring(value, F.length(head) + 1, F.length(value))
-    drawn = per_character(tail, prf.pieces_for(derived_key, row_key, F.length(tail)), substitute_digit)
+    drawn = digits_replaced(tail, prf.symbols(derived_key, row_key, prf.DIGITS, F.length(tail)))
     return F.when(value.isNotNull(), F.concat(head, drawn))
 
 
 def new_phone(value: Column, derived_key: str, row_key: Sequence[Column], cell_phone: bool) -> Column:
     """A ten-digit number: 06/07 for cell phones, 01 to 05 otherwise."""
-    seed = prf.seed(derived_key, row_key)
-    area = prf.number(seed, prf.HASH_DIGITS - 3, 4)
+    area = prf.number(prf.seed(derived_key, row_key), prf.REST_START, prf.REST_DIGITS)
     prefix = (6 + area % 2) if cell_phone else (1 + area % 5)
-    digits = text_of_length(DIGITS, prf.pieces(seed, F.lit(NEW_PHONE_DIGITS)), NEW_PHONE_DIGITS)
+    digits = prf.symbols(derived_key, row_key, prf.DIGITS, NEW_PHONE_DIGITS)
     return F.when(value.isNotNull(), F.concat(F.lit("0"), prefix.cast("string"), digits))
 
 

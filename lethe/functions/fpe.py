@@ -1,7 +1,7 @@
 """Format-preserving encryption of texts and whole numbers.
 
 A Feistel network over the characters that belong to an
-alphabet, in the manner of FFX, with HMAC-SHA-256 as round function. It is not
+alphabet, in the manner of FFX, with keyed BLAKE2b as round function. It is not
 the certified FF1 mode, and short values are weak: a domain of n values hides
 at most among n. Characters outside the alphabet keep their place.
 
@@ -11,7 +11,8 @@ computes every distinct value once.
 
 from __future__ import annotations
 
-import hmac
+import hashlib
+import math
 from collections.abc import Callable
 
 import pandas as pd
@@ -33,45 +34,46 @@ TEXT_ALPHABET = LATIN + ACCENTED + PUNCTUATION + DIGITS + FURTHER_SIGNS
 _LARGEST = {ByteType: 2**7 - 1, ShortType: 2**15 - 1, IntegerType: 2**31 - 1, LongType: 2**63 - 1}
 
 
-def _round_value(key: bytes, index: int, length: int, half: int, modulus: int) -> int:
-    message = f"{index}|{length}|{half}".encode()
-    wanted = (modulus.bit_length() + 7) // 8 + 8
-    out, block = b"", 0
-    while len(out) < wanted:
-        out += hmac.digest(key, block.to_bytes(4, "big") + message, "sha256")
-        block += 1
-    return int.from_bytes(out[:wanted], "big") % modulus
+def _round_value(key: bytes, message: str, modulus: int) -> int:
+    """Keyed number below the modulus, from at least 64 bits more than it needs."""
+    wanted = modulus.bit_length() // 8 + 9
+    if wanted <= 64:
+        return int.from_bytes(hashlib.blake2b(message.encode(), key=key, digest_size=wanted).digest()) % modulus
+    blocks = [
+        hashlib.blake2b(f"{message}|{i}".encode(), key=key, digest_size=64).digest() for i in range(-(-wanted // 64))
+    ]
+    return int.from_bytes(b"".join(blocks)[:wanted]) % modulus
 
 
-def _permute(number: int, length: int, radix: int, key: bytes, forward: bool) -> int:
-    """Keyed permutation of the numbers below radix ** length."""
-    if length == 1:
-        shift = _round_value(key, 0, 1, 0, radix)
-        return (number + (shift if forward else -shift)) % radix
-    left_size = length // 2
-    sizes = (radix**left_size, radix ** (length - left_size))
+def _permute(number: int, sizes: tuple[int, int], label: str, key: bytes, forward: bool) -> int:
+    """Keyed permutation of the numbers below sizes[0] * sizes[1]."""
+    if sizes[0] == 1:
+        shift = _round_value(key, f"{label}|shift", sizes[1])
+        return (number + (shift if forward else -shift)) % sizes[1]
     a, b = divmod(number, sizes[1])
     if forward:
         for i in range(ROUNDS):
-            a, b = b, (a + _round_value(key, i, length, b, sizes[i % 2])) % sizes[i % 2]
+            size = sizes[i & 1]
+            a, b = b, (a + _round_value(key, f"{label}|{i}|{b}", size)) % size
     else:
         for i in reversed(range(ROUNDS)):
-            a, b = (b - _round_value(key, i, length, a, sizes[i % 2])) % sizes[i % 2], a
+            size = sizes[i & 1]
+            a, b = (b - _round_value(key, f"{label}|{i}|{a}", size)) % size, a
     return a * sizes[1] + b
 
 
-def translate_text(text: str, alphabet: str, key: bytes, forward: bool) -> str:
-    """Encrypt or decrypt the characters of the alphabet, leaving the others in place."""
-    rank = {c: i for i, c in enumerate(alphabet)}
-    radix = len(alphabet)
+def translate_text(text: str, rank: dict[str, int], key: bytes, forward: bool) -> str:
+    """Encrypt or decrypt the characters of an alphabet (character -> rank), leaving the others in place."""
     places = [i for i, c in enumerate(text) if c in rank]
     if not places:
         return text
+    radix, length = len(rank), len(places)
     number = 0
     for i in places:
         number = number * radix + rank[text[i]]
-    number = _permute(number, len(places), radix, key, forward)
-    out = list(text)
+    sizes = (radix ** (length // 2), radix ** (length - length // 2))
+    number = _permute(number, sizes, str(length), key, forward)
+    alphabet, out = list(rank), list(text)
     for i in reversed(places):
         number, digit = divmod(number, radix)
         out[i] = alphabet[digit]
@@ -81,17 +83,21 @@ def translate_text(text: str, alphabet: str, key: bytes, forward: bool) -> str:
 def translate_number(number: int, largest: int, key: bytes, forward: bool) -> int:
     """Permute the whole numbers with the same sign and digit count that fit the type.
 
-    The permutation of all digit strings is repeated until the result is in that
-    set again, which keeps it one-to-one.
+    The numbers are laid out on a rectangle hardly larger than their count; the
+    permutation is repeated while its result lies outside, which keeps it one-to-one.
     """
     size, sign = (-number, -1) if number < 0 else (number, 1)
-    bound = largest + 1 if sign < 0 else largest
     length = len(str(size))
     lowest = 0 if length == 1 and sign > 0 else 10 ** (length - 1)
+    highest = min(10**length - 1, largest + 1 if sign < 0 else largest)
+    count = highest - lowest + 1
+    columns = math.isqrt(count - 1) + 1 if count > 10 else count
+    sizes = (-(-count // columns), columns)
+    offset = size - lowest
     while True:
-        size = _permute(size, length, 10, key, forward)
-        if lowest <= size <= bound:
-            return sign * size
+        offset = _permute(offset, sizes, str(length * sign), key, forward)
+        if offset < count:
+            return sign * (lowest + offset)
 
 
 def _distinct(batch: pd.Series, change: Callable) -> pd.Series:
@@ -102,11 +108,11 @@ def _distinct(batch: pd.Series, change: Callable) -> pd.Series:
 
 
 def text_column(value: Column, alphabet: str, derived_key: str, forward: bool) -> Column:
-    key = bytes.fromhex(derived_key)
+    key, rank = bytes.fromhex(derived_key), {c: i for i, c in enumerate(alphabet)}
 
     @F.pandas_udf("string")
     def run(batch: pd.Series) -> pd.Series:
-        return _distinct(batch, lambda v: translate_text(v, alphabet, key, forward))
+        return _distinct(batch, lambda v: translate_text(v, rank, key, forward))
 
     return run(value)
 

@@ -3,6 +3,10 @@
 The same key, column and input give the same value on every executor, after
 every retry and under any partitioning. The caller's key itself never enters a
 plan: each column works with a key derived from it on the driver.
+
+A hash has 64 hex digits. Four slices of 15 digits (60 bits) are written in
+another base and cut to the symbols that are all but equally likely, which
+gives many characters for each hash without a loop over characters.
 """
 
 from __future__ import annotations
@@ -16,8 +20,16 @@ from pyspark.sql import functions as F
 from lethe.functions.text import let
 
 HASH_DIGITS = 64
-PIECE_DIGITS = 4
-PIECES_PER_HASH = HASH_DIGITS // PIECE_DIGITS
+SLICE_DIGITS = 15
+SLICES = 4
+# The last digits of a hash belong to no slice.
+REST_START, REST_DIGITS = 61, 4
+
+DIGITS = "0123456789"
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LETTERS_AND_DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
+# Alphabet -> symbols kept of a slice, and digits of 2 ** 60 in that base.
+_KEPT = {DIGITS: (15, 19), LETTERS: (11, 13), LETTERS_AND_DIGITS: (9, 12)}
 
 # A plan may show the derived keys; this pattern lets Spark redact them.
 DERIVED_KEY_PATTERN = r"\b[0-9a-f]{64}\b"
@@ -36,28 +48,55 @@ def seed(derived_key: str, inputs: Sequence[Column]) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(derived_key), *texts), 256)
 
 
+def next_hash(seed_hex: Column, block: Column) -> Column:
+    """Further hashes of a seed; block 0 is the seed itself."""
+    return F.when(block == 0, seed_hex).otherwise(F.sha2(F.concat_ws("|", seed_hex, block.cast("string")), 256))
+
+
 def number(hexadecimal: Column, start: int, digits: int) -> Column:
     """Whole number from a slice of hex digits (first position is 1, at most 15 digits)."""
     return F.conv(F.substring(hexadecimal, start, digits), 16, 10).cast("bigint")
 
 
-def piece_number(piece: Column) -> Column:
-    """Whole number below 65536 from one piece."""
-    return F.conv(piece, 16, 10).cast("int")
-
-
-def pieces(seed_hex: Column, length: Column) -> Column:
-    """Array of at least ``length`` four-digit pieces.
-
-    The seed gives the first 16; each further block of 16 is one more hash of the
-    seed and the block number, so the cost grows linearly with the length.
-    """
-    blocks = F.sequence(F.lit(1), F.floor((length - 1) / PIECES_PER_HASH).cast("int"))
-    more = F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", seed_hex, b.cast("string")), 256)), "")
-    digits = F.when(length > PIECES_PER_HASH, F.concat(seed_hex, more)).otherwise(seed_hex)
-    return F.regexp_extract_all(digits, F.lit(".{%d}" % PIECE_DIGITS), F.lit(0))
-
-
-def pieces_for(derived_key: str, inputs: Sequence[Column], length: Column) -> Column:
-    """Pieces for the inputs, with the seed computed once per row."""
-    return let(seed(derived_key, inputs), lambda s: pieces(s, length))
+def slice_symbols(hexadecimal: Column, slices: Sequence[int], alphabet: str) -> Column:
+    """Characters of an alphabet from some slices of a hash."""
+    kept, width = _KEPT[alphabet]
+    parts = [
+        F.substring(
+            F.lpad(F.conv(F.substring(hexadecimal, SLICE_DIGITS * i + 1, SLICE_DIGITS), 16, len(alphabet)), width, "0"),
+            width - kept + 1,
+            kept,
+        )
+        for i in slices
+    ]
+    text = parts[0] if len(parts) == 1 else F.concat(*parts)
+    if alphabet == LETTERS:
+        # Base 26 counts 0-9, A-P.
+        return F.translate(text, "0123456789ABCDEFGHIJKLMNOP", LETTERS)
+    return F.lower(text) if alphabet == LETTERS_AND_DIGITS else text
+
+
+def kept_symbols(alphabet: str) -> int:
+    """Characters that one slice gives."""
+    return _KEPT[alphabet][0]
+
+
+def symbols(derived_key: str, inputs: Sequence[Column], alphabet: str, length: int | Column) -> Column:
+    """Text of the given length over an alphabet; the work grows linearly with the length."""
+    kept = kept_symbols(alphabet)
+    start = seed(derived_key, inputs)
+    if isinstance(length, int) and length <= SLICES * kept:
+        return F.substring(slice_symbols(start, range(-(-length // kept)), alphabet), 1, length)
+    n = F.lit(length) if isinstance(length, int) else length
+    every = range(SLICES)
+
+    def drawn(first: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / (SLICES * kept)).cast("int"))
+        more = F.transform(blocks, lambda b: let(next_hash(first, b), lambda h: slice_symbols(h, every, alphabet)))
+        return (
+            F.when(n <= kept, slice_symbols(first, [0], alphabet))
+            .when(n <= SLICES * kept, slice_symbols(first, every, alphabet))
+            .otherwise(F.array_join(more, ""))
+        )
+
+    return F.substring(let(start, drawn), F.lit(1), n)

@@ -7,41 +7,81 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, StringType
 
 from lethe.functions import prf
+from lethe.functions.text import let
 
 IBAN_START = r"^[A-Za-z]{2}[0-9]{2}"
+# Characters served by one hash: two slices give digits, two give letters.
+BLOCK = 2 * prf.kept_symbols(prf.LETTERS)
 
 
 def characters(text: Column) -> Column:
     return F.split(text, "")
 
 
-def substitute_char(char: Column, piece: Column) -> Column:
-    """Digit for digit and letter for letter of the same case; anything else stays."""
-    n = prf.piece_number(piece)
-    return (
-        F.when(char.between("0", "9"), F.char(48 + n % 10))
-        .when(char.between("A", "Z"), F.char(65 + n % 26))
-        .when(char.between("a", "z"), F.char(97 + n % 26))
-        .otherwise(char)
+def digits_replaced(text: Column, digits: Column) -> Column:
+    """Each digit of a text replaced by the character at its position of another text."""
+    return F.array_join(
+        F.zip_with(
+            characters(text), characters(digits), lambda c, d: F.when(c.between("0", "9"), d).otherwise(c)
+        ),
+        "",
     )
 
 
-def substitute_digit(char: Column, piece: Column) -> Column:
-    return F.when(char.between("0", "9"), F.char(48 + prf.piece_number(piece) % 10)).otherwise(char)
+def _substitute_block(chars: Column, hexadecimal: Column, has_digits: Column, has_letters: Column) -> Column:
+    size = F.size(chars)
 
+    def drawn(first: int, alphabet: str) -> Column:
+        return F.when(
+            size <= prf.kept_symbols(alphabet), prf.slice_symbols(hexadecimal, [first], alphabet)
+        ).otherwise(prf.slice_symbols(hexadecimal, [first, first + 1], alphabet))
 
-def per_character(text: Column, char_pieces: Column, change) -> Column:
-    """Apply ``change(char, piece)`` along a text."""
-    return F.array_join(F.zip_with(characters(text), char_pieces, change), "")
+    streams = F.struct(
+        F.when(has_digits, drawn(0, prf.DIGITS)).alias("digits"),
+        F.when(has_letters, drawn(2, prf.LETTERS)).alias("letters"),
+    )
+
+    def character(stream: Column, char: Column, i: Column) -> Column:
+        letter = F.substring(stream["letters"], i + 1, F.lit(1))
+        return (
+            F.when(char.between("0", "9"), F.substring(stream["digits"], i + 1, F.lit(1)))
+            .when(char.between("A", "Z"), letter)
+            .when(char.between("a", "z"), F.lower(letter))
+            .otherwise(char)
+        )
+
+    return let(streams, lambda s: F.array_join(F.transform(chars, lambda c, i: character(s, c, i)), ""))
 
 
 def alphanumeric(text: Column, derived_key: str, seed_value: Column | None = None) -> Column:
-    """Keyed substitution of letters and digits by the whole value."""
+    """Keyed substitution of letters and digits by the whole value.
+
+    Digit for digit and letter for letter of the same case; anything else stays.
+    """
     value = text if seed_value is None else seed_value
-    masked = per_character(
-        text, prf.pieces_for(derived_key, [value], F.length(text)), substitute_char
+    state = F.struct(
+        prf.seed(derived_key, [value]).alias("seed"),
+        characters(text).alias("chars"),
+        text.rlike("[0-9]").alias("digits"),
+        text.rlike("[A-Za-z]").alias("letters"),
     )
-    return F.when(text.isNotNull(), masked)
+
+    def substituted(s: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(s["chars"]) - 1) / BLOCK).cast("int"))
+        pieces = F.transform(
+            blocks,
+            lambda b: let(
+                prf.next_hash(s["seed"], b),
+                lambda h: _substitute_block(
+                    F.slice(s["chars"], b * BLOCK + 1, F.lit(BLOCK)), h, s["digits"], s["letters"]
+                ),
+            ),
+        )
+        return F.when(
+            F.size(s["chars"]) <= BLOCK, _substitute_block(s["chars"], s["seed"], s["digits"], s["letters"])
+        ).otherwise(F.array_join(pieces, ""))
+
+    return F.when(text.isNotNull(), let(state, substituted))
 
 
 def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
@@ -51,24 +91,35 @@ def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
     does not change. A result that does not fit the type starts with 1 instead.
     """
     text = value.cast("string")
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.substring(text, F.length(mantissa) + 1, F.length(text))
-    plain = per_character(
-        mantissa, prf.pieces_for(derived_key, [text], F.length(mantissa)), substitute_digit
-    )
-    lead = (1 + prf.number(prf.seed(derived_key, [text]), prf.HASH_DIGITS - 3, 4) % 9).cast("string")
-    starts_with_zero = F.regexp_extract(mantissa, "[0-9]", 0) == "0"
-    kept = F.when(starts_with_zero, plain).otherwise(
-        F.regexp_replace(plain, F.lit("^([^0-9]*)0"), F.concat(F.lit("$1"), lead))
-    )
+    if isinstance(dtype, StringType):
+        mantissa, exponent = text, F.lit("")
+    else:
+        mantissa = F.substring_index(text, "E", 1)
+        exponent = F.substring(text, F.length(mantissa) + 1, F.length(text))
+    drawn = prf.symbols(derived_key, [text], prf.DIGITS, F.length(mantissa))
+    if isinstance(dtype, StringType):
+        plain = digits_replaced(mantissa, drawn)
+    else:
+        # A printed number has one sign at most and one point at most: no loop is needed.
+        sign = F.when(F.startswith(mantissa, F.lit("-")), 1).otherwise(0)
+        point = F.instr(mantissa, ".")
+        whole = F.when(point > 0, point - 1).otherwise(F.length(mantissa))
+        plain = F.concat(
+            F.substring(mantissa, F.lit(1), sign),
+            F.substring(drawn, sign + 1, whole - sign),
+            F.when(point > 0, F.concat(F.lit("."), F.substring(drawn, point + 1, F.length(mantissa)))).otherwise(""),
+        )
+    lead = (1 + prf.number(prf.seed(derived_key, [text]), prf.REST_START, prf.REST_DIGITS) % 9).cast("string")
+    lost_a_digit = (F.regexp_extract(mantissa, "[0-9]", 0) != "0") & (F.regexp_extract(plain, "[0-9]", 0) == "0")
+    kept = F.when(
+        lost_a_digit, F.regexp_replace(plain, F.lit("^([^0-9]*)0"), F.concat(F.lit("$1"), lead))
+    ).otherwise(plain)
     masked = F.concat(kept, exponent)
     if isinstance(dtype, StringType):
         return F.when(value.isNotNull(), masked)
     small = "10" if isinstance(dtype, ByteType) else "1"
     fitted = F.regexp_replace(masked, "^([^0-9]*)[0-9]{%d}" % len(small), "$1" + small)
-    return F.when(
-        value.isNotNull(), F.coalesce(masked.try_cast(dtype), fitted.try_cast(dtype))
-    )
+    return F.when(value.isNotNull(), F.coalesce(masked.try_cast(dtype), fitted.try_cast(dtype)))
 
 
 def mod_97(text: Column) -> Column:
@@ -87,9 +138,11 @@ def iban(value: Column, derived_key: str) -> Column:
     A value that does not start like an account number is substituted as a whole.
     """
     country = F.substring(value, 1, 2)
-    account = alphanumeric(F.substring(value, 5, 1_000_000), derived_key, value)
-    bare = F.upper(F.regexp_replace(F.concat(account, country), "[^0-9A-Za-z]", ""))
-    check = F.lpad((98 - mod_97(F.concat(bare, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(value.rlike(IBAN_START), F.concat(country, check, account)).otherwise(
-        alphanumeric(value, derived_key)
-    )
+    account = alphanumeric(F.substring(value, F.lit(5), F.length(value)), derived_key, value)
+
+    def assembled(body: Column) -> Column:
+        bare = F.upper(F.regexp_replace(F.concat(body, country), "[^0-9A-Za-z]", ""))
+        check = F.lpad((98 - mod_97(F.concat(bare, F.lit("00")))).cast("string"), 2, "0")
+        return F.concat(country, check, body)
+
+    return F.when(value.rlike(IBAN_START), let(account, assembled)).otherwise(alphanumeric(value, derived_key))

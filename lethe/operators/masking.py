@@ -120,8 +120,8 @@ METHODS: dict[str, Callable[[_Target], Column]] = {
     "0Replace": lambda t: _blanked(t, "0", blanking.SEPARATORS),
     "blank": lambda t: blanking.neutral(t.chosen_type()),
     "null": lambda t: blanking.nothing(t.chosen_type()),
-    "randomAlphabeticChars": lambda t: _random_text(t, drawing.LETTERS),
-    "randomNumericChars": lambda t: _random_text(t, drawing.DIGITS),
+    "randomAlphabeticChars": lambda t: _random_text(t, prf.LETTERS),
+    "randomNumericChars": lambda t: _random_text(t, prf.DIGITS),
     "randomInts": lambda t: drawing.whole(
         t.value, t.row_seed, t.bounds("int", drawing.DEFAULT_INT_BOUNDS), "int"),
     "randomLongs": lambda t: drawing.whole(
