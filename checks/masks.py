@@ -61,15 +61,27 @@ def chars_of(text: str) -> str:
     return f"regexp_extract_all({text}, '(?s).')"
 
 
-def substituted(chars: str, s: str) -> str:
-    """Letters and digits of a list of characters: 22 of each hash, digits in front of letters."""
-    h = f"({block(s, '((i - 1) // 22)')})"
-    at = "CAST((i - 1) % 22 + 1 AS INT)"
-    digit = f"substr({slice_of(h, 0, 10)} || {slice_of(h, 1, 10)}, {at}, 1)"
-    capital = f"substr({as_letters(slice_of(h, 2, 26) + ' || ' + slice_of(h, 3, 26))}, {at}, 1)"
+SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def streams(chars: str, s: str) -> str:
+    """Select items ds and ls: digits and letters for each block of 42 characters."""
+    blocks = f"range(0, 1 + greatest(len({chars}) - 1, 0) // 42)"
+    signs = f"to_base64(from_hex({block(s, 'b')}))"
+    digits = "".join(str(i % 10) for i in range(64))
+    letters = "".join(chr(65 + i % 26) for i in range(64))
+    return (
+        f"list_transform({blocks}, lambda b: translate({signs}, '{SIGNS}', '{digits}')) AS ds, "
+        f"list_transform({blocks}, lambda b: translate({signs}, '{SIGNS}', '{letters}')) AS ls"
+    )
+
+
+def substituted(chars: str) -> str:
+    """Letters and digits of a list of characters replaced from ds and ls."""
+    at = "CAST((i - 1) // 42 + 1 AS INT)], CAST((i - 1) % 42 + 1 AS INT), 1)"
     c = f"{chars}[i]"
-    return along(chars, f"""CASE WHEN {c} BETWEEN '0' AND '9' THEN {digit} WHEN {c} BETWEEN 'A' AND 'Z' THEN {capital}
-      WHEN {c} BETWEEN 'a' AND 'z' THEN lower({capital}) ELSE {c} END""")
+    return along(chars, f"""CASE WHEN {c} BETWEEN '0' AND '9' THEN substr(ds[{at} WHEN {c} BETWEEN 'A' AND 'Z'
+      THEN substr(ls[{at} WHEN {c} BETWEEN 'a' AND 'z' THEN lower(substr(ls[{at}) ELSE {c} END""")
 
 
 def digits_replaced(text: str, digits: str) -> str:
@@ -90,10 +102,17 @@ def names(values: tuple[str, ...]) -> str:
 
 
 def numeric(column: str, dtype: str) -> str:
+    """The k-th digit of the printed number becomes the k-th drawn digit."""
     text = f"CAST({column} AS VARCHAR)"
     s = seed(column, column)
+    digits = drawn(s, "30", 10)
     lead = f"CAST(1 + {number(s, 61, 4)} % 9 AS VARCHAR)"
-    plain = digits_replaced(text, drawn(s, f"length({text})", 10))
+    c = f"substr({text}, CAST(i AS INT), 1)"
+    nth = f"length(regexp_replace(substr({text}, 1, CAST(i AS INT)), '[^0-9]', '', 'g'))"
+    plain = (
+        f"array_to_string(list_transform(range(1, length({text}) + 1), lambda i: "
+        f"CASE WHEN {c} BETWEEN '0' AND '9' THEN substr({digits}, {nth}, 1) ELSE {c} END), '')"
+    )
     kept = (
         f"CASE WHEN regexp_extract({text}, '[0-9]') = '0' THEN {plain} "
         f"ELSE regexp_replace({plain}, '^([^0-9]*)0', '\\1' || {lead}) END"
@@ -125,7 +144,8 @@ def iban_sql() -> str:
     return f"""
       WITH base AS MATERIALIZED (SELECT c_custkey, iban, {seed('iban', 'iban')} AS s,
         {chars_of('substr(iban, 5)')} AS a, {chars_of('iban')} AS w FROM pii),
-      body AS MATERIALIZED (SELECT *, {substituted('a', 's')} AS m, {substituted('w', 's')} AS whole FROM base),
+      blocks AS MATERIALIZED (SELECT *, {streams('w', 's')} FROM base),
+      body AS MATERIALIZED (SELECT *, {substituted('a')} AS m, {substituted('w')} AS whole FROM blocks),
       bare AS MATERIALIZED (SELECT *, upper(m || substr(iban, 1, 2)) || '00' AS u FROM body)
       SELECT c_custkey, CASE WHEN iban IS NULL THEN NULL
         WHEN regexp_matches(iban, '^[A-Za-z]{{2}}[0-9]{{2}}')
@@ -170,17 +190,24 @@ def over_table(name: str, table: str, key: tuple[str, ...], column: str, method:
 label = f"({words('label')})"
 over_pii("mask_id", "label", "id", None, statement=f"""
   WITH b AS MATERIALIZED (SELECT c_custkey, {label} AS label FROM pii),
-  s AS MATERIALIZED (SELECT *, {seed('label', 'label')} AS s, {chars_of('label')} AS a FROM b)
-  SELECT c_custkey, {unless_null('label', substituted('a', 's'))} AS label FROM s""")
+  s AS MATERIALIZED (SELECT *, {seed('label', 'label')} AS s, {chars_of('label')} AS a FROM b),
+  d AS MATERIALIZED (SELECT *, {streams('a', 's')} FROM s)
+  SELECT c_custkey, {unless_null('label', substituted('a'))} AS label FROM d""")
 
 # Whole documents.
 over_table("mask_chaine", "documents", ("doc_id",), "text", "chaine", f"""
   WITH b AS MATERIALIZED (SELECT doc_id, {words('text')} AS text FROM documents),
-  s AS MATERIALIZED (SELECT doc_id, text, {seed('text', 'text')} AS s, {chars_of('text')} AS a FROM b)
-  SELECT doc_id, {unless_null('text', substituted('a', 's'))} AS text FROM s""")
+  s AS MATERIALIZED (SELECT doc_id, text, {seed('text', 'text')} AS s, {chars_of('text')} AS a FROM b),
+  d AS MATERIALIZED (SELECT *, {streams('a', 's')} FROM s)
+  SELECT doc_id, {unless_null('text', substituted('a'))} AS text FROM d""")
 over_pii("mask_numeric", "amount_int", "numeric", numeric("amount_int", "INT"))
 over_pii("mask_numeric_long", "amount_long", "numeric", numeric("amount_long", "BIGINT"))
 over_pii("mask_numeric_double", "amount_double", "numeric", numeric("amount_double", "DOUBLE"))
+tel_seed = seed("tel", "tel")
+tel_plain = digits_replaced("tel", drawn(tel_seed, "length(tel)", 10))
+over_pii("mask_numeric_text", "tel", "numeric", unless_null("tel", f"""CASE WHEN regexp_extract(tel, '[0-9]') = '0'
+  THEN {tel_plain} ELSE regexp_replace({tel_plain}, '^([^0-9]*)0',
+    '\\1' || CAST(1 + {number(tel_seed, 61, 4)} % 9 AS VARCHAR)) END"""))
 over_pii("mask_iban", "iban", "iban", None, statement=iban_sql())
 row = {c: seed(c, ROW) for c in (
     "name", "email", "tel", "label", "amount_int", "amount_long", "amount_double", "birth", "optin")}
@@ -313,14 +340,15 @@ def _expression(name: str, column: str) -> str:
 QUERIES["mask_table"] = mask_table
 ORACLES["mask_table"] = f"""
 WITH pii AS MATERIALIZED ({fx.PII_DUCK}),
-s AS MATERIALIZED (SELECT *, {seed('label', label)} AS s, {chars_of('label')} AS a FROM pii)
-SELECT c_custkey, {unless_null(label, substituted('a', 's'))} AS label, sha256(iban) AS iban,
+s AS MATERIALIZED (SELECT *, {seed('label', label)} AS s, {chars_of('label')} AS a FROM pii),
+d AS MATERIALIZED (SELECT *, {streams('a', 's')} FROM s)
+SELECT c_custkey, {unless_null(label, substituted('a'))} AS label, sha256(iban) AS iban,
   {_expression('mask_card', 'card')} AS card, {_expression('mask_email', 'email')} AS email,
   {_expression('mask_tel', 'tel')} AS tel, {_expression('mask_lastname', 'name')} AS name,
   {unless_null('amount_int', f"CAST({number(row['amount_int'], 1, 15)} % 1000 AS INT)")} AS amount_int,
   CAST(0 AS BIGINT) AS amount_long, amount_double, {_expression('mask_date', 'birth')} AS birth,
   {_expression('mask_bool', 'optin')} AS optin
-FROM s"""
+FROM d"""
 
 
 def null_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DataType, StringType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+)
 
 from lethe.functions import prf
 from lethe.functions.text import let
 
 IBAN_START = r"^[A-Za-z]{2}[0-9]{2}"
-# Characters served by one hash: two slices give digits, two give letters.
-BLOCK = 2 * prf.kept_symbols(prf.LETTERS)
+# Characters served by one hash.
+BLOCK = prf.SIGNS_PER_HASH
 
 
 def characters(text: Column) -> Column:
@@ -29,28 +38,25 @@ def digits_replaced(text: Column, digits: Column) -> Column:
 
 
 def _substitute_block(chars: Column, hexadecimal: Column, has_digits: Column, has_letters: Column) -> Column:
-    size = F.size(chars)
-
-    def drawn(first: int, alphabet: str) -> Column:
-        return F.when(
-            size <= prf.kept_symbols(alphabet), prf.slice_symbols(hexadecimal, [first], alphabet)
-        ).otherwise(prf.slice_symbols(hexadecimal, [first, first + 1], alphabet))
-
-    streams = F.struct(
-        F.when(has_digits, drawn(0, prf.DIGITS)).alias("digits"),
-        F.when(has_letters, drawn(2, prf.LETTERS)).alias("letters"),
-    )
+    """Substitute up to 42 characters with one hash; each position takes its own sign."""
 
     def character(stream: Column, char: Column, i: Column) -> Column:
         letter = F.substring(stream["letters"], i + 1, F.lit(1))
         return (
-            F.when(char.between("0", "9"), F.substring(stream["digits"], i + 1, F.lit(1)))
+            F.when(char.between("a", "z"), F.lower(letter))
+            .when(char.between("0", "9"), F.substring(stream["digits"], i + 1, F.lit(1)))
             .when(char.between("A", "Z"), letter)
-            .when(char.between("a", "z"), F.lower(letter))
             .otherwise(char)
         )
 
-    return let(streams, lambda s: F.array_join(F.transform(chars, lambda c, i: character(s, c, i)), ""))
+    def merged(drawn: Column) -> Column:
+        streams = F.struct(
+            F.when(has_digits, prf.signs_as_digits(drawn)).alias("digits"),
+            F.when(has_letters, prf.signs_as_letters(drawn)).alias("letters"),
+        )
+        return let(streams, lambda s: F.array_join(F.transform(chars, lambda c, i: character(s, c, i)), ""))
+
+    return let(F.substring(prf.signs(hexadecimal), F.lit(1), F.size(chars)), merged)
 
 
 def alphanumeric(text: Column, derived_key: str, seed_value: Column | None = None) -> Column:
@@ -84,6 +90,28 @@ def alphanumeric(text: Column, derived_key: str, seed_value: Column | None = Non
     return F.when(text.isNotNull(), let(state, substituted))
 
 
+def _lead_digit(derived_key: str, text: Column) -> Column:
+    """A digit from 1 to 9 for a first digit that must not be zero."""
+    drawn = prf.number(prf.seed(derived_key, [text]), prf.REST_START, prf.REST_DIGITS)
+    return (1 + drawn % 9).cast("string")
+
+
+def _numeric_text(text: Column, derived_key: str) -> Column:
+    drawn = prf.symbols(derived_key, [text], prf.DIGITS, F.length(text))
+
+    def finished(plain: Column) -> Column:
+        lost = (F.regexp_extract(text, "[0-9]", 0) != "0") & (F.regexp_extract(plain, "[0-9]", 0) == "0")
+        lead = F.concat(F.lit("$1"), _lead_digit(derived_key, text))
+        return F.when(lost, F.regexp_replace(plain, F.lit("^([^0-9]*)0"), lead)).otherwise(plain)
+
+    return F.when(text.isNotNull(), let(digits_replaced(text, drawn), finished))
+
+
+# Longest mantissa that a type prints: 20 for a long, 25 for a double, 40 for a decimal.
+_PRINTED = {ByteType: 15, ShortType: 15, IntegerType: 15, LongType: 30, FloatType: 30, DoubleType: 30}
+_LONGEST_PRINTED = 45
+
+
 def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
     """Keyed substitution of digits; sign, point, exponent and type are kept.
 
@@ -92,34 +120,30 @@ def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
     """
     text = value.cast("string")
     if isinstance(dtype, StringType):
-        mantissa, exponent = text, F.lit("")
-    else:
-        mantissa = F.substring_index(text, "E", 1)
-        exponent = F.substring(text, F.length(mantissa) + 1, F.length(text))
-    drawn = prf.symbols(derived_key, [text], prf.DIGITS, F.length(mantissa))
-    if isinstance(dtype, StringType):
-        plain = digits_replaced(mantissa, drawn)
-    else:
-        # A printed number has one sign at most and one point at most: no loop is needed.
-        sign = F.when(F.startswith(mantissa, F.lit("-")), 1).otherwise(0)
-        point = F.instr(mantissa, ".")
-        whole = F.when(point > 0, point - 1).otherwise(F.length(mantissa))
-        plain = F.concat(
-            F.substring(mantissa, F.lit(1), sign),
-            F.substring(drawn, sign + 1, whole - sign),
-            F.when(point > 0, F.concat(F.lit("."), F.substring(drawn, point + 1, F.length(mantissa)))).otherwise(""),
-        )
-    lead = (1 + prf.number(prf.seed(derived_key, [text]), prf.REST_START, prf.REST_DIGITS) % 9).cast("string")
-    lost_a_digit = (F.regexp_extract(mantissa, "[0-9]", 0) != "0") & (F.regexp_extract(plain, "[0-9]", 0) == "0")
-    kept = F.when(
-        lost_a_digit, F.regexp_replace(plain, F.lit("^([^0-9]*)0"), F.concat(F.lit("$1"), lead))
-    ).otherwise(plain)
-    masked = F.concat(kept, exponent)
-    if isinstance(dtype, StringType):
-        return F.when(value.isNotNull(), masked)
+        return _numeric_text(text, derived_key)
+    # A printed number is a sign, digits, a point and an exponent, all but one of them
+    # optional, so the substitute is put together from slices without a loop. Nulls
+    # pass through; a guard around the whole would keep Spark from sharing the parts.
+    mantissa = F.substring_index(text, "E", 1)
+    exponent = F.substring(text, F.length(mantissa) + 1, F.length(text))
+    length = F.length(mantissa)
+    drawn = prf.symbols(derived_key, [text], prf.DIGITS, _PRINTED.get(type(dtype), _LONGEST_PRINTED))
+    sign = F.when(F.startswith(mantissa, F.lit("-")), 1).otherwise(0)
+    point = F.instr(mantissa, ".")
+    whole = F.when(point > 0, point - 1).otherwise(length) - sign
+    first = F.substring(drawn, 1, 1)
+    lost = (F.substring(mantissa, sign + 1, F.lit(1)) != "0") & (first == "0")
+    head = F.substring(mantissa, F.lit(1), sign)
+    tail = F.concat(
+        F.substring(drawn, F.lit(2), whole - 1),
+        F.when(point > 0, ".").otherwise(""),
+        F.substring(drawn, whole + 1, F.when(point > 0, length - point).otherwise(0)),
+        exponent,
+    )
+    masked = F.concat(head, F.when(lost, _lead_digit(derived_key, text)).otherwise(first), tail)
     small = "10" if isinstance(dtype, ByteType) else "1"
-    fitted = F.regexp_replace(masked, "^([^0-9]*)[0-9]{%d}" % len(small), "$1" + small)
-    return F.when(value.isNotNull(), F.coalesce(masked.try_cast(dtype), fitted.try_cast(dtype)))
+    fitted = F.concat(head, F.lit(small), F.substring(tail, F.lit(len(small)), F.length(tail)))
+    return F.coalesce(masked.try_cast(dtype), fitted.try_cast(dtype))
 
 
 def mod_97(text: Column) -> Column:
