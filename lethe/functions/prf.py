@@ -83,17 +83,30 @@ def slice_symbols(hexadecimal: Column, slices: Sequence[int], alphabet: str) ->
     return F.lower(text) if alphabet == LETTERS_AND_DIGITS else text
 
 
-def signs(hexadecimal: Column) -> Column:
-    """42 signs of base 64 from a hash: the fastest source where slight bias does not matter."""
-    return F.base64(F.unhex(hexadecimal))
+def signs(derived_key: str, inputs: Sequence[Column], length: Column) -> Column:
+    """One sign of base 64 per position: the fastest source where slight bias does not matter."""
 
+    def of(hexadecimal: Column) -> Column:
+        return F.base64(F.unhex(hexadecimal))
 
-def signs_as_digits(text: Column) -> Column:
-    return F.translate(text, _SIGNS, _AS_DIGITS)
+    start = seed(derived_key, inputs)
+    blocks = F.sequence(F.lit(0), F.floor((length - 1) / SIGNS_PER_HASH).cast("int"))
+    more = let(
+        start,
+        lambda first: F.array_join(
+            F.transform(blocks, lambda b: F.substring(of(next_hash(first, b)), 1, SIGNS_PER_HASH)), ""
+        ),
+    )
+    text = F.when(length <= SIGNS_PER_HASH, of(start)).otherwise(more)
+    return F.substring(text, F.lit(1), length)
+
+
+def sign_as_digit(sign: Column) -> Column:
+    return F.translate(sign, _SIGNS, _AS_DIGITS)
 
 
-def signs_as_letters(text: Column) -> Column:
-    return F.translate(text, _SIGNS, _AS_LETTERS)
+def sign_as_letter(sign: Column) -> Column:
+    return F.translate(sign, _SIGNS, _AS_LETTERS)
 
 
 def kept_symbols(alphabet: str) -> int:

@@ -19,8 +19,6 @@ from lethe.functions import prf
 from lethe.functions.text import let
 
 IBAN_START = r"^[A-Za-z]{2}[0-9]{2}"
-# Characters served by one hash.
-BLOCK = prf.SIGNS_PER_HASH
 
 
 def characters(text: Column) -> Column:
@@ -37,57 +35,23 @@ def digits_replaced(text: Column, digits: Column) -> Column:
     )
 
 
-def _substitute_block(chars: Column, hexadecimal: Column, has_digits: Column, has_letters: Column) -> Column:
-    """Substitute up to 42 characters with one hash; each position takes its own sign."""
-
-    def character(stream: Column, char: Column, i: Column) -> Column:
-        letter = F.substring(stream["letters"], i + 1, F.lit(1))
-        return (
-            F.when(char.between("a", "z"), F.lower(letter))
-            .when(char.between("0", "9"), F.substring(stream["digits"], i + 1, F.lit(1)))
-            .when(char.between("A", "Z"), letter)
-            .otherwise(char)
-        )
-
-    def merged(drawn: Column) -> Column:
-        streams = F.struct(
-            F.when(has_digits, prf.signs_as_digits(drawn)).alias("digits"),
-            F.when(has_letters, prf.signs_as_letters(drawn)).alias("letters"),
-        )
-        return let(streams, lambda s: F.array_join(F.transform(chars, lambda c, i: character(s, c, i)), ""))
-
-    return let(F.substring(prf.signs(hexadecimal), F.lit(1), F.size(chars)), merged)
-
-
 def alphanumeric(text: Column, derived_key: str, seed_value: Column | None = None) -> Column:
     """Keyed substitution of letters and digits by the whole value.
 
     Digit for digit and letter for letter of the same case; anything else stays.
     """
-    value = text if seed_value is None else seed_value
-    state = F.struct(
-        prf.seed(derived_key, [value]).alias("seed"),
-        characters(text).alias("chars"),
-        text.rlike("[0-9]").alias("digits"),
-        text.rlike("[A-Za-z]").alias("letters"),
-    )
 
-    def substituted(s: Column) -> Column:
-        blocks = F.sequence(F.lit(0), F.floor((F.size(s["chars"]) - 1) / BLOCK).cast("int"))
-        pieces = F.transform(
-            blocks,
-            lambda b: let(
-                prf.next_hash(s["seed"], b),
-                lambda h: _substitute_block(
-                    F.slice(s["chars"], b * BLOCK + 1, F.lit(BLOCK)), h, s["digits"], s["letters"]
-                ),
-            ),
+    def substitute(char: Column, sign: Column) -> Column:
+        return (
+            F.when(char.between("a", "z"), F.lower(prf.sign_as_letter(sign)))
+            .when(char.between("0", "9"), prf.sign_as_digit(sign))
+            .when(char.between("A", "Z"), prf.sign_as_letter(sign))
+            .otherwise(char)
         )
-        return F.when(
-            F.size(s["chars"]) <= BLOCK, _substitute_block(s["chars"], s["seed"], s["digits"], s["letters"])
-        ).otherwise(F.array_join(pieces, ""))
 
-    return F.when(text.isNotNull(), let(state, substituted))
+    value = text if seed_value is None else seed_value
+    drawn = prf.signs(derived_key, [value], F.length(text))
+    return F.array_join(F.zip_with(characters(text), characters(drawn), substitute), "")
 
 
 def _lead_digit(derived_key: str, text: Column) -> Column:
