@@ -1,0 +1,262 @@
+"""Properties of the masking methods."""
+
+from __future__ import annotations
+
+import re
+import string
+from collections import Counter
+from datetime import date
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lethe.functions import drawing
+from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
+from lethe.operators.options import parse_bounds, parse_options, to_type
+from lethe.specs import Rule
+
+KEY = MaskContext(key="k", row_key=("id",))
+slow = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+TEXTS = ["", "a", "7", "Ab-12 é", "x" * 16, "y" * 17, "Z9" * 40, "😀 ok 1", "null", "NULL", "Null", None, "Straße 12"]
+
+
+def masked(spark, values, method, options=None, kind="string", context=KEY, partitions=None):
+    frame = spark.createDataFrame(list(enumerate(values)), f"id bigint, v {kind}")
+    if partitions:
+        frame = frame.repartition(partitions)
+    rows = apply_rules(frame, [Rule("v", method, options or {})], context).orderBy("id").collect()
+    return [r.v for r in rows]
+
+
+def cleaned(values):
+    return [None if v in (None, "null", "NULL", "Null") else v for v in values]
+
+
+def char_class(c):
+    for alphabet in (string.digits, string.ascii_lowercase, string.ascii_uppercase):
+        if c in alphabet:
+            return alphabet
+    return c
+
+
+@slow
+@given(values=st.lists(st.text(alphabet=string.ascii_letters + "0123456789 -/é😀", max_size=120), min_size=5, max_size=30))
+def test_substitution_keeps_shape_and_is_consistent(spark, values):
+    out = masked(spark, values + values, "id")
+    assert out[: len(values)] == out[len(values) :]
+    for before, after in zip(cleaned(values), out):
+        assert len(before) == len(after)
+        assert all(a in char_class(b) for b, a in zip(before, after))
+
+
+def test_aliases_nulls_and_keys(spark):
+    assert masked(spark, TEXTS, "id") == masked(spark, TEXTS, "chaine")
+    out = masked(spark, TEXTS, "id")
+    assert [v is None for v in out] == [v is None for v in cleaned(TEXTS)]
+    assert out[11] is None and out[0] == "" and out[7][0] == "😀"
+    assert masked(spark, TEXTS, "id", context=MaskContext(key="other")) != out
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("int", [0, 5, -7, 10, 2147483647, -2147483648, None, 1000000000]),
+    ("bigint", [9223372036854775807, -9223372036854775808, 42, None]),
+    ("tinyint", [127, -128, 100, 9, None]),
+    ("double", [1.5, -0.25, 1.0e300, 2.5e-8, 100.0, None]),
+    ("decimal(38,10)", ["12345678901234567890.5", "-1.0", None]),
+])
+def test_numeric_keeps_sign_type_and_digit_count(spark, kind, values):
+    frame = spark.createDataFrame([(i, None if v is None else str(v)) for i, v in enumerate(values)], "id int, t string")
+    frame = frame.select("id", F.col("t").cast(kind).alias("v"))
+    out = apply_rules(frame, [Rule("v", "numeric")], KEY)
+    assert out.schema["v"].dataType == frame.schema["v"].dataType
+    pairs = frame.select("id", F.col("v").cast("string").alias("a")).join(
+        out.select("id", F.col("v").cast("string").alias("b")), "id")
+    for row in pairs.collect():
+        assert (row.a is None) == (row.b is None)
+        if row.a is not None:
+            assert row.a.startswith("-") == row.b.startswith("-") or float(row.b) == 0
+            whole = [t.lstrip("-").split("E")[0].split(".")[0] for t in (row.a, row.b)]
+            if "E" not in row.a and whole[0] != "0":
+                assert len(whole[0]) == len(whole[1]) and whole[1][0] != "0"
+
+
+def test_numeric_text(spark):
+    values = ["0042", "-12.50 EUR", "9", None, "abc", "x1"]
+    out = masked(spark, values, "numeric")
+    for before, after in zip(values, out):
+        assert (before is None) == (after is None)
+        if before:
+            assert re.sub(r"\d", "#", before) == re.sub(r"\d", "#", after)
+    assert out[1][1] != "0" and out[2] != "0"
+
+
+def test_iban_check_digits(spark):
+    values = ["GB29NWBK60161331926819", "FR7630006000011234567890189", "DE89 3704 0044 0532 0130 00", "n/a", None]
+    out = masked(spark, values, "iban")
+    for before, after in zip(values[:3], out):
+        assert before[:2] == after[:2] and len(before) == len(after) and before != after
+        moved = re.sub("[^0-9A-Z]", "", after[4:] + after[:4])
+        assert int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+    assert out[3][1] == "/" and out[4] is None
+
+
+def test_card(spark):
+    values = ["4970 1012 3456 7890", "4970-1012-3456-7890", "1234", "12", None, "4970101234567890 "]
+    assert masked(spark, values, "card") == [
+        "XXXX XXXX XXXX 7890", "XXXX-XXXX-XXXX-7890", "1234", "12", None, "XXXXXXXXXXXX7890 "]
+
+
+def test_email_and_phone(spark):
+    mails = ["jo.doe@shop.example", "x@y@z.example", "none", None, "a" * 90 + "@b.c"]
+    out = masked(spark, mails, "email", {"keep_domaine": "true"})
+    for before, after in zip(mails, out):
+        assert (before is None) == (after is None)
+        if before:
+            assert len(before) == len(after)
+            assert before.rpartition("@")[1:] == after.rpartition("@")[1:] or "@" not in before
+    assert all(re.fullmatch(r"[a-z0-9]{10}@example\.com", v) for v in masked(spark, mails[:3], "email"))
+    tels = ["+33 6 12 34 56 78", "0612345678", "1", None]
+    kept = masked(spark, tels, "tel")
+    assert kept[0][:3] == "+33" and kept[1][:2] == "06" and kept[3] is None
+    assert [re.sub(r"\d", "#", v) for v in kept[:3]] == [re.sub(r"\d", "#", v) for v in tels[:3]]
+    new = masked(spark, tels, "tel", {"keep_indicator": "false"})
+    cell = masked(spark, tels, "tel", {"keep_indicator": "false", "cell_phone": "true"})
+    assert all(re.fullmatch(r"0[1-5]\d{8}", v) for v in new[:3]) and new[3] is None
+    assert all(re.fullmatch(r"0[67]\d{8}", v) for v in cell[:3])
+
+
+def test_blanking(spark):
+    values = ["AB-12/3 4", "", None, "null"]
+    assert masked(spark, values, "XReplace") == ["XXXXXX", "", None, None]
+    assert masked(spark, values, "XReplace", {"char": "#"}) == ["######", "", None, None]
+    assert masked(spark, values, "0Replace", {"char": "#"}) == ["000000", "", None, None]
+    assert masked(spark, values, "blankedWithChar") == ["*" * 9, "", None, None]
+    assert masked(spark, values, "blankedWithChar", {"char": "_", "remove_before_blank": "AB;3"}) == ["_" * 6, "", None, None]
+    assert masked(spark, [3, None], "blank", kind="int") == ["", ""]
+    assert masked(spark, [3, None], "blank", {"respect_type": "true"}, kind="int") == [0, 0]
+    assert masked(spark, [3, None], "blank", {"data_type": "date"}, kind="int") == [date(1970, 1, 1)] * 2
+    assert masked(spark, [3, None], "null", {"data_type": "double"}, kind="int") == [None, None]
+    with pytest.raises(ValueError, match="neutral"):
+        masked(spark, [[1]], "blank", {"respect_type": "true"}, kind="array<int>")
+
+
+@pytest.mark.parametrize("method, alphabet", [
+    ("randomAlphabeticChars", string.ascii_uppercase), ("randomNumericChars", string.digits)])
+def test_random_texts(spark, method, alphabet):
+    same = masked(spark, TEXTS, method)
+    spaced = masked(spark, TEXTS, method, {"preserve_spaces": "true"})
+    fixed = masked(spark, TEXTS, method, {"length": "70"})
+    for before, a, b, c in zip(cleaned(TEXTS), same, spaced, fixed):
+        if before is None:
+            assert a is None and b is None and c is None
+            continue
+        assert len(a) == len(b) == len(before) and len(c) == 70
+        assert set(a) <= set(alphabet) and set(c) <= set(alphabet)
+        assert [i for i, x in enumerate(before) if x == " "] == [i for i, x in enumerate(b) if x == " "]
+
+
+def test_random_masks_do_not_depend_on_the_value_nor_on_partitions(spark):
+    for method in ("randomInts", "randomLongs", "randomFloats", "randomDoubles", "firstname", "lastname", "tel", "email"):
+        options = {"keep_indicator": "false"}
+        one = masked(spark, [f"{i}" for i in range(300)], method, options, partitions=1)
+        assert one == masked(spark, ["x"] * 300, method, options, partitions=7)
+        assert len(set(one)) > 20 or method in ("firstname", "lastname")
+
+
+def test_random_bounds(spark):
+    values = [1] * 400
+    ints = masked(spark, values, "randomInts", {"int_bounds": "[-3;4]"}, kind="int")
+    assert set(ints) == set(range(-3, 4))
+    doubles = masked(spark, values, "randomDoubles", {"double_bounds": "[0.5;1.5]"}, kind="int")
+    assert all(0.5 <= v < 1.5 for v in doubles) and abs(sum(doubles) / 400 - 1) < 0.1
+    days = masked(spark, values, "randomDates", {"date_bounds": "[2020-01-01;2020-01-04]"}, kind="int")
+    assert {d.day for d in days} == {1, 2, 3}
+    assert set(masked(spark, values, "randomBooleans", kind="int")) == {True, False}
+    with pytest.raises(ValueError, match="bounds"):
+        masked(spark, values, "randomInts", {"int_bounds": "[5;5]"}, kind="int")
+
+
+def test_names_come_from_the_lists(spark):
+    assert set(masked(spark, ["a"] * 500, "firstname")) == set(drawing.FIRST_NAMES)
+    context = MaskContext(key="k", row_key=("id",), last_names=("One", "Two"))
+    assert set(masked(spark, ["a"] * 50, "lastname", context=context)) == {"One", "Two"}
+
+
+def test_salts(spark):
+    import hashlib
+
+    assert masked(spark, ["a", None], "hashWithSha1") == [hashlib.sha1(b"a").hexdigest(), None]
+    assert masked(spark, ["a"], "hashWithSha256", {"salt": "s"}) == [hashlib.sha256(b"sa").hexdigest()]
+    random = [masked(spark, ["a", "a"], "hashWithSha256", {"salt": "random"}) for _ in range(2)]
+    assert random[0][0] == random[0][1] and random[0] != random[1]
+
+
+@slow
+@given(values=st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=60))
+def test_permutation_keeps_the_multiset(spark, values):
+    out = masked(spark, values, "keepDistribution", kind="int")
+    assert Counter(out) == Counter(values)
+    assert [v is None for v in out] == [v is None for v in values]
+    assert out == masked(spark, values, "keepDistribution", kind="int", partitions=5)
+
+
+def test_permutation_moves_every_row_and_survives_hot_values(spark):
+    values = list(range(2000))
+    out = masked(spark, values, "keepDistribution", kind="int")
+    assert sorted(out) == values and all(a != b for a, b in zip(out, values))
+    hot = ["same"] * 1500 + [f"v{i}" for i in range(500)]
+    assert Counter(masked(spark, hot, "keepDistribution")) == Counter(hot)
+
+
+def test_rules_compose_and_keep_the_order_of_columns(spark):
+    frame = spark.createDataFrame([(1, "a-b", "x"), (2, "null", "y")], "id int, v string, `odd.name` string")
+    rules = [Rule("v", "XReplace"), Rule("v", "hashWithSha1"), Rule("odd.name", "blank")]
+    out = apply_rules(frame, rules, KEY)
+    import hashlib
+
+    assert out.columns == frame.columns
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, hashlib.sha1(b"XX").hexdigest(), ""), (2, None, "")]
+    assert apply_rules(frame, [], KEY).collect() == frame.collect()
+
+
+def test_errors_before_any_job(spark):
+    frame = spark.createDataFrame([(1, "a", 1.5)], "id int, v string, d double")
+    for rules, message in (
+        ([Rule("v", "rot13")], "unknown masking method"),
+        ([Rule("w", "id")], "no column"),
+        ([Rule("d", "consistentNumericFormatPreserving")], "whole numbers"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            apply_rules(frame, rules, KEY)
+    for method in ("randomInts", "keepDistribution", "firstname"):
+        with pytest.raises(ValueError, match="identify a row"):
+            apply_rules(frame, [Rule("v", method)], MaskContext(key="k"))
+    with pytest.raises(ValueError, match="needs a key"):
+        apply_rules(frame, [Rule("v", "id")], MaskContext())
+
+
+def test_all_methods_are_there():
+    assert len(ALL_METHODS) == 29
+
+
+def test_options(caplog):
+    assert parse_options("length.preserve_spaces", "8.true") == {"length": "8", "preserve_spaces": "true"}
+    assert parse_options("double_bounds.char", "[0.5;1.5].X") == {"double_bounds": "[0.5;1.5]", "char": "X"}
+    assert parse_options("char", None) == {"char": ""} and parse_options(None, None) == {}
+    assert parse_options("colour.char", "red.X") == {"char": "X"} and "colour" in caplog.text
+    assert parse_bounds("[1;9]", "int") == (1, 9) and parse_bounds("[0.5; 2]", "double") == (0.5, 2.0)
+    assert parse_bounds("[2020-01-01;2021-01-01]", "date") == (date(2020, 1, 1), date(2021, 1, 1))
+    with pytest.raises(ValueError):
+        parse_bounds("[1,2]", "int")
+    assert to_type("decimal(10,2)").simpleString() == "decimal(10,2)"
+
+
+def test_the_key_is_not_in_the_plan(spark):
+    frame = spark.createDataFrame([(1, "a")], "id int, v string")
+    context = MaskContext(key="top-secret-key", row_key=("id",))
+    assert "top-secret-key" not in repr(context)
+    for method in ("id", "randomInts", "consistentStringFormatPreserving", "keepDistribution"):
+        plan = apply_rules(frame, [Rule("v", method)], context)._jdf.queryExecution().toString()
+        assert "top-secret-key" not in plan
