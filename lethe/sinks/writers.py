@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from lethe.identifiers import quote_table
+from lethe.session import setting
 from lethe.sources.readers import CSV_DELIMITER, JSON_TIMESTAMP_FORMAT, load
 from lethe.specs import InputSpec, OutputSpec
 
@@ -34,11 +35,9 @@ def _save_table(df: DataFrame, writer: DataFrameWriter, spec: OutputSpec) -> Non
     exists = spark.catalog.tableExists(spec.table)
     if spec.mode == "overwrite_partitions" and exists:
         columns = spark.table(spec.table).columns
-        (
-            df.select(*columns)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(quote_table(spec.table), overwrite=True)
-        )
+        # An insert into a table takes the overwrite mode from the session, not from the writer.
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            df.select(*columns).write.insertInto(quote_table(spec.table), overwrite=True)
         return
     if spec.path:
         writer = writer.option("path", spec.path)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
+from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from lethe.identifiers import column_path
+from lethe.session import setting
 from lethe.specs import InputSpec
 
 # Defaults of the file formats.
@@ -20,15 +21,9 @@ JSON_TIMESTAMP_FORMAT = "yyyy/MM/dd HH:mm:ss ZZ"
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
-@contextmanager
-def string_partitions(spark: SparkSession) -> Iterator[None]:
+def string_partitions(spark: SparkSession) -> AbstractContextManager[None]:
     """Read partition folders as strings: ``dt=0007`` must not become 7."""
-    before = spark.conf.get(_INFERENCE)
-    spark.conf.set(_INFERENCE, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_INFERENCE, before)
+    return setting(spark, _INFERENCE, "false")
 
 
 def _read_csv(spark: SparkSession, spec: InputSpec) -> DataFrame:

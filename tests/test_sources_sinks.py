@@ -1,0 +1,180 @@
+"""Loading, saving, converting and partition maintenance."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from lethe.scratch import scratch_database, scratch_path
+from lethe.sinks import PartitionError, add_partition, convert, drop_partition, drop_partitions, save
+from lethe.sinks.catalog import existing_partitions, is_external
+from lethe.sources import clean_config_csv, load, load_columns
+from lethe.specs import InputSpec, OutputSpec
+
+
+def rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
+
+
+@pytest.fixture
+def data(spark):
+    return spark.createDataFrame([(1, "a", "199501"), (2, "b", "199502"), (3, None, "199502")], "id int, v string, dt string")
+
+
+def test_unknown_formats(spark, data, path):
+    with pytest.raises(ValueError, match="unknown input format"):
+        load(spark, InputSpec("xls", path("x")))
+    with pytest.raises(ValueError, match="unknown output format"):
+        save(data, OutputSpec("xls", path("x")))
+    with pytest.raises(ValueError, match="write mode"):
+        save(data, OutputSpec("orc", path("x"), mode="ignore"))
+
+
+def test_empty_partition_list_is_an_error(spark, data, path):
+    save(data, OutputSpec("parquet", path("p"), partition_column="dt"))
+    with pytest.raises(ValueError, match="empty"):
+        load(spark, InputSpec("parquet", path("p"), partition_values=()))
+    with pytest.raises(ValueError, match="partition column"):
+        load(spark, InputSpec("parquet", path("p"), partition_column="day", partition_values=("1",)))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc", "parquet"])
+def test_partition_values_stay_texts(spark, path, fmt):
+    data = spark.createDataFrame([(1, "0007"), (2, "2020-01")], "id int, dt string")
+    save(data, OutputSpec(fmt, path(fmt), partition_column="dt"))
+    back = load(spark, InputSpec(fmt, path(fmt), schema="id int, dt string" if fmt in ("csv", "json") else None))
+    assert rows(back) == [(1, "0007"), (2, "2020-01")]
+    one = load(spark, InputSpec(fmt, path(fmt), partition_values=("0007",)))
+    assert [r.id for r in one.collect()] == [1]
+
+
+def test_csv_defaults_and_repartition(spark, data, path):
+    save(data.coalesce(1), OutputSpec("csv", path("c")))
+    back = load(spark, InputSpec("csv", path("c"), repartition=3))
+    assert back.columns == ["id", "v", "dt"] and dict(back.dtypes)["id"] == "int"
+    assert back.rdd.getNumPartitions() == 3 and back.count() == 3
+
+
+def test_text_width_comes_from_the_first_line(spark, path):
+    spark.createDataFrame([("a|b|",), ("c",), ("d|e|f|g",)], "value string").coalesce(1).write.text(path("t"))
+    back = load(spark, InputSpec("text", path("t"), delimiter="|"))
+    assert rows(back) == [("a", "b", ""), ("c", None, None), ("d", "e", "f")]
+    assert load(spark, InputSpec("text", path("t"))).columns == ["col1"]
+
+
+def test_positional(spark, path):
+    lines = ["id  name   ", "1   Ann    ", "2   Bo", "3", "22  Cy Doe "]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path("p"))
+    named = load(spark, InputSpec("positional", path("p"), widths=(4, 7)))
+    assert rows(named, "id") == [("1", "Ann"), ("2", "Bo"), ("22", "Cy Doe"), ("3", None)]
+    plain = load(spark, InputSpec("positional", path("p"), widths=(4, 7), header=False))
+    assert plain.columns == ["C0", "C1"] and plain.count() == 5
+    typed = load(spark, InputSpec("positional", path("p"), widths=(4, 7), schema="n int, s string"))
+    assert rows(typed) == [(1, "Ann"), (2, "Bo"), (3, None), (22, "Cy Doe")]
+    with pytest.raises(ValueError, match="widths"):
+        load(spark, InputSpec("positional", path("p")))
+
+
+def test_xml_and_json_defaults(spark, data, path):
+    data.write.format("xml").option("rootTag", "ROWS").option("rowTag", "ROW").save(path("x"))
+    assert load(spark, InputSpec("xml", path("x"))).count() == 3
+    stamps = spark.sql("select timestamp'2020-02-03 04:05:06' as t")
+    save(stamps, OutputSpec("json", path("j")))
+    assert spark.read.text(path("j")).head()[0] == '{"t":"2020/02/03 04:05:06 +0000"}'
+    assert load(spark, InputSpec("json", path("j"), schema="t timestamp")).head() == stamps.head()
+
+
+def test_avro_when_available(spark, data, path):
+    try:
+        save(data, OutputSpec("avro", path("a")))
+    except Exception as error:  # noqa: BLE001
+        pytest.skip(f"no avro package: {type(error).__name__}")
+    assert rows(load(spark, InputSpec("avro", path("a")))) == rows(data)
+
+
+def test_load_columns_without_partitions(spark, data, path):
+    save(data, OutputSpec("orc", path("o")))
+    assert rows(load_columns(spark, InputSpec("orc", path("o")), ["v"], "2", "id")) == [(None,), ("b",)]
+    assert load_columns(spark, InputSpec("orc", path("o")), ["v"], None, "id").count() == 3
+
+
+def test_convert(spark, data, path):
+    save(data, OutputSpec("csvWithoutHeader", path("c"), delimiter=";"))
+    source = InputSpec("csv", path("c"), delimiter=";", header=False, schema="id int, v string, dt string")
+    convert(spark, source, OutputSpec("parquet", path("p")))
+    assert rows(load(spark, InputSpec("parquet", path("p")))) == rows(data)
+
+
+def test_modes(spark, data, path):
+    append = OutputSpec("orc", path("a"), partition_column="dt")
+    save(data, append)
+    save(data, append)
+    assert load(spark, InputSpec("orc", path("a"))).count() == 6
+    again = OutputSpec("orc", path("b"), partition_column="dt", mode="overwrite_partitions")
+    save(data, again)
+    save(data.where("dt = '199502' and id = 2"), again)
+    assert rows(load(spark, InputSpec("orc", path("b"))), "id") == [(1, "a", "199501"), (2, "b", "199502")]
+
+
+def test_table_sink(spark, data):
+    name = f"{scratch_database(spark, 'sinks')}.t"
+    spec = OutputSpec("table", scratch_path(spark, "t"), name, "dt", mode="overwrite_partitions")
+    save(data, spec)
+    save(data.select("dt", "id", "v").where("id > 1"), spec)
+    assert rows(load(spark, InputSpec("table", table=name)), "id") == [
+        (1, "a", "199501"), (2, "b", "199502"), (3, None, "199502")]
+    assert is_external(spark, name)
+
+
+@pytest.fixture
+def table(spark, data):
+    name = f"{scratch_database(spark, 'parts')}.t"
+    save(data, OutputSpec("table", table=name, partition_column="dt"))
+    return name
+
+
+def test_partitions(spark, table, data, path):
+    assert existing_partitions(spark, table, "dt") == ["199501", "199502"] and not is_external(spark, table)
+    data.select("id", "v").write.orc(path("more"))
+    for _ in range(2):
+        add_partition(spark, table, "200001", path("more"))
+    assert spark.table(table).where("dt = '200001'").count() == 3
+    for _ in range(2):
+        drop_partition(spark, table, "dt", "199501")
+    report = drop_partitions(spark, table, "dt", ["199502", "190001"])
+    assert rows(report) == [("190001", True, None), ("199502", True, None)]
+    assert existing_partitions(spark, table, "dt") == ["200001"]
+
+
+def test_drop_goes_on_after_a_failure(spark, table):
+    def fragile(spark, name, column, value):
+        if value == "199501":
+            raise RuntimeError("locked")
+        drop_partition(spark, name, column, value)
+
+    with pytest.raises(PartitionError) as caught:
+        drop_partitions(spark, table, "dt", ["199501", "199502"], drop_one=fragile)
+    assert caught.value.failures == [("199501", "locked")]
+    assert existing_partitions(spark, table, "dt") == ["199501"]
+    with pytest.raises(PartitionError) as caught:
+        drop_partitions(spark, table, "nope", ["1", "2"])
+    assert [v for v, _ in caught.value.failures] == ["1", "2"]
+
+
+@pytest.mark.parametrize("bad", ["t; drop table x", "a`b", "", "1t"])
+def test_identifiers_are_checked(spark, table, bad):
+    with pytest.raises(ValueError, match="identifier"):
+        drop_partition(spark, bad, "dt", "1")
+    with pytest.raises(ValueError, match="identifier"):
+        add_partition(spark, table, "1", "/tmp/x", bad)
+
+
+def test_quotes_in_values_stay_values(spark, table):
+    drop_partition(spark, table, "dt", "199501') , (dt='199502")
+    assert existing_partitions(spark, table, "dt") == ["199501", "199502"]
+
+
+def test_config_cleaning(spark):
+    lines = ["base,t,c", "", "x,Données à compléter par le Métier", "Commentaire,données à anonymiser,z", '"b,1",t2,c2']
+    frame = spark.createDataFrame([(v,) for v in lines], "value string")
+    assert rows(clean_config_csv(frame, "a string, b string, c string")) == [("b,1", "t2", "c2"), ("base", "t", "c")]
