@@ -129,7 +129,7 @@ def permuted(column: str, table: str, key: str) -> str:
       SELECT {key}, coalesce(lead({column}) OVER w,
           first_value({column}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS {column}
       FROM {table} WHERE {column} IS NOT NULL
-      WINDOW w AS (ORDER BY {seed(column, key)}, {key}, {column})
+      WINDOW w AS (ORDER BY {number(seed(column, key), 1, 15)}, {key}, {column})
       UNION ALL SELECT {key}, {column} FROM {table} WHERE {column} IS NULL"""
 
 

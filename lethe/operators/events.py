@@ -39,17 +39,17 @@ def expired_keys(events: DataFrame, key: str, process_column: str, fmt: str, bef
 def expired_ids(data: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The expired persons who have rows in the data.
 
-    The keys are distinct before the join, so a person with many events and many
-    rows does not multiply them.
+    The keys are made distinct before the join (which costs nothing when they are
+    already), so a person with many events and many rows does not multiply them.
     """
-    return data.select(key).join(keys.select(key), key, "left_semi").distinct()
+    return data.select(key).join(keys.select(key).distinct(), key, "left_semi").distinct()
 
 
 def expired_row_counts(data: DataFrame, keys: DataFrame, key: str, partition_column: str) -> DataFrame:
     """Partitions in which expired persons have rows, with the number of such rows."""
     return (
         data.select(key, partition_column)
-        .join(keys.select(key), key, "left_semi")
+        .join(keys.select(key).distinct(), key, "left_semi")
         .groupBy(partition_column)
         .agg(F.count("*").alias("expired_rows"))
     )
@@ -57,7 +57,7 @@ def expired_row_counts(data: DataFrame, keys: DataFrame, key: str, partition_col
 
 def split_by_keys(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is in the set, and all other rows; duplicates are kept."""
-    wanted = keys.select(key)
+    wanted = keys.select(key).distinct()
     return df.join(wanted, key, "left_semi").select(*df.columns), df.join(wanted, key, "left_anti").select(*df.columns)
 
 

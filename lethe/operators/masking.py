@@ -28,6 +28,8 @@ class MaskContext:
     row_key: tuple[str, ...] = ()
     first_names: tuple[str, ...] = drawing.FIRST_NAMES
     last_names: tuple[str, ...] = drawing.LAST_NAMES
+    # Row count of the table when it is known; it saves a permutation a count.
+    rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -185,7 +187,8 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -> D
         if rule.method == PERMUTATION:
             if not context.row_key:
                 raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")
-            df = permute(df, rule.column, prf.column_key(context.key, rule.column), context.row_key)
+            key = prf.column_key(context.key, rule.column)
+            df = permute(df, rule.column, key, context.row_key, context.rows)
     masked = masked_columns(df, rules, context)
     if not masked:
         return df

@@ -12,51 +12,49 @@ from lethe.functions import prf
 from lethe.functions.text import null_words
 from lethe.identifiers import column_path
 
-_ORDER, _BUCKET, _NEXT, _FIRST, _FOLLOWING = "__order", "__bucket", "__next", "__first", "__following"
+_ORDER, _BUCKET = "__order", "__bucket"
 
-# Hex digits of the hash that name a bucket: 65,536 buckets of like size.
-BUCKET_DIGITS = 4
+# A bucket holds about this many rows at least, and 16 times as many at most.
+BUCKET_ROWS = 16_384
+# The hash gives the order from its first digits and the bucket from later ones.
+_ORDER_DIGITS, _BUCKET_START, _MOST_BUCKET_DIGITS = 15, 17, 8
 
 
-def permute(df: DataFrame, column: str, derived_key: str, row_key: Sequence[str]) -> DataFrame:
+def bucket_digits(rows: int) -> int:
+    """Hex digits that name a bucket, so that buckets keep their size as the table grows."""
+    digits = 0
+    while digits < _MOST_BUCKET_DIGITS and rows >= BUCKET_ROWS * 16 ** (digits + 1):
+        digits += 1
+    return digits
+
+
+def permute(
+    df: DataFrame, column: str, derived_key: str, row_key: Sequence[str], rows: int | None = None
+) -> DataFrame:
     """Give each row the value of the next row in keyed hash order of the row key.
 
-    The rows form one cycle: the last takes the value of the first, so the
-    multiset of values is kept exactly. Rows without a value stay without.
+    Rows are dealt into buckets by the hash of their key and form one cycle in
+    each bucket, so the multiset of values is kept exactly and no row of a bucket
+    keeps its own cell. Rows without a value stay without.
 
-    Buckets are prefixes of the hash of the row key, so they are even whatever
-    the values are, as long as the row key identifies rows. Inside a bucket a
-    window finds the next row; only the last row of a bucket needs the first
-    value of the following bucket, which comes from a table of one row per
-    bucket. The data is shuffled once.
+    The hash decides bucket and order, never the value, so buckets are even
+    whatever the values are. The row key has to identify the rows: rows with equal
+    keys land in one bucket. The rows are shuffled once, and the result is the
+    same on every retry and under any partitioning. ``rows`` is the row count if
+    it is known; otherwise the rows are counted first.
     """
     source = F.col(column_path(column))
-    is_text = isinstance(df.schema[column].dataType, StringType)
-    value = null_words(source) if is_text else source
+    if isinstance(df.schema[column].dataType, StringType):
+        df = df.withColumn(column, null_words(source))
     keys = [F.col(column_path(k)) for k in row_key]
-    order = prf.seed(derived_key, keys)
-    rows = df.withColumn(column, value).withColumn(_ORDER, order).withColumn(
-        _BUCKET,
-        F.concat(F.when(source.isNull(), F.lit("-")).otherwise(F.lit("+")), F.substring(_ORDER, 1, BUCKET_DIGITS)),
-    )
-    place = [F.col(_ORDER), *keys, source]
-
-    firsts = (
-        rows.where(source.isNotNull())
-        .groupBy(_BUCKET)
-        .agg(F.min_by(source, F.struct(*[c.alias(f"p{i}") for i, c in enumerate(place)])).alias(_FIRST))
-    )
-    # At most 16 ** BUCKET_DIGITS rows, whatever the size of the table.
-    cycle = Window.orderBy(_BUCKET)
-    following = firsts.select(
-        _BUCKET,
-        F.coalesce(
-            F.lead(_FIRST).over(cycle),
-            F.first(_FIRST).over(cycle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias(_FOLLOWING),
+    seed = prf.seed(derived_key, keys)
+    digits = bucket_digits(df.count() if rows is None else rows)
+    bucket = F.concat(
+        F.when(source.isNull(), F.lit("-")).otherwise(F.lit("+")), F.substring(seed, _BUCKET_START, digits)
     )
-
-    inside = Window.partitionBy(_BUCKET).orderBy(*place)
-    moved = rows.withColumn(_NEXT, F.lead(source).over(inside)).join(following, _BUCKET, "left")
-    result = F.coalesce(F.col(_NEXT), F.col(_FOLLOWING)).alias(column)
-    return moved.select(*[result if c == column else F.col(column_path(c)) for c in df.columns])
+    dealt = df.withColumns({_ORDER: prf.number(seed, 1, _ORDER_DIGITS), _BUCKET: bucket})
+    # Rows without a value need no order among themselves, only a bucket of their own.
+    inside = Window.partitionBy(_BUCKET).orderBy(_ORDER, *keys, source)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    moved = F.coalesce(F.lead(source).over(inside), F.first(source).over(whole)).alias(column)
+    return dealt.select(*[moved if c == column else F.col(column_path(c)) for c in df.columns])

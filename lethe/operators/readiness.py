@@ -43,7 +43,7 @@ def _wanted(required: DataFrame, fmt: str) -> DataFrame:
 def missing_partitions(required: DataFrame, inventory: DataFrame, fmt: str = "yyyyMMdd") -> DataFrame:
     """Requests whose partition is not in the inventory."""
     return _wanted(required, fmt).join(
-        inventory.select("dataset", "partition_value"), ["dataset", "partition_value"], "left_anti"
+        inventory.select("dataset", "partition_value").distinct(), ["dataset", "partition_value"], "left_anti"
     )
 
 

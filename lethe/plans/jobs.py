@@ -47,8 +47,8 @@ class RunReport:
     purge_audits: list[DataFrame] = field(default_factory=list)
 
 
-def _context(plan: TablePlan, run: Run) -> MaskContext:
-    return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())))
+def _context(plan: TablePlan, run: Run, rows: int) -> MaskContext:
+    return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())), rows=rows)
 
 
 def _check_masks(plan: TablePlan) -> None:
@@ -124,7 +124,7 @@ def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> Outcome:
         expected = _partition_rows(data, plan.source.partition_column)
         rows_in = sum(expected.values())
         if expected:
-            masked = apply_rules(data, plan.rules, _context(plan, run))
+            masked = apply_rules(data, plan.rules, _context(plan, run, rows_in))
             rows_out = _save_checked(spark, plan, masked, expected)
     return Outcome(plan, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
@@ -160,7 +160,7 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Outc
     partitions, to_mask = sorted(expired), sum(expired.values())
     data = everything.where(in_partitions(everything, column, partitions))
     expected = _partition_rows(data, column)
-    masked = mask_where(data, keys, key, plan.rules, _context(plan, run))
+    masked = mask_where(data, keys, key, plan.rules, _context(plan, run, sum(expected.values())))
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask
     return Outcome(plan, tuple(partitions), to_mask, written - kept, start, datetime.now())

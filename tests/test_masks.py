@@ -210,6 +210,19 @@ def test_permutation_moves_every_row_and_survives_hot_values(spark):
     assert Counter(masked(spark, hot, "keepDistribution")) == Counter(hot)
 
 
+def test_permutation_in_many_buckets(spark, monkeypatch):
+    from lethe.operators import permutation
+
+    assert [permutation.bucket_digits(n) for n in (0, 262_143, 262_144, 10**12)] == [0, 0, 1, 6]
+    monkeypatch.setattr(permutation, "BUCKET_ROWS", 20)
+    values = [i if i % 3 else None for i in range(3000)]
+    out = masked(spark, values, "keepDistribution", kind="int")
+    assert permutation.bucket_digits(3000) == 1
+    assert Counter(out) == Counter(values) and [v is None for v in out] == [v is None for v in values]
+    assert all(a != b for a, b in zip(out, values) if b is not None)
+    assert out == masked(spark, values, "keepDistribution", kind="int", partitions=9)
+
+
 def test_rules_compose_and_keep_the_order_of_columns(spark):
     frame = spark.createDataFrame([(1, "a-b", "x"), (2, "null", "y")], "id int, v string, `odd.name` string")
     rules = [Rule("v", "XReplace"), Rule("v", "hashWithSha1"), Rule("odd.name", "blank")]

@@ -58,13 +58,9 @@ def test_many_rules_are_one_projection(spark, data):
     assert text.count("Project") == 1 and "Exchange" not in text
 
 
-def test_permutation_shuffles_the_rows_once(spark, data):
-    df = apply_rules(load(spark, InputSpec("parquet", data)), [Rule("v", "keepDistribution")], CONTEXT)
-    text = plan(df)
-    # The rows by bucket; the other exchanges carry one row per bucket.
-    with_rows = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert len(with_rows) <= 3
+def test_permutation_shuffles_once(spark, data):
+    text = plan(apply_rules(load(spark, InputSpec("parquet", data)), [Rule("v", "keepDistribution")], CONTEXT))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 1 and "Join" not in text
 
 
 def test_no_cross_joins(spark, data):
