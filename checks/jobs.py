@@ -114,9 +114,8 @@ START, END = datetime(2000, 1, 15, 5, 0, 0), datetime(2000, 1, 15, 5, 1, 30)
   FROM ({TYPED_DUCK}) AS t WHERE base = 'b2' AND table_name = 't7' GROUP BY base, table_name""")
 def mask_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.table(spark, sf_dir, "orders").count()
-    row = audit.mask_audit(
-        config(spark, sf_dir), "b2", "t7", ["199901", "199902"], rows, rows, START, END, "batch"
-    )
+    done = audit.TableRun("b2", "t7", ("199901", "199902"), rows, rows, START, END)
+    row = audit.mask_audit(config(spark, sf_dir), [done], "batch")
     joined = ("columnNames", "desensitizationMethods", "desensitized_partitions")
     return row.select(
         "dataBaseName", "tableName", *[F.array_join(c, ",").alias(c) for c in joined], "input_row_count",
@@ -131,7 +130,8 @@ def mask_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM ({TYPED_DUCK}) AS t WHERE base = 'b2' AND table_name = 't7' GROUP BY base, table_name""")
 def purge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.table(spark, sf_dir, "orders").count()
-    row = audit.purge_audit(config(spark, sf_dir), "b2", "t7", ["199901"], rows, 0, START, END, "batch")
+    done = audit.TableRun("b2", "t7", ("199901",), rows, 0, START, END)
+    row = audit.purge_audit(config(spark, sf_dir), [done], "batch")
     return row.select(
         "dataBaseName", "tableName", *[F.array_join(c, ",").alias(c) for c in ("columnNames", "purged_partitions")],
         "input_row_count", "output_row_count", "processing_time", "principalKeytab", "dt",

@@ -23,7 +23,10 @@ KEPT_CARD_DIGITS = 4
 
 def card(value: Column) -> Column:
     """Every digit but the last four becomes X; separators stay."""
-    return F.regexp_replace(value, r"\d(?=(?:\D*\d){%d})" % KEPT_CARD_DIGITS, "X")
+    tail = F.regexp_extract(value, r"(?:\d\D*){%d}$" % KEPT_CARD_DIGITS, 0)
+    head = F.substring(value, F.lit(1), F.length(value) - F.length(tail))
+    # With fewer than four digits there is no tail and nothing to hide.
+    return F.when(tail == "", value).otherwise(F.concat(F.translate(head, "0123456789", "X" * 10), tail))
 
 
 def with_char(value: Column, char: str, removed: Sequence[str]) -> Column:

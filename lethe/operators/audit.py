@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.operators.configuration import RULE_COLUMNS, TABLE_KEY, rules_for
+from lethe.operators.configuration import RULE_COLUMNS, TABLE_KEY
 from lethe.sinks.catalog import add_partition
 from lethe.sinks.writers import save
 from lethe.specs import OutputSpec
@@ -70,59 +71,45 @@ def row_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def _run_columns(
-    partition_name: str,
-    partitions: Sequence[str],
-    rows_in: int,
-    rows_out: int,
-    start: datetime,
-    end: datetime,
-    principal: str,
-) -> dict[str, Column]:
-    return {
-        partition_name: F.array(*[F.lit(p) for p in partitions]).cast("array<string>"),
-        "input_row_count": F.lit(rows_in).cast("bigint"),
-        "output_row_count": F.lit(rows_out).cast("bigint"),
-        "processing_time": F.lit((end - start).total_seconds()),
-        "start_date": F.lit(start),
-        "end_date": F.lit(end),
-        "principalKeytab": F.lit(principal),
-        "dt": F.lit(end.strftime(AUDIT_DAY_FORMAT)),
-    }
-
-
-def mask_audit(
-    config: DataFrame,
-    base: str,
-    table: str,
-    partitions: Sequence[str],
-    rows_in: int,
-    rows_out: int,
-    start: datetime,
-    end: datetime,
-    principal: str,
-) -> DataFrame:
-    """One row for one masked table."""
-    lists = audit_lists(rules_for(config, base, table))
-    run = _run_columns("desensitized_partitions", partitions, rows_in, rows_out, start, end, principal)
-    return lists.withColumns(run).select(*MASK_AUDIT_COLUMNS)
-
-
-def purge_audit(
-    config: DataFrame,
-    base: str,
-    table: str,
-    partitions: Sequence[str],
-    rows_in: int,
-    rows_out: int,
-    start: datetime,
-    end: datetime,
-    principal: str,
+@dataclass(frozen=True)
+class TableRun:
+    """What one job did to one table."""
+
+    base: str
+    table: str
+    partitions: tuple[str, ...]
+    rows_in: int
+    rows_out: int
+    start: datetime
+    end: datetime
+
+
+def _audit(
+    config: DataFrame, runs: Sequence[TableRun], principal: str, partition_name: str, columns: Sequence[str]
 ) -> DataFrame:
-    """One row for one purged table: rows of the partitions before and after."""
-    lists = audit_lists(rules_for(config, base, table))
-    run = _run_columns("purged_partitions", partitions, rows_in, rows_out, start, end, principal)
-    return lists.withColumns(run).select(*PURGE_AUDIT_COLUMNS)
+    """One row for each table run, next to the lists of the configuration."""
+    schema = (
+        f"dataBaseName string, tableName string, {partition_name} array<string>, input_row_count bigint, "
+        "output_row_count bigint, processing_time double, start_date timestamp, end_date timestamp, "
+        "principalKeytab string, dt string"
+    )
+    rows = [
+        (r.base, r.table, list(r.partitions), r.rows_in, r.rows_out, (r.end - r.start).total_seconds(),
+         r.start, r.end, principal, r.end.strftime(AUDIT_DAY_FORMAT))
+        for r in runs
+    ]
+    done = config.sparkSession.createDataFrame(rows, schema)
+    return audit_lists(config).join(done, ["dataBaseName", "tableName"]).select(*columns)
+
+
+def mask_audit(config: DataFrame, runs: Sequence[TableRun], principal: str) -> DataFrame:
+    """Audit of masked tables: rows read and rows written."""
+    return _audit(config, runs, principal, "desensitized_partitions", MASK_AUDIT_COLUMNS)
+
+
+def purge_audit(config: DataFrame, runs: Sequence[TableRun], principal: str) -> DataFrame:
+    """Audit of purged tables: rows of the partitions before and after."""
+    return _audit(config, runs, principal, "purged_partitions", PURGE_AUDIT_COLUMNS)
 
 
 def union_audits(audits: Sequence[DataFrame]) -> DataFrame:

@@ -74,7 +74,8 @@ class _Target:
     def salt(self) -> str:
         """No salt, a given one, or one drawn for this run and not kept."""
         salt = self.options.get("salt", "")
-        return secrets.token_hex(16) if salt == "random" else salt
+        # As long as a hash, so that the pattern which redacts derived keys covers it.
+        return secrets.token_hex(32) if salt == "random" else salt
 
     def length(self) -> int:
         return int(self.options.get("length") or -1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
@@ -12,60 +13,53 @@ from pyspark.sql import functions as F
 
 from lethe.functions.calendar import EVENT_MONTH_FORMAT
 from lethe.identifiers import column_path
-from lethe.operators.audit import append_audit, mask_audit, purge_audit
+from lethe.operators.audit import TableRun, append_audit, mask_audit, purge_audit
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
 from lethe.operators.events import expired_keys, expired_row_counts, mask_where
-from lethe.operators.masking import MaskContext, apply_rules
+from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
 from lethe.plans.partitions import event_source_partitions, mask_partitions, purge_partitions
 from lethe.sinks.catalog import drop_partitions, existing_partitions, is_external
-from lethe.sinks.writers import save
-from lethe.sources.readers import in_partitions, load, load_columns
+from lethe.sinks.writers import dynamic_overwrite, save
+from lethe.sources.readers import in_partitions, load, load_columns, string_partitions
 from lethe.specs import InputSpec, OutputSpec, Run, TablePlan
 
 logger = logging.getLogger(__name__)
 
-
-@dataclass(frozen=True)
-class Outcome:
-    """What one job did to one table."""
-
-    plan: TablePlan
-    partitions: tuple[str, ...]
-    rows_in: int
-    rows_out: int
-    start: datetime
-    end: datetime
+TEXT_FORMATS = ("csv", "csvWithoutHeader", "json")
 
 
 @dataclass
 class RunReport:
-    """Outcomes and audits of a whole run."""
+    """What a whole run did, and the tables that failed."""
+
+    masked: list[TableRun] = field(default_factory=list)
+    purged: list[TableRun] = field(default_factory=list)
+    failures: dict[str, Exception] = field(default_factory=dict)
+
 
-    masked: list[Outcome] = field(default_factory=list)
-    purged: list[Outcome] = field(default_factory=list)
-    mask_audits: list[DataFrame] = field(default_factory=list)
-    purge_audits: list[DataFrame] = field(default_factory=list)
+class RunError(RuntimeError):
+    """Some tables of a run failed; ``report`` holds what was done and the failures."""
+
+    def __init__(self, report: RunReport):
+        self.report = report
+        super().__init__("; ".join(f"{name}: {error}" for name, error in report.failures.items()))
 
 
 def _context(plan: TablePlan, run: Run, rows: int) -> MaskContext:
     return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())), rows=rows)
 
 
-def _check_masks(plan: TablePlan) -> None:
+def _check_plan(plan: TablePlan) -> None:
+    """Refuse plans that cannot work: unknown methods, masked partition columns, output over input."""
+    for rule in plan.rules:
+        if rule.method not in ALL_METHODS:
+            raise ValueError(f"{plan.name}: unknown masking method {rule.method!r}")
     partition_columns = {plan.source.partition_column, plan.output.partition_column}
     masked = [r.column for r in plan.rules if r.column in partition_columns]
     if masked:
         raise ValueError(f"{plan.name}: partition column {masked[0]!r} cannot be masked")
-
-
-def _output_location(output: OutputSpec) -> str | None:
-    return output.path.rstrip("/") if output.path else None
-
-
-def _refuse_overwriting_input(plan: TablePlan) -> None:
-    if plan.output.format != "table" and plan.source.path and (
-        plan.source.path.rstrip("/") == _output_location(plan.output)
-    ):
+    source, target = (p.rstrip("/") if p else None for p in (plan.source.path, plan.output.path))
+    if source and source == target:
         raise ValueError(f"{plan.name}: the output path is the input path")
 
 
@@ -78,7 +72,9 @@ def _partition_rows(df: DataFrame, column: str) -> dict[str, int]:
     return {row.value: row.n for row in counts.collect()}
 
 
-def _written_rows(spark: SparkSession, output: OutputSpec, column: str, partitions: Sequence[str]) -> dict[str, int]:
+def _written_rows(
+    spark: SparkSession, output: OutputSpec, masked: DataFrame, column: str, partitions: Sequence[str]
+) -> dict[str, int]:
     """Rows now in the written partitions.
 
     Counted from the files rather than by a counter during the write: a counter
@@ -92,6 +88,8 @@ def _written_rows(spark: SparkSession, output: OutputSpec, column: str, partitio
         header=output.header and output.format != "csvWithoutHeader",
         partition_column=column,
         partition_values=tuple(partitions),
+        # Texts would be read once more to infer what is known here.
+        schema=masked.schema if output.format in TEXT_FORMATS else None,
     )
     return _partition_rows(load(spark, source), column)
 
@@ -105,17 +103,16 @@ def _save_checked(spark: SparkSession, plan: TablePlan, masked: DataFrame, expec
     column = plan.source.partition_column
     if plan.output.partition_column != column:
         return sum(expected.values())
-    written = _written_rows(spark, plan.output, column, sorted(expected))
+    written = _written_rows(spark, plan.output, masked, column, sorted(expected))
     if written != expected:
         wrong = sorted(v for v in expected if written.get(v) != expected[v])
         raise RuntimeError(f"{plan.name}: row counts differ after the write in partitions {wrong}")
     return sum(written.values())
 
 
-def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> Outcome:
+def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the partitions that have expired by the run date."""
-    _check_masks(plan)
-    _refuse_overwriting_input(plan)
+    _check_plan(plan)
     start = datetime.now()
     partitions = mask_partitions(spark, plan, run)
     rows_in = rows_out = 0
@@ -126,7 +123,7 @@ def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> Outcome:
         if expected:
             masked = apply_rules(data, plan.rules, _context(plan, run, rows_in))
             rows_out = _save_checked(spark, plan, masked, expected)
-    return Outcome(plan, tuple(partitions), rows_in, rows_out, start, datetime.now())
+    return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
 
 def _before_month(spark: SparkSession, run: Run, keep_months: int) -> str:
@@ -134,14 +131,13 @@ def _before_month(spark: SparkSession, run: Run, keep_months: int) -> str:
     return spark.range(1).select(limit.alias("month")).head().month
 
 
-def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Outcome:
+def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the rows of persons whose event lies before run month - keep.
 
     The partitions in which such persons have rows are rewritten as a whole, with
     the rows of other persons unchanged.
     """
-    _check_masks(plan)
-    _refuse_overwriting_input(plan)
+    _check_plan(plan)
     start = datetime.now()
     clock, key = plan.clock, plan.clock.join_column
     source = replace(clock.source, partition_values=tuple(event_source_partitions(spark, clock, run)))
@@ -156,17 +152,17 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Outc
     # One row per partition of the table.
     expired = {str(row[column]): row.expired_rows for row in expired_row_counts(everything, keys, key, column).collect()}
     if not expired:
-        return Outcome(plan, (), 0, 0, start, datetime.now())
+        return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now())
     partitions, to_mask = sorted(expired), sum(expired.values())
     data = everything.where(in_partitions(everything, column, partitions))
     expected = _partition_rows(data, column)
     masked = mask_where(data, keys, key, plan.rules, _context(plan, run, sum(expected.values())))
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask
-    return Outcome(plan, tuple(partitions), to_mask, written - kept, start, datetime.now())
+    return TableRun(plan.base, plan.table, tuple(partitions), to_mask, written - kept, start, datetime.now())
 
 
-def purge(spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool = False) -> Outcome:
+def purge(spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool = False) -> TableRun:
     """Drop the partitions past the purge period.
 
     Dropping a partition of an external table leaves its files in place. That is
@@ -185,14 +181,23 @@ def purge(spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool =
         drop_partitions(spark, table, column, partitions)
         data = load(spark, InputSpec("table", table=table))
         rows_out = data.where(in_partitions(data, column, partitions)).count()
-    return Outcome(plan, tuple(partitions), rows_in, rows_out, start, datetime.now())
+    return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
 
-def _audited(audit, config: DataFrame, outcome: Outcome, run: Run) -> DataFrame:
-    return audit(
-        config, outcome.plan.base, outcome.plan.table, outcome.partitions,
-        outcome.rows_in, outcome.rows_out, outcome.start, outcome.end, run.principal,
-    )
+def _work_on(spark: SparkSession, plan: TablePlan, run: Run) -> RunReport:
+    """Mask one table, then purge its originals."""
+    logger.info("processing %s, trigger %s", plan.name, plan.trigger)
+    report = RunReport()
+    by_run_date = plan.trigger == EXECUTION_TRIGGER
+    if plan.rules:
+        job = retain_mask if by_run_date else retain_mask_by_event
+        report.masked.append(job(spark, plan, run))
+    if plan.purge and by_run_date:
+        try:
+            report.purged.append(purge(spark, plan, run))
+        except Exception as error:  # noqa: BLE001 - the masking of this table still gets its audit row
+            report.failures[plan.name] = error
+    return report
 
 
 def run(
@@ -201,29 +206,37 @@ def run(
     run: Run,
     mask_audit_spec: OutputSpec | None = None,
     purge_audit_spec: OutputSpec | None = None,
+    parallel: int = 1,
 ) -> RunReport:
-    """Work through a typed configuration table by table, then save both audits.
+    """Work through a typed configuration, then save both audits.
 
-    Every table's plan is checked before the first one is touched. A table is
-    masked before its originals are purged.
+    Every plan is checked before the first table is touched. A table is masked
+    before its originals are purged. A table that fails does not stop the others:
+    what was done is audited, then ``RunError`` names the failures. ``parallel``
+    tables are worked on at a time, each as ordinary Spark jobs.
     """
     todo = plans(config)
     for plan in todo:
-        _check_masks(plan)
+        _check_plan(plan)
+
+    def guarded(plan: TablePlan) -> RunReport:
+        try:
+            return _work_on(spark, plan, run)
+        except Exception as error:  # noqa: BLE001 - reported at the end of the run
+            logger.exception("%s failed", plan.name)
+            return RunReport(failures={plan.name: error})
+
     report = RunReport()
-    for plan in todo:
-        logger.info("processing %s, trigger %s", plan.name, plan.trigger)
-        job = retain_mask if plan.trigger == EXECUTION_TRIGGER else retain_mask_by_event
-        if plan.rules:
-            outcome = job(spark, plan, run)
-            report.masked.append(outcome)
-            report.mask_audits.append(_audited(mask_audit, config, outcome, run))
-        if plan.purge and plan.trigger == EXECUTION_TRIGGER:
-            outcome = purge(spark, plan, run)
-            report.purged.append(outcome)
-            report.purge_audits.append(_audited(purge_audit, config, outcome, run))
-    if mask_audit_spec is not None:
-        append_audit(report.mask_audits, mask_audit_spec)
-    if purge_audit_spec is not None:
-        append_audit(report.purge_audits, purge_audit_spec)
+    # Held for the whole run, since tables worked on at the same time share the session.
+    with string_partitions(spark), dynamic_overwrite(spark), ThreadPoolExecutor(parallel) as pool:
+        for part in pool.map(guarded, todo):
+            report.masked += part.masked
+            report.purged += part.purged
+            report.failures |= part.failures
+    if mask_audit_spec is not None and report.masked:
+        append_audit([mask_audit(config, report.masked, run.principal)], mask_audit_spec)
+    if purge_audit_spec is not None and report.purged:
+        append_audit([purge_audit(config, report.purged, run.principal)], purge_audit_spec)
+    if report.failures:
+        raise RunError(report)
     return report

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from lethe.identifiers import quote_table
@@ -12,6 +14,11 @@ from lethe.specs import InputSpec, OutputSpec
 MODES = ("append", "overwrite_partitions")
 
 
+def dynamic_overwrite(spark: SparkSession) -> AbstractContextManager[None]:
+    """Let an overwriting insert replace only the partitions that occur in the data."""
+    return setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
 def _csv_options(writer: DataFrameWriter, spec: OutputSpec, header: bool) -> DataFrameWriter:
     return writer.format("csv").option("header", header).option("sep", spec.delimiter or CSV_DELIMITER)
 
@@ -36,7 +43,7 @@ def _save_table(df: DataFrame, writer: DataFrameWriter, spec: OutputSpec) -> Non
     if spec.mode == "overwrite_partitions" and exists:
         columns = spark.table(spec.table).columns
         # An insert into a table takes the overwrite mode from the session, not from the writer.
-        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        with dynamic_overwrite(spark):
             df.select(*columns).write.insertInto(quote_table(spec.table), overwrite=True)
         return
     if spec.path:

@@ -191,6 +191,34 @@ def test_whole_run(spark, data, path):
     assert sorted({r.dt for r in spark.table(f"{database}.t").collect()}) == ["199902", "199903", "199904"]
 
 
+def test_a_failing_table_does_not_stop_the_others(spark, data, path):
+    database = scratch_database(spark, "many")
+    rows = []
+    for name in ("a", "b", "c"):
+        if name != "b":
+            data.write.partitionBy("dt").saveAsTable(f"{database}.{name}")
+        rows.append(BASE | {"base": database, "table_name": name, "input_format": "table", "output_path": path(name),
+                            "output_partitioned_by": "dt", "anonymisation_methode": "XReplace"})
+    config, spec = typed_config(config_rows(spark, *rows)), OutputSpec("orc", path("audit"), partition_column="dt")
+    with pytest.raises(jobs.RunError) as caught:
+        jobs.run(spark, config, RUN, spec, parallel=3)
+    assert list(caught.value.report.failures) == [f"{database}.b"]
+    assert sorted(r.tableName for r in load(spark, InputSpec("orc", path("audit"))).collect()) == ["a", "c"]
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+    bad = typed_config(config_rows(spark, *rows[:1], rows[2] | {"anonymisation_methode": "rot13"}))
+    with pytest.raises(ValueError, match="rot13"):
+        jobs.run(spark, bad, RUN)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "csvWithoutHeader", "json", "orc", "table"])
+def test_output_formats(spark, data, path, fmt):
+    table = f"{scratch_database(spark, 'out')}.masked"
+    output = OutputSpec(fmt, path("out"), table, "dt", mode="overwrite_partitions")
+    for _ in range(2):
+        outcome = jobs.retain_mask(spark, plan_for(data, path, output=output), RUN)
+    assert (outcome.rows_in, outcome.rows_out) == (8, 8)
+
+
 def test_purge_refuses_external_tables(spark, data, path):
     name = f"{scratch_database(spark, 'ext')}.t"
     data.write.partitionBy("dt").option("path", path("ext")).saveAsTable(name)
