@@ -17,7 +17,7 @@ from lethe.operators.audit import TableRun, append_audit, mask_audit, purge_audi
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
 from lethe.operators.events import expired_keys, expired_row_counts, mask_where
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
-from lethe.plans.partitions import event_source_partitions, mask_partitions, purge_partitions
+from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
 from lethe.sinks.catalog import drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
 from lethe.sources.readers import in_partitions, load, load_columns, string_partitions
@@ -25,7 +25,6 @@ from lethe.specs import InputSpec, OutputSpec, Run, TablePlan
 
 logger = logging.getLogger(__name__)
 
-TEXT_FORMATS = ("csv", "csvWithoutHeader", "json")
 
 
 @dataclass
@@ -88,8 +87,8 @@ def _written_rows(
         header=output.header and output.format != "csvWithoutHeader",
         partition_column=column,
         partition_values=tuple(partitions),
-        # Texts would be read once more to infer what is known here.
-        schema=masked.schema if output.format in TEXT_FORMATS else None,
+        # Known here, so nothing has to be read to infer it.
+        schema=masked.schema,
     )
     return _partition_rows(load(spark, source), column)
 
@@ -127,8 +126,7 @@ def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
 
 
 def _before_month(spark: SparkSession, run: Run, keep_months: int) -> str:
-    limit = F.date_format(F.add_months(F.lit(run.run_date), -keep_months), EVENT_MONTH_FORMAT)
-    return spark.range(1).select(limit.alias("month")).head().month
+    return constant(spark, F.date_format(F.add_months(F.lit(run.run_date), -keep_months), EVENT_MONTH_FORMAT))
 
 
 def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:

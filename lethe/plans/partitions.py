@@ -10,9 +10,14 @@ from lethe.operators.configuration import TABLE_KEY
 from lethe.specs import EventClock, Run, TablePlan
 
 
+def constant(spark: SparkSession, value: Column):
+    """Value of an expression without inputs; the optimizer folds it, so no job runs."""
+    return spark.sql("VALUES (0)").select(value.alias("value")).head().value
+
+
 def _values(spark: SparkSession, values: Column) -> list[str]:
     # A calendar list: its length is the number of days since the stock start at most.
-    return list(spark.range(1).select(values.alias("values")).head().values)
+    return list(constant(spark, values))
 
 
 def mask_partitions(spark: SparkSession, plan: TablePlan, run: Run) -> list[str]:
