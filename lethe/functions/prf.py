@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from lethe.functions.text import let
 
-HASH_DIGITS = 64
 SLICE_DIGITS = 15
 SLICES = 4
 # The last digits of a hash belong to no slice.

@@ -18,6 +18,7 @@ from lethe.operators.configuration import EXECUTION_TRIGGER, plans
 from lethe.operators.events import expired_keys, expired_row_counts, mask_where
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
+from lethe.scratch import checkpointed
 from lethe.sinks.catalog import drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
 from lethe.sources.readers import in_partitions, load, load_columns, string_partitions
@@ -25,6 +26,9 @@ from lethe.specs import InputSpec, OutputSpec, Run, TablePlan
 
 logger = logging.getLogger(__name__)
 
+# Keys are broadcast up to this estimate of their size in memory.
+BROADCAST_BYTES = 64 * 2**20
+_BYTES_PER_KEY = 64
 
 
 @dataclass
@@ -93,7 +97,9 @@ def _written_rows(
     return _partition_rows(load(spark, source), column)
 
 
-def _save_checked(spark: SparkSession, plan: TablePlan, masked: DataFrame, expected: dict[str, int]) -> int:
+def _save_checked(
+    spark: SparkSession, plan: TablePlan, masked: DataFrame, expected: dict[str, int]
+) -> int:
     """Write, then compare the rows of every partition with what was read.
 
     A difference stops the run, so that no original is purged after a bad write.
@@ -129,11 +135,21 @@ def _before_month(spark: SparkSession, run: Run, keep_months: int) -> str:
     return constant(spark, F.date_format(F.add_months(F.lit(run.run_date), -keep_months), EVENT_MONTH_FORMAT))
 
 
+def _fits_broadcast(keys: DataFrame, key: str) -> bool:
+    """Are the keys known to be small enough to go to every executor?"""
+    size = keys.agg(
+        F.coalesce(F.sum(F.octet_length(F.col(column_path(key)).cast("string")) + _BYTES_PER_KEY), F.lit(0)).alias("b")
+    )
+    return size.head().b <= BROADCAST_BYTES
+
+
 def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the rows of persons whose event lies before run month - keep.
 
     The partitions in which such persons have rows are rewritten as a whole, with
-    the rows of other persons unchanged.
+    the rows of other persons unchanged. Few keys are broadcast, so that the rows
+    stay where they are; with many keys the join deals the rows out by person, and
+    they are gathered by partition again before the write.
     """
     _check_plan(plan)
     start = datetime.now()
@@ -145,6 +161,11 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
     keys = expired_keys(
         events, key, clock.process_column, clock.process_format, _before_month(spark, run, plan.keep_months)
     )
+    keys = checkpointed(keys)
+    if _fits_broadcast(keys, key):
+        keys = F.broadcast(keys)
+    elif plan.output.partition_column:
+        plan = replace(plan, output=replace(plan.output, rebalance=True))
     everything = load(spark, plan.source)
     column = plan.source.partition_column
     # One row per partition of the table.

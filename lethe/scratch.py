@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_base: str | None = None
 
@@ -35,3 +35,11 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{scratch_path(spark, name)}'")
     return name
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute once and keep in the checkpoint folder, safe from lost executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_base(df.sparkSession))
+    return df.checkpoint()

@@ -15,7 +15,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Hash keys of columns are literals of the plan: keep them out of the web page and the event log.
+    # Checkpoints hold keys of persons: remove them when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Hash keys of columns are literals of the plan: keep them out of printed plans.
     "spark.sql.redaction.string.regex": DERIVED_KEY_PATTERN,
 }
 
@@ -41,9 +43,12 @@ def masking_key(spark: SparkSession, setting: str = KEY_SETTING) -> str:
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """Change one session setting for the length of a block."""
-    before = spark.conf.get(name)
+    before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

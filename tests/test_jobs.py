@@ -91,7 +91,9 @@ def event_plan(spark, data, path, events, frequency="mois"):
     return plan_for(data, path, trigger="leaving", keep_months=6, clock=clock)
 
 
-def test_event_clock(spark, data, path):
+@pytest.mark.parametrize("most", [jobs.BROADCAST_BYTES, 0])
+def test_event_clock(spark, data, path, monkeypatch, most):
+    monkeypatch.setattr(jobs, "BROADCAST_BYTES", most)
     events = spark.createDataFrame(
         [("p0", "19990815", "200002"), ("p0", "19990815", "200002"), ("p0", "20000101", "200002"),
          ("p1", "19990901", "200002"), ("p2", "19990101", "199912"), ("p9", "19990101", "200002")],

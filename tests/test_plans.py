@@ -8,9 +8,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from lethe.functions import prf
 from lethe.operators.events import mask_where
 from lethe.operators.masking import METHODS, MaskContext, apply_rules
 from lethe.operators.readiness import latest_partition, scan_window
+from lethe.scratch import checkpointed
+from lethe.session import KEY_SETTING, RECOMMENDED, masking_key, recommended, setting
 from lethe.sources import load, load_columns
 from lethe.specs import InputSpec, Rule
 
@@ -63,6 +66,31 @@ def test_permutation_shuffles_once(spark, data):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 1 and "Join" not in text
 
 
+def test_few_keys_leave_the_rows_where_they_are(spark, data):
+    rows = load(spark, InputSpec("parquet", data))
+    keys = F.broadcast(checkpointed(rows.select("id").where("id < 5").distinct()))
+    text = plan(mask_where(rows, keys, "id", [Rule("v", "id")], CONTEXT))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_printed_plans_hide_derived_keys(spark, data):
+    masked = apply_rules(load(spark, InputSpec("parquet", data)), [Rule("v", "id")], CONTEXT)
+    derived = prf.column_key("k", "v")
+    assert derived in masked._jdf.queryExecution().toString()
+    with setting(spark, "spark.sql.redaction.string.regex", RECOMMENDED["spark.sql.redaction.string.regex"]):
+        assert derived not in masked._jdf.queryExecution().toString()
+
+
+def test_session_helpers(spark):
+    builder = recommended(type(spark).builder.appName("x"))
+    assert builder._options["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    with pytest.raises(ValueError, match="secret"):
+        masking_key(spark)
+    with setting(spark, KEY_SETTING, "hidden"):
+        assert masking_key(spark) == "hidden"
+    assert spark.conf.get(KEY_SETTING, None) is None
+
+
 def test_no_cross_joins(spark, data):
     rows = load(spark, InputSpec("parquet", data))
     masked = plan(mask_where(rows, rows.select("id").limit(5), "id", [Rule("v", "id")], CONTEXT))

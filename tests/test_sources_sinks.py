@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from lethe.scratch import scratch_database, scratch_path
 from lethe.sinks import PartitionError, add_partition, convert, drop_partition, drop_partitions, save
