@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.files import month_table
+from checks.masks import number, seed
 from lethe.operators import audit, events
 from lethe.operators.configuration import plan_rows, rules_for, tables
 from lethe.operators.masking import apply_rules
@@ -189,6 +190,20 @@ def mask_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.mask_where(orders, keys(spark, sf_dir), "o_custkey", EVENT_RULES, fx.context("o_orderkey"))
 
 
+@query("mask_event_permuted", f"""
+  WITH o AS (SELECT o_orderkey, o_orderpriority, o_custkey IN ({fx.EXPIRED_DUCK}) AS e FROM orders)
+  SELECT o_orderkey, coalesce(lead(o_orderpriority) OVER w, first_value(o_orderpriority) OVER
+      (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS o_orderpriority
+  FROM o WHERE e WINDOW w AS (ORDER BY {number(seed('o_orderpriority', 'o_orderkey'), 1, 15)}, o_orderkey)
+  UNION ALL SELECT o_orderkey, o_orderpriority FROM o WHERE NOT e""")
+def mask_event_permuted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values permuted among the rows of expired persons only."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    rules = [Rule("o_orderpriority", "keepDistribution")]
+    masked = events.mask_where(orders, keys(spark, sf_dir), "o_custkey", rules, fx.context("o_orderkey"))
+    return masked.select("o_orderkey", "o_orderpriority")
+
+
 @query("mask_union", MASKED_BY_EVENT)
 def mask_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked expired rows and untouched rows put together again."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lethe.functions.calendar import event_month
 from lethe.identifiers import column_path
-from lethe.operators.masking import PERMUTATION, MaskContext, masked_columns
+from lethe.operators.masking import MaskContext, masked_columns, permuted
 from lethe.specs import Rule
 
 _FLAG = "__expired"
@@ -70,10 +70,9 @@ def mask_where(df: DataFrame, keys: DataFrame, key: str, rules: Sequence[Rule],
     """Mask the rows of the given keys and keep the others, in one pass.
 
     A left join against distinct keys adds no rows; adaptive execution splits the
-    partitions of hot keys or broadcasts the keys when they are few.
+    partitions of hot keys or broadcasts the keys when they are few. A permutation
+    moves values among the masked rows only.
     """
-    if any(rule.method == PERMUTATION for rule in rules):
-        raise ValueError("a permutation cannot be limited to some rows of a table")
     for c in (_FLAG, _KEY):
         if c in df.columns:
             raise ValueError(f"reserved column name {c}")
@@ -81,6 +80,7 @@ def mask_where(df: DataFrame, keys: DataFrame, key: str, rules: Sequence[Rule],
     wanted = keys.select(F.col(column_path(key)).alias(_KEY)).distinct().withColumn(_FLAG, F.lit(True))
     flagged = df.join(wanted, F.col(column_path(key)) == F.col(_KEY), "left")
     masked = masked_columns(df, rules, context)
+    flagged = permuted(flagged, rules, context, F.col(_FLAG))
     types = {f.name: f.dataType for f in df.schema}
 
     def column(c: str):

@@ -178,18 +178,26 @@ def masked_columns(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -
     return {c: masked_column(df, c, column_rules, context) for c, column_rules in by_column.items()}
 
 
+def permuted(
+    df: DataFrame, rules: Sequence[Rule], context: MaskContext, where: Column | None = None
+) -> DataFrame:
+    """The permutations among the rules, over all rows or those that meet a condition."""
+    for rule in rules:
+        if rule.method == PERMUTATION:
+            if not context.row_key:
+                raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")
+            key = prf.column_key(context.key, rule.column)
+            df = permute(df, rule.column, key, context.row_key, context.rows, where)
+    return df
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -> DataFrame:
     """Mask a table: one projection for all row masks.
 
     Permutations need a shuffle and run first, while the row key is unmasked.
     """
     _check(df, rules)
-    for rule in rules:
-        if rule.method == PERMUTATION:
-            if not context.row_key:
-                raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")
-            key = prf.column_key(context.key, rule.column)
-            df = permute(df, rule.column, key, context.row_key, context.rows)
+    df = permuted(df, rules, context)
     masked = masked_columns(df, rules, context)
     if not masked:
         return df

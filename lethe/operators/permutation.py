@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -29,7 +29,12 @@ def bucket_digits(rows: int) -> int:
 
 
 def permute(
-    df: DataFrame, column: str, derived_key: str, row_key: Sequence[str], rows: int | None = None
+    df: DataFrame,
+    column: str,
+    derived_key: str,
+    row_key: Sequence[str],
+    rows: int | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """Give each row the value of the next row in keyed hash order of the row key.
 
@@ -41,20 +46,22 @@ def permute(
     whatever the values are. The row key has to identify the rows: rows with equal
     keys land in one bucket. The rows are shuffled once, and the result is the
     same on every retry and under any partitioning. ``rows`` is the row count if
-    it is known; otherwise the rows are counted first.
+    it is known; otherwise the rows are counted first. With ``where`` the values
+    move among the rows that meet it, and the other rows stay as they are.
     """
     source = F.col(column_path(column))
+    taking_part = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     if isinstance(df.schema[column].dataType, StringType):
-        df = df.withColumn(column, null_words(source))
+        df = df.withColumn(column, F.when(taking_part, null_words(source)).otherwise(source))
     keys = [F.col(column_path(k)) for k in row_key]
     seed = prf.seed(derived_key, keys)
     digits = bucket_digits(df.count() if rows is None else rows)
-    bucket = F.concat(
-        F.when(source.isNull(), F.lit("-")).otherwise(F.lit("+")), F.substring(seed, _BUCKET_START, digits)
-    )
+    taking_part = taking_part & source.isNotNull()
+    bucket = F.concat(F.when(taking_part, "+").otherwise("-"), F.substring(seed, _BUCKET_START, digits))
     dealt = df.withColumns({_ORDER: prf.number(seed, 1, _ORDER_DIGITS), _BUCKET: bucket})
-    # Rows without a value need no order among themselves, only a bucket of their own.
+    # The other rows need no order, only buckets of their own.
     inside = Window.partitionBy(_BUCKET).orderBy(_ORDER, *keys, source)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = F.coalesce(F.lead(source).over(inside), F.first(source).over(whole)).alias(column)
+    next_value = F.coalesce(F.lead(source).over(inside), F.first(source).over(whole))
+    moved = F.when(taking_part, next_value).otherwise(source).alias(column)
     return dealt.select(*[moved if c == column else F.col(column_path(c)) for c in df.columns])

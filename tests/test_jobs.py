@@ -124,8 +124,21 @@ def test_mask_where_with_a_hot_person_and_repeated_keys(spark):
     assert got == {(True, "XX"): 4002, (False, "s e"): 1998}
     expired, kept = split_by_keys(twice, keys, "person")
     assert (expired.count(), kept.count()) == (4002, 1998)
-    with pytest.raises(ValueError, match="permutation"):
-        mask_where(twice, keys, "person", [Rule("v", "keepDistribution")], MaskContext("k", ("id",)))
+
+
+def test_permutation_among_the_expired_rows(spark):
+    data = spark.createDataFrame(
+        [(i, f"p{i % 4}", None if i % 11 == 0 else ("null" if i % 13 == 0 else f"v{i}")) for i in range(400)],
+        "id int, person string, v string",
+    )
+    keys = spark.createDataFrame([("p1",), ("p2",)], "person string")
+    out = mask_where(data, keys, "person", [Rule("v", "keepDistribution")], MaskContext("k", ("id",)))
+    before, after = ({r.id: r for r in df.collect()} for df in (data, out))
+    expired = [i for i, r in before.items() if r.person in ("p1", "p2")]
+    clean = {i: None if before[i].v == "null" else before[i].v for i in expired}
+    assert all(after[i] == r for i, r in before.items() if i not in clean)
+    assert Counter(after[i].v for i in expired) == Counter(clean.values())
+    assert all((after[i].v is None) == (v is None) and (v is None or after[i].v != v) for i, v in clean.items())
 
 
 def test_expired_keys_are_distinct(spark):
