@@ -42,7 +42,9 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     fx.plain_orders(spark, sf_dir).write.option("header", True).csv(path)
-    return load(spark, InputSpec("csv", path))
+    # Small keys are inferred as int.
+    keys = {c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")}
+    return load(spark, InputSpec("csv", path)).withColumns(keys)
 
 
 @query(

@@ -354,8 +354,8 @@ def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM o WHERE dt < '199606'
   UNION ALL SELECT 'mask', 'lines_by_month', 'l_extendedprice', 'null', 17, count(*), count(*)
   FROM lineitem WHERE strftime(l_shipdate, '%Y%m') < '199606'
-  UNION ALL SELECT 'mask', 'people_orders', 'o_orderpriority', '0Replace', count(DISTINCT dt), count(*), count(*) FROM e
-  UNION ALL SELECT 'purge', 'orders_by_month', 'o_orderpriority,o_totalprice', NULL, count(DISTINCT dt), count(*), 0
+  UNION ALL SELECT 'mask', 'people_orders', 'o_orderpriority', '0Replace', CAST(count(DISTINCT dt) AS INT), count(*), count(*) FROM e
+  UNION ALL SELECT 'purge', 'orders_by_month', 'o_orderpriority,o_totalprice', NULL, CAST(count(DISTINCT dt) AS INT), count(*), 0
   FROM o WHERE dt < '199601'""")
 def job_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run over a configuration; its saved audits of both kinds."""

@@ -96,8 +96,10 @@ def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
     point = F.instr(mantissa, ".")
     whole = F.when(point > 0, point - 1).otherwise(length) - sign
     first = F.substring(drawn, 1, 1)
-    lost = (F.substring(mantissa, sign + 1, F.lit(1)) != "0") & (first == "0")
-    head = F.substring(mantissa, F.lit(1), sign)
+    was_first = F.substring(mantissa, sign + 1, F.lit(1))
+    lost = (was_first != "0") & (first == "0")
+    # Null for NaN and the infinities, which have no digits.
+    head = F.when(was_first.between("0", "9"), F.substring(mantissa, F.lit(1), sign))
     tail = F.concat(
         F.substring(drawn, F.lit(2), whole - 1),
         F.when(point > 0, ".").otherwise(""),
@@ -107,7 +109,10 @@ def numeric(value: Column, dtype: DataType, derived_key: str) -> Column:
     masked = F.concat(head, F.when(lost, _lead_digit(derived_key, text)).otherwise(first), tail)
     small = "10" if isinstance(dtype, ByteType) else "1"
     fitted = F.concat(head, F.lit(small), F.substring(tail, F.lit(len(small)), F.length(tail)))
-    return F.coalesce(masked.try_cast(dtype), fitted.try_cast(dtype))
+    choices = [masked.try_cast(dtype), fitted.try_cast(dtype)]
+    if isinstance(dtype, FloatType | DoubleType):
+        choices.append(F.when(F.isnan(value) | F.abs(value).cast("string").eqNullSafe("Infinity"), value))
+    return F.coalesce(*choices)
 
 
 def mod_97(text: Column) -> Column:

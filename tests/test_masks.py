@@ -82,6 +82,12 @@ def test_numeric_keeps_sign_type_and_digit_count(spark, kind, values):
                 assert len(whole[0]) == len(whole[1]) and whole[1][0] != "0"
 
 
+def test_numeric_leaves_what_has_no_digits(spark):
+    values = [float("nan"), float("inf"), float("-inf"), None]
+    for kind in ("double", "float"):
+        assert [str(v) for v in masked(spark, values, "numeric", kind=kind)] == ["nan", "inf", "-inf", "None"]
+
+
 def test_numeric_text(spark):
     values = ["0042", "-12.50 EUR", "9", None, "abc", "x1"]
     out = masked(spark, values, "numeric")
