@@ -106,4 +106,5 @@ def _plan(row: Row) -> TablePlan:
 
 def plans(config: DataFrame) -> list[TablePlan]:
     """Table plans on the driver: one row per table of the configuration."""
-    return [_plan(row) for row in plan_rows(config).orderBy(*TABLE_KEY).collect()]
+    rows = plan_rows(config).collect()
+    return [_plan(row) for row in sorted(rows, key=lambda r: (r.base, r.table_name))]
