@@ -118,3 +118,23 @@ def test_row_masks_work_on_a_stream(spark, data, path):
     expected = apply_rules(batch, rules, CONTEXT)
     got = spark.read.schema(batch.schema).parquet(path("out"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_a_hot_person_is_split_over_tasks(spark):
+    """Half of all rows belong to one person; the shuffled join does not leave them to one task."""
+    hot = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id"))
+    rows = spark.range(0, 400_000, 1, 8).select(hot.alias("person"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    keys = spark.range(0, 100_000).select(F.col("id").alias("person"))
+    with (
+        setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1MB"),
+        setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB"),
+        setting(spark, "spark.sql.shuffle.partitions", "16"),
+    ):
+        masked = mask_where(rows, keys, "person", [Rule("v", "XReplace")], CONTEXT)
+        counts = masked.groupBy(F.col("v").startswith("X").alias("masked")).count()
+        got = {r.masked: r["count"] for r in counts.collect()}
+        text = plan(counts)
+    assert got == {True: 200_000 + 50_000, False: 150_000}
+    assert "SortMergeJoin(skew=true)" in text
