@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import wavelet
+from lethe.llm import decontaminate, simhash, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -17,7 +17,41 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.digests(wavelet.read(spark, path))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(
+        decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(simhash.assign(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_wavelet": op1_wavelet,
+    "op3_decontaminate": op3_decontaminate,
+    "op10_simhash": op10_simhash,
+}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": rf"""
+        WITH words AS (
+          SELECT doc_id AS id, false AS item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+          UNION ALL
+          SELECT item_id, true, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+        widths AS (SELECT DISTINCT least(len(w), 10) AS n FROM words WHERE item AND len(w) > 0),
+        windows AS (
+          SELECT id, item, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+          FROM words, widths, unnest(range(1, len(w) - n + 2)) AS t(i)
+          WHERE NOT item OR n = least(len(w), 10)),
+        hits AS (
+          SELECT DISTINCT d.id AS doc_id, d.i, d.n, b.id AS item_id
+          FROM windows d JOIN windows b ON d.words = b.words AND d.n = b.n AND b.item AND NOT d.item),
+        hit_words AS (SELECT doc_id, count(DISTINCT p) AS n FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+        items AS (
+          SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+        SELECT id AS doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+          sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+        FROM words LEFT JOIN hit_words h ON h.doc_id = id LEFT JOIN items t ON t.doc_id = id WHERE NOT item""",
 }
-ORACLES: dict[str, str] = {}
