@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, simhash, wavelet
+from lethe.llm import decontaminate, simhash, toxicity, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -22,6 +22,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.digests(toxicity.classify(docs, labels))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.assign(table(spark, sf_dir, "documents")))
 
@@ -29,6 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_wavelet": op1_wavelet,
     "op3_decontaminate": op3_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op10_simhash": op10_simhash,
 }
 
