@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, simhash, toxicity, wavelet
+from lethe.llm import decontaminate, linededup, packing, simhash, toxicity, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -17,6 +17,10 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.digests(wavelet.read(spark, path))
 
 
+def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digests(linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(
         decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
@@ -27,19 +31,46 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(toxicity.classify(docs, labels))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.run(table(spark, sf_dir, "documents"), default_vocabulary())
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.assign(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
     "op1_wavelet": op1_wavelet,
+    "op2_linededup": op2_linededup,
     "op3_decontaminate": op3_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
+    "op2_linededup": r"""
+        WITH lines AS (
+          SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+          FROM documents),
+        filled AS (
+          SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following
+          FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+        hits AS (
+          SELECT *, following IS NOT NULL AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, k) > 1 AS again FROM filled),
+        covered AS (SELECT *, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone FROM hits),
+        runs AS (
+          SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM covered),
+        merged AS (
+          SELECT lines.*, coalesce(gone, false) AS gone, coalesce(begins, false) AS begins
+          FROM lines LEFT JOIN runs USING (doc_id, pos))
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(g, 0)::BIGINT AS n_deleted, coalesce(r, 0)::BIGINT AS n_runs,
+          sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN (
+          SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS g, count(*) FILTER (begins) AS r,
+            string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept
+          FROM merged GROUP BY doc_id) USING (doc_id)""",
     "op3_decontaminate": rf"""
         WITH words AS (
           SELECT doc_id AS id, false AS item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

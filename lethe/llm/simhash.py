@@ -25,8 +25,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lethe.llm.common import components, lowered, slices, spans, stored, text_bytes
 
@@ -168,3 +169,31 @@ def assign(docs: DataFrame) -> DataFrame:
 
 def digests(assigned: DataFrame) -> DataFrame:
     return assigned.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's; a repeated row once.
+
+    Rows without id stay if no row of their component has one.
+    """
+    assigned = stored(assign(docs), "components")
+    heads = assigned.where("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
+    kept = heads.distinct()
+    stays = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    if kept.count() < heads.count():  # some id occurs in several rows
+        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        stays = stays.withColumn("_place", place).where("_place = 1").drop("_place")
+    if not assigned.where("doc_id IS NULL AND component_id IS NULL").limit(1).count():
+        return stays
+    marks = assigned.where("component_id IS NULL").select("fp").distinct()
+    nameless = docs.where("doc_id IS NULL")
+    return stays.union(_with_fingerprint(nameless).join(marks, F.col("_fp") == F.col("fp"), "left_semi").drop("_fp"))
+
+
+def _with_fingerprint(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "_fp"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
