@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, linededup, packing, simhash, toxicity, wavelet
+from lethe.llm import decontaminate, linededup, packing, qualityrules, secretscan, simhash, toxicity, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -26,6 +26,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_secretscan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ledger = table(spark, sf_dir, "documents"), secretscan.Ledger(spark, scratch_path(spark, "ledger"))
+    secretscan.update(docs, ledger)
+    return secretscan.digests(secretscan.findings(docs, ledger))
+
+
+def op6_qualityrules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.digests(qualityrules.run(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.digests(toxicity.classify(docs, labels))
@@ -43,7 +53,9 @@ QUERIES = {
     "op1_wavelet": op1_wavelet,
     "op2_linededup": op2_linededup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_secretscan": op4_secretscan,
     "op5_toxicity": op5_toxicity,
+    "op6_qualityrules": op6_qualityrules,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
