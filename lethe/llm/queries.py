@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, linededup, packing, qualityrules, secretscan, simhash, toxicity, wavelet
+from lethe.llm import decontaminate, linededup, packing, qualityrules, secretscan, simhash, suffixdedup, toxicity, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -41,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(toxicity.classify(docs, labels))
 
 
+def op8_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digests(suffixdedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.run(table(spark, sf_dir, "documents"), default_vocabulary())
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op4_secretscan": op4_secretscan,
     "op5_toxicity": op5_toxicity,
     "op6_qualityrules": op6_qualityrules,
+    "op8_suffixdedup": op8_suffixdedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
