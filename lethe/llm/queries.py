@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, linededup, packing, qualityrules, secretscan, simhash, suffixdedup, toxicity, wavelet
+from lethe.llm import decontaminate, edittokens, linededup, packing, qualityrules, secretscan, simhash, suffixdedup, toxicity, wavelet
 from lethe.llm.common import stored, table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -41,6 +41,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(toxicity.classify(docs, labels))
 
 
+def op7_edittokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count every document, replace each number of four digits or more, and count again by the edits."""
+    trees = edittokens.build(table(spark, sf_dir, "documents").select("doc_id", "text"), default_vocabulary())
+    before = trees.withColumn("n_tokens_before", F.col("n_tokens"))
+    after = edittokens.apply(edittokens.replacing(before, "[0-9]{4,}", "<num>"), default_vocabulary())
+    return after.select("doc_id", "n_tokens_before", "n_edits", "n_reencoded", F.col("n_tokens").alias("n_tokens_after"), F.size("leaves").alias("n_leaves"))
+
+
 def op8_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.digests(suffixdedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -60,6 +68,7 @@ QUERIES = {
     "op4_secretscan": op4_secretscan,
     "op5_toxicity": op5_toxicity,
     "op6_qualityrules": op6_qualityrules,
+    "op7_edittokens": op7_edittokens,
     "op8_suffixdedup": op8_suffixdedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
