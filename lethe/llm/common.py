@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lethe.scratch import scratch_path
 
 #: Bytes of text that one vector step works on.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -41,6 +41,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{name}`") for name in df.columns if name.lower() not in taken))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name, made longer until no column of ``df`` has it."""
+    taken, out = {name.lower() for name in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` has at most ``size`` bytes in each, or one row."""
     for batch in batches:
@@ -89,7 +100,7 @@ def _power_table(base: int, n: int) -> np.ndarray:
             step = min(done, size - done)
             found[done : done + step] = found[:step] * np.uint64(pow(base, done, 1 << 64))
             done += step
-        if n <= 4 * SLICE_BYTES:
+        if n <= 1 << 22:
             _powers[base] = found
     return found
 

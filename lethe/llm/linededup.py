@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import stored, without
+from lethe.llm.common import fresh, stored, without
 
 MIN_LINES = 2
 _DOC = ("doc_id", "_th")
@@ -116,16 +116,17 @@ def deletions(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
 def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with the later copies cut out of ``text``, and n_lines, n_deleted, n_runs."""
     found = deletions(docs, min_lines=min_lines)
-    docs = without(docs, *RESULT, "_th", "_gone", "_runs").withColumn("_th", _text_hash())
-    joined = docs.join(
-        found.withColumnRenamed("doc_id", "_id").withColumnRenamed("_th", "_h"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")), "left").drop("_th", "_h", "_id")
-    kept = [f for f in docs.schema.fields if f.name != "_th"]
+    docs = without(docs, *RESULT)
+    th, id_, h, gone_, runs = fresh(docs, "_th", "_id", "_h", "_gone", "_runs")
+    found = found.withColumnsRenamed({"doc_id": id_, "_th": h, "_gone": gone_, "_runs": runs})
+    joined = docs.withColumn(th, _text_hash()).join(
+        found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(th) == F.col(h)), "left").drop(th, h, id_)
+    kept = list(docs.schema.fields)
     schema = T.StructType(kept + [T.StructField(k, T.LongType()) for k in RESULT])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone = batch.column("text").to_pylist(), batch.column("_gone").to_pylist()
+            texts, gone = batch.column("text").to_pylist(), batch.column(gone_).to_pylist()
             counts = np.zeros((3, batch.num_rows), np.int64)
             for i, text in enumerate(texts):
                 lines = [] if text is None else text.split("\n")
@@ -133,7 +134,7 @@ def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
                 if gone[i]:
                     out = set(gone[i])
                     texts[i] = "\n".join(x for k, x in enumerate(lines) if k not in out)
-                    counts[1:, i] = len(out), batch.column("_runs")[i].as_py()
+                    counts[1:, i] = len(out), batch.column(runs)[i].as_py()
             columns = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, counts)], schema.fieldNames())
 

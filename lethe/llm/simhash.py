@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import components, lowered, slices, spans, stored, text_bytes
+from lethe.llm.common import components, fresh, lowered, slices, spans, stored, text_bytes
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -179,21 +179,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     assigned = stored(assign(docs), "components")
     heads = assigned.where("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
     kept = heads.distinct()
-    stays = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    stays = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
     if kept.count() < heads.count():  # some id occurs in several rows
         place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        stays = stays.withColumn("_place", place).where("_place = 1").drop("_place")
+        (number,) = fresh(docs, "_place")
+        stays = stays.withColumn(number, place).where(F.col(number) == 1).drop(number)
     if not assigned.where("doc_id IS NULL AND component_id IS NULL").limit(1).count():
         return stays
     marks = assigned.where("component_id IS NULL").select("fp").distinct()
     nameless = docs.where("doc_id IS NULL")
-    return stays.union(_with_fingerprint(nameless).join(marks, F.col("_fp") == F.col("fp"), "left_semi").drop("_fp"))
+    (name,) = fresh(docs, "_fp")
+    marked = _with_fingerprint(nameless, name)
+    return stays.union(marked.join(marks, marked[name] == marks["fp"], "left_semi").drop(name))
 
 
-def _with_fingerprint(docs: DataFrame) -> DataFrame:
+def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lethe.llm import induced
-from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, mixed, slices, span_hashes, spans, text_bytes, without
+from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, fresh, mixed, slices, span_hashes, spans, text_bytes, without
 
 LENGTH, ANCHOR = 100, 20
 #: Shards for each shuffle partition; a shard is held by one task while its text is sorted.
@@ -114,7 +114,7 @@ def _cut(shards: int, length: int, anchor: int):
     """Rows (shard, blob) of segments to compare, and with shard -1 the repeats known already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=2 << 20):  # more text finds more copies in the task
             data, offsets = text_bytes(batch.column("text"))
             ids, th = (batch.column(k).to_numpy() for k in ("doc_id", "th"))
             doc, first, last, place = segments(data, offsets, length, anchor)
@@ -238,9 +238,11 @@ def dedup(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> Dat
     """``docs`` less the text, with n_bytes, n_removed, n_spans and the bytes that stay."""
     found = marks(docs, length=length, anchor=anchor).groupBy("doc_id", "th").agg(
         F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
-    docs = without(docs, *RESULT, "_first", "_last", "_key", "_th")
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("_th", F.xxhash64(F.lit(7), "text"))
-    joined = keyed.join(found.withColumnsRenamed({"doc_id": "_id", "th": "_t"}), (F.col("_key") == F.col("_id")) & (F.col("_th") == F.col("_t")), "left").drop("_key", "_th", "_id", "_t")
+    docs = without(docs, *RESULT)
+    key, th, id_, h, low_, high_ = fresh(docs, "_key", "_th", "_id", "_h", "_first", "_last")
+    found = found.withColumnsRenamed({"doc_id": id_, "th": h, "_first": low_, "_last": high_})
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn(th, F.xxhash64(F.lit(7), "text"))
+    joined = keyed.join(found, (F.col(key) == F.col(id_)) & (F.col(th) == F.col(h)), "left").drop(key, th, id_, h)
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType(kept + [T.StructField(k, T._parse_datatype_string(v)) for k, v in RESULT.items()])
 
@@ -248,9 +250,9 @@ def dedup(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> Dat
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column("text"))
             change = np.zeros(len(data) + 1, np.int32)
-            for i in np.flatnonzero(batch.column("_first").is_valid().to_numpy(zero_copy_only=False)).tolist():
-                low = batch.column("_first")[i].values.to_numpy()
-                high = batch.column("_last")[i].values.to_numpy()
+            for i in np.flatnonzero(batch.column(low_).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                low = batch.column(low_)[i].values.to_numpy()
+                high = batch.column(high_)[i].values.to_numpy()
                 np.add.at(change, offsets[i] + low, 1)
                 np.add.at(change, offsets[i] + high + length, -1)
             gone = np.cumsum(change[:-1]) > 0

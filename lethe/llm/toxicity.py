@@ -12,7 +12,8 @@ language gets the threshold with the best F1. Both use histograms, a row for eac
 answer bin. The score itself depends on the text alone.
 
 Nulls: a null text is empty and scored like one; label rows without id or label are left out;
-a document with several label rows is toxic if one says so. A null or rare language has
+a document with several label rows is toxic if one says so. Texts without words
+have the least answer of the training. A null or rare language has
 the threshold of all. Repeated documents are each scored. Without labels of both kinds every
 score is 0. Further columns pass through ``score``; result columns replace their namesakes.
 """
@@ -31,11 +32,11 @@ from pyspark.sql import types as T
 from lethe.llm.common import lowered, slices, span_hashes, spans, stored, text_bytes, without
 
 WIDTHS = (1, 2, 3)
-SIZE, FILTERS = 8, 12
+SIZE, FILTERS = 8, 16
 WORD_BITS, STEM_BITS, STEM_BYTES = 16, 14, 4
 #: Rows of either label, and words in all, that the training sees at most.
 SAMPLE, SAMPLE_WORDS = 2500, 6_000_000
-EPOCHS, BATCH = 8, 64
+EPOCHS, BATCH = 8, 32
 BINS, RARE = 400, 25
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -51,6 +52,7 @@ class Model:
     bias: np.ndarray
     out: np.ndarray
     out_bias: float = 0.0
+    least: float = 0.0  # the answer to a text without words
     curve: tuple[float, float] = (1.0, 0.0)
     threshold: float = 0.5
     thresholds: dict[str, float] = field(default_factory=dict)
@@ -96,7 +98,8 @@ def answer(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The raw answer for each text, before the curve."""
     word, stem, begin = features(data, offsets)
     _, pooled, _ = _forward(model, word, stem, begin)
-    return np.maximum(pooled, 0) @ model.out + model.out_bias
+    found = np.maximum(pooled, 0) @ model.out + model.out_bias
+    return np.where(word[begin[:-1]] == 0, model.least, found)
 
 
 def train(texts: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, seed: int = 7) -> Model:
@@ -158,6 +161,9 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, seed: i
             step(5, back.sum(axis=0))
             step(6, error @ shown)
             model.out_bias -= rate * float(error.sum())
+    for word, stem in texts:
+        _, pooled, _ = _forward(model, word, stem, np.array([0, len(word)]))
+        model.least = min(model.least, float((np.maximum(pooled, 0) @ model.out)[0] + model.out_bias))
     return model
 
 
@@ -236,9 +242,11 @@ def calibrate(model: Model, answered: DataFrame, labels: DataFrame) -> Model:
 
 
 def _best_cut(counts: np.ndarray) -> int:
-    """The bin from which on calling all toxic has the best F1."""
+    """The bin from which on calling all toxic has the best F1; of a run of such bins the middle one."""
     hit, false = (np.cumsum(c[::-1])[::-1] for c in (counts[1], counts[0]))
-    return int(np.argmax(2 * hit / np.maximum(hit + false + counts[1].sum(), 1)))
+    f1 = 2 * hit / np.maximum(hit + false + counts[1].sum(), 1)
+    best = np.flatnonzero(f1 >= f1.max() - 1e-12)
+    return int(best[(len(best) - 1) // 2])
 
 
 def _curve(x: np.ndarray, counts: np.ndarray) -> tuple[float, float]:

@@ -1,0 +1,108 @@
+"""Every stage of the pipeline on its own input, against brute force."""
+
+from __future__ import annotations
+
+import importlib.util
+import random
+import sys
+from collections import defaultdict
+from pathlib import Path
+
+import pytest
+
+import corpus_pipeline
+from lethe.llm import simhash
+from lethe.llm.tokens import default_vocabulary, encoder
+
+sys.path.insert(0, str(Path(__file__).parent))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _brute(name):
+    spec = importlib.util.spec_from_file_location(name, Path(__file__).parent / f"{name}.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    rng = random.Random(12)
+    folder = str(tmp_path_factory.mktemp("tables"))
+    words = ["stone", "river", "of", "the", "blue", "walk", "ton", "éa"]
+    sentence = lambda n: " ".join(rng.choice(words) + str(rng.randrange(40)) for _ in range(n))
+    items = [(k, sentence(14)) for k in range(4)]
+    rows, labels = [], []
+    for k in range(420):
+        lines = [sentence(rng.randint(3, 30)) for _ in range(rng.randint(1, 6))]
+        toxic = rng.random() < 0.2
+        if toxic:
+            lines[0] += " scum idiot"
+        if rng.random() < 0.2 and rows:
+            lines = [x for x in rng.choice(rows)[1].split("\n")][:3] + lines[:1]
+        if rng.random() < 0.1:
+            lines[-1] += " " + rng.choice(items)[1].upper()
+        rows.append((k, "\n".join(lines), rng.choice(["en", "de"]), f"src{rng.randrange(4)}", 0))
+        labels.append((k, 1, int(any("scum" in x for x in lines))))
+    rows += [(500, None, "en", "s", None), (501, "", None, None, 0), (None, "nameless text", "en", "s", 13), (503, rows[9][1], "en", "s", 0)]
+    rows += [(504, items[0][1], "en", "s", 0), (7, rows[7][1], "en", "s", 0)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, rows, dict((i, t) for i, _, t in labels), items
+
+
+def test_stages_equal_brute_force(spark, tables, tmp_path):
+    folder, rows, toxic, items = tables
+    lines, decon, sim = (_brute(f"test_{n}") for n in ("linededup", "decontaminate", "simhash"))
+    docs, before = spark.read.parquet(f"{folder}/documents.parquet"), None
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(str(tmp_path / str(k)))
+        before, docs = docs, spark.read.parquet(str(tmp_path / str(k)))
+        old = [(r.doc_id, r.text) for r in before.collect()]
+        if name == "packing":
+            total = defaultdict(int)
+            for r in docs.collect():
+                total[r.doc_id] += r.n_tokens
+            own = encoder(default_vocabulary())
+            assert dict(total) == {d: int(own.counts([t])[0]) + 1 for d, t in old}
+            continue
+        assert docs.schema.names == before.schema.names
+        new = {r.doc_id: r.text for r in docs.collect()}
+        if name == "toxicity":
+            wrong = sum((d in new) == bool(toxic[d]) for d, _ in old if d in toxic)
+            assert wrong <= 0.05 * len(toxic) and {501, 500, None} <= set(new)
+        elif name == "line_dedup":
+            expected = {d: t for d, (t, n, gone, _) in lines.brute(dict(old).items(), 2).items() if not gone or t.strip()}
+            assert new == expected and any(new[d] != t for d, t in old)
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in docs.collect())
+        elif name == "near_dedup":
+            marks = [sim.fingerprint(t) for _, t in old]
+            near = [(i, j) for i in range(len(old)) for j in range(i) if (marks[i] ^ marks[j]).bit_count() <= 4]
+            groups = defaultdict(list)
+            for r, (d, t) in zip(sim.roots(len(old), near), old, strict=True):
+                groups[r].append(d)
+            kept = [min(x for x in g if x is not None) if any(x is not None for x in g) else None for g in groups.values()]
+            assert sorted(map(str, new)) == sorted(map(str, kept)) and docs.count() == len(kept) < len(old)
+        elif name == "decontamination":
+            hit = {d for d, _, _, _, _, c in decon.brute(old, items, 10) if c}
+            assert {d for d, t in old if d not in hit} <= set(new) and all(new[d] == t for d, t in old if d not in hit)
+            after = decon.brute(list(new.items()), items, 10)
+            assert hit and all(d in hit for d in set(dict(old)) - set(new))
+            assert sum(c for *_, c in after) == 0
+
+
+def test_run_and_empty_table(spark, tables, tmp_path):
+    folder = tables[0]
+    assert corpus_pipeline.run(spark, folder).count() > 100
+    empty = str(tmp_path / "empty")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(4, text, "a"), (2, text, "b"), (2, text, "c"), (None, text, "d"), (None, "alone", "e"), (9, "", "f"), (8, None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    assert sorted((r.doc_id or -1, r.text) for r in simhash.keep_one(docs).collect()) == [(-1, "alone"), (2, text), (8, None)]
