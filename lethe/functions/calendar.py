@@ -116,9 +116,9 @@ def event_partitions(run_date: Column, frequency: str, fmt: Format) -> Column:
 
 
 def event_month(value: Column, fmt: str) -> Column:
-    """Month of an event date text; null when the text or its format cannot be read."""
+    """Month of an event date text; null when the text cannot be read, an error when the format is unknown."""
     if fmt not in DAY_FORMATS:
-        return F.lit(None).cast("string")
+        raise ValueError(f"unknown event date format {fmt!r}; known: {DAY_FORMATS}")
     return F.date_format(F.try_to_date(value, fmt), EVENT_MONTH_FORMAT)
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType, StringType
 
 ROUNDS = 10
+#: Characters of an alphabet in a block of a long text; the last block has up to twice as many.
+BLOCK_CHARACTERS = 128
 
 DIGITS = "0123456789"
 # The text alphabet is Latin letters of both cases with accents,
@@ -34,13 +36,14 @@ TEXT_ALPHABET = LATIN + ACCENTED + PUNCTUATION + DIGITS + FURTHER_SIGNS
 _LARGEST = {ByteType: 2**7 - 1, ShortType: 2**15 - 1, IntegerType: 2**31 - 1, LongType: 2**63 - 1}
 
 
-def _round_value(key: bytes, message: str, modulus: int) -> int:
+def _round_value(key: bytes, label: str, half: int, modulus: int) -> int:
     """Keyed number below the modulus, from at least 64 bits more than it needs."""
+    message = label.encode() + half.to_bytes(half.bit_length() // 8 + 1)
     wanted = modulus.bit_length() // 8 + 9
     if wanted <= 64:
-        return int.from_bytes(hashlib.blake2b(message.encode(), key=key, digest_size=wanted).digest()) % modulus
+        return int.from_bytes(hashlib.blake2b(message, key=key, digest_size=wanted).digest()) % modulus
     blocks = [
-        hashlib.blake2b(f"{message}|{i}".encode(), key=key, digest_size=64).digest() for i in range(-(-wanted // 64))
+        hashlib.blake2b(message + b"|%d" % i, key=key, digest_size=64).digest() for i in range(-(-wanted // 64))
     ]
     return int.from_bytes(b"".join(blocks)[:wanted]) % modulus
 
@@ -48,36 +51,52 @@ def _round_value(key: bytes, message: str, modulus: int) -> int:
 def _permute(number: int, sizes: tuple[int, int], label: str, key: bytes, forward: bool) -> int:
     """Keyed permutation of the numbers below sizes[0] * sizes[1]."""
     if sizes[0] == 1:
-        shift = _round_value(key, f"{label}|shift", sizes[1])
+        shift = _round_value(key, f"{label}|shift", 0, sizes[1])
         return (number + (shift if forward else -shift)) % sizes[1]
     a, b = divmod(number, sizes[1])
     if forward:
         for i in range(ROUNDS):
             size = sizes[i & 1]
-            a, b = b, (a + _round_value(key, f"{label}|{i}|{b}", size)) % size
+            a, b = b, (a + _round_value(key, f"{label}|{i}|", b, size)) % size
     else:
         for i in reversed(range(ROUNDS)):
             size = sizes[i & 1]
-            a, b = (b - _round_value(key, f"{label}|{i}|{a}", size)) % size, a
+            a, b = (b - _round_value(key, f"{label}|{i}|", a, size)) % size, a
     return a * sizes[1] + b
 
 
 def translate_text(text: str, rank: dict[str, int], key: bytes, forward: bool) -> str:
-    """Encrypt or decrypt the characters of an alphabet (character -> rank), leaving the others in place."""
+    """Encrypt or decrypt the characters of an alphabet (character -> rank), leaving the others in place.
+
+    Long texts go in blocks, so the work is linear in the length. A block's rounds also
+    depend on the encrypted block before it, so equal blocks do not show.
+    """
     places = [i for i, c in enumerate(text) if c in rank]
     if not places:
         return text
+    alphabet, out, before = list(rank), list(text), ""
+    blocks = max(1, len(places) // BLOCK_CHARACTERS)
+    for b in range(blocks):
+        # The last block also holds what is left, so no block is short in a long text.
+        block = places[b * BLOCK_CHARACTERS : (b + 1) * BLOCK_CHARACTERS if b < blocks - 1 else None]
+        was = "".join(text[i] for i in block)
+        _translate_block(out, block, alphabet, rank, f"{len(places)}|{before}", key, forward)
+        before = f"{b}|" + ("".join(out[i] for i in block) if forward else was)
+    return "".join(out)
+
+
+def _translate_block(
+    out: list[str], places: list[int], alphabet: list[str], rank: dict[str, int], label: str, key: bytes, forward: bool
+) -> None:
     radix, length = len(rank), len(places)
     number = 0
     for i in places:
-        number = number * radix + rank[text[i]]
+        number = number * radix + rank[out[i]]
     sizes = (radix ** (length // 2), radix ** (length - length // 2))
-    number = _permute(number, sizes, str(length), key, forward)
-    alphabet, out = list(rank), list(text)
+    number = _permute(number, sizes, label, key, forward)
     for i in reversed(places):
         number, digit = divmod(number, radix)
         out[i] = alphabet[digit]
-    return "".join(out)
 
 
 def translate_number(number: int, largest: int, key: bytes, forward: bool) -> int:

@@ -82,6 +82,8 @@ class TableRun:
     rows_out: int
     start: datetime
     end: datetime
+    unreadable_events: int = 0
+    kept: tuple[str, ...] = ()
 
 
 def _audit(

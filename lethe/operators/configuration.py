@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from lethe.functions.calendar import DAY_FORMATS
 from lethe.operators.options import parse_options
 from lethe.sources.config import CONFIG_COLUMNS
 from lethe.specs import EventClock, InputSpec, OutputSpec, Rule, TablePlan
@@ -35,12 +36,13 @@ def tables(config: DataFrame) -> DataFrame:
 
 
 def plan_rows(config: DataFrame) -> DataFrame:
-    """One row per table: its rules in column order, its settings from the first of them."""
+    """One row per table: its rules in column order, its settings, and how many different ones it has."""
     rule = F.struct(*RULE_COLUMNS)
     settings = F.struct(*_TABLE_COLUMNS)
     return config.groupBy(*TABLE_KEY).agg(
         F.array_sort(F.collect_list(rule)).alias("rules"),
         F.min_by(settings, rule).alias("settings"),
+        F.size(F.collect_set(settings)).alias("n_settings"),
     )
 
 
@@ -56,6 +58,8 @@ def _source(row: Row, table: str, prefix: str) -> InputSpec:
 
 def _plan(row: Row) -> TablePlan:
     s, name = row.settings, f"{row.base}.{row.table_name}"
+    if row.n_settings > 1:
+        raise ValueError(f"{name}: the rows of the table have {row.n_settings} different settings")
     if not s.declencheur:
         raise ValueError(f"{name}: no trigger is given")
     for wanted in ("partition_value_format", "output_format"):
@@ -76,6 +80,11 @@ def _plan(row: Row) -> TablePlan:
             frequency=s.declench_table_frequency,
             min_value=s.declench_column_process_min_value or None,
         )
+    if clock is not None and clock.process_format not in DAY_FORMATS:
+        raise ValueError(f"{name}: unknown event date format {clock.process_format!r}")
+    # The source's partitions are partitions of the output too, so that a run replaces its own months only.
+    source_column = s.partition_column or "dt"
+    output_column = s.output_partitioned_by or source_column
     rules = tuple(
         Rule(r.column_name, r.anonymisation_methode,
              parse_options(r.anonymisation_methode_options, r.anonymisation_methode_options_values))
@@ -90,9 +99,10 @@ def _plan(row: Row) -> TablePlan:
             format=s.output_format,
             path=s.output_path or None,
             table=f"{name}{MASKED_SUFFIX}",
-            partition_column=s.output_partitioned_by or None,
+            partition_column=output_column,
             mode="overwrite_partitions",
-            rebalance=(s.output_partitioned_by or None) not in (None, s.partition_column or "dt"),
+            rebalance=output_column != source_column,
+            further_columns=() if output_column == source_column else (source_column,),
         ),
         partition_format=s.partition_value_format,
         keep_months=s.conserv_duration,

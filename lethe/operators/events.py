@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.functions.calendar import event_month
@@ -20,6 +20,12 @@ def with_event_month(events: DataFrame, process_column: str, fmt: str, name: str
     return events.withColumn(name, event_month(F.col(column_path(process_column)).cast("string"), fmt))
 
 
+def unreadable_events(process_column: str, fmt: str) -> Column:
+    """Is there an event date that cannot be read?"""
+    text = F.col(column_path(process_column)).cast("string")
+    return text.isNotNull() & event_month(text, fmt).isNull()
+
+
 def event_months(events: DataFrame, process_column: str, fmt: str) -> DataFrame:
     """Distinct months in which an event fell."""
     return (
@@ -66,19 +72,28 @@ def distinct_except(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.subtract(right)
 
 
-def mask_where(df: DataFrame, keys: DataFrame, key: str, rules: Sequence[Rule], context: MaskContext) -> DataFrame:
+def mask_where(
+    df: DataFrame,
+    keys: DataFrame,
+    key: str,
+    rules: Sequence[Rule],
+    context: MaskContext,
+    person: Column | None = None,
+) -> DataFrame:
     """Mask the rows of the given keys and keep the others, in one pass.
 
     A left join against distinct keys adds no rows; adaptive execution splits the
     partitions of hot keys or broadcasts the keys when they are few. A permutation
-    moves values among the masked rows only.
+    moves values among the masked rows only. ``person`` is what is compared with the
+    keys where that is not the column ``key`` itself.
     """
     for c in (_FLAG, _KEY):
         if c in df.columns:
             raise ValueError(f"reserved column name {c}")
     # Distinct over distinct input is free; it guards against callers' duplicates.
     wanted = keys.select(F.col(column_path(key)).alias(_KEY)).distinct().withColumn(_FLAG, F.lit(True))
-    flagged = df.join(wanted, F.col(column_path(key)) == F.col(_KEY), "left")
+    compared = F.col(column_path(key)) if person is None else person
+    flagged = df.join(wanted, compared == F.col(_KEY), "left")
     masked = masked_columns(df, rules, context)
     flagged = permuted(flagged, rules, context, F.col(_FLAG))
     types = {f.name: f.dataType for f in df.schema}

@@ -28,8 +28,6 @@ class MaskContext:
     row_key: tuple[str, ...] = ()
     first_names: tuple[str, ...] = drawing.FIRST_NAMES
     last_names: tuple[str, ...] = drawing.LAST_NAMES
-    # Row count of the table when it is known; it saves a permutation a count.
-    rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -48,7 +46,8 @@ class _Target:
 
     @property
     def key(self) -> str:
-        return prf.column_key(self.context.key, self.column)
+        """Columns with the same ``domain`` share a key, so that consistent masks still join."""
+        return prf.column_key(self.context.key, self.options.get("domain") or self.column)
 
     @property
     def row_key(self) -> list[Column]:
@@ -186,8 +185,8 @@ def permuted(
         if rule.method == PERMUTATION:
             if not context.row_key:
                 raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")
-            key = prf.column_key(context.key, rule.column)
-            df = permute(df, rule.column, key, context.row_key, context.rows, where)
+            key = prf.column_key(context.key, rule.options.get("domain") or rule.column)
+            df = permute(df, rule.column, key, context.row_key, where)
     return df
 
 

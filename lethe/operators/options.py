@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import re
 from collections.abc import Mapping
 from datetime import date
@@ -11,9 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-logger = logging.getLogger(__name__)
-
-# Option names.
+# Option names; the last one is an addition of this library.
 OPTION_NAMES = (
     "respect_type",
     "data_type",
@@ -30,6 +27,7 @@ OPTION_NAMES = (
     "double_bounds",
     "date_bounds",
     "salt",
+    "domain",
 )
 
 # A dot separates list items, except inside the brackets of bounds.
@@ -41,17 +39,19 @@ _BOUND_TYPES = {"int": int, "long": int, "float": float, "double": float, "date"
 def parse_options(names: str | None, values: str | None) -> dict[str, str]:
     """Zip a dotted list of names with a dotted list of values.
 
-    The longer list is cut; unknown names are reported and left out.
+    Lists of different length and unknown names are errors: a mask without its option
+    may leave readable what the option was to hide.
     """
+    if not (names or "").strip() and not (values or "").strip():
+        return {}
     split_names = [n.strip() for n in re.split(ITEM_SEPARATOR, names or "")]
     split_values = [v.strip() for v in re.split(ITEM_SEPARATOR, values or "")]
-    options = {}
-    for name, value in zip(split_names, split_values):
-        if name in OPTION_NAMES:
-            options[name] = value
-        elif name:
-            logger.warning("ignoring unknown masking option %s", name)
-    return options
+    if len(split_names) != len(split_values):
+        raise ValueError(f"{len(split_names)} option names but {len(split_values)} values: {names!r}, {values!r}")
+    unknown = [name for name in split_names if name not in OPTION_NAMES]
+    if unknown:
+        raise ValueError(f"unknown masking options {unknown}; known: {OPTION_NAMES}")
+    return dict(zip(split_names, split_values))
 
 
 def options_map(names: Column, values: Column) -> Column:

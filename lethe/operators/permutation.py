@@ -12,56 +12,47 @@ from lethe.functions import prf
 from lethe.functions.text import null_words
 from lethe.identifiers import column_path
 
-_ORDER, _BUCKET = "__order", "__bucket"
+_ORDER, _BUCKET, _NEXT = "__order", "__bucket", "__next"
 
-# A bucket holds about this many rows at least, and 16 times as many at most.
-BUCKET_ROWS = 16_384
-# The hash gives the order from its first digits and the bucket from later ones.
-_ORDER_DIGITS, _BUCKET_START, _MOST_BUCKET_DIGITS = 15, 17, 8
-
-
-def bucket_digits(rows: int) -> int:
-    """Hex digits that name a bucket, so that buckets keep their size as the table grows."""
-    digits = 0
-    while digits < _MOST_BUCKET_DIGITS and rows >= BUCKET_ROWS * 16 ** (digits + 1):
-        digits += 1
-    return digits
+# The order is a slice of the hash, and its first digits name the bucket: 65,536 buckets at every size.
+_ORDER_DIGITS, _BUCKET_DIGITS = 15, 4
 
 
 def permute(
-    df: DataFrame,
-    column: str,
-    derived_key: str,
-    row_key: Sequence[str],
-    rows: int | None = None,
-    where: Column | None = None,
+    df: DataFrame, column: str, derived_key: str, row_key: Sequence[str], where: Column | None = None
 ) -> DataFrame:
-    """Give each row the value of the next row in keyed hash order of the row key.
+    """Give each row the value of the next row in keyed hash order of the row key; the last takes the first.
 
-    Rows are dealt into buckets by the hash of their key and form one cycle in
-    each bucket, so the multiset of values is kept exactly and no row of a bucket
-    keeps its own cell. Rows without a value stay without.
+    One cycle runs through all rows that take part: those with a value that meet
+    ``where`` (the other rows are not shuffled and stay as they are). So the multiset of values
+    is kept exactly and, with two rows or more, no row keeps its own cell.
 
-    The hash decides bucket and order, never the value, so buckets are even
-    whatever the values are. The row key has to identify the rows: rows with equal
-    keys land in one bucket. The rows are shuffled once, and the result is the
-    same on every retry and under any partitioning. ``rows`` is the row count if
-    it is known; otherwise the rows are counted first. With ``where`` the values
-    move among the rows that meet it, and the other rows stay as they are.
+    The cycle is cut at fixed prefixes of the hash. A bucket is ordered by itself, and
+    its last row gets the first value of the next bucket that has rows, from a table
+    of one row for each bucket. Neither depends on the number of rows or partitions,
+    and values never decide where a row goes, so one value in a third of all rows
+    does no harm. The row key has to identify rows: rows with equal keys share a bucket.
     """
     source = F.col(column_path(column))
     taking_part = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     if isinstance(df.schema[column].dataType, StringType):
         df = df.withColumn(column, F.when(taking_part, null_words(source)).otherwise(source))
     keys = [F.col(column_path(k)) for k in row_key]
-    seed = prf.seed(derived_key, keys)
-    digits = bucket_digits(df.count() if rows is None else rows)
     taking_part = taking_part & source.isNotNull()
-    bucket = F.concat(F.when(taking_part, "+").otherwise("-"), F.substring(seed, _BUCKET_START, digits))
-    dealt = df.withColumns({_ORDER: prf.number(seed, 1, _ORDER_DIGITS), _BUCKET: bucket})
-    # The other rows need no order, only buckets of their own.
+    seed = prf.seed(derived_key, keys)
+    dealt = df.where(taking_part).withColumns(
+        {_ORDER: prf.number(seed, 1, _ORDER_DIGITS), _BUCKET: F.substring(seed, 1, _BUCKET_DIGITS)}
+    )
+    place = F.struct(_ORDER, *[k.alias(f"k{i}") for i, k in enumerate(keys)], source.alias("v"))
+    firsts = dealt.groupBy(_BUCKET).agg(F.min_by(source, place).alias(_NEXT))
+    # One row for each bucket, 65,536 at most.
+    along = Window.orderBy(_BUCKET)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead(_NEXT).over(along), F.first(_NEXT).over(whole))
+    links = firsts.select(F.col(_BUCKET), following.alias(_NEXT))
     inside = Window.partitionBy(_BUCKET).orderBy(_ORDER, *keys, source)
-    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    next_value = F.coalesce(F.lead(source).over(inside), F.first(source).over(whole))
-    moved = F.when(taking_part, next_value).otherwise(source).alias(column)
-    return dealt.select(*[moved if c == column else F.col(column_path(c)) for c in df.columns])
+    # The join works on the buckets as they lie; only the links move to them.
+    moved = dealt.withColumn(_ORDER, F.lead(source).over(inside)).join(links.hint("merge"), _BUCKET)
+    value = F.coalesce(F.col(_ORDER), F.col(_NEXT)).alias(column)
+    changed = moved.select(*[value if c == column else F.col(column_path(c)) for c in df.columns])
+    return changed.union(df.where(~taking_part))

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,28 +16,28 @@ from lethe.functions.calendar import EVENT_MONTH_FORMAT
 from lethe.identifiers import column_path
 from lethe.operators.audit import TableRun, append_audit, mask_audit, purge_audit
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
-from lethe.operators.events import expired_keys, expired_row_counts, mask_where
+from lethe.operators.events import expired_keys, expired_row_counts, mask_where, unreadable_events
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
+from lethe.operators.persons import PERSON, history_path, person_hash, remember, remembered
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
-from lethe.scratch import checkpointed
-from lethe.sinks.catalog import drop_partitions, existing_partitions, is_external
+from lethe.sinks.catalog import PartitionError, drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
 from lethe.sources.readers import in_partitions, load, load_columns, string_partitions
 from lethe.specs import InputSpec, OutputSpec, Run, TablePlan
 
 logger = logging.getLogger(__name__)
 
-# Keys are broadcast up to this estimate of their size in memory.
-BROADCAST_BYTES = 64 * 2**20
-_BYTES_PER_KEY = 64
+# What a key takes in a broadcast table: 64 characters and the row around them.
+_BYTES_PER_KEY = 128
 
 
 @dataclass
 class RunReport:
-    """What a whole run did, and the tables that failed."""
+    """What a whole run did, the partitions it did not dare to purge, and the tables that failed."""
 
     masked: list[TableRun] = field(default_factory=list)
     purged: list[TableRun] = field(default_factory=list)
+    kept: dict[str, tuple[str, ...]] = field(default_factory=dict)
     failures: dict[str, Exception] = field(default_factory=dict)
 
 
@@ -48,8 +49,17 @@ class RunError(RuntimeError):
         super().__init__("; ".join(f"{name}: {error}" for name, error in report.failures.items()))
 
 
-def _context(plan: TablePlan, run: Run, rows: int) -> MaskContext:
-    return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())), rows=rows)
+class PurgeError(RuntimeError):
+    """Some partitions could not be dropped; ``done`` tells which were."""
+
+    def __init__(self, done: TableRun, cause: Exception):
+        self.done = done
+        super().__init__(str(cause))
+
+
+def _context(plan: TablePlan, run: Run) -> MaskContext:
+    names = {k: v for k, v in (("first_names", run.first_names), ("last_names", run.last_names)) if v}
+    return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())), **names)
 
 
 def _check_plan(plan: TablePlan) -> None:
@@ -57,7 +67,10 @@ def _check_plan(plan: TablePlan) -> None:
     for rule in plan.rules:
         if rule.method not in ALL_METHODS:
             raise ValueError(f"{plan.name}: unknown masking method {rule.method!r}")
-    partition_columns = {plan.source.partition_column, plan.output.partition_column}
+    by_run_date = plan.trigger == EXECUTION_TRIGGER
+    if plan.purge and by_run_date and plan.rules and (plan.purge_months or 0) < (plan.keep_months or 0):
+        raise ValueError(f"{plan.name}: purging after {plan.purge_months} months would drop rows before they are masked")
+    partition_columns = {plan.source.partition_column, *plan.output.partitions}
     masked = [r.column for r in plan.rules if r.column in partition_columns]
     if masked:
         raise ValueError(f"{plan.name}: partition column {masked[0]!r} cannot be masked")
@@ -104,10 +117,10 @@ def _save_checked(
 
     A difference stops the run, so that no original is purged after a bad write.
     """
-    save(masked, plan.output)
     column = plan.source.partition_column
-    if plan.output.partition_column != column:
-        return sum(expected.values())
+    if column not in plan.output.partitions:
+        raise ValueError(f"{plan.name}: the output must be partitioned by {column}, or runs would replace other months")
+    save(masked, plan.output)
     written = _written_rows(spark, plan.output, masked, column, sorted(expected))
     if written != expected:
         wrong = sorted(v for v in expected if written.get(v) != expected[v])
@@ -126,7 +139,7 @@ def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
         expected = _partition_rows(data, plan.source.partition_column)
         rows_in = sum(expected.values())
         if expected:
-            masked = apply_rules(data, plan.rules, _context(plan, run, rows_in))
+            masked = apply_rules(data, plan.rules, _context(plan, run))
             rows_out = _save_checked(spark, plan, masked, expected)
     return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
@@ -135,21 +148,25 @@ def _before_month(spark: SparkSession, run: Run, keep_months: int) -> str:
     return constant(spark, F.date_format(F.add_months(F.lit(run.run_date), -keep_months), EVENT_MONTH_FORMAT))
 
 
-def _fits_broadcast(keys: DataFrame, key: str) -> bool:
-    """Are the keys known to be small enough to go to every executor?"""
-    size = keys.agg(
-        F.coalesce(F.sum(F.octet_length(F.col(column_path(key)).cast("string")) + _BYTES_PER_KEY), F.lit(0)).alias("b")
-    )
-    return size.head().b <= BROADCAST_BYTES
+def _fits_broadcast(keys: DataFrame) -> bool:
+    """Are the keys known to be small enough to go to every executor, by the session's own limit?"""
+    limit = keys.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return keys.count() * _BYTES_PER_KEY <= limit
+
+
+def _for_join(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if _fits_broadcast(keys) else keys
 
 
 def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the rows of persons whose event lies before run month - keep.
 
-    The partitions in which such persons have rows are rewritten as a whole, with
-    the rows of other persons unchanged. Few keys are broadcast, so that the rows
-    stay where they are; with many keys the join deals the rows out by person, and
-    they are gathered by partition again before the write.
+    The partitions in which such persons have rows are rewritten as a whole: the persons
+    of this run and of all earlier ones masked, the rows of others unchanged. The persons
+    are kept as keyed hashes beside the output (``lethe.operators.persons``). Keys
+    under the session's broadcast limit are broadcast, so that the rows stay
+    where they are; with more the join deals the rows out by person, and they are
+    gathered by partition again before the write.
     """
     _check_plan(plan)
     start = datetime.now()
@@ -158,34 +175,57 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
     events = load_columns(
         spark, source, [clock.join_column, clock.process_column], clock.min_value, clock.process_column
     )
-    keys = expired_keys(
+    unreadable = events.where(unreadable_events(clock.process_column, clock.process_format)).count()
+    if unreadable:
+        logger.warning("%s: %d events have no readable date and start no clock", plan.name, unreadable)
+    expired_persons = expired_keys(
         events, key, clock.process_column, clock.process_format, _before_month(spark, run, plan.keep_months)
     )
-    keys = checkpointed(keys)
-    if _fits_broadcast(keys, key):
-        keys = F.broadcast(keys)
-    elif plan.output.partition_column:
-        plan = replace(plan, output=replace(plan.output, rebalance=True))
+    history = history_path(plan, run)
+    person = person_hash(run.key, F.col(column_path(key)))
+    mine = remember(spark, history, expired_persons.select(person.alias(PERSON)).where(F.col(PERSON).isNotNull()), run.run_date)
     everything = load(spark, plan.source)
     column = plan.source.partition_column
     # One row per partition of the table.
-    expired = {str(row[column]): row.expired_rows for row in expired_row_counts(everything, keys, key, column).collect()}
+    rows = everything.select(person.alias(PERSON), F.col(column_path(column)))
+    counts = expired_row_counts(rows, _for_join(mine), PERSON, column).collect()
+    expired = {row[column]: row.expired_rows for row in counts}
     if not expired:
-        return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now())
-    partitions, to_mask = sorted(expired), sum(expired.values())
-    data = everything.where(in_partitions(everything, column, partitions))
+        return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
+    to_mask = sum(expired.values())
+    data = everything.where(F.col(column_path(column)).isin(list(expired)))
     expected = _partition_rows(data, column)
-    masked = mask_where(data, keys, key, plan.rules, _context(plan, run, sum(expected.values())))
+    everybody = remembered(spark, history)
+    if not _fits_broadcast(everybody) and plan.output.partitions:
+        plan = replace(plan, output=replace(plan.output, rebalance=True))
+    masked = mask_where(data, _for_join(everybody), PERSON, plan.rules, _context(plan, run), person)
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask
-    return TableRun(plan.base, plan.table, tuple(partitions), to_mask, written - kept, start, datetime.now())
+    return TableRun(plan.base, plan.table, tuple(sorted(expected)), to_mask, written - kept, start, datetime.now(), unreadable)
 
 
-def purge(spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool = False) -> TableRun:
+def _unmasked(spark: SparkSession, plan: TablePlan, data: DataFrame) -> set[str]:
+    """Partitions whose rows the masked output does not hold in the same number."""
+    column = plan.source.partition_column
+    before = _partition_rows(data, column)
+    if not before:
+        return set()
+    try:
+        after = _written_rows(spark, plan.output, data, column, sorted(before))
+    except AnalysisException:  # there is no output yet
+        after = {}
+    return {v for v, n in before.items() if after.get(v) != n}
+
+
+def purge(
+    spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool = False, only_masked: bool = False
+) -> TableRun:
     """Drop the partitions past the purge period.
 
     Dropping a partition of an external table leaves its files in place. That is
-    refused unless ``metadata_only`` says that it is wanted.
+    refused unless ``metadata_only`` says that it is wanted. With ``only_masked`` a
+    partition stays unless the masked output holds as many rows of it (``kept`` names
+    those). If some partitions cannot be dropped, ``PurgeError`` tells which were.
     """
     start = datetime.now()
     table, column = plan.source.table, plan.source.partition_column
@@ -193,14 +233,32 @@ def purge(spark: SparkSession, plan: TablePlan, run: Run, metadata_only: bool =
         raise ValueError(f"{table} is external: dropping its partitions would keep the files")
     wanted = set(purge_partitions(spark, plan, run))
     partitions = [v for v in existing_partitions(spark, table, column) if v in wanted]
+    kept: set[str] = set()
     rows_in = rows_out = 0
-    if partitions:
+    problem: Exception | None = None
+    if partitions and only_masked:
         data = load(spark, InputSpec("table", table=table))
-        rows_in = data.where(in_partitions(data, column, partitions)).count()
-        drop_partitions(spark, table, column, partitions)
+        kept = _unmasked(spark, plan, data.where(in_partitions(data, column, partitions)))
+        partitions = [v for v in partitions if v not in kept]
+        if kept:
+            logger.warning("%s: partitions %s are not in the masked output and stay", plan.name, sorted(kept))
+    if partitions:
         data = load(spark, InputSpec("table", table=table))
-        rows_out = data.where(in_partitions(data, column, partitions)).count()
-    return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
+        before = _partition_rows(data.where(in_partitions(data, column, partitions)), column)
+        try:
+            drop_partitions(spark, table, column, partitions)
+        except PartitionError as error:
+            problem = error
+            failed = {value for value, _ in error.failures}
+            partitions = [v for v in partitions if v not in failed]
+        rows_in = sum(before.get(v, 0) for v in partitions)
+        if partitions:
+            data = load(spark, InputSpec("table", table=table))
+            rows_out = data.where(in_partitions(data, column, partitions)).count()
+    done = TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now(), kept=tuple(sorted(kept)))
+    if problem is not None:
+        raise PurgeError(done, problem)
+    return done
 
 
 def _work_on(spark: SparkSession, plan: TablePlan, run: Run) -> RunReport:
@@ -213,9 +271,14 @@ def _work_on(spark: SparkSession, plan: TablePlan, run: Run) -> RunReport:
         report.masked.append(job(spark, plan, run))
     if plan.purge and by_run_date:
         try:
-            report.purged.append(purge(spark, plan, run))
+            done = purge(spark, plan, run, only_masked=bool(plan.rules))
+            report.purged.append(done)
+            if done.kept:
+                report.kept[plan.name] = done.kept
         except Exception as error:  # noqa: BLE001 - the masking of this table still gets its audit row
             report.failures[plan.name] = error
+            if isinstance(error, PurgeError) and error.done.partitions:
+                report.purged.append(error.done)
     return report
 
 
@@ -227,7 +290,7 @@ def run(
     purge_audit_spec: OutputSpec | None = None,
     parallel: int = 1,
 ) -> RunReport:
-    """Work through a typed configuration, then save both audits.
+    """Work through a typed configuration; both audits are appended as each table ends.
 
     Every plan is checked before the first table is touched. A table is masked
     before its originals are purged. A table that fails does not stop the others:
@@ -251,11 +314,13 @@ def run(
         for part in pool.map(guarded, todo):
             report.masked += part.masked
             report.purged += part.purged
+            report.kept |= part.kept
             report.failures |= part.failures
-    if mask_audit_spec is not None and report.masked:
-        append_audit([mask_audit(config, report.masked, run.principal)], mask_audit_spec)
-    if purge_audit_spec is not None and report.purged:
-        append_audit([purge_audit(config, report.purged, run.principal)], purge_audit_spec)
+            # A later crash must not take the audit of what was already done with it.
+            if mask_audit_spec is not None and part.masked:
+                append_audit([mask_audit(config, part.masked, run.principal)], mask_audit_spec)
+            if purge_audit_spec is not None and part.purged:
+                append_audit([purge_audit(config, part.purged, run.principal)], purge_audit_spec)
     if report.failures:
         raise RunError(report)
     return report

@@ -44,12 +44,15 @@ def event_source_partitions(spark: SparkSession, clock: EventClock, run: Run) ->
 def plan_partitions(config: DataFrame, run: Run, months_column: str) -> DataFrame:
     """The partition plan of a whole configuration: one row per table and partition value.
 
-    ``months_column`` is the keeping or the purge duration.
+    ``months_column`` is the keeping or the purge duration. A table without a readable
+    duration stops the query, for it would be left out otherwise.
     """
     tables = config.groupBy(*TABLE_KEY).agg(
         F.min_by(F.struct("partition_value_format", months_column), F.col("column_name")).alias("s")
     )
+    unreadable = F.raise_error(F.concat(F.lit(f"no readable {months_column} for "), "base", F.lit("."), "table_name"))
+    months = F.coalesce(F.col(f"s.{months_column}"), unreadable.cast("int"))
     values = expired_partitions(
-        F.lit(run.run_date), F.col(f"s.{months_column}"), F.col("s.partition_value_format"), run.mode, run.stock_start
+        F.lit(run.run_date), months, F.col("s.partition_value_format"), run.mode, run.stock_start
     )
     return tables.select(*TABLE_KEY, F.explode(values).alias("partition_value"))

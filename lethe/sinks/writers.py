@@ -42,6 +42,9 @@ def _save_table(df: DataFrame, writer: DataFrameWriter, spec: OutputSpec) -> Non
     exists = spark.catalog.tableExists(spec.table)
     if spec.mode == "overwrite_partitions" and exists:
         columns = spark.table(spec.table).columns
+        laid_out = {c.name for c in spark.catalog.listColumns(spec.table) if c.isPartition}
+        if not set(spec.partitions) <= laid_out:
+            raise ValueError(f"{spec.table} is not partitioned by {spec.partitions}: overwriting would lose other rows")
         # An insert into a table takes the overwrite mode from the session, not from the writer.
         with dynamic_overwrite(spark):
             df.select(*columns).write.insertInto(quote_table(spec.table), overwrite=True)
@@ -58,12 +61,14 @@ def save(df: DataFrame, spec: OutputSpec) -> None:
         raise ValueError(f"unknown output format {spec.format!r}; known: {sorted(WRITERS)}")
     if spec.mode not in MODES:
         raise ValueError(f"unknown write mode {spec.mode!r}; known: {MODES}")
-    if spec.rebalance and spec.partition_column:
+    if spec.mode == "overwrite_partitions" and not spec.partitions:
+        raise ValueError("overwrite_partitions needs a partition column: without one it would replace everything")
+    if spec.rebalance and spec.partitions:
         # Adaptive execution splits hot values and joins small ones.
-        df = df.hint("rebalance", spec.partition_column)
+        df = df.hint("rebalance", *spec.partitions)
     writer = configure(df.write, spec)
-    if spec.partition_column:
-        writer = writer.partitionBy(spec.partition_column)
+    if spec.partitions:
+        writer = writer.partitionBy(*spec.partitions)
     if spec.format == "table":
         _save_table(df, writer, spec)
         return

@@ -5,10 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from contextlib import AbstractContextManager
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    IntegralType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from lethe.identifiers import column_path
 from lethe.session import setting
@@ -18,6 +27,8 @@ from lethe.specs import InputSpec
 CSV_DELIMITER = ","
 JSON_TIMESTAMP_FORMAT = "yyyy/MM/dd HH:mm:ss ZZ"
 
+# How partition formats write a day, or a month as its first day, by the length of the text.
+_DAY_PATTERNS = {8: "%Y%m%d", 10: "%Y-%m-%d", 6: "%Y%m", 7: "%Y-%m"}
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
@@ -68,13 +79,23 @@ def _partition_fields(lines: DataFrame) -> list[str]:
 
 
 def _read_text(spark: SparkSession, spec: InputSpec) -> DataFrame:
-    """Delimited text without header; the first line gives the number of columns."""
+    """Delimited text without header; the schema, or else the first line, gives the columns.
+
+    A line with more fields is an error: dropping them would lose data.
+    """
     lines = spark.read.text(spec.path)
     delimiter = (spec.delimiter or CSV_DELIMITER)[0]
-    first = lines.select("value").head(1)
-    width = len(first[0].value.split(delimiter)) if first else 0
-    parts = F.split("value", re.escape(delimiter), -1)
-    fields = [F.get(parts, i).alias(f"col{i + 1}") for i in range(width)]
+    if spec.schema is not None:
+        schema = spec.schema if isinstance(spec.schema, StructType) else StructType.fromDDL(spec.schema)
+        names, types = schema.names, [f.dataType for f in schema]
+    else:
+        first = lines.select("value").head(1)
+        width = len(first[0].value.split(delimiter)) if first else 0
+        names, types = [f"col{i + 1}" for i in range(width)], [StringType()] * width
+    split = F.split("value", re.escape(delimiter), -1)
+    problem = F.raise_error(F.concat(F.lit(f"a line has more than {len(names)} fields: "), F.size(split).cast("string")))
+    parts = F.when(F.size(split) <= len(names), split).otherwise(problem.cast("array<string>"))
+    fields = [F.get(parts, i).cast(dtype).alias(name) for i, (name, dtype) in enumerate(zip(names, types))]
     return lines.select(*fields, *_partition_fields(lines))
 
 
@@ -127,15 +148,28 @@ READERS = {
 
 
 def in_partitions(df: DataFrame, column: str, values: Sequence[str]) -> Column:
-    """Partition membership that Catalyst turns into a partition filter."""
+    """Partition membership that Catalyst turns into a partition filter.
+
+    The values are turned into the column's type, never the column into text, so the
+    metastore can prune by them; a value that does not fit is an error.
+    """
     if not values:
         raise ValueError("the list of partition values is empty")
     if column not in df.columns:
         raise ValueError(f"no partition column {column!r} among {df.columns}")
-    target = F.col(column_path(column))
-    if not isinstance(df.schema[column].dataType, StringType):
-        target = target.cast("string")
-    return target.isin(list(values))
+    return F.col(column_path(column)).isin([_partition_value(df.schema[column].dataType, v) for v in values])
+
+
+def _partition_value(dtype: DataType, text: str):
+    """A partition value of a plan in the type of the partition column."""
+    if isinstance(dtype, StringType):
+        return text
+    if isinstance(dtype, IntegralType):
+        return int(text)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        day = datetime.strptime(text, _DAY_PATTERNS.get(len(text), "%Y-%m-%d"))
+        return day.date() if isinstance(dtype, DateType) else day
+    raise ValueError(f"partition value {text!r} cannot be turned into {dtype.simpleString()}")
 
 
 def load(spark: SparkSession, spec: InputSpec) -> DataFrame:

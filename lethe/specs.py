@@ -41,6 +41,7 @@ class OutputSpec:
 
     ``mode`` is ``append`` or ``overwrite_partitions`` (only the partitions that
     occur in the data are replaced, so a repeated run gives the same output).
+    ``further_columns`` are partition columns below ``partition_column``.
     ``rebalance`` adds one shuffle that gathers each partition value into few
     files; leave it off when the input is laid out by the same column.
     """
@@ -53,6 +54,11 @@ class OutputSpec:
     header: bool = True
     mode: str = "append"
     rebalance: bool = False
+    further_columns: tuple[str, ...] = ()
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        return ((self.partition_column,) if self.partition_column else ()) + self.further_columns
 
 
 @dataclass(frozen=True)
@@ -103,7 +109,9 @@ class Run:
     """One execution: its date, its mode, and what the random masks need.
 
     ``row_key`` names the columns that identify a row of the table at hand; the
-    masks that do not depend on the value draw from them.
+    masks that do not depend on the value draw from them. ``history`` is the folder in
+    which event runs keep keyed hashes of the persons they have masked; without
+    it a hidden folder of each output path is used.
     """
 
     run_date: date
@@ -112,6 +120,10 @@ class Run:
     row_keys: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     principal: str = ""
     stock_start: date = date(2013, 1, 1)
+    history: str | None = None
+    # Lists for the masks ``firstname`` and ``lastname``; empty: the lists of the library.
+    first_names: tuple[str, ...] = field(default=(), repr=False)
+    last_names: tuple[str, ...] = field(default=(), repr=False)
 
     @property
     def month(self) -> str:

@@ -91,9 +91,11 @@ def event_plan(spark, data, path, events, frequency="mois"):
     return plan_for(data, path, trigger="leaving", keep_months=6, clock=clock)
 
 
-@pytest.mark.parametrize("most", [jobs.BROADCAST_BYTES, 0])
-def test_event_clock(spark, data, path, monkeypatch, most):
-    monkeypatch.setattr(jobs, "BROADCAST_BYTES", most)
+@pytest.mark.parametrize("most", ["10m", "-1"])
+def test_event_clock(spark, data, path, request, most):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
     events = spark.createDataFrame(
         [("p0", "19990815", "200002"), ("p0", "19990815", "200002"), ("p0", "20000101", "200002"),
          ("p1", "19990901", "200002"), ("p2", "19990101", "199912"), ("p9", "19990101", "200002")],
@@ -172,7 +174,8 @@ def test_plans(spark):
     config = typed_config(config_rows(
         spark, BASE | {"column_name": "z", "anonymisation_methode": "XReplace", "anonymisation_methode_options": "char",
                        "anonymisation_methode_options_values": "#"},
-        BASE, BASE | {"table_name": "u", "declencheur": "depart", "declench_column_join": "p"}))
+        BASE, BASE | {"table_name": "u", "declencheur": "depart", "declench_column_join": "p",
+                      "declench_column_process_value_format": "yyyyMMdd"}))
     first, second = plans(config)
     assert first.name == "b.t" and first.rules == (Rule("v", "id"), Rule("z", "XReplace", {"char": "#"}))
     assert first.keep_months == 12 and not first.purge and first.clock is None
@@ -196,9 +199,12 @@ def test_whole_run(spark, data, path):
         "base": database, "input_format": "table", "partition_column": "dt", "output_path": path("out"),
         "output_partitioned_by": "dt", "purge_duration": "13", "purge_boolean": "true", "anonymisation_methode": "hashWithSha1"}))
     audits = [OutputSpec("orc", path(kind), partition_column="dt") for kind in ("masked", "purged")]
+    # January's originals were never masked, so this run's purge leaves them alone.
+    assert jobs.run(spark, config, RUN).kept == {f"{database}.t": ("199901",)}
+    jobs.run(spark, config, replace(RUN, run_date=date(2000, 2, 10)))
     for _ in range(2):
         report = jobs.run(spark, config, RUN, *audits)
-    assert report.masked[0].partitions == ("199902",) and report.purged[0].partitions == ()
+    assert not report.kept and report.masked[0].partitions == ("199902",) and report.purged[0].partitions == ()
     mask, purge = (load(spark, InputSpec("orc", spec.path)).orderBy("start_date").collect() for spec in audits)
     assert [(r.tableName, r.columnNames, r.input_row_count, r.output_row_count) for r in mask] == [("t", ["v"], 8, 8)] * 2
     assert [(r.purged_partitions, r.input_row_count, r.output_row_count) for r in purge] == [(["199901"], 4, 0), ([], 0, 0)]
@@ -242,3 +248,86 @@ def test_purge_refuses_external_tables(spark, data, path):
         jobs.purge(spark, plan, RUN)
     outcome = jobs.purge(spark, plan, RUN, metadata_only=True)
     assert outcome.partitions == ("199901",) and spark.read.parquet(path("ext")).count() == 20
+
+
+@pytest.mark.parametrize("layout", [None, "person"])
+def test_masked_months_survive_later_runs(spark, data, path, layout):
+    data.write.partitionBy("dt").parquet(path("in"))
+    row = BASE | {"input_format": "parquet", "input_path": path("in"), "output_path": path("out"),
+                  "output_partitioned_by": layout, "anonymisation_methode": "XReplace"}
+    config = typed_config(config_rows(spark, row))
+    for month in (2, 3, 4, 3):
+        report = jobs.run(spark, config, replace(RUN, run_date=date(2000, month, 10)))
+        assert report.masked[0].rows_in == report.masked[0].rows_out > 0
+    found = counted(load(spark, InputSpec("parquet", path("out"))))
+    expected = counted(data.where("dt < '199904'").withColumn("v", F.expr("repeat('X', length(v) - 1)")))
+    assert found == expected
+
+
+def test_event_runs_keep_earlier_persons_masked(spark, data, path):
+    events = spark.createDataFrame(
+        [("p0", "19990801", "20000309"), ("p1", "19990801", "20000310"), ("p2", "x", "20000310"), ("p2", "20000101", "20000310")],
+        "person string, left string, dt string")
+    plan = event_plan(spark, data, path, events, "jours")
+    plan = replace(plan, clock=replace(plan.clock, value_format="yyyyMMdd"))
+
+    def masked_persons():
+        out = load(spark, InputSpec("parquet", path("out"))).collect()
+        return {r.person for r in out if set(r.v) == {"X"}}, Counter(r.person for r in out)
+
+    jobs.retain_mask_by_event(spark, plan, RUN)
+    assert masked_persons()[0] == {"p0"}
+    for _ in range(2):
+        outcome = jobs.retain_mask_by_event(spark, plan, replace(RUN, run_date=date(2000, 3, 11)))
+        assert outcome.unreadable_events == 1
+        assert masked_persons() == ({"p0", "p1"}, Counter(r.person for r in data.collect()))
+
+
+def test_a_half_failed_purge_is_audited(spark, data, path, monkeypatch):
+    from lethe.sinks import catalog
+
+    database = scratch_database(spark, "half")
+    data.write.partitionBy("dt").saveAsTable(f"{database}.t")
+    config = typed_config(config_rows(spark, BASE | {
+        "base": database, "input_format": "table", "output_path": path("out"), "conserv_duration": "10",
+        "purge_duration": "10", "purge_boolean": "true", "anonymisation_methode": "hashWithSha1"}))
+
+    def drop_one(spark, table, column, value):
+        if value == "199902":
+            raise RuntimeError("locked")
+        catalog.drop_partition(spark, table, column, value)
+
+    real = catalog.drop_partitions
+    monkeypatch.setattr(jobs, "drop_partitions", lambda *a: real(*a, drop_one=drop_one))
+    audit = OutputSpec("orc", path("purged"), partition_column="dt")
+    with pytest.raises(jobs.RunError):
+        jobs.run(spark, config, replace(RUN, mode="stock", stock_start=date(1999, 1, 1)), None, audit)
+    row = load(spark, InputSpec("orc", path("purged"))).first()
+    assert row.purged_partitions == ["199901", "199903", "199904"] and (row.input_row_count, row.output_row_count) == (12, 0)
+
+
+@pytest.mark.parametrize("change, message", [
+    ({"purge_boolean": "true", "purge_duration": "3"}, "before they are masked"),
+])
+def test_purging_before_masking_is_refused(spark, change, message):
+    with pytest.raises(ValueError, match=message):
+        jobs.run(spark, typed_config(config_rows(spark, BASE | change)), RUN)
+
+
+def test_conflicting_settings_are_refused(spark):
+    rows = config_rows(spark, BASE, BASE | {"column_name": "z", "conserv_duration": "6"})
+    with pytest.raises(ValueError, match="different settings"):
+        plans(typed_config(rows))
+
+
+def test_one_domain_keeps_joins(spark):
+    from lethe.operators.masking import apply_rules
+
+    left, right = (spark.createDataFrame([(f"A{i}",) for i in range(30)], f"{c} string") for c in ("cust", "client"))
+    for method in ("id", "consistentStringFormatPreserving"):
+        def joined(options):
+            a = apply_rules(left, [Rule("cust", method, options)], MaskContext("k"))
+            b = apply_rules(right, [Rule("client", method, options)], MaskContext("k"))
+            return a.join(b, F.col("cust") == F.col("client")).count()
+
+        assert joined({"domain": "person"}) >= 30 > joined({})

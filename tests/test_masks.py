@@ -216,14 +216,21 @@ def test_permutation_moves_every_row_and_survives_hot_values(spark):
     assert Counter(masked(spark, hot, "keepDistribution")) == Counter(hot)
 
 
-def test_permutation_in_many_buckets(spark, monkeypatch):
+def test_permutation_of_few_values_among_many_rows(spark):
+    for count in (2, 3, 7):
+        values = [i if i < count else None for i in range(4000)]
+        out = masked(spark, values, "keepDistribution", kind="int")
+        assert sorted(out[:count]) == values[:count] and all(a != b for a, b in zip(out[:count], values[:count]))
+
+
+def test_permutation_does_not_depend_on_the_buckets(spark, monkeypatch):
     from lethe.operators import permutation
 
-    assert [permutation.bucket_digits(n) for n in (0, 262_143, 262_144, 10**12)] == [0, 0, 1, 6]
-    monkeypatch.setattr(permutation, "BUCKET_ROWS", 20)
     values = [i if i % 3 else None for i in range(3000)]
     out = masked(spark, values, "keepDistribution", kind="int")
-    assert permutation.bucket_digits(3000) == 1
+    for digits in (0, 1, 9):
+        monkeypatch.setattr(permutation, "_BUCKET_DIGITS", digits)
+        assert out == masked(spark, values, "keepDistribution", kind="int")
     assert Counter(out) == Counter(values) and [v is None for v in out] == [v is None for v in values]
     assert all(a != b for a, b in zip(out, values) if b is not None)
     assert out == masked(spark, values, "keepDistribution", kind="int", partitions=9)
@@ -264,7 +271,9 @@ def test_options(caplog):
     assert parse_options("length.preserve_spaces", "8.true") == {"length": "8", "preserve_spaces": "true"}
     assert parse_options("double_bounds.char", "[0.5;1.5].X") == {"double_bounds": "[0.5;1.5]", "char": "X"}
     assert parse_options("char", None) == {"char": ""} and parse_options(None, None) == {}
-    assert parse_options("colour.char", "red.X") == {"char": "X"} and "colour" in caplog.text
+    for names, values in (("colour.char", "red.X"), ("length.preserve_spaces", "8"), ("char", "X.Y"), ("", "X")):
+        with pytest.raises(ValueError):
+            parse_options(names, values)
     assert parse_bounds("[1;9]", "int") == (1, 9) and parse_bounds("[0.5; 2]", "double") == (0.5, 2.0)
     assert parse_bounds("[2020-01-01;2021-01-01]", "date") == (date(2020, 1, 1), date(2021, 1, 1))
     with pytest.raises(ValueError):

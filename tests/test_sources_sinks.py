@@ -56,8 +56,10 @@ def test_csv_defaults_and_repartition(spark, data, path):
 
 def test_text_width_comes_from_the_first_line(spark, path):
     spark.createDataFrame([("a|b|",), ("c",), ("d|e|f|g",)], "value string").coalesce(1).write.text(path("t"))
-    back = load(spark, InputSpec("text", path("t"), delimiter="|"))
-    assert rows(back) == [("a", "b", ""), ("c", None, None), ("d", "e", "f")]
+    with pytest.raises(Exception, match="more than 3 fields"):
+        load(spark, InputSpec("text", path("t"), delimiter="|")).collect()
+    back = load(spark, InputSpec("text", path("t"), delimiter="|", schema="a string, b string, c string, d string"))
+    assert rows(back) == [("a", "b", "", None), ("c", None, None, None), ("d", "e", "f", "g")]
     assert load(spark, InputSpec("text", path("t"))).columns == ["col1"]
 
 
@@ -177,3 +179,20 @@ def test_config_cleaning(spark):
     lines = ["base,t,c", "", "x,Données à compléter par le Métier", "Commentaire,données à anonymiser,z", '"b,1",t2,c2']
     frame = spark.createDataFrame([(v,) for v in lines], "value string")
     assert rows(clean_config_csv(frame, "a string, b string, c string")) == [("b,1", "t2", "c2"), ("base", "t", "c")]
+
+
+@pytest.mark.parametrize("kind, wanted, text", [("date", "20240102", "2024-01-02"), ("int", "7", "7"), ("timestamp", "2024-01-02", "2024-01-02")])
+def test_typed_partition_columns(spark, path, kind, wanted, text):
+    data = spark.createDataFrame([(1, text), (2, "2024-01-03" if kind != "int" else "8")], "id int, dt string")
+    data.write.partitionBy("dt").parquet(path("t"))
+    found = load(spark, InputSpec("parquet", path("t"), partition_values=(wanted,), schema=f"id int, dt {kind}"))
+    assert [r.id for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cast(dt" not in plan
+    with pytest.raises(ValueError):
+        load(spark, InputSpec("parquet", path("t"), partition_values=("x",), schema=f"id int, dt {kind}"))
+
+
+def test_overwriting_without_partitions_is_refused(spark, data, path):
+    with pytest.raises(ValueError, match="replace everything"):
+        save(data, OutputSpec("parquet", path("p"), mode="overwrite_partitions"))
