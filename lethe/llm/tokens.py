@@ -19,7 +19,7 @@ from lethe.llm.common import span_hashes
 _LATIN = 0x250
 _BEYOND = re.compile("[\u0250-\U0010ffff]")
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
-#: Longer pieces are encoded each time they occur.
+#: Longer pieces are encoded in every slice they occur in.
 LONGEST_KEPT = 64
 #: Pieces remembered by a worker before it starts anew.
 KEPT_PIECES = 1_500_000
@@ -94,19 +94,19 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, hashes: list[int], pieces: list[str]) -> None:
-        found = self._whole(pieces)
-        base = len(self.begin) - 1
-        self.known.update((h, base + k) for k, h in enumerate(hashes))
+    def _add(self, pieces: list[str]) -> int:
+        """Encode pieces and return the entry of the first; the others follow."""
+        found, base = self._whole(pieces), len(self.begin) - 1
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lengths)])
         self.ids = np.concatenate([self.ids, np.fromiter((i for one in found for i in one), np.int32, int(lengths.sum()))])
+        return base
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of Latin texts: code points, offsets of texts, starts and ends of pieces, entry of each piece."""
@@ -114,22 +114,21 @@ class Encoder:
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
         starts, ends = split_points(codes, offsets)
-        if len(self.known) > KEPT_PIECES:
+        if len(self.begin) > KEPT_PIECES:
             self._reset()
         unique, first, inverse = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
-        get = self.known.get
-        entry = np.fromiter((get(h, -1) for h in unique.tolist()), np.int64, len(unique))
+        at = np.searchsorted(self.keys, unique)
+        entry = np.full(len(unique), -1, np.int64)
+        if len(self.keys):
+            near = np.minimum(at, len(self.keys) - 1)
+            entry = np.where(self.keys[near] == unique, self.places[near], -1)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
-            base = len(self.begin) - 1
-            at = first[missing]
-            cut = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            # Long pieces get an entry of this call only: their hashes are not kept.
-            self._remember(unique[missing].tolist(), cut)
-            for h, piece in zip(unique[missing].tolist(), cut, strict=True):
-                if len(piece) > LONGEST_KEPT:
-                    del self.known[h]
+            low, high = starts[first[missing]], ends[first[missing]]
+            base = self._add([joined[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)])
             entry[missing] = base + np.arange(len(missing))
+            kept = missing[high - low <= LONGEST_KEPT]
+            self.keys, self.places = (np.insert(x, at[kept], y[kept]) for x, y in ((self.keys, unique), (self.places, entry)))
         return codes, offsets, starts, ends, entry[inverse]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
