@@ -19,6 +19,8 @@ from lethe.scratch import scratch_path
 
 #: Bytes of text that one vector step works on.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
 _BASE, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -41,6 +43,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{name}`") for name in df.columns if name.lower() not in taken))
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches stay small where texts are long.
+
+    Spark sends 10,000 rows or 64 MB at a time unless told otherwise; a session that was told is left alone.
+    """
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(limit) == "67108864b":
+        conf.set(limit, f"{BATCH_BYTES}b")
+    return df
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Each name, made longer until no column of ``df`` has it."""
     taken, out = {name.lower() for name in df.columns}, []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import lowered, slices, span_hashes, spans, stored, text_bytes, window_hashes, without
+from lethe.llm.common import bounded, lowered, slices, span_hashes, spans, stored, text_bytes, window_hashes, without
 
 WIDTH = 10
 #: Bytes of item texts that are broadcast at once; their windows take about three times that.
@@ -128,7 +128,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, limit_byt
     for part in range(parts):
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         windows = WindowSet([tuple(row) for row in own.collect()], width)
-        done = docs.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(windows), part == 0), schema)
+        done = bounded(docs).mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(windows), part == 0), schema)
         docs = done if part == parts - 1 else stored(done, "decontaminate")
     return docs
 
@@ -169,4 +169,4 @@ def cleaned(scanned: DataFrame, *, drop_share: float = 0.5) -> DataFrame:
             arrays = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in schema.fields]
             yield pa.RecordBatch.from_arrays(arrays, schema.fieldNames()).filter(pa.array(keep))
 
-    return scanned.mapInArrow(cut, schema)
+    return bounded(scanned).mapInArrow(cut, schema)

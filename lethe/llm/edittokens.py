@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lethe.llm.common import slices, without
+from lethe.llm.common import bounded, slices, without
 from lethe.llm.tokens import _BEYOND, _SPACE, Encoder, _classes, encoder
 
 LEAF_CHARS = 192
@@ -192,7 +192,7 @@ def build(docs: DataFrame, vocabulary: str, *, leaf_chars: int = LEAF_CHARS) ->
             sums = pa.array([int(t.sum()) for _, t in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, _state(found), sums], schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(run, schema)
 
 
 def apply(trees: DataFrame, vocabulary: str, *, leaf_chars: int = LEAF_CHARS) -> DataFrame:
@@ -215,7 +215,7 @@ def apply(trees: DataFrame, vocabulary: str, *, leaf_chars: int = LEAF_CHARS) ->
             state = _state([r[1].leaves for r in rows])
             yield pa.RecordBatch.from_arrays([*columns, state, *(pa.array(x, pa.int64()) for x in numbers)], schema.fieldNames())
 
-    return trees.mapInArrow(run, schema)
+    return bounded(trees).mapInArrow(run, schema)
 
 
 def replacing(docs: DataFrame, pattern: str, replacement: str) -> DataFrame:
@@ -230,4 +230,4 @@ def replacing(docs: DataFrame, pattern: str, replacement: str) -> DataFrame:
             edits = [[{"start": m.start(), "stop": m.end(), "text": replacement} for m in find(t or "")] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edits, kind)], schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(run, schema)

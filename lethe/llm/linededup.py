@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import fresh, stored, without
+from lethe.llm.common import bounded, fresh, stored, without
 
 MIN_LINES = 2
 _DOC = ("doc_id", "_th")
@@ -63,7 +63,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     """Replace the key (a, b) by its rank, the number of lesser suffixes, and the size n of its class."""
     groups = rows.groupBy("a", "b").agg(F.count("*").alias("n"))
     ordered = groups.repartitionByRange("a", "b").sortWithinPartitions("a", "b")
-    local = stored(ordered.mapInArrow(_running, "a long, b long, n long, part long, before long"), "ranks")
+    local = stored(bounded(ordered).mapInArrow(_running, "a long, b long, n long, part long, before long"), "ranks")
     sums = local.groupBy("part").agg(F.sum("n").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
@@ -138,7 +138,7 @@ def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, counts)], schema.fieldNames())
 
-    return joined.mapInArrow(cut, schema)
+    return bounded(joined).mapInArrow(cut, schema)
 
 
 def digests(deduped: DataFrame) -> DataFrame:

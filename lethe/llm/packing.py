@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.common import slices, stored
+from lethe.llm.common import bounded, slices, stored
 from lethe.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -45,7 +45,7 @@ def sizes(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     chosen = docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text").alias("cluster"), "text")
-    return chosen.mapInArrow(count, "doc_id long, source string, cluster long, n_tokens long")
+    return bounded(chosen).mapInArrow(count, "doc_id long, source string, cluster long, n_tokens long")
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[int]:

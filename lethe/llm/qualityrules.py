@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.common import mixed, slices, span_hashes, spans, stored, text_bytes, window_hashes
+from lethe.llm.common import bounded, mixed, slices, span_hashes, spans, stored, text_bytes, window_hashes
 
 RISK, ERROR = 0.02, 0.05
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
@@ -107,7 +107,7 @@ def measure(docs: DataFrame) -> DataFrame:
                 ["doc_id", "lang", *MEASURES])
 
     schema = "doc_id long, lang string, " + ", ".join(f"{name} long" for name in MEASURES)
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(run, schema)
+    return bounded(docs).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(run, schema)
 
 
 def base_failed() -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import components, fresh, lowered, slices, spans, stored, text_bytes
+from lethe.llm.common import bounded, components, fresh, lowered, slices, spans, stored, text_bytes
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = fingerprints_of(*text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _masks(n: int) -> list[int]:
@@ -199,4 +199,4 @@ def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
             found = fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return bounded(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))

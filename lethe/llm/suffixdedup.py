@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lethe.llm import induced
-from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, fresh, mixed, slices, span_hashes, spans, text_bytes, without
+from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, bounded, fresh, mixed, slices, span_hashes, spans, text_bytes, without
 
 LENGTH, ANCHOR = 100, 20
 #: Shards for each shuffle partition; a shard is held by one task while its text is sorted.
@@ -207,7 +207,7 @@ def marks(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> Dat
     """Runs of windows (doc_id, th, first and last start) that are seen earlier."""
     spark = docs.sparkSession
     shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = _keyed(docs).mapInArrow(_cut(shards, length, anchor), "shard long, blob binary")
+    cut = _keyed(bounded(docs)).mapInArrow(_cut(shards, length, anchor), "shard long, blob binary")
 
     def solve(group: pa.Table) -> pa.Table:
         blobs = [b.as_py() for b in group.column("blob")]
@@ -267,7 +267,7 @@ def dedup(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> Dat
                 + [pa.array(np.diff(offsets)), pa.array(np.diff(before).astype(np.int64)), pa.array(n_spans), pa.array(texts, pa.binary())],
                 schema.fieldNames())
 
-    return joined.mapInArrow(remove, schema)
+    return bounded(joined).mapInArrow(remove, schema)
 
 
 def digests(deduped: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import lowered, slices, span_hashes, spans, stored, text_bytes, without
+from lethe.llm.common import bounded, lowered, slices, span_hashes, spans, stored, text_bytes, without
 
 WIDTHS = (1, 2, 3)
 SIZE, FILTERS = 8, 16
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 ["doc_id", "y", "n", "word", "stem"])
 
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
-    rows = stored(chosen.mapInArrow(numbers, "doc_id long, y int, n long, word binary, stem binary"), "sample")
+    rows = stored(bounded(chosen).mapInArrow(numbers, "doc_id long, y int, n long, word binary, stem binary"), "sample")
     # Whole texts up to the bound of words; the sizes are looked at before the texts are fetched.
     sizes = [(r.n, r.doc_id) for r in rows.select("n", "doc_id").orderBy("n", "doc_id").limit(2 * SAMPLE).collect()]
     within = int(np.searchsorted(np.cumsum([n for n, _ in sizes]), SAMPLE_WORDS, side="right"))
@@ -215,7 +215,7 @@ def answers(docs: DataFrame, model: Model, *, keep_text: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [pa.array(found)], [f.name for f in kept] + ["answer"])
 
-    return docs.mapInArrow(run, T.StructType([*kept, T.StructField("answer", T.DoubleType())]))
+    return bounded(docs).mapInArrow(run, T.StructType([*kept, T.StructField("answer", T.DoubleType())]))
 
 
 def calibrate(model: Model, answered: DataFrame, labels: DataFrame) -> Model:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lethe.llm.common import slices
+from lethe.llm.common import bounded, slices
 from lethe.llm.tokens import encoder
 
 #: Ids after which a block is closed at the next end of a document.
@@ -206,7 +206,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = END_ID,
     # The partition of a range sort is its place in the order, so shard numbers ascend with doc_id.
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInArrow(_blocks(vocabulary, end_id, block_ids), FILE_SCHEMA).write.option(
+    bounded(ordered).mapInArrow(_blocks(vocabulary, end_id, block_ids), FILE_SCHEMA).write.option(
         "compression", "uncompressed").parquet(path)
 
 
@@ -238,5 +238,5 @@ def digests(blocks: DataFrame) -> DataFrame:
                     pa.array(lengths), pa.array(crc, pa.int64()),
                 ], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return blocks.select("start", "image").mapInArrow(
+    return bounded(blocks).select("start", "image").mapInArrow(
         check, "doc_id long, start long, n_tokens long, ids_crc32 long")
