@@ -270,6 +270,46 @@ def job_mask_execution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, InputSpec("parquet", plan.output.path))
 
 
+def months_job(layout: str | None):
+    """Three monthly runs, the second one twice; everything masked so far has to be there once."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = fx.stored(order_data(spark, sf_dir), "orders")
+        row = {"base": "sales", "table_name": "orders", "input_format": "parquet", "input_path": source, "partition_column": "dt",
+               "partition_value_format": "yyyyMM", "output_format": "parquet", "output_path": scratch_path(spark, "months"),
+               "output_partitioned_by": layout, "conserv_duration": "12", "declencheur": "execution",
+               "column_name": "o_orderpriority", "anonymisation_methode": "XReplace"}
+        schema = ", ".join(f"{c} string" for c in CONFIG_COLUMNS)
+        config = typed_config(spark.createDataFrame([tuple(row.get(c) for c in CONFIG_COLUMNS)], schema))
+        counts = {}
+        for month in (2, 3, 3, 4):
+            report = jobs.run(spark, config, replace(RUN, run_date=date(1998, month, 15), mode="normal"))
+            counts[month] = report.masked[0].rows_out
+        found = load(spark, InputSpec("parquet", row["output_path"]))
+        return found.select("o_orderkey", "o_orderpriority", "dt", F.lit(sum(counts.values())).alias("rows_out"))
+
+    return run
+
+
+for _name, _layout in (("job_mask_months", None), ("job_mask_months_by_status", "o_orderstatus")):
+    query(_name, f"""SELECT o_orderkey, repeat('X', length({BARE_PRIORITY})) AS o_orderpriority, strftime(o_orderdate, '%Y%m') AS dt,
+        CAST(count(*) OVER () AS INT) AS rows_out
+      FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1997-04-01'""")(months_job(_layout))
+
+
+@query("job_purge_unmasked", """SELECT strftime(o_orderdate, '%Y%m') AS dt, count(*) AS row_count FROM orders
+  WHERE strftime(o_orderdate, '%Y%m') NOT IN ('199703', '199704') GROUP BY ALL""")
+def job_purge_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only two months were masked, so a purge of everything old leaves the other months where they are."""
+    source = InputSpec("table", table=month_table(spark, sf_dir, "unmasked"))
+    plan = replace(execution_plan(source, scratch_path(spark, "masked")), purge_months=12, rules=EVENT_RULES)
+    for month in (4, 5):
+        jobs.retain_mask(spark, plan, replace(RUN, run_date=date(1998, month, 15), mode="normal"))
+    jobs.purge(spark, plan, replace(RUN, run_date=date(1998, 6, 15)), only_masked=True)
+    return load(spark, source).groupBy("dt").agg(F.count("*").alias("row_count"))
+
+
 @query("job_purge", """SELECT strftime(o_orderdate, '%Y%m') AS dt, count(*) AS row_count FROM orders
   WHERE strftime(o_orderdate, '%Y%m') >= '199801' GROUP BY ALL""")
 def job_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +351,21 @@ def job_mask_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, InputSpec("parquet", plan.output.path))
 
 
+@query("job_mask_event_days", f"""SELECT m.o_orderkey, CASE WHEN e THEN repeat('X', length({BARE_PRIORITY})) ELSE o_orderpriority END AS o_orderpriority
+  FROM (SELECT *, o_custkey IN ({fx.EXPIRED_DUCK}) AS e, strftime(o_orderdate, '%Y%m') AS dt FROM orders) AS m
+  WHERE dt IN (SELECT strftime(o_orderdate, '%Y%m') FROM orders WHERE o_custkey IN ({fx.EXPIRED_DUCK}))""")
+def job_mask_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over disjoint groups of persons, the second one twice: both groups stay masked."""
+    plan = event_plan(spark, sf_dir)
+    people = load(spark, plan.clock.source).where("dt = '199612'").drop("dt")
+    days = people.withColumn("dt", F.when(F.col("o_custkey") % 2 == 0, "19970114").otherwise("19970115"))
+    clock = replace(plan.clock, source=InputSpec("parquet", fx.stored(days, "days")), value_format="yyyyMMdd", frequency="jours")
+    plan = replace(plan, clock=clock, rules=EVENT_RULES[:1])
+    for day in (15, 16, 16):
+        jobs.retain_mask_by_event(spark, plan, replace(EVENT_RUN, run_date=date(1997, 1, day)))
+    return load(spark, InputSpec("parquet", plan.output.path)).select("o_orderkey", "o_orderpriority")
+
+
 def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration of three tables: two on the run date, one of them purged, and one on events."""
     orders = month_table(spark, sf_dir, "run")

@@ -277,6 +277,50 @@ over_pii("mask_date", "birth", "randomDates",
 over_pii("mask_bool", "optin", "randomBooleans", unless_null("optin", f"{number(row['optin'], 1, 8)} % 2 = 1"))
 over_table("mask_permute", "orders", ("o_orderkey",), "o_totalprice", "keepDistribution",
            permuted("o_totalprice", "orders", "o_orderkey"))
+SPARSE = "(SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 20000 = 7 THEN l_comment_no END AS v FROM (SELECT *, l_partkey * 10 + l_linenumber AS l_comment_no FROM lineitem)) AS x"
+
+
+def two_keys(column: str) -> str:
+    return f"sha256(concat_ws('|', sha256('{fx.CHECK_KEY}|{column}'), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+
+
+def permuted_lines(column: str, table: str) -> str:
+    return f"""
+      SELECT l_orderkey, l_linenumber, coalesce(lead({column}) OVER w,
+          first_value({column}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS {column}
+      FROM {table} WHERE {column} IS NOT NULL
+      WINDOW w AS (ORDER BY {number(two_keys(column), 1, 15)}, l_orderkey, l_linenumber, {column})
+      UNION ALL SELECT l_orderkey, l_linenumber, {column} FROM {table} WHERE {column} IS NULL"""
+
+
+over_table("mask_permute_lines", "lineitem", ("l_orderkey", "l_linenumber"), "l_extendedprice", "keepDistribution",
+           permuted_lines("l_extendedprice", "lineitem"))
+
+
+def mask_permute_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with a value in one of some twenty thousand orders: each value moves to another row."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 20000 == 7, F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("v"))
+    return apply_rules(lines, [Rule("v", "keepDistribution")], fx.context("l_orderkey", "l_linenumber"))
+
+
+QUERIES["mask_permute_sparse"] = mask_permute_sparse
+ORACLES["mask_permute_sparse"] = permuted_lines("v", SPARSE)
+
+
+def mask_id_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers masked under one key domain still join."""
+    rule = {"domain": "customer"}
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("cust"))
+    customers = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("client"), "c_mktsegment")
+    left = apply_rules(orders, [Rule("cust", "consistentStringFormatPreserving", rule)], fx.context())
+    right = apply_rules(customers, [Rule("client", "consistentStringFormatPreserving", rule)], fx.context())
+    return left.join(right, F.col("cust") == F.col("client")).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
+QUERIES["mask_id_join"] = mask_id_join
+ORACLES["mask_id_join"] = "SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"
 over_pii("mask_permute_nulls", "birth", "keepDistribution", None, statement=permuted("birth", "pii", ROW))
 over_pii("mask_sha1", "label", "hashWithSha1", f"sha1({label})")
 over_pii("mask_sha1_salt", "label", "hashWithSha1", f"sha1('pepper' || {label})", {"salt": "pepper"})
@@ -295,22 +339,37 @@ def fpe_num_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened
 
 
+def fpe_num_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By digit count: all ciphers differ from each other, and most from their number where there are enough numbers."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").alias("value"))
+    closed = apply_rules(orders, [Rule("value", "consistentNumericFormatPreserving")], fx.context())
+    return closed.groupBy(F.length(F.col("o_orderkey").cast("string")).alias("digits")).agg(
+        F.count_distinct("value").alias("ciphers"),
+        ((F.avg((F.col("value") != F.col("o_orderkey")).cast("int")) > 0.9) | (F.count("*") < 100)).alias("changed"))
+
+
 def fpe_str_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole conversation turns: encrypted, then decrypted."""
-    turns = fx.table(spark, sf_dir, "conversations").withColumn("value", F.col("text"))
-    closed = apply_rules(turns, [Rule("value", "consistentStringFormatPreserving")], fx.context())
-    opened = apply_rules(
-        closed.withColumn("length_kept", F.length("value") == F.length("text")),
-        [Rule("value", "consistentStringFormatPreservingDecryption")], fx.context())
-    return opened.select("conv_id", "turn", "value", "length_kept")
+    """Whole documents: encrypted, then decrypted; ``changed`` where the text in between was another one."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("value"))
+    closed = apply_rules(docs, [Rule("value", "consistentStringFormatPreserving")], fx.context())
+    marked = closed.withColumns({
+        "length_kept": F.length("value") == F.length("text"),
+        # A text of few letters may be its own cipher; one of twenty practically never.
+        "changed": (F.col("value") != F.col("text")) | (F.length("text") < 20)})
+    opened = apply_rules(marked, [Rule("value", "consistentStringFormatPreservingDecryption")], fx.context())
+    return opened.select("doc_id", "value", "length_kept", "changed")
 
 
 QUERIES["fpe_num_roundtrip"] = fpe_num_roundtrip
 ORACLES["fpe_num_roundtrip"] = "SELECT o_orderkey, o_orderkey AS value, TRUE AS length_kept FROM orders"
+QUERIES["fpe_num_changed"] = fpe_num_changed
+ORACLES["fpe_num_changed"] = (
+    "SELECT length(CAST(o_orderkey AS VARCHAR)) AS digits, count(*) AS ciphers, TRUE AS changed FROM orders GROUP BY ALL"
+)
 QUERIES["fpe_str_roundtrip"] = fpe_str_roundtrip
 ORACLES["fpe_str_roundtrip"] = (
-    f"SELECT conv_id, turn, {words('text')} AS value, CASE WHEN {words('text')} IS NULL THEN NULL ELSE TRUE END "
-    "AS length_kept FROM conversations"
+    f"SELECT doc_id, {words('text')} AS value, CASE WHEN {words('text')} IS NULL THEN NULL ELSE TRUE END AS length_kept, "
+    f"CASE WHEN {words('text')} IS NULL THEN NULL ELSE TRUE END AS changed FROM documents"
 )
 
 TABLE_RULES = [
