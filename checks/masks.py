@@ -360,6 +360,28 @@ def fpe_str_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened.select("doc_id", "value", "length_kept", "changed")
 
 
+def fpe_num_cipher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("bigint").alias("value"))
+    return apply_rules(orders, [Rule("value", "consistentNumericFormatPreserving")], fx.context())
+
+
+def cipher_duck() -> str:
+    """Ten rounds as ten subqueries, on the rectangle of each digit count."""
+    low, n1, n2 = (
+        "[" + ", ".join(str(10**d if k == 0 and d else 0 if k == 0 else (9 * 10 ** (d // 2), 10 ** (d - d // 2))[k - 1]
+                            if d else (1, 10)[k - 1]) for d in range(18)) + "][place]"
+        for k in range(3)
+    )
+    sql = f"""SELECT o_orderkey, {low} AS low, {n1} AS n1, {n2} AS n2, (o_orderkey - {low}) // {n2} AS a,
+        (o_orderkey - {low}) % {n2} AS b, concat_ws('|', sha256('{fx.CHECK_KEY}|value'), '1', place) AS label
+      FROM (SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, length(CAST(o_orderkey AS VARCHAR)) AS place FROM orders) AS o"""
+    for i in range(10):
+        h, cells = f"sha256(concat_ws('|', label, '{i}', b))", ("n1", "n2")[i % 2]
+        sql = f"SELECT o_orderkey, low, n1, n2, b AS a, (a + {number(h, 1, 15)} % {cells}) % {cells} AS b, label FROM ({sql}) AS r{i}"
+    return f"SELECT o_orderkey, a * n2 + b + low AS value FROM ({sql}) AS done"
+
+
+QUERIES["fpe_num_cipher"], ORACLES["fpe_num_cipher"] = fpe_num_cipher, cipher_duck()
 QUERIES["fpe_num_roundtrip"] = fpe_num_roundtrip
 ORACLES["fpe_num_roundtrip"] = "SELECT o_orderkey, o_orderkey AS value, TRUE AS length_kept FROM orders"
 QUERIES["fpe_num_changed"] = fpe_num_changed

@@ -1,12 +1,13 @@
 """Format-preserving encryption of texts and whole numbers.
 
 A Feistel network over the characters that belong to an
-alphabet, in the manner of FFX, with keyed BLAKE2b as round function. It is not
-the certified FF1 mode, and short values are weak: a domain of n values hides
+alphabet, in the manner of FFX. It is not the certified FF1 mode, and short values are weak: a domain of n values hides
 at most among n. Characters outside the alphabet keep their place.
 
-There is no JVM function for this, so it runs as an Arrow UDF; each batch
-computes every distinct value once.
+Whole numbers of up to 64 bits are built-in expressions: keyed SHA-256 in the rounds, on a
+rectangle that has exactly as many cells as there are numbers of the size. Texts and wide
+decimals have no JVM function for their arithmetic, so they run as an Arrow UDF, with
+keyed BLAKE2b; each batch computes every distinct value once.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType, StringType
 
+from lethe.functions.text import let
+
 ROUNDS = 10
 #: Characters of an alphabet in a block of a long text; the last block has up to twice as many.
 BLOCK_CHARACTERS = 128
@@ -119,6 +123,95 @@ def translate_number(number: int, largest: int, key: bytes, forward: bool) -> in
             return sign * (lowest + offset)
 
 
+def _factors(count: int) -> tuple[int, int]:
+    """Two factors of a count, as close to each other as a short search finds."""
+    if count % 10 == 0:
+        lead, zeros = count, 0
+        while lead % 10 == 0:
+            lead, zeros = lead // 10, zeros + 1
+        return lead * 10 ** (zeros // 2), 10 ** (zeros - zeros // 2)
+    best = 1
+    for divisor in range(1, min(math.isqrt(count), 1 << 20) + 1):
+        if count % divisor == 0:
+            best = divisor
+    return best, count // best
+
+
+def number_classes(largest: int, sign: int) -> list[tuple[int, int, int]]:
+    """Classes of sizes that are permuted among themselves: the lowest of each, and two factors of its count.
+
+    A class holds the numbers of one digit count; the last one, which the type cuts off, is split
+    at its last full power, so that its rests are classes of their own.
+    """
+    top, classes, low = largest + (sign < 0), [], 0 if sign > 0 else 1
+    while low <= top:
+        length = len(str(max(low, 1)))
+        high = 10**length - 1
+        if high <= top:
+            classes.append((low, *_factors(high - low + 1)))
+        else:
+            unit = 10 ** (length - 1)
+            full = max(top // unit * unit, low)
+            if full > low:
+                classes.append((low, *_factors(full - low)))
+            classes.append((full, *_factors(top - full + 1)))
+        low = high + 1
+    return classes
+
+
+def _whole_number(value: Column, largest: int, derived_key: str, forward: bool) -> Column:
+    """The permutation of ``number_classes`` as expressions.
+
+    The state of the rounds carries what they need, so that nothing is looked up in a round.
+    """
+    value = value.cast("bigint")
+
+    def of(sign: int) -> Column:
+        classes = number_classes(largest, sign)
+        # Negative sizes are compared and shifted as they are: the least long has no absolute value.
+        reached = [(value >= low) if sign > 0 else (value <= -low) for low, _, _ in classes[1:]]
+        place = reduce(lambda x, y: x + y.cast("int"), reached, F.lit(1))
+
+        def with_class(c: Column) -> Column:
+            return F.struct(
+                c.alias("place"),
+                *[F.element_at(F.array(*[F.lit(row[k]).cast("bigint") for row in numbers]), c).alias(name)
+                  for k, name, numbers in ((0, "low", classes_signed), (1, "n1", classes), (2, "n2", classes))],
+            )
+
+        classes_signed = [(sign * low, m, n) for low, m, n in classes]
+        order = range(ROUNDS) if forward else reversed(range(ROUNDS))
+        rounds = F.array(*[F.lit(i) for i in order])
+
+        def state(a: Column, b: Column, s: Column) -> Column:
+            return F.struct(a.alias("a"), b.alias("b"), s["n1"].alias("n1"), s["n2"].alias("n2"), s["label"].alias("label"))
+
+        def drawn(s: Column, i: Column, half: Column) -> Column:
+            text = F.concat_ws("|", s["label"], i.cast("string"), half.cast("string"))
+            return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+
+        def there(s: Column, i: Column) -> Column:
+            size = F.when(i % 2 == 0, s["n1"]).otherwise(s["n2"])
+            return state(s["b"], (s["a"] + drawn(s, i, s["b"]) % size) % size, s)
+
+        def back(s: Column, i: Column) -> Column:
+            size = F.when(i % 2 == 0, s["n1"]).otherwise(s["n2"])
+            return state((s["b"] - drawn(s, i, s["a"]) % size + size) % size, s["a"], s)
+
+        def moved(c: Column) -> Column:
+            offset = sign * (value - c["low"])
+            label = F.concat_ws("|", F.lit(derived_key), F.lit(str(sign)), c["place"].cast("string"))
+            first = F.struct(
+                F.call_function("div", offset, c["n2"]).alias("a"), (offset % c["n2"]).alias("b"),
+                c["n1"].alias("n1"), c["n2"].alias("n2"), label.alias("label"))
+            done = F.aggregate(rounds, first, there if forward else back)
+            return let(done, lambda s: sign * (s["a"] * s["n2"] + s["b"])) + c["low"]
+
+        return let(let(place, with_class), moved)
+
+    return F.when(value >= 0, of(1)).when(value < 0, of(-1))
+
+
 def _distinct(batch: pd.Series, change: Callable) -> pd.Series:
     """Apply a function to the distinct values of a batch; nulls stay."""
     codes, values = pd.factorize(batch)
@@ -143,7 +236,7 @@ def number_column(value: Column, dtype: DataType, derived_key: str, forward: boo
     if isinstance(dtype, DecimalType) and dtype.scale == 0:
         largest = 10**dtype.precision - 1
     elif type(dtype) in _LARGEST:
-        largest = _LARGEST[type(dtype)]
+        return _whole_number(value, _LARGEST[type(dtype)], derived_key, forward).cast(dtype)
     else:
         raise ValueError(f"format-preserving encryption needs text or whole numbers, not {dtype.simpleString()}")
     key = bytes.fromhex(derived_key)

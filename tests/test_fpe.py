@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from lethe.functions import fpe, prf
 from lethe.operators.masking import MaskContext, apply_rules
 from lethe.specs import Rule
@@ -74,6 +76,27 @@ def test_roundtrip_of_columns(spark, kind, values):
     assert sorted(other.collect()) != sorted(frame.collect())
 
 
+@pytest.mark.parametrize("kind, low, high", [("tinyint", -128, 127), ("smallint", -32768, 32767)])
+def test_expressions_permute_every_number_of_small_types(spark, kind, low, high):
+    frame = spark.range(low, high + 1).selectExpr(f"cast(id as {kind}) as v")
+    dtype = frame.schema["v"].dataType
+    closed = frame.select("v", fpe.number_column(F.col("v"), dtype, KEY.hex(), True).alias("c"))
+    rows = closed.select("v", "c", fpe.number_column(F.col("c"), dtype, KEY.hex(), False).alias("o")).collect()
+    assert sorted(r.c for r in rows) == list(range(low, high + 1)) and all(r.v == r.o for r in rows)
+    assert all(len(str(r.v)) == len(str(r.c)) and (r.v < 0) == (r.c < 0) for r in rows)
+    assert "Arrow" not in closed._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("largest", [127, 2**15 - 1, 2**31 - 1, 2**63 - 1])
+@pytest.mark.parametrize("sign", [1, -1])
+def test_classes_cover_a_type_without_gaps(largest, sign):
+    at = 0 if sign > 0 else 1
+    for low, first, second in fpe.number_classes(largest, sign):
+        assert low == at and len(str(low)) == len(str(low + first * second - 1))
+        at += first * second
+    assert at == largest + (sign < 0) + 1
+
+
 def test_long_texts_are_masked_whole():
     for text, rank in (("Zürich 12, " * 3000, TEXT_RANK), ("0123456789" * 2000, RANK), ("a" * 257, TEXT_RANK)):
         closed = fpe.translate_text(text, rank, KEY, True)
