@@ -138,6 +138,26 @@ def scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, spec)
 
 
+def scan_typed(dtype: str, value: str, wanted: tuple[str, ...]):
+    """Orders of three months from a table whose partition column is typed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = f"{scratch_database(spark, 'typed')}.orders_by_month"
+        orders = fx.table(spark, sf_dir, "orders").withColumn("dt", F.expr(value).cast(dtype))
+        orders.hint("rebalance", "dt").write.partitionBy("dt").format("parquet").saveAsTable(name)
+        return load(spark, InputSpec("table", table=name, partition_values=wanted))
+
+    return run
+
+
+query("scan_partitions_date", """SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS dt FROM orders
+  WHERE strftime(o_orderdate, '%Y%m') IN ('199602', '199711', '200007')""")(
+    scan_typed("date", "trunc(o_orderdate, 'MM')", ("19960201", "1997-11-01", "20000701")))
+query("scan_partitions_int", """SELECT *, CAST(strftime(o_orderdate, '%Y%m') AS INT) AS dt FROM orders
+  WHERE strftime(o_orderdate, '%Y%m') IN ('199602', '199711', '200007')""")(
+    scan_typed("int", "date_format(o_orderdate, 'yyyyMM')", ("199602", "199711", "200007")))
+
+
 @query(
     "scan_columns_min",
     f"""SELECT o_orderkey, o_totalprice FROM ({ORDERS_BY_MONTH}) AS o

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -213,6 +215,18 @@ row = {c: seed(c, ROW) for c in (
     "name", "email", "tel", "label", "amount_int", "amount_long", "amount_double", "birth", "optin")}
 over_pii("mask_firstname", "name", "firstname",
          unless_null("name", f"{names(FIRST_NAMES)}[{number(row['name'], 1, 8)} % {len(FIRST_NAMES)} + 1]"))
+NAMES_DUCK = "(SELECT list(DISTINCT p_name ORDER BY p_name) AS names FROM part WHERE p_name IS NOT NULL) AS n"
+
+
+def mask_firstname_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names drawn from a table, here the names of all parts."""
+    context = replace(fx.context(ROW), first_table=fx.table(spark, sf_dir, "part").select("p_name"))
+    return apply_rules(fx.pii(spark, sf_dir), [Rule("name", "firstname")], context).select(ROW, "name")
+
+
+QUERIES["mask_firstname_table"] = mask_firstname_table
+ORACLES["mask_firstname_table"] = f"""WITH pii AS MATERIALIZED ({fx.PII_DUCK})
+  SELECT {ROW}, {unless_null("name", f"names[{number(row['name'], 1, 15)} % len(names) + 1]")} AS name FROM pii, {NAMES_DUCK}"""
 over_pii("mask_lastname", "name", "lastname",
          unless_null("name", f"{names(LAST_NAMES)}[{number(row['name'], 1, 8)} % {len(LAST_NAMES)} + 1]"))
 last4 = "regexp_extract(card, '([0-9][^0-9]*){4}$')"

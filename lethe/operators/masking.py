@@ -13,6 +13,7 @@ from pyspark.sql.types import DataType, StringType
 from lethe.functions import blanking, drawing, fpe, prf, substitution
 from lethe.functions.text import null_words
 from lethe.identifiers import column_path
+from lethe.operators.dictionary import replace_by_names
 from lethe.operators.options import flag, parse_bounds, to_type
 from lethe.operators.permutation import permute
 from lethe.specs import Rule
@@ -28,6 +29,12 @@ class MaskContext:
     row_key: tuple[str, ...] = ()
     first_names: tuple[str, ...] = drawing.FIRST_NAMES
     last_names: tuple[str, ...] = drawing.LAST_NAMES
+    # Tables of names, in their first column; they go before the tuples.
+    first_table: DataFrame | None = field(default=None, repr=False, compare=False)
+    last_table: DataFrame | None = field(default=None, repr=False, compare=False)
+
+    def names_table(self, method: str) -> DataFrame | None:
+        return {"firstname": self.first_table, "lastname": self.last_table}.get(method)
 
 
 @dataclass(frozen=True)
@@ -172,7 +179,7 @@ def masked_columns(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -
     _check(df, rules)
     by_column: dict[str, list[Rule]] = {}
     for rule in rules:
-        if rule.method != PERMUTATION:
+        if rule.method != PERMUTATION and context.names_table(rule.method) is None:
             by_column.setdefault(rule.column, []).append(rule)
     return {c: masked_column(df, c, column_rules, context) for c, column_rules in by_column.items()}
 
@@ -180,8 +187,16 @@ def masked_columns(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -
 def permuted(
     df: DataFrame, rules: Sequence[Rule], context: MaskContext, where: Column | None = None
 ) -> DataFrame:
-    """The permutations among the rules, over all rows or those that meet a condition."""
+    """The permutations and tables of names among the rules, over all rows or those that meet a condition."""
     for rule in rules:
+        names = context.names_table(rule.method)
+        if names is not None:
+            if not context.row_key:
+                raise ValueError(f"names for {rule.column!r} need the columns that identify a row")
+            if sum(other.column == rule.column for other in rules) > 1:
+                raise ValueError(f"names of a table are the only mask of a column, not one of several: {rule.column!r}")
+            key = prf.column_key(context.key, rule.options.get("domain") or rule.column)
+            df = replace_by_names(df, rule.column, names, key, context.row_key, where)
         if rule.method == PERMUTATION:
             if not context.row_key:
                 raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")

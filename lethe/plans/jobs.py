@@ -57,8 +57,13 @@ class PurgeError(RuntimeError):
         super().__init__(str(cause))
 
 
-def _context(plan: TablePlan, run: Run) -> MaskContext:
-    names = {k: v for k, v in (("first_names", run.first_names), ("last_names", run.last_names)) if v}
+def _context(spark: SparkSession, plan: TablePlan, run: Run) -> MaskContext:
+    names = {}
+    for part, given in (("first", run.first_names), ("last", run.last_names)):
+        if isinstance(given, InputSpec):
+            names[f"{part}_table"] = load(spark, given)
+        elif given:
+            names[f"{part}_names"] = given
     return MaskContext(key=run.key, row_key=tuple(run.row_keys.get(plan.name, ())), **names)
 
 
@@ -139,7 +144,7 @@ def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
         expected = _partition_rows(data, plan.source.partition_column)
         rows_in = sum(expected.values())
         if expected:
-            masked = apply_rules(data, plan.rules, _context(plan, run))
+            masked = apply_rules(data, plan.rules, _context(spark, plan, run))
             rows_out = _save_checked(spark, plan, masked, expected)
     return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
@@ -198,7 +203,7 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
     everybody = remembered(spark, history)
     if not _fits_broadcast(everybody) and plan.output.partitions:
         plan = replace(plan, output=replace(plan.output, rebalance=True))
-    masked = mask_where(data, _for_join(everybody), PERSON, plan.rules, _context(plan, run), person)
+    masked = mask_where(data, _for_join(everybody), PERSON, plan.rules, _context(spark, plan, run), person)
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask
     return TableRun(plan.base, plan.table, tuple(sorted(expected)), to_mask, written - kept, start, datetime.now(), unreadable)

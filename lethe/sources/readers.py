@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from contextlib import AbstractContextManager
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -37,6 +37,18 @@ def string_partitions(spark: SparkSession) -> AbstractContextManager[None]:
     return setting(spark, _INFERENCE, "false")
 
 
+def _located(spark: SparkSession, reader: DataFrameReader, spec: InputSpec) -> tuple[DataFrameReader, str | list[str]]:
+    """Where to read from. To infer a schema only the wanted partition folders are opened, if they are there."""
+    if spec.schema is not None or not spec.partition_values or not spec.path:
+        return reader, spec.path
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    base = spec.path.rstrip("/")
+    wanted = [f"{base}/{spec.partition_column}={value}" for value in spec.partition_values]
+    files = hadoop.Path(base).getFileSystem(conf)
+    found = [folder for folder in wanted if files.exists(hadoop.Path(folder))]
+    return (reader.option("basePath", base), found) if found else (reader, spec.path)
+
+
 def _read_csv(spark: SparkSession, spec: InputSpec) -> DataFrame:
     reader = (
         spark.read.option("sep", spec.delimiter or CSV_DELIMITER)
@@ -45,14 +57,16 @@ def _read_csv(spark: SparkSession, spec: InputSpec) -> DataFrame:
     )
     if spec.schema is not None:
         return reader.schema(spec.schema).csv(spec.path)
-    return reader.option("inferSchema", True).csv(spec.path)
+    reader, where = _located(spark, reader.option("inferSchema", True), spec)
+    return reader.csv(where)
 
 
 def _read_json(spark: SparkSession, spec: InputSpec) -> DataFrame:
     reader = spark.read.option("timestampFormat", JSON_TIMESTAMP_FORMAT)
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
-    return reader.json(spec.path)
+    reader, where = _located(spark, reader, spec)
+    return reader.json(where)
 
 
 def _read_self_describing(spark: SparkSession, spec: InputSpec) -> DataFrame:
@@ -71,7 +85,8 @@ def _read_xml(spark: SparkSession, spec: InputSpec) -> DataFrame:
     )
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
-    return reader.load(spec.path)
+    reader, where = _located(spark, reader, spec)
+    return reader.load(where)
 
 
 def _partition_fields(lines: DataFrame) -> list[str]:

@@ -121,9 +121,10 @@ class Run:
     principal: str = ""
     stock_start: date = date(2013, 1, 1)
     history: str | None = None
-    # Lists for the masks ``firstname`` and ``lastname``; empty: the lists of the library.
-    first_names: tuple[str, ...] = field(default=(), repr=False)
-    last_names: tuple[str, ...] = field(default=(), repr=False)
+    # Names for the masks ``firstname`` and ``lastname``: short lists, or inputs whose first column has
+    # them. Without either the lists of the library are used.
+    first_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)
+    last_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)
 
     @property
     def month(self) -> str:

@@ -196,3 +196,14 @@ def test_typed_partition_columns(spark, path, kind, wanted, text):
 def test_overwriting_without_partitions_is_refused(spark, data, path):
     with pytest.raises(ValueError, match="replace everything"):
         save(data, OutputSpec("parquet", path("p"), mode="overwrite_partitions"))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_inference_opens_the_wanted_folder_only(spark, data, path, fmt):
+    frame = spark.createDataFrame([(1, "a", "200001"), (2, "b", "200002")], "id int, v string, dt string")
+    save(frame, OutputSpec(fmt, path("i"), partition_column="dt"))
+    one = load(spark, InputSpec(fmt, path("i"), partition_values=("200001", "199901")))
+    assert [(r.id, r.v, r.dt) for r in one.collect()] == [(1, "a", "200001")]
+    assert all("dt=200001" in f for f in one.inputFiles()) and len(one.inputFiles()) >= 1
+    scanned = one._jdf.queryExecution().analyzed().toString()
+    assert load(spark, InputSpec(fmt, path("i"), partition_values=("199901",))).count() == 0 and scanned
