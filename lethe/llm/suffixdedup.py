@@ -2,50 +2,51 @@
 
 Each window of ``LENGTH`` bytes has an anchor, the ``ANCHOR``-byte string in it of least hash;
 equal windows have equal anchors at equal places. Neighbouring windows of one anchor make a
-segment, and segments are dealt over shards by their anchor, so equal windows meet in one
-shard whatever documents they are in. A task first drops copies of segments that it
+segment, so what repeats lies in segments whose anchors repeat.
+
+Texts are packed into slices of some megabytes, a table bucketed by slice, so that what is
+found out about a slice comes back to it without moving texts again. First the anchors' hashes
+alone are dealt out and counted, and each slice learns which of its anchors occur elsewhere.
+Then the segments of those are dealt over shards by their anchor: equal windows meet in one
+shard whatever documents they are in. A slice first drops copies of segments that it
 holds itself, which keeps a text in a third of all documents one row for each slice.
 
-In a shard, segments whose anchor occurs once are done, and of equal segments all but the
-first are repeats. The rest, with a mark after each segment, goes through external
-induced sorting (``induced``): suffixes in order with their common prefixes, where a
-run of common prefixes of ``LENGTH`` or more is one repeated string. Its first place
-by (document, start) stays.
+In a shard, of equal segments all but the first are repeats. The different segments of an
+anchor, with a mark after each segment, go through external induced sorting (``induced``):
+suffixes in order with their common prefixes, where a run of common prefixes of
+``LENGTH`` or more is one repeated string. Its first place by (document, start) stays.
 
 Order and ties: documents come in order of doc_id (null first), those of one id in order of a
 hash of the text; rows alike in both count as one document, and each keeps the same bytes.
 Nulls: a null text is empty. Short texts have no window. An empty table gives no rows.
-``dedup`` passes further columns through; result columns replace their namesakes. Where a removal
-leaves broken UTF-8, ``kept`` is still exact, since it is binary.
+Other columns are not read. Where a removal leaves broken UTF-8, ``kept`` is still exact,
+since it is binary.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lethe.llm import induced
-from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, bounded, fresh, mixed, slices, span_hashes, spans, text_bytes, without
+from lethe.llm.common import _BASE, _BASE_INVERSE, _power_table, bounded, mixed, slices, span_hashes, spans, text_bytes
+from lethe.scratch import scratch_database
 
 LENGTH, ANCHOR = 100, 20
 #: Shards for each shuffle partition; a shard is held by one task while its text is sorted.
 SHARDS_PER_PARTITION = 3
-MARKS = "doc_id long, th long, first long, last long"
-RESULT = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary"}
+SLICE = 2 << 20
+SLICES = "slice long, image binary"
+MARKS = "slice long, row int, first int, last int"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 _NO_ID = -(1 << 63)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Null ids as the least long; they have a flag of their own only in the final join."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.xxhash64(F.lit(7), "text").alias("th"), "text")
-
-
 def segments(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Text, first and last window (from the text's start), and anchor (likewise) of each segment."""
     n, none = len(data), np.zeros(0, np.int64)
@@ -95,85 +96,159 @@ def _places(ids: np.ndarray, th: np.ndarray) -> np.ndarray:
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
-    sizes = np.array([a.nbytes for a in arrays], np.int64).tobytes()
-    raw = sizes + b"".join(a.tobytes() for a in arrays)
+    kinds = "".join(a.dtype.char for a in arrays).encode()
+    head = bytes([len(kinds)]) + kinds + np.array([a.nbytes for a in arrays], np.int64).tobytes()
+    raw = head + b"".join(a.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-_KINDS = (np.int64, np.int64, np.int32, np.int32, np.int32, np.uint8, np.uint8)
-
-
 def _unpack(blob: bytes) -> list[np.ndarray]:
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    sizes = np.frombuffer(raw, np.int64, len(_KINDS))
-    at = np.cumsum(sizes) - sizes + 8 * len(_KINDS)
-    return [np.frombuffer(raw, k, int(s) // np.dtype(k).itemsize, int(a)) for k, s, a in zip(_KINDS, sizes, at, strict=True)]
+    kinds = raw[1 : 1 + raw[0]].decode()
+    sizes = np.frombuffer(raw, np.int64, len(kinds), 1 + len(kinds))
+    at = np.cumsum(sizes) - sizes + 1 + 9 * len(kinds)
+    return [np.frombuffer(raw, k, int(n) // np.dtype(k).itemsize, int(i)) for k, n, i in zip(kinds, sizes, at, strict=True)]
+
+
+def _packed_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of SLICES; a slice is named by its content, so every attempt of a task names it alike."""
+    for batch in slices(batches, size=SLICE):
+        data, offsets = text_bytes(batch.column("text"))
+        ids, th = (batch.column(k).to_numpy() for k in ("doc_id", "th"))
+        known = batch.column("known").to_numpy(zero_copy_only=False).astype(np.uint8)
+        image = _pack([ids, known, th, np.diff(offsets), data])
+        name = int.from_bytes(hashlib.blake2b(image, digest_size=8).digest(), "little", signed=True)
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([image])], ["slice", "image"])
+
+
+class _Slice:
+    """One slice opened: documents, their segments, and the hash of each segment's anchor."""
+
+    def __init__(self, image: bytes, length: int, anchor: int):
+        self.ids, self.known, self.th, size, self.data = _unpack(image)
+        self.offsets = np.concatenate([[0], np.cumsum(size)])
+        self.doc, self.first, self.last, self.place = segments(self.data, self.offsets, length, anchor)
+        at = self.offsets[self.doc] + self.place
+        self.key = span_hashes(self.data, at, at + anchor)
+        self.anchors, self.inverse, self.count = np.unique(self.key, return_inverse=True, return_counts=True)
+
+    def dealt(self, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Places of the anchors in order of their shard, and (shard, begin, end) in that order."""
+        shard = (self.anchors % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        return order, _runs(shard[order])
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int, int]]:
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(values)) + 1, [len(values)]]) if len(values) else np.zeros(1, np.int64)
+    return [(int(values[a]), a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _anchors(shards: int, length: int, anchor: int):
+    """Rows (shard, slice, keys): the different anchors of each slice, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, image in zip(batch.column("slice").to_pylist(), batch.column("image"), strict=True):
+                own = _Slice(image.as_py(), length, anchor)
+                order, runs = own.dealt(shards)
+                rows = [(s, name, own.anchors[order[a:b]].tobytes()) for s, a, b in runs]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                        ["shard", "slice", "keys"])
+
+    return run
+
+
+def _again(group: pa.Table) -> pa.Table:
+    """For each slice, a bit for each of its anchors in this shard: does another slice have it, too?"""
+    keys = [np.frombuffer(b.as_py(), np.uint64) for b in group.column("keys")]
+    _, inverse, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    bits, at = [], 0
+    for own in keys:
+        bits.append(np.packbits(count[inverse[at : at + len(own)]] > 1).tobytes())
+        at += len(own)
+    return pa.table({"shard": group.column("shard"), "slice": group.column("slice"), "bits": pa.array(bits, pa.binary())})
 
 
 def _cut(shards: int, length: int, anchor: int):
-    """Rows (shard, blob) of segments to compare, and with shard -1 the repeats known already."""
+    """Rows (shard, blob) of segments to compare, and with shard below 0 the repeats known already."""
+
+    def of(name: int, image: bytes, answers: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
+        own = _Slice(image, length, anchor)
+        order, runs = own.dealt(shards)
+        shared = own.count > 1
+        for s, a, b in runs:
+            shared[order[a:b]] |= np.unpackbits(np.frombuffer(answers[s], np.uint8), count=b - a).astype(bool)
+        chosen = np.flatnonzero(shared[own.inverse])
+        if not len(chosen):
+            return
+        doc, first, last, place, key = (x[chosen] for x in (own.doc, own.first, own.last, own.place, own.key))
+        start, size = own.offsets[doc] + first, last - first + length
+        content = span_hashes(own.data, start, start + size)
+        rank = (_places(own.ids, own.th)[doc] << 32) + first
+        order, head, new = _copies(key, content, rank)
+        again = order[rank[order] > rank[head]]
+        if len(again):
+            yield -1 - int(name % shards), _pack([np.array([name]), doc[again].astype(np.int32), first[again].astype(np.int32), last[again].astype(np.int32)])
+        # Rows alike count as one document: each of them is sent, since each needs its marks.
+        kept = np.sort(order[new | (rank[order] == rank[head])])
+        target = (key[kept] % np.uint64(shards)).astype(np.int64)
+        kept = kept[np.argsort(target, kind="stable")]
+        for s, a, b in _runs(np.sort(target)):
+            part = kept[a:b]
+            rows, local = np.unique(doc[part], return_inverse=True)
+            yield s, _pack([
+                np.full(1, name), own.ids[rows], own.th[rows], rows.astype(np.int32), local.astype(np.int32), first[part].astype(np.int32),
+                size[part].astype(np.int32), (place[part] - first[part]).astype(np.uint8), _gather(own.data, start[part], size[part])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, size=2 << 20):  # more text finds more copies in the task
-            data, offsets = text_bytes(batch.column("text"))
-            ids, th = (batch.column(k).to_numpy() for k in ("doc_id", "th"))
-            doc, first, last, place = segments(data, offsets, length, anchor)
-            if not len(doc):
-                continue
-            start, size = offsets[doc] + first, last - first + length
-            key = span_hashes(data, offsets[doc] + place, offsets[doc] + place + anchor)
-            content = span_hashes(data, start, start + size)
-            rank = (_places(ids, th)[doc] << 32) + first
-            order = np.lexsort((rank, content, key))
-            new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])])
-            head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            again = order[rank[order] > rank[head]]
-            kept = np.sort(order[new])
-            target = (key[kept] % np.uint64(shards)).astype(np.int64)
-            kept = kept[np.argsort(target, kind="stable")]
-            target = np.sort(target)
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(target)) + 1, [len(target)]])
-            rows = [(-1, _pack([ids[doc[again]], th[doc[again]], first[again].astype(np.int32), last[again].astype(np.int32)]))] if len(again) else []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                own = kept[a:b]
-                docs, local = np.unique(doc[own], return_inverse=True)
-                rows.append((int(target[a]), _pack([
-                    ids[docs], th[docs], local.astype(np.int32), first[own].astype(np.int32), size[own].astype(np.int32),
-                    (place[own] - first[own]).astype(np.uint8), _gather(data, start[own], size[own])])))
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], ["shard", "blob"])
+        for batch in batches:
+            for name, image, answers in zip(*(batch.column(k) for k in ("slice", "image", "answers")), strict=True):
+                known = {x["shard"]: x["bits"] for x in answers.as_py() or ()}
+                rows = list(of(name.as_py(), image.as_py(), known))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([s for s, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], ["shard", "blob"])
 
     return run
 
 
-def _table(ids, th, first, last) -> pa.Table:
-    return pa.table([pa.array(np.asarray(x, np.int64)) for x in (ids, th, first, last)], names=["doc_id", "th", "first", "last"])
+def _copies(key: np.ndarray, content: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments ordered by content and place; for each the first of its content, and whether it is that one."""
+    order = np.lexsort((rank, content, key))
+    new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])])
+    return order, order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))], new
+
+
+def _table(name, row, first, last) -> pa.Table:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    return pa.table([pa.array(x.astype(k.to_pandas_dtype())) for x, k in zip((name, row, first, last), kinds, strict=True)], names=["slice", "row", "first", "last"])
 
 
 def _joined(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     parts, docs = [], 0
     for blob in blobs:
-        ids, th, local, *rest = _unpack(blob)
-        parts.append((ids, th, local.astype(np.int64) + docs, *rest))
+        name, ids, th, rows, local, *rest = _unpack(blob)
+        parts.append((np.repeat(name, len(ids)), ids, th, rows, local.astype(np.int64) + docs, *rest))
         docs += len(ids)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def repeats(blobs: list[bytes], length: int, anchor: int, **sorting) -> tuple[np.ndarray, ...]:
-    """doc_id, th, first and last window of all repeats in one shard."""
-    ids, th, doc, first, size, place, data = _joined(blobs)
+    """Slice, row, first and last window of all repeats in one shard."""
+    name, ids, th, row, doc, first, size, place, data = _joined(blobs)
     first, size, place = (x.astype(np.int64) for x in (first, size, place))
     begin = np.cumsum(size) - size
     rank = (_places(ids, th)[doc] << 32) + first
     key = span_hashes(data, begin + place, begin + place + anchor)
     content = span_hashes(data, begin, begin + size)
-    order = np.lexsort((rank, content, key))
-    new_key = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    new = new_key | np.concatenate([[True], content[order][1:] != content[order][:-1]])
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    order, head, new = _copies(key, content, rank)
     again = order[rank[order] > rank[head]]
-    out = [(doc[again], first[again], first[again] + size[again] - length)]
+    out = [(again, first[again], first[again] + size[again] - length)]
     # Anchors with several different segments: their first copies are sorted by suffixes.
-    group = np.cumsum(new_key) - 1
+    group = np.cumsum(np.concatenate([[True], key[order][1:] != key[order][:-1]])) - 1
     several = order[new & (np.bincount(group[new], minlength=len(order))[group] > 1)]
     if len(several):
         # Close relatives side by side in one text; the order of segments does not matter.
@@ -198,76 +273,78 @@ def repeats(blobs: list[bytes], length: int, anchor: int, **sorting) -> tuple[np
         a = np.flatnonzero(starts)
         b = np.append(a[1:], len(by))[: len(a)] - 1
         own = several[segment[a]]
-        out.append((doc[own], first[own] + offset[a], first[own] + offset[b]))
+        low, high = first[own] + offset[a], first[own] + offset[b]
+        out.append((own, low, high))
+        # The same for rows alike, whose segments are not first but of the same rank.
+        alike = np.flatnonzero(~new & (rank[order] == rank[head]))
+        left, right = (np.searchsorted(own, head[alike], side=x, sorter=np.argsort(own, kind="stable")) for x in ("left", "right"))
+        by_own = np.argsort(own, kind="stable")
+        at = by_own[np.repeat(left, right - left) + np.arange((right - left).sum()) - np.repeat(np.cumsum(right - left) - (right - left), right - left)]
+        out.append((np.repeat(order[alike], right - left), low[at], high[at]))
     owner, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
-    return ids[owner], th[owner], low, high
+    return name[doc[owner]], row[doc[owner]], low, high
 
 
-def marks(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """Runs of windows (doc_id, th, first and last start) that are seen earlier."""
+def sliced(docs: DataFrame) -> DataFrame:
+    """``docs`` as a table of slices, bucketed by slice in the shared folder."""
     spark = docs.sparkSession
-    shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = _keyed(bounded(docs)).mapInArrow(_cut(shards, length, anchor), "shard long, blob binary")
+    keyed = bounded(docs).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"),
+        F.xxhash64(F.lit(7), "text").alias("th"), "text")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{scratch_database(spark, 'slices')}.slices"
+    rows = keyed.mapInArrow(_packed_slices, SLICES).repartition(buckets, "slice")
+    rows.write.bucketBy(buckets, "slice").option("compression", "uncompressed").saveAsTable(name)
+    return spark.table(name)
+
+
+def marks(parts: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """Runs of windows (slice, row, first and last start) that are seen earlier."""
+    shards = SHARDS_PER_PARTITION * int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = parts.mapInArrow(_anchors(shards, length, anchor), "shard long, slice long, keys binary")
+    answers = asked.groupBy("shard").applyInArrow(_again, "shard long, slice long, bits binary").groupBy("slice").agg(
+        F.collect_list(F.struct("shard", "bits")).alias("answers"))
+    known = parts.join(answers.hint("merge"), "slice", "left")
+    cut = known.mapInArrow(_cut(shards, length, anchor), "shard long, blob binary")
 
     def solve(group: pa.Table) -> pa.Table:
         blobs = [b.as_py() for b in group.column("blob")]
-        return _table(*repeats(blobs, length, anchor))
-
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column("blob"):
-                raw = pa.decompress(blob.as_py()[8:], int.from_bytes(blob.as_py()[:8], "little"), codec="zstd", asbytes=True)
-                sizes = np.frombuffer(raw, np.int64, 4)
-                at = np.cumsum(sizes) - sizes + 32
-                kinds = (np.int64, np.int64, np.int32, np.int32)
-                arrays = [np.frombuffer(raw, k, int(s) // np.dtype(k).itemsize, int(a)) for k, s, a in zip(kinds, sizes, at, strict=True)]
-                yield from _table(*arrays).to_batches()
-
-    # Repeats that a task knew ride along under numbers below zero, dealt like shards.
-    dealt = cut.withColumn("shard", F.when(F.col("shard") >= 0, F.col("shard")).otherwise(-1 - F.pmod(F.xxhash64("blob"), F.lit(shards))))
-
-    def either(group: pa.Table) -> pa.Table:
         if group.column("shard")[0].as_py() >= 0:
-            return solve(group)
-        return pa.Table.from_batches(list(known(iter(group.to_batches()))))
+            return _table(*repeats(blobs, length, anchor))
+        # Repeats that a slice knew by itself.
+        parts = [_unpack(b) for b in blobs]
+        return _table(np.concatenate([np.repeat(n, len(d)) for n, d, _, _ in parts]), *(np.concatenate([p[k] for p in parts]) for k in (1, 2, 3)))
 
-    return dealt.groupBy("shard").applyInArrow(either, MARKS)
+    return cut.groupBy("shard").applyInArrow(solve, MARKS)
 
 
 def dedup(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """``docs`` less the text, with n_bytes, n_removed, n_spans and the bytes that stay."""
-    found = marks(docs, length=length, anchor=anchor).groupBy("doc_id", "th").agg(
-        F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
-    docs = without(docs, *RESULT)
-    key, th, id_, h, low_, high_ = fresh(docs, "_key", "_th", "_id", "_h", "_first", "_last")
-    found = found.withColumnsRenamed({"doc_id": id_, "th": h, "_first": low_, "_last": high_})
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn(th, F.xxhash64(F.lit(7), "text"))
-    joined = keyed.join(found, (F.col(key) == F.col(id_)) & (F.col(th) == F.col(h)), "left").drop(key, th, id_, h)
-    kept = [f for f in docs.schema.fields if f.name != "text"]
-    schema = T.StructType(kept + [T.StructField(k, T._parse_datatype_string(v)) for k, v in RESULT.items()])
+    """doc_id, n_bytes, n_removed, n_spans and the bytes that stay, of each row."""
+    parts = sliced(docs)
+    found = marks(parts, length=length, anchor=anchor).groupBy("slice").agg(F.collect_list(F.struct("row", "first", "last")).alias("found"))
+    joined = parts.join(found.hint("merge"), "slice", "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, offsets = text_bytes(batch.column("text"))
-            change = np.zeros(len(data) + 1, np.int32)
-            for i in np.flatnonzero(batch.column(low_).is_valid().to_numpy(zero_copy_only=False)).tolist():
-                low = batch.column(low_)[i].values.to_numpy()
-                high = batch.column(high_)[i].values.to_numpy()
-                np.add.at(change, offsets[i] + low, 1)
-                np.add.at(change, offsets[i] + high + length, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            starts, _, owner = spans(gone, offsets)
-            n_spans = np.bincount(owner, minlength=batch.num_rows)
-            before = np.concatenate([[0], np.cumsum(gone)])[offsets]
-            rest = data[~gone].tobytes()
-            cut = offsets - before
-            texts = [rest[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept]
-                + [pa.array(np.diff(offsets)), pa.array(np.diff(before).astype(np.int64)), pa.array(n_spans), pa.array(texts, pa.binary())],
-                schema.fieldNames())
-
-    return bounded(joined).mapInArrow(remove, schema)
+        for batch in batches:
+            for image, found in zip(batch.column("image"), batch.column("found"), strict=True):
+                ids, known, th, size, data = _unpack(image.as_py())
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                change = np.zeros(len(data) + 1, np.int32)
+                if found.is_valid:
+                    row, low, high = (found.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                    np.add.at(change, offsets[row] + low, 1)
+                    np.add.at(change, offsets[row] + high + length, -1)
+                gone = np.cumsum(change[:-1]) > 0
+                _, _, owner = spans(gone, offsets)
+                before = np.concatenate([[0], np.cumsum(gone)])[offsets]
+                rest, cut = data[~gone].tobytes(), offsets - before
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids, pa.int64(), mask=known == 0), pa.array(size), pa.array(np.diff(before).astype(np.int64)),
+                    pa.array(np.bincount(owner, minlength=len(ids))),
+                    pa.array([rest[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary()),
+                ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return joined.mapInArrow(remove, RESULT)
 
 
 def digests(deduped: DataFrame) -> DataFrame:

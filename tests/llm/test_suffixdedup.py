@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lethe.llm import suffixdedup
@@ -50,27 +51,32 @@ def test_equals_brute_force(spark, length, anchor):
     assert sum(e[1] for e in expected.values()) > 5000
 
 
-def test_sorting_with_queues_on_disk_and_recursion():
-    rows = corpus(1)
-    texts = [t or "" for _, t in rows]
-    import pyarrow as pa
+def test_sorting_with_queues_on_disk_and_recursion(spark):
+    docs = spark.createDataFrame(corpus(1), "doc_id long, text string").repartition(5)
+    parts = suffixdedup.sliced(docs)
+    asked = [r for b in parts.collect() for out in suffixdedup._anchors(1, 20, 6)(iter([_batch(b)])) for r in out.to_pylist()]
+    answers = suffixdedup._again(pa.Table.from_pylist(asked, pa.schema([("shard", pa.int64()), ("slice", pa.int64()), ("keys", pa.binary())]))).to_pylist()
+    bits = {r["slice"]: [{"shard": r["shard"], "bits": r["bits"]}] for r in answers}
+    cut = [r for b in parts.collect() for out in suffixdedup._cut(1, 20, 6)(iter([_batch(b, bits.get(b.slice))])) for r in out.to_pylist()]
+    blobs = [r["blob"] for r in cut if r["shard"] == 0]
+    plain, small = (suffixdedup.repeats(blobs, 20, 6, **x) for x in ({}, {"base_items": 50, "queue_bytes": 500}))
+    cover = lambda found: {(n, r, i) for n, r, a, b in zip(*(x.tolist() for x in found)) for i in range(a, b + 1)}
+    assert cover(plain) == cover(small) and cover(plain)
 
-    batch = pa.RecordBatch.from_arrays([pa.array([k * 2 for k in range(len(texts))]), pa.array([0] * len(texts)), pa.array(texts)], ["doc_id", "th", "text"])
-    # One text at a time, so nothing is dropped before the shard.
-    cut = [r for k in range(len(texts)) for out in suffixdedup._cut(1, 20, 6)(iter([batch.slice(k, 1)])) for r in zip(*(c.to_pylist() for c in out.columns))]
-    blobs = [b for s, b in cut if s == 0]
-    plain = sorted(zip(*(x.tolist() for x in suffixdedup.repeats(blobs, 20, 6))))
-    small = sorted(zip(*(x.tolist() for x in suffixdedup.repeats(blobs, 20, 6, base_items=50, queue_bytes=500))))
-    cover = lambda found: {(d, i) for d, _, a, b in found for i in range(a, b + 1)}
-    assert cover(plain) == cover(small) and plain
+
+def _batch(row, answers=None):
+    return pa.RecordBatch.from_pylist([{"slice": row.slice, "image": bytes(row.image), "answers": answers}])
 
 
 def test_rows_alike_count_as_one_document(spark):
     rng = random.Random(1)
     text = "".join(rng.choice("abc") for _ in range(300))
-    docs = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")
-    found = sorted((r.doc_id, r.n_removed) for r in suffixdedup.dedup(docs).collect())
-    assert found == [(1, 0), (1, 0), (2, 300)]
+    other = "".join(rng.choice("abc") for _ in range(150)) + text[50:250]
+    rows = [(1, text), (1, text), (2, text), (3, other), (3, other), (3, other)]
+    for parts in (1, 6):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = sorted((r.doc_id, r.n_removed) for r in suffixdedup.dedup(docs).collect())
+        assert found == [(1, 0), (1, 0), (2, 300), (3, 200), (3, 200), (3, 200)]
 
 
 def test_empty_table(spark):
