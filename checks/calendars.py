@@ -133,7 +133,8 @@ def event_month_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         calendar.event_month(compact, "yyyyMMdd").alias("compact"),
         calendar.event_month(F.date_format(day, "yyyy-MM-dd"), "yyyy-MM-dd").alias("dashed"),
-        calendar.event_month(F.date_format(day, "dd/MM/yyyy"), "dd/MM/yyyy").alias("other"),
+        # Texts in another format than the stated one; an unknown format would be an error.
+        calendar.event_month(F.date_format(day, "dd/MM/yyyy"), "yyyyMMdd").alias("other"),
     )
 
 
