@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +76,38 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
+
+def _secrets_sql() -> str:
+    """Positions of matches from the lengths of matches and of the pieces between them, one part for each rule."""
+    parts = []
+    for place, rule in enumerate(secretscan.RULES):
+        # Letters in either case, spelled out: the other engine folds more than ASCII.
+        pattern = re.sub(r"\(\?i:(.*?)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]) + ")", rule.pattern)
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        parts.append(f"""SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least,
+            regexp_extract_all(text, {quoted}) AS m, string_split_regex(text, {quoted}) AS p,
+            regexp_extract_all(text, {quoted}, {rule.group}) AS v FROM d""")
+    base = ", ".join(f"'{r.kind}'" for r in secretscan.BASE)
+    span = "kind || ':' || (stop - own) || ':' || stop, ',' ORDER BY stop - own, place"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        found AS ({" UNION ALL ".join(parts)}),
+        spans AS (
+          SELECT doc_id, kind, place, length(m[i]) AS own,
+            list_sum(list_transform(p[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS stop
+          FROM found, unnest(range(1, len(m) + 1)) AS t(i) WHERE length(v[i]) >= least),
+        by_doc AS (
+          SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secretscan.BASE)},
+            string_agg({span}) FILTER (kind IN ({base})) AS base, string_agg({span}) AS spans
+          FROM spans GROUP BY doc_id)
+        SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secretscan.BASE)},
+          sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN by_doc USING (doc_id)"""
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
+    "op4_secretscan": _secrets_sql(),
     "op2_linededup": r"""
         WITH lines AS (
           SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
