@@ -152,10 +152,6 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint8)
 
 
-def as_long(values: np.ndarray) -> pa.Array:
-    return pa.array(values.astype(np.int64))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: ``edges`` (a, b) of longs to (node, root), root the least node.
 

@@ -277,10 +277,11 @@ def repeats(blobs: list[bytes], length: int, anchor: int, **sorting) -> tuple[np
         out.append((own, low, high))
         # The same for rows alike, whose segments are not first but of the same rank.
         alike = np.flatnonzero(~new & (rank[order] == rank[head]))
-        left, right = (np.searchsorted(own, head[alike], side=x, sorter=np.argsort(own, kind="stable")) for x in ("left", "right"))
         by_own = np.argsort(own, kind="stable")
-        at = by_own[np.repeat(left, right - left) + np.arange((right - left).sum()) - np.repeat(np.cumsum(right - left) - (right - left), right - left)]
-        out.append((np.repeat(order[alike], right - left), low[at], high[at]))
+        left, right = (np.searchsorted(own, head[alike], side=x, sorter=by_own) for x in ("left", "right"))
+        found = right - left
+        at = by_own[np.repeat(left - (np.cumsum(found) - found), found) + np.arange(int(found.sum()))]
+        out.append((np.repeat(order[alike], found), low[at], high[at]))
     owner, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
     return name[doc[owner]], row[doc[owner]], low, high
 
