@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -169,19 +168,21 @@ def _whole_number(value: Column, largest: int, derived_key: str, forward: bool)
     def of(sign: int) -> Column:
         classes = number_classes(largest, sign)
         # Negative sizes are compared and shifted as they are: the least long has no absolute value.
-        reached = [(value >= low) if sign > 0 else (value <= -low) for low, _, _ in classes[1:]]
-        place = reduce(lambda x, y: x + y.cast("int"), reached, F.lit(1))
+        def numbers(values: Sequence[int]) -> Column:
+            return F.expr(f"array({', '.join(f'{n}L' for n in values)})")
+
+        starts = numbers([sign * low for low, _, _ in classes])
+        place = F.size(F.filter(starts, lambda low: (value >= low) if sign > 0 else (value <= low)))
 
         def with_class(c: Column) -> Column:
             return F.struct(
                 c.alias("place"),
-                *[F.element_at(F.array(*[F.lit(row[k]).cast("bigint") for row in numbers]), c).alias(name)
-                  for k, name, numbers in ((0, "low", classes_signed), (1, "n1", classes), (2, "n2", classes))],
-            )
+                F.element_at(starts, c).alias("low"),
+                *[F.element_at(numbers([row[k] for row in classes]), c).alias(f"n{k}") for k in (1, 2)],
+            )
 
-        classes_signed = [(sign * low, m, n) for low, m, n in classes]
         order = range(ROUNDS) if forward else reversed(range(ROUNDS))
-        rounds = F.array(*[F.lit(i) for i in order])
+        rounds = F.expr(f"array({', '.join(map(str, order))})")
 
         def state(a: Column, b: Column, s: Column) -> Column:
             return F.struct(a.alias("a"), b.alias("b"), s["n1"].alias("n1"), s["n2"].alias("n2"), s["label"].alias("label"))

@@ -159,10 +159,6 @@ def _fits_broadcast(keys: DataFrame) -> bool:
     return keys.count() * _BYTES_PER_KEY <= limit
 
 
-def _for_join(keys: DataFrame) -> DataFrame:
-    return F.broadcast(keys) if _fits_broadcast(keys) else keys
-
-
 def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the rows of persons whose event lies before run month - keep.
 
@@ -189,21 +185,25 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
     history = history_path(plan, run)
     person = person_hash(run.key, F.col(column_path(key)))
     mine = remember(spark, history, expired_persons.select(person.alias(PERSON)).where(F.col(PERSON).isNotNull()), run.run_date)
+    everybody = remembered(spark, history)
+    # This run's persons are among all persons, so one measure holds for both.
+    small = _fits_broadcast(everybody)
+    if small:
+        mine, everybody = F.broadcast(mine), F.broadcast(everybody)
+    elif plan.output.partitions:
+        plan = replace(plan, output=replace(plan.output, rebalance=True))
     everything = load(spark, plan.source)
     column = plan.source.partition_column
     # One row per partition of the table.
     rows = everything.select(person.alias(PERSON), F.col(column_path(column)))
-    counts = expired_row_counts(rows, _for_join(mine), PERSON, column).collect()
+    counts = expired_row_counts(rows, mine, PERSON, column).collect()
     expired = {row[column]: row.expired_rows for row in counts}
     if not expired:
         return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
     to_mask = sum(expired.values())
     data = everything.where(F.col(column_path(column)).isin(list(expired)))
     expected = _partition_rows(data, column)
-    everybody = remembered(spark, history)
-    if not _fits_broadcast(everybody) and plan.output.partitions:
-        plan = replace(plan, output=replace(plan.output, rebalance=True))
-    masked = mask_where(data, _for_join(everybody), PERSON, plan.rules, _context(spark, plan, run), person)
+    masked = mask_where(data, everybody, PERSON, plan.rules, _context(spark, plan, run), person)
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask
     return TableRun(plan.base, plan.table, tuple(sorted(expected)), to_mask, written - kept, start, datetime.now(), unreadable)
