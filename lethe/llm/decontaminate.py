@@ -30,6 +30,8 @@ from lethe.llm.common import bounded, lowered, slices, span_hashes, spans, store
 WIDTH = 10
 #: Bytes of item texts that are broadcast at once; their windows take about three times that.
 LIMIT_BYTES = 16 << 20
+#: Share of hit words from which on a document goes as a whole.
+DROP_SHARE = 0.5
 _HINT_BITS = 20
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -88,7 +90,7 @@ def _hits(windows: WindowSet, raw: bytes, starts: np.ndarray, ends: np.ndarray,
     return np.cumsum(hit[:-1]) > 0, pairs
 
 
-def _scanner(shared, first: bool):
+def _scanner(shared, first: bool, finish=None):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows: WindowSet = shared.value
         for batch in slices(batches):
@@ -109,27 +111,44 @@ def _scanner(shared, first: bool):
                     own.update(former)
             n_hit = [int(np.bitwise_count(x).sum()) for x in bits]
             kept = [name for name in batch.schema.names if name not in RESULT]
-            yield pa.RecordBatch.from_arrays(
+            scanned = pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in kept]
                 + [pa.array(n), pa.array(n_hit, pa.int64()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                 [*kept, *RESULT])
+            yield scanned if finish is None else finish(scanned)
 
     return scan
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """``docs`` (with ``text``) and n_words, n_hit, hit_bits (a bit for each word, low bits first), items (ids, sorted)."""
+    return _scanned(docs, benchmark, width, limit_bytes)
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, limit_bytes: int = LIMIT_BYTES, drop_share: float = DROP_SHARE
+) -> DataFrame:
+    """Scan and cut in one pass: the hit spans go out of the texts.
+
+    Documents with ``drop_share`` of their words hit, or with nothing left, go as a whole.
+    """
+    return _scanned(docs, benchmark, width, limit_bytes, drop_share)
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, limit_bytes: int, drop_share: float | None = None) -> DataFrame:
     docs = without(docs, *RESULT)
     items = benchmark.select(F.col("item_id").cast("string"), "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // limit_bytes) or 1
-    kept = [field for field in docs.schema.fields]
-    schema = T.StructType(kept + [T.StructField(k, T._parse_datatype_string(v)) for k, v in RESULT.items()])
+    kept = T.StructType(docs.schema.fields)
+    schema = T.StructType(kept.fields + [T.StructField(k, T._parse_datatype_string(v)) for k, v in RESULT.items()])
     for part in range(parts):
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         windows = WindowSet([tuple(row) for row in own.collect()], width)
-        done = bounded(docs).mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(windows), part == 0), schema)
-        docs = done if part == parts - 1 else stored(done, "decontaminate")
+        last, shared = part == parts - 1, docs.sparkSession.sparkContext.broadcast(windows)
+        finish = _cutter(kept, drop_share) if last and drop_share is not None else None
+        done = bounded(docs).mapInArrow(_scanner(shared, part == 0, finish), kept if finish else schema)
+        docs = done if last else stored(done, "decontaminate")
     return docs
 
 
@@ -141,32 +160,27 @@ def digests(scanned: DataFrame) -> DataFrame:
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def cleaned(scanned: DataFrame, *, drop_share: float = 0.5) -> DataFrame:
-    """Cut the hit spans out of the texts; documents with ``drop_share`` of their words hit, or nothing left, go."""
-    schema = T.StructType([f for f in scanned.schema.fields if f.name not in RESULT])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts, keep = batch.column("text").to_pylist(), np.ones(batch.num_rows, bool)
-            counts = batch.column("n_words").to_pylist()
-            for k, bits in enumerate(batch.column("hit_bits").to_pylist()):
-                hit = np.unpackbits(np.frombuffer(bits, np.uint8), count=counts[k], bitorder="little").astype(bool)
-                if not hit.any():
-                    continue
-                if hit.mean() >= drop_share:
-                    keep[k] = False
-                    continue
-                raw = texts[k].encode()
-                data = np.frombuffer(raw, np.uint8)
-                starts, ends, _ = spans(_WORD[lowered(data)], np.array([0, len(data)]))
-                runs, stops, _ = spans(hit, np.array([0, len(hit)]))
-                parts, at = [], 0
-                for a, b in zip(runs.tolist(), stops.tolist(), strict=True):
-                    parts.append(raw[at : starts[a]])
-                    at = ends[b - 1]
-                texts[k] = b"".join([*parts, raw[at:]]).decode()
-                keep[k] = bool(texts[k].strip())
-            arrays = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in schema.fields]
-            yield pa.RecordBatch.from_arrays(arrays, schema.fieldNames()).filter(pa.array(keep))
-
-    return bounded(scanned).mapInArrow(cut, schema)
+def _cutter(schema: T.StructType, drop_share: float):
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, keep = batch.column("text").to_pylist(), np.ones(batch.num_rows, bool)
+        counts = batch.column("n_words").to_pylist()
+        for k in np.flatnonzero(batch.column("n_hit").to_numpy() > 0).tolist():
+            bits = np.frombuffer(batch.column("hit_bits")[k].as_py(), np.uint8)
+            hit = np.unpackbits(bits, count=counts[k], bitorder="little").astype(bool)
+            if hit.mean() >= drop_share:
+                keep[k] = False
+                continue
+            raw = texts[k].encode()
+            data = np.frombuffer(raw, np.uint8)
+            starts, ends, _ = spans(_WORD[lowered(data)], np.array([0, len(data)]))
+            runs, stops, _ = spans(hit, np.array([0, len(hit)]))
+            parts, at = [], 0
+            for a, b in zip(runs.tolist(), stops.tolist(), strict=True):
+                parts.append(raw[at : starts[a]])
+                at = ends[b - 1]
+            texts[k] = b"".join([*parts, raw[at:]]).decode()
+            keep[k] = bool(texts[k].strip())
+        arrays = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in schema.fields]
+        return pa.RecordBatch.from_arrays(arrays, schema.fieldNames()).filter(pa.array(keep))
+
+    return cut

@@ -22,7 +22,8 @@ _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 #: Longer pieces are encoded in every slice they occur in.
 LONGEST_KEPT = 64
 #: Pieces remembered by a worker before it starts anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 1_000_000
+_AT_ONCE = 8192
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 
 
@@ -102,10 +103,13 @@ class Encoder:
 
     def _add(self, pieces: list[str]) -> int:
         """Encode pieces and return the entry of the first; the others follow."""
-        found, base = self._whole(pieces), len(self.begin) - 1
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for one in found for i in one), np.int32, int(lengths.sum()))])
+        base, lengths, ids = len(self.begin) - 1, [], []
+        for at in range(0, len(pieces), _AT_ONCE):  # what the library returns takes far more room than the ids
+            found = self._whole(pieces[at : at + _AT_ONCE])
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter((i for one in found for i in one), np.int32, int(lengths[-1].sum())))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(lengths))])
+        self.ids = np.concatenate([self.ids, *ids])
         return base
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -61,8 +61,9 @@ def test_empty_tables(spark):
 
 
 def test_cleaned_cuts_the_hit_span(spark):
-    docs = [(1, "Keep this. One two three! And this stays here."), (2, "one, two THREE"), (3, "clean"), (4, None)]
+    docs = [(1, "Keep this text. One two three! And this one stays here."), (2, "one, two THREE"), (3, "clean"), (4, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    scanned = decontaminate.scan(df, spark.createDataFrame([(1, "one two three")], "item_id long, text string"))
-    assert dict(map(tuple, decontaminate.cleaned(scanned).collect())) == {
-        1: "Keep this. ! And this stays here.", 3: "clean", 4: None}
+    items = spark.createDataFrame([(1, "one two three"), (2, "stays here")], "item_id long, text string")
+    for limit in (1 << 20, 12):
+        cleaned = decontaminate.clean(df, items, limit_bytes=limit)
+        assert dict(map(tuple, cleaned.collect())) == {1: "Keep this text. ! And this one .", 3: "clean", 4: None}
