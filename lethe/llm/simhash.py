@@ -25,9 +25,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lethe.llm.common import bounded, components, fresh, lowered, slices, spans, stored, text_bytes
 
@@ -171,32 +170,29 @@ def digests(assigned: DataFrame) -> DataFrame:
     return assigned.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; a repeated row once.
+def _tagged_fingerprints(rows: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), row and fp of rows with a unique number ``row``."""
 
-    Rows without id stay if no row of their component has one.
-    """
-    assigned = stored(assign(docs), "components")
-    heads = assigned.where("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
-    kept = heads.distinct()
-    stays = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    if kept.count() < heads.count():  # some id occurs in several rows
-        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        (number,) = fresh(docs, "_place")
-        stays = stays.withColumn(number, place).where(F.col(number) == 1).drop(number)
-    if not assigned.where("doc_id IS NULL AND component_id IS NULL").limit(1).count():
-        return stays
-    marks = assigned.where("component_id IS NULL").select("fp").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    (name,) = fresh(docs, "_fp")
-    marked = _with_fingerprint(nameless, name)
-    return stays.union(marked.join(marks, marked[name] == marks["fp"], "left_semi").drop(name))
-
-
-def _with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, name])
+            found = pa.array(fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "th", "row")), found], ["doc_id", "th", "row", "fp"])
+
+    return bounded(rows).mapInArrow(run, "doc_id long, th long, row long, fp long")
+
 
-    return bounded(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component: the least by doc_id (none last), then by a hash of the text.
+
+    Rows are told apart by a number in a stored copy of ``docs``, never by ``doc_id``, so tied and
+    missing ids neither keep a copy nor drop another text.
+    """
+    (row,) = fresh(docs, "_row")
+    tagged = stored(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
+    rows = tagged.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col(row).alias("row"))
+    marked = stored(_tagged_fingerprints(rows), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th", "row")
+    distinct = stored(marked.groupBy("fp").agg(F.min(order).alias("head")), "distinct")
+    roots = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    heads = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("head").alias("head"))
+    return tagged.join(heads.select(F.col("head.row").alias(row)), row, "left_semi").select(*(F.col(f"`{name}`") for name in docs.columns))

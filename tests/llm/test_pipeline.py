@@ -106,3 +106,10 @@ def test_one_row_of_each_group_stays(spark):
     rows = [(4, text, "a"), (2, text, "b"), (2, text, "c"), (None, text, "d"), (None, "alone", "e"), (9, "", "f"), (8, None, "g")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
     assert sorted((r.doc_id or -1, r.text) for r in simhash.keep_one(docs).collect()) == [(-1, "alone"), (2, text), (8, None)]
+
+
+def test_tied_and_missing_ids_do_not_decide(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (1, c), (0, c), (None, "no id"), (None, "no id")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (1, b), (0, c), (None, "no id")], key=str)
