@@ -2,7 +2,8 @@
 
 A document's leaves are stretches of some ``LEAF_CHARS`` characters with their number of ids.
 Leaves begin at white space behind other characters, where the pre-token split never
-depends on what stands before, so counts of leaves add up. An edit re-encodes the leaves
+depends on what stands before, so counts of leaves add up; an added token has no white space
+and stays within a leaf. An edit re-encodes the leaves
 it touches, and a neighbour where it touches the edge (the boundary context); the
 sums above the changed leaves are updated and nothing else is looked at.
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lethe.llm.common import bounded, slices, without
-from lethe.llm.tokens import _BEYOND, _SPACE, Encoder, _classes, encoder
+from lethe.llm.tokens import _SPACE, Encoder, _classes, encoder
 
 LEAF_CHARS = 192
 LEAVES = T.ArrayType(T.StructType([T.StructField("chars", T.IntegerType()), T.StructField("tokens", T.IntegerType())]))
@@ -96,7 +97,9 @@ class Tree:
 
 def leaves_of(own: Encoder, texts: list[str], leaf_chars: int = LEAF_CHARS) -> list[tuple[np.ndarray, np.ndarray]]:
     """Characters and ids of the leaves of each text."""
-    odd = {k for k, t in enumerate(texts) if _BEYOND.search(t)}
+    if any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in own.added):
+        raise ValueError("an added token with white space may cross the edges of leaves")
+    odd = {k for k, t in enumerate(texts) if own.odd(t)}
     codes, offsets, starts, _, entry = own.pieces(["" if k in odd else t for k, t in enumerate(texts)])
     width = own.begin[entry + 1] - own.begin[entry]
     found = []

@@ -3,7 +3,7 @@
 A byte-level BPE never merges across pre-tokens, so the ids of a text are those of
 its pre-tokens in a row. The split is done on vectors of code points; the pieces go
 through the tokenizers library and are remembered. Texts with code points
-beyond the Latin blocks go to the library whole.
+beyond the Latin blocks, or with a literal added token (``<|endoftext|>``), go to the library whole.
 """
 
 from __future__ import annotations
@@ -75,14 +75,6 @@ def split_points(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return starts, np.append(starts[1:], n)
 
 
-def _parted(texts: list[str | None]) -> tuple[list[str], list[str], list[int]]:
-    """The texts, the same with empty ones for those beyond the Latin blocks, and the places of these."""
-    texts = [t or "" for t in texts]
-    odd = [k for k, t in enumerate(texts) if _BEYOND.search(t)]
-    gone = set(odd)
-    return texts, ["" if k in gone else t for k, t in enumerate(texts)] if odd else texts, odd
-
-
 class Encoder:
     """Ids of texts by the vocabulary file at ``path``, with remembered pieces."""
 
@@ -91,13 +83,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = list(self.library.get_added_tokens_decoder().values())
+        self._odd = re.compile("|".join([_BEYOND.pattern, *(re.escape(t.content) for t in self.added)]))
         self._reset()
 
     def _reset(self) -> None:
         self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
+    def odd(self, text: str) -> bool:
+        """Whether ``text`` has to go to the library whole."""
+        return self._odd.search(text) is not None
+
+    def _parted(self, texts: list[str | None]) -> tuple[list[str], list[str], list[int]]:
+        """The texts, the same with empty ones for those that go to the library whole, and the places of these."""
+        texts = [t or "" for t in texts]
+        odd = [k for k, t in enumerate(texts) if self.odd(t)]
+        gone = set(odd)
+        return texts, ["" if k in gone else t for k, t in enumerate(texts)] if odd else texts, odd
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -113,7 +117,7 @@ class Encoder:
         return base
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of Latin texts: code points, offsets of texts, starts and ends of pieces, entry of each piece."""
+        """Of Latin texts without added tokens: code points, offsets of texts, starts and ends of pieces, entry of each piece."""
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
@@ -137,7 +141,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the number of ids of each text; null is empty."""
-        texts, plain, odd = _parted(texts)
+        texts, plain, odd = self._parted(texts)
         _, offsets, starts, _, entry = self.pieces(plain)
         width = self.begin[entry + 1] - self.begin[entry]
         total = np.concatenate([[0], np.cumsum(width)])
@@ -155,7 +159,7 @@ class Encoder:
 
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """The number of ids of each text."""
-        texts, plain, odd = _parted(texts)
+        texts, plain, odd = self._parted(texts)
         _, offsets, starts, _, entry = self.pieces(plain)
         total = np.concatenate([[0], np.cumsum(self.begin[entry + 1] - self.begin[entry])])
         found = np.diff(total[np.searchsorted(starts, offsets)])
