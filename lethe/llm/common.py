@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,10 @@ BATCH_BYTES = 4 << 20
 _BASE, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+#: Seed of shingle hashes, and the bytes that words consist of.
+SEED = 42
+_INSIDE = np.ones(256, bool)
+_INSIDE[9:14] = _INSIDE[32] = False
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +157,29 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint8)
 
 
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of several texts, and the text of each."""
+    low = lowered(data)
+    inside = _INSIDE[low]
+    starts, ends, doc = spans(inside, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # One blank after each word: the byte that follows it, or one more at the end of a text.
+    length = ends - starts
+    begin = np.concatenate([[0], np.cumsum(length + 1)])
+    plain = np.full(begin[-1], 32, np.uint8)
+    plain[np.arange(len(low))[inside] + np.repeat(begin[:-1] - starts, length)] = low[inside]
+    raw = plain.tobytes()
+    count = np.bincount(doc, minlength=len(offsets) - 1)
+    first = np.cumsum(count) - count
+    begins_shingle = np.arange(len(starts)) - first[doc] <= np.maximum(count[doc] - width, 0)
+    at = np.flatnonzero(begins_shingle)
+    last = np.minimum(at + width - 1, (first + count - 1)[doc[at]])
+    digest = xxhash.xxh64_intdigest
+    pairs = zip(begin[at].tolist(), (begin[last] + length[last]).tolist(), strict=True)
+    return np.fromiter((digest(raw[a:b], SEED) for a, b in pairs), np.uint64, len(at)), doc[at]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: ``edges`` (a, b) of longs to (node, root), root the least node.
 

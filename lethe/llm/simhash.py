@@ -24,45 +24,19 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.common import bounded, components, fresh, lowered, slices, spans, stored, text_bytes
+from lethe.llm import nearcopies
+from lethe.llm.common import bounded, components, fresh, shingle_hashes, slices, stored, text_bytes
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
-SEED = 42
-_INSIDE = np.ones(256, bool)
-_INSIDE[9:14] = _INSIDE[32] = False
-
-
-def _shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of several texts, and the text of each."""
-    low = lowered(data)
-    inside = _INSIDE[low]
-    starts, ends, doc = spans(inside, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    # One blank after each word: the byte that follows it, or one more at the end of a text.
-    length = ends - starts
-    begin = np.concatenate([[0], np.cumsum(length + 1)])
-    plain = np.full(begin[-1], 32, np.uint8)
-    plain[np.arange(len(low))[inside] + np.repeat(begin[:-1] - starts, length)] = low[inside]
-    raw = plain.tobytes()
-    count = np.bincount(doc, minlength=len(offsets) - 1)
-    first = np.cumsum(count) - count
-    begins_shingle = np.arange(len(starts)) - first[doc] <= np.maximum(count[doc] - width, 0)
-    at = np.flatnonzero(begins_shingle)
-    last = np.minimum(at + width - 1, (first + count - 1)[doc[at]])
-    digest = xxhash.xxh64_intdigest
-    pairs = zip(begin[at].tolist(), (begin[last] + length[last]).tolist(), strict=True)
-    return np.fromiter((digest(raw[a:b], SEED) for a, b in pairs), np.uint64, len(at)), doc[at]
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE_WORDS, step: int = 1 << 16) -> np.ndarray:
     n = len(offsets) - 1
-    hashes, doc = _shingles(data, offsets, width)
+    hashes, doc = shingle_hashes(data, offsets, width)
     ones, total = np.zeros((n, 64), np.int64), np.bincount(doc, minlength=n)
     for a in range(0, len(hashes), step):
         bits = np.unpackbits(hashes[a : a + step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -170,29 +144,20 @@ def digests(assigned: DataFrame) -> DataFrame:
     return assigned.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _tagged_fingerprints(rows: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), row and fp of rows with a unique number ``row``."""
+def keep_one(docs: DataFrame, *, width: int = nearcopies.SHINGLE_WORDS, similarity: tuple[int, int] = nearcopies.SIMILARITY) -> DataFrame:
+    """One row of each group of near copies: the least by doc_id (none last), then by a hash of the text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = pa.array(fingerprints_of(*text_bytes(batch.column("text"))).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "th", "row")), found], ["doc_id", "th", "row", "fp"])
-
-    return bounded(rows).mapInArrow(run, "doc_id long, th long, row long, fp long")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component: the least by doc_id (none last), then by a hash of the text.
-
-    Rows are told apart by a number in a stored copy of ``docs``, never by ``doc_id``, so tied and
-    missing ids neither keep a copy nor drop another text.
+    Near copies are linked by the similarity of their sets of ``width``-word shingles, not by fingerprints;
+    texts without words are one group. Rows are told apart by a number in a stored copy of ``docs``, never
+    by ``doc_id``, so tied and missing ids neither keep a copy nor drop another text.
     """
     (row,) = fresh(docs, "_row")
     tagged = stored(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
     rows = tagged.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col(row).alias("row"))
-    marked = stored(_tagged_fingerprints(rows), "fingerprints")
+    marked = stored(nearcopies.sketched(rows, width), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th", "row")
-    distinct = stored(marked.groupBy("fp").agg(F.min(order).alias("head")), "distinct")
-    roots = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
-    heads = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("head").alias("head"))
-    return tagged.join(heads.select(F.col("head.row").alias(row)), row, "left_semi").select(*(F.col(f"`{name}`") for name in docs.columns))
+    heads = stored(marked.groupBy("h1", "h2").agg(F.min(order).alias("head")).select("head", F.col("head.row").alias("node")), "heads")
+    sets = marked.join(heads.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    roots = components(nearcopies.links(sets, rows, width, similarity))
+    least = heads.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("head").alias("head"))
+    return tagged.join(least.select(F.col("head.row").alias(row)), row, "left_semi").select(*(F.col(f"`{name}`") for name in docs.columns))
