@@ -6,7 +6,8 @@ lines are compared (or, in ``suffix_ranks`` without a limit, until the order is
 Suffixes of one rank form an interval of the suffix array whose common prefix has that
 many lines, so an interval of several suffixes is a repeated run. The first suffix of an
 interval, by (doc_id, line), stays; the lines of later copies are deleted. Runs that
-overlap or touch make one maximal run.
+overlap or touch make one maximal run. With ``min_words`` a run of one line counts too if the
+line has more words than that.
 
 Ranks come from counts: equal keys are counted before they are sorted by range, so a
 line in a third of all documents is one row there. The driver sees one sum per partition.
@@ -31,6 +32,8 @@ from pyspark.sql import types as T
 from lethe.llm.common import bounded, fresh, stored, without
 
 MIN_LINES = 2
+#: Of the pipeline: a repeated line of more words is deleted by itself.
+MIN_WORDS = 50
 _DOC = ("doc_id", "_th")
 RESULT = {"n_lines": "long", "n_deleted": "long", "n_runs": "long"}
 
@@ -39,11 +42,16 @@ def _text_hash():
     return F.xxhash64(F.lit(7), "text")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line that is not blank: document key, line number, place in the sequence, line id (a, b)."""
+def _lines(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    """A row for each line that is not blank: document key, line number, place in the sequence, line id (a, b), whether long."""
+    if min_words is None:
+        long = F.lit(False)
+    else:  # more words than min_words need at least so many characters
+        words = F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+        long = F.when(F.length("line") > 2 * min_words, words > min_words).otherwise(False)
     exploded = docs.select("doc_id", _text_hash().alias("_th"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     hashed = exploded.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
-        *_DOC, "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
+        *_DOC, "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), long.alias("long"))
     place = F.row_number().over(Window.partitionBy(*_DOC).orderBy("pos"))
     # One shuffle by document serves the removal of repeated rows and the numbering.
     return hashed.repartition(*_DOC).dropDuplicates([*_DOC, "pos"]).withColumn("k", place)
@@ -77,10 +85,19 @@ def _ahead(rows: DataFrame, distance: int) -> DataFrame:
     return rows.withColumn("b", F.coalesce(then, F.lit(-1))).withColumnRenamed("rank", "a")
 
 
-def suffix_ranks(docs: DataFrame, *, until: int | None = None) -> tuple[DataFrame, int]:
-    """Ranks of all suffixes by their first h lines, and h, which ``until`` bounds; without it the final order."""
+def suffix_ranks(docs: DataFrame, *, until: int | None = None, min_words: int | None = None) -> tuple[DataFrame, int]:
+    """Ranks of all suffixes by their first h lines, and h, which ``until`` bounds; without it the final order.
+
+    With ``min_words`` a column ``one`` has the class of each repeated line of more words, else a negative number.
+    """
     kept = [*_DOC, "pos", "k"]
-    rows = stored(_ranked(_lines(docs)).select(*kept, "rank", "n"), "suffixes")
+    rows = _ranked(_lines(docs, min_words))
+    if min_words is not None:
+        # Other lines get numbers that match nothing and spread evenly over a join.
+        apart = -1 - F.pmod(F.xxhash64(*_DOC, "k"), F.lit(1 << 62))
+        rows = rows.withColumn("one", F.when(F.col("long") & (F.col("n") > 1), F.col("rank")).otherwise(apart))
+        kept.append("one")
+    rows = stored(rows.select(*kept, "rank", "n"), "suffixes")
     h, classes = 1, None
     while until is None or 2 * h <= until:
         if until is None:
@@ -94,28 +111,36 @@ def suffix_ranks(docs: DataFrame, *, until: int | None = None) -> tuple[DataFram
     return rows, h
 
 
-def deletions(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
+def deletions(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """Of each document with repeated runs: its key, the line numbers to delete and the number of maximal runs."""
-    rows, h = suffix_ranks(docs, until=min_lines)
+    if min_words is not None and min_lines > 2:
+        raise ValueError("min_words measures single lines, so runs of two lines have to count by themselves")
+    rows, h = suffix_ranks(docs, until=min_lines, min_words=min_words)
+    extra = [] if min_words is None else ["one"]
     # Two overlapping prefixes of h lines compare exactly min_lines.
-    keyed = _ahead(rows.drop("n"), min_lines - h) if min_lines > h else rows.select(*_DOC, "pos", "k", F.col("rank").alias("a"), F.lit(0).cast("long").alias("b"))
+    keyed = _ahead(rows.drop("n"), min_lines - h) if min_lines > h else rows.select(*_DOC, "pos", "k", *extra, F.col("rank").alias("a"), F.lit(0).cast("long").alias("b"))
     last = F.max("k").over(Window.partitionBy(*_DOC))
     keyed = stored(keyed.withColumn("whole", F.col("k") + min_lines - 1 <= last), "keyed")
     first = keyed.where("whole").groupBy("a", "b").agg(
         F.min(F.struct(*_DOC, "k")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     again = F.coalesce(F.col("first") < F.struct(*_DOC, "k"), F.lit(False)) & F.col("whole")
-    hits = keyed.join(first, ["a", "b"], "left").select(*_DOC, "pos", "k", again.alias("again"))
+    hits = keyed.join(first, ["a", "b"], "left").select(*_DOC, "pos", "k", *extra, again.alias("again"))
+    alone = F.lit(False)
+    if extra:
+        once = keyed.where("one >= 0").groupBy("one").agg(F.min(F.struct(*_DOC, "k")).alias("earliest"))
+        hits = hits.join(once, "one", "left")
+        alone = F.coalesce(F.col("earliest") < F.struct(*_DOC, "k"), F.lit(False))
     # A line goes if a later copy of a run starts at most min_lines - 1 lines before it.
     place = Window.partitionBy(*_DOC).orderBy("k")
-    covered = hits.withColumn("gone", F.max("again").over(place.rowsBetween(1 - min_lines, 0)))
+    covered = hits.withColumn("gone", F.max("again").over(place.rowsBetween(1 - min_lines, 0)) | alone)
     begins = F.col("gone") & ~F.coalesce(F.lag("gone").over(place), F.lit(False))
     return covered.withColumn("begins", begins).where("gone").groupBy(*_DOC).agg(
         F.collect_list("pos").alias("_gone"), F.sum(F.col("begins").cast("long")).alias("_runs"))
 
 
-def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with the later copies cut out of ``text``, and n_lines, n_deleted, n_runs."""
-    found = deletions(docs, min_lines=min_lines)
+    found = deletions(docs, min_lines=min_lines, min_words=min_words)
     docs = without(docs, *RESULT)
     th, id_, h, gone_, runs = fresh(docs, "_th", "_id", "_h", "_gone", "_runs")
     found = found.withColumnsRenamed({"doc_id": id_, "_th": h, "_gone": gone_, "_runs": runs})

@@ -66,3 +66,22 @@ def test_repeated_rows_count_as_one(spark):
 
 def test_empty_table(spark):
     assert linededup.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_long_line_alone_is_a_run(spark):
+    long, short = " ".join(f"w{k}" for k in range(51)), " ".join(f"v{k}" for k in range(50))
+    rows = [(1, long), (2, f"x\n{long}\ny"), (3, long), (4, short), (5, short), (6, f"{long}\n{long}\nx\nz"), (7, f"x\nz\n{long}"), (None, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.n_deleted, r.n_runs) for r in linededup.dedup(docs, min_words=50).collect()}
+    assert found == {
+        1: (long, 0, 0), 2: ("x\ny", 1, 1), 3: ("", 1, 1), 4: (short, 0, 0), 5: (short, 0, 0),
+        6: ("x\nz", 2, 1), 7: ("", 3, 1), None: ("q", 0, 0)}
+
+
+def test_pipeline_deletes_a_long_line_in_other_company(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, long, 0), (2, f"x\n{long}\ny", 0), (3, long, 0)], "doc_id long, text string, n_chars long")
+    found = sorted(map(tuple, corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()))
+    assert found == [(1, long, len(long)), (2, "x\ny", 3)]
