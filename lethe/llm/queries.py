@@ -7,7 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import decontaminate, edittokens, linededup, packing, qualityrules, secretscan, simhash, suffixdedup, toxicity, wavelet
+from lethe.llm import (
+    decontaminate, edittokens, linededup, maxsketch, packing, qualityrules, secretscan, simhash, suffixdedup, toxicity, wavelet, whitening, wrappers)
 from lethe.llm.common import table
 from lethe.llm.tokens import default_vocabulary
 from lethe.scratch import scratch_path
@@ -63,6 +64,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.assign(table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.run(table(spark, sf_dir, "embeddings"))
+
+
+def op12_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.run(table(spark, sf_dir, "pages"))
+
+
+def op13_maxsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "index")
+    maxsketch.build(table(spark, sf_dir, "documents"), path)
+    return maxsketch.search(spark, path, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_wavelet": op1_wavelet,
     "op2_linededup": op2_linededup,
@@ -74,6 +89,9 @@ QUERIES = {
     "op8_suffixdedup": op8_suffixdedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_wrappers": op12_wrappers,
+    "op13_maxsketch": op13_maxsketch,
 }
 
 
@@ -106,6 +124,7 @@ def _secrets_sql() -> str:
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ORACLES: dict[str, str] = {
     "op4_secretscan": _secrets_sql(),
     "op2_linededup": r"""
@@ -149,4 +168,23 @@ ORACLES: dict[str, str] = {
         SELECT id AS doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
           sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit_words h ON h.doc_id = id LEFT JOIN items t ON t.doc_id = id WHERE NOT item""",
+    "op13_maxsketch": rf"""
+        WITH words AS (
+          SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS w FROM documents),
+        docs AS (SELECT row, doc_id, len(w) AS n, w FROM words WHERE len(w) > 0),
+        items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM}')) AS term FROM benchmark),
+        sums AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS length FROM docs),
+        counts AS (
+          SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM docs)
+          WHERE term IN (SELECT term FROM items) GROUP BY row, term),
+        weights AS (
+          SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM counts, sums GROUP BY term, n_docs),
+        scored AS (
+          SELECT item_id, row,
+            sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // length))))::BIGINT AS score
+          FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN docs USING (row), sums GROUP BY item_id, row),
+        ranked AS (
+          SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM scored JOIN docs USING (row) WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {maxsketch.K}""",
 }
