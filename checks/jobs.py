@@ -351,21 +351,46 @@ def job_mask_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, InputSpec("parquet", plan.output.path))
 
 
-@query("job_mask_event_days", f"""SELECT m.o_orderkey, CASE WHEN e THEN repeat('X', length({BARE_PRIORITY})) ELSE o_orderpriority END AS o_orderpriority
+DAYS_DUCK = f"""SELECT m.o_orderkey, CASE WHEN e THEN repeat('X', length({BARE_PRIORITY})) ELSE o_orderpriority END AS o_orderpriority
   FROM (SELECT *, o_custkey IN ({fx.EXPIRED_DUCK}) AS e, strftime(o_orderdate, '%Y%m') AS dt FROM orders) AS m
-  WHERE dt IN (SELECT strftime(o_orderdate, '%Y%m') FROM orders WHERE o_custkey IN ({fx.EXPIRED_DUCK}))""")
-def job_mask_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over disjoint groups of persons, the second one twice: both groups stay masked."""
+  WHERE dt IN (SELECT strftime(o_orderdate, '%Y%m') FROM orders WHERE o_custkey IN ({fx.EXPIRED_DUCK}))"""
+
+
+def daily_runs(spark: SparkSession, sf_dir: str, *runs: Run) -> DataFrame:
+    """Persons of even and of odd number expire on two days; what the runs leave."""
     plan = event_plan(spark, sf_dir)
     people = load(spark, plan.clock.source).where("dt = '199612'").drop("dt")
     days = people.withColumn("dt", F.when(F.col("o_custkey") % 2 == 0, "19970114").otherwise("19970115"))
     clock = replace(plan.clock, source=InputSpec("parquet", fx.stored(days, "days")), value_format="yyyyMMdd", frequency="jours")
     plan = replace(plan, clock=clock, rules=EVENT_RULES[:1])
-    for day in (15, 16, 16):
-        jobs.retain_mask_by_event(spark, plan, replace(EVENT_RUN, run_date=date(1997, 1, day)))
+    for run in runs:
+        jobs.retain_mask_by_event(spark, plan, run)
     return load(spark, InputSpec("parquet", plan.output.path)).select("o_orderkey", "o_orderpriority")
 
 
+def on_day(day: int, **changes) -> Run:
+    return replace(EVENT_RUN, run_date=date(1997, 1, day), **changes)
+
+
+@query("job_mask_event_days", DAYS_DUCK)
+def job_mask_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over disjoint groups of persons, the second one twice: both groups stay masked."""
+    return daily_runs(spark, sf_dir, *[on_day(day) for day in (15, 16, 16)])
+
+
+@query("job_mask_event_rekeyed", DAYS_DUCK)
+def job_mask_event_rekeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day runs, twice, under another key: the persons of the first day stay masked."""
+    later = on_day(16, key="another-key", former_keys=(fx.CHECK_KEY,))
+    return daily_runs(spark, sf_dir, on_day(15), later, later)
+
+
+@query("job_mask_event_indexed", DAYS_DUCK)
+def job_mask_event_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days with an index of persons, which decides what is opened and changes no result."""
+    return daily_runs(spark, sf_dir, *[on_day(day, person_index=True) for day in (15, 16, 16)])
+
+
 def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration of three tables: two on the run date, one of them purged, and one on events."""
     orders = month_table(spark, sf_dir, "run")

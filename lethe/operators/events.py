@@ -14,6 +14,7 @@ from lethe.specs import Rule
 
 _FLAG = "__expired"
 _KEY = "__person"
+_WANTED = "__wanted"
 
 
 def with_event_month(events: DataFrame, process_column: str, fmt: str, name: str = "event_month") -> DataFrame:
@@ -53,12 +54,18 @@ def expired_ids(data: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def expired_row_counts(data: DataFrame, keys: DataFrame, key: str, partition_column: str) -> DataFrame:
     """Partitions in which expired persons have rows, with the number of such rows."""
-    return (
-        data.select(key, partition_column)
-        .join(keys.select(key).distinct(), key, "left_semi")
-        .groupBy(partition_column)
-        .agg(F.count("*").alias("expired_rows"))
-    )
+    return partition_counts(data, keys, key, partition_column).select(partition_column, "expired_rows")
+
+
+def partition_counts(data: DataFrame, keys: DataFrame, key: str, partition_column: str) -> DataFrame:
+    """Partitions in which expired persons have rows, with the number of such rows and of all their rows.
+
+    One pass over the data: each row is flagged, and only counts by partition are shuffled.
+    """
+    wanted = keys.select(F.col(key).alias(_WANTED)).distinct()
+    flagged = data.select(key, partition_column).join(wanted, F.col(key) == F.col(_WANTED), "left")
+    counts = flagged.groupBy(partition_column).agg(F.count(_WANTED).alias("expired_rows"), F.count("*").alias("all_rows"))
+    return counts.where("expired_rows > 0")
 
 
 def split_by_keys(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -16,9 +16,10 @@ from lethe.functions.calendar import EVENT_MONTH_FORMAT
 from lethe.identifiers import column_path
 from lethe.operators.audit import TableRun, append_audit, mask_audit, purge_audit
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
-from lethe.operators.events import expired_keys, expired_row_counts, mask_where, unreadable_events
+from lethe.operators.events import expired_keys, mask_where, partition_counts, unreadable_events
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
-from lethe.operators.persons import PERSON, history_path, person_hash, remember, remembered
+from lethe.operators.personindex import index_path, partitions_of, refresh
+from lethe.operators.persons import PERSON, carry, former_epochs, history_path, person_hash, remember, remembered
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
 from lethe.sinks.catalog import PartitionError, drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
@@ -183,26 +184,39 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
         events, key, clock.process_column, clock.process_format, _before_month(spark, run, plan.keep_months)
     )
     history = history_path(plan, run)
+    # Refuses before anything is written if the key of earlier persons is not known.
+    former = former_epochs(spark, history, run)
     person = person_hash(run.key, F.col(column_path(key)))
-    mine = remember(spark, history, expired_persons.select(person.alias(PERSON)).where(F.col(PERSON).isNotNull()), run.run_date)
-    everybody = remembered(spark, history)
+    mine = remember(spark, history, expired_persons.select(person.alias(PERSON)).where(F.col(PERSON).isNotNull()), run)
+    everything = load(spark, plan.source)
+    if former:
+        # Whoever has no row in the table needs no mask; events do not matter here.
+        carry(spark, history, run, former, everything.select(F.col(column_path(key))))
+    everybody = remembered(spark, history, run)
+    column = plan.source.partition_column
+    if run.person_index:
+        index = index_path(history, run)
+        refresh(spark, plan.source, key, index, run)
+        candidates = partitions_of(spark, index, mine)
+        if not candidates:
+            return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
+        everything = everything.where(in_partitions(everything, column, candidates))
     # This run's persons are among all persons, so one measure holds for both.
     small = _fits_broadcast(everybody)
     if small:
         mine, everybody = F.broadcast(mine), F.broadcast(everybody)
     elif plan.output.partitions:
         plan = replace(plan, output=replace(plan.output, rebalance=True))
-    everything = load(spark, plan.source)
-    column = plan.source.partition_column
-    # One row per partition of the table.
-    rows = everything.select(person.alias(PERSON), F.col(column_path(column)))
-    counts = expired_row_counts(rows, mine, PERSON, column).collect()
-    expired = {row[column]: row.expired_rows for row in counts}
-    if not expired:
+    # One row for each partition that holds expired persons: theirs, and all of its rows.
+    rows = everything.select(person.alias(PERSON), F.col(column_path(column)).cast("string").alias(column))
+    counts = partition_counts(rows, mine, PERSON, column).collect()
+    if not counts:
         return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
-    to_mask = sum(expired.values())
-    data = everything.where(F.col(column_path(column)).isin(list(expired)))
-    expected = _partition_rows(data, column)
+    expected = {row[column]: row.all_rows for row in counts}
+    if None in expected:
+        raise ValueError(f"{plan.name}: expired persons have rows without a value of {column}")
+    to_mask = sum(row.expired_rows for row in counts)
+    data = everything.where(in_partitions(everything, column, sorted(expected)))
     masked = mask_where(data, everybody, PERSON, plan.rules, _context(spark, plan, run), person)
     written = _save_checked(spark, plan, masked, expected)
     kept = sum(expected.values()) - to_mask

@@ -121,6 +121,10 @@ class Run:
     principal: str = ""
     stock_start: date = date(2013, 1, 1)
     history: str | None = None
+    # Keys of earlier runs, needed to know again the persons whom they have masked.
+    former_keys: tuple[str, ...] = field(default=(), repr=False)
+    # Keep, beside the history, which partitions can hold whom, so that event runs open only those.
+    person_index: bool = False
     # Names for the masks ``firstname`` and ``lastname``: short lists, or inputs whose first column has
     # them. Without either the lists of the library are used.
     first_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lethe.operators.configuration import plan_rows, plans, rules_for
 from lethe.operators.events import expired_keys, mask_where, split_by_keys
 from lethe.operators.masking import MaskContext
+from lethe.operators.personindex import partitions_of, refresh
+from lethe.operators.persons import PERSON, KeyEpochError, person_hash
 from lethe.plans import jobs
 from lethe.scratch import scratch_database
 from lethe.sources import CONFIG_COLUMNS, load, load_config, typed_config
@@ -331,3 +333,83 @@ def test_one_domain_keeps_joins(spark):
             return a.join(b, F.col("cust") == F.col("client")).count()
 
         assert joined({"domain": "person"}) >= 30 > joined({})
+
+
+def daily_events(spark, data, path):
+    events = spark.createDataFrame(
+        [("p0", "19990801", "20000309"), ("p1", "19990801", "20000310"), ("p2", "19990801", "20000311")],
+        "person string, left string, dt string")
+    plan = event_plan(spark, data, path, events, "jours")
+    return replace(plan, clock=replace(plan.clock, value_format="yyyyMMdd"))
+
+
+def masked_persons(spark, path):
+    return {r.person for r in load(spark, InputSpec("parquet", path("out"))).collect() if set(r.v) == {"X"}}
+
+
+def day(n, **changes):
+    return replace(RUN, run_date=date(2000, 3, n), **changes)
+
+
+def test_a_new_key_keeps_earlier_persons_masked(spark, data, path):
+    plan = daily_events(spark, data, path)
+    jobs.retain_mask_by_event(spark, plan, day(10))
+    before = counted(load(spark, InputSpec("parquet", path("out"))))
+    with pytest.raises(KeyEpochError, match="former_keys"):
+        jobs.retain_mask_by_event(spark, plan, day(11, key="k2"))
+    with pytest.raises(KeyEpochError):
+        jobs.retain_mask_by_event(spark, plan, day(11, key="k2", former_keys=("other",)))
+    assert counted(load(spark, InputSpec("parquet", path("out")))) == before, "a refused run has written"
+    for _ in range(2):
+        jobs.retain_mask_by_event(spark, plan, day(11, key="k2", former_keys=("k",)))
+        assert masked_persons(spark, path) == {"p0", "p1"}
+    # A third key: persons carried before are carried on, with both former keys given.
+    with pytest.raises(KeyEpochError):
+        jobs.retain_mask_by_event(spark, plan, day(12, key="k3", former_keys=("k2",)))
+    jobs.retain_mask_by_event(spark, plan, day(12, key="k3", former_keys=("k2", "k")))
+    assert masked_persons(spark, path) == {"p0", "p1", "p2"}
+
+
+def test_persons_who_come_back_after_a_key_change_are_known_again(spark, data, path):
+    """A person without rows on the day of the change is carried once rows appear."""
+    plan = daily_events(spark, data, path)
+    jobs.retain_mask_by_event(spark, plan, day(10))
+    data.where("person <> 'p0'").write.mode("overwrite").partitionBy("dt").parquet(path("in"))
+    jobs.retain_mask_by_event(spark, plan, day(11, key="k2", former_keys=("k",)))
+    assert masked_persons(spark, path) == {"p1"}
+    data.write.mode("overwrite").partitionBy("dt").parquet(path("in"))
+    jobs.retain_mask_by_event(spark, plan, day(12, key="k2", former_keys=("k",)))
+    assert masked_persons(spark, path) == {"p0", "p1", "p2"}
+
+
+def test_index_of_persons(spark, path):
+    """With the index the results are those without it, and only partitions with expired persons are opened."""
+    rows = [(i, f"p{i % 3}" if i % 4 == 0 else f"q{i}", f"secret {i}", f"1999{i // 8 + 1:02}") for i in range(96)]
+    rows += [(200, None, "nobody", "199912"), (201, "p0", "x y", "1998 odd/day")]
+    data = spark.createDataFrame(rows, "id int, person string, v string, dt string")
+    plan = daily_events(spark, data, path)
+    plain = replace(plan, output=replace(plan.output, path=path("plain")))
+    for n in (10, 11, 11):
+        jobs.retain_mask_by_event(spark, plain, day(n))
+        outcome = jobs.retain_mask_by_event(spark, plan, day(n, person_index=True))
+        found = counted(load(spark, InputSpec("parquet", path("out"))))
+        assert found == counted(load(spark, InputSpec("parquet", path("plain"))))
+    assert outcome.rows_in == sum(r[1] == "p1" for r in rows)
+
+
+def test_index_follows_changed_partitions(spark, data, path):
+    source = plan_for(data, path).source
+    index = path("index")
+    run = day(10)
+    persons = lambda *names: spark.createDataFrame([(n,) for n in names], "p string").select(person_hash("k", F.col("p")).alias(PERSON))
+    assert refresh(spark, source, "person", index, run) == 4
+    assert refresh(spark, source, "person", index, run) == 0
+    assert partitions_of(spark, index, persons("p0")) == ["199901", "199902", "199903", "199904"]
+    assert partitions_of(spark, index, persons("p9")) == partitions_of(spark, index, persons()) == []
+    more = spark.createDataFrame([(900, "p9", "v", "199902"), (901, "p9", "v", "199905"), (902, None, "v", "199906")], data.schema)
+    more.write.mode("append").partitionBy("dt").parquet(path("in"))
+    assert refresh(spark, source, "person", index, run) == 3
+    assert partitions_of(spark, index, persons("p9")) == ["199902", "199905"]
+    assert refresh(spark, source, "person", index, run) == 0
+    with pytest.raises(ValueError, match="no folders"):
+        refresh(spark, replace(source, partition_column="day"), "person", path("other"), run)
