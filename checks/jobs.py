@@ -310,6 +310,19 @@ def job_purge_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, source).groupBy("dt").agg(F.count("*").alias("row_count"))
 
 
+@query("job_purge_clear_copy", """SELECT strftime(o_orderdate, '%Y%m') AS dt, count(*) AS row_count FROM orders
+  WHERE strftime(o_orderdate, '%Y%m') NOT IN ('199703', '199704') GROUP BY ALL""")
+def job_purge_clear_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output holds every month in as many rows, but only two of them masked: the purge drops these and no others."""
+    source = InputSpec("table", table=month_table(spark, sf_dir, "clear"))
+    plan = replace(execution_plan(source, scratch_path(spark, "masked")), purge_months=12, rules=EVENT_RULES)
+    load(spark, source).where("dt NOT IN ('199703', '199704')").hint("rebalance", "dt").write.partitionBy("dt").parquet(plan.output.path)
+    for month in (4, 5):
+        jobs.retain_mask(spark, plan, replace(RUN, run_date=date(1998, month, 15), mode="normal"))
+    jobs.purge(spark, plan, replace(RUN, run_date=date(1998, 6, 15)), only_masked=True)
+    return load(spark, source).groupBy("dt").agg(F.count("*").alias("row_count"))
+
+
 @query("job_purge", """SELECT strftime(o_orderdate, '%Y%m') AS dt, count(*) AS row_count FROM orders
   WHERE strftime(o_orderdate, '%Y%m') >= '199801' GROUP BY ALL""")
 def job_purge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from lethe.functions.text import null_words
 from lethe.identifiers import column_path
 from lethe.operators.dictionary import replace_by_names
 from lethe.operators.options import flag, parse_bounds, to_type
-from lethe.operators.permutation import permute
+from lethe.operators.permutation import permute, permute_all
 from lethe.specs import Rule
 
 PERMUTATION = "keepDistribution"
@@ -188,21 +188,28 @@ def permuted(
     df: DataFrame, rules: Sequence[Rule], context: MaskContext, where: Column | None = None
 ) -> DataFrame:
     """The permutations and tables of names among the rules, over all rows or those that meet a condition."""
+    moved: dict[str, str] = {}
     for rule in rules:
         names = context.names_table(rule.method)
+        if names is None and rule.method != PERMUTATION:
+            continue
+        what = "names for" if names is not None else "a permutation of"
+        if not context.row_key:
+            raise ValueError(f"{what} {rule.column!r} needs the columns that identify a row")
+        key = prf.column_key(context.key, rule.options.get("domain") or rule.column)
+        if names is None and rule.column not in moved and rule.column not in context.row_key:
+            # Different columns, and none that identifies rows, can be moved at the same time.
+            moved[rule.column] = key
+            continue
+        if names is not None and sum(other.column == rule.column for other in rules) > 1:
+            raise ValueError(f"names of a table are the only mask of a column, not one of several: {rule.column!r}")
+        if moved:
+            df, moved = permute_all(df, list(moved.items()), context.row_key, where), {}
         if names is not None:
-            if not context.row_key:
-                raise ValueError(f"names for {rule.column!r} need the columns that identify a row")
-            if sum(other.column == rule.column for other in rules) > 1:
-                raise ValueError(f"names of a table are the only mask of a column, not one of several: {rule.column!r}")
-            key = prf.column_key(context.key, rule.options.get("domain") or rule.column)
             df = replace_by_names(df, rule.column, names, key, context.row_key, where)
-        if rule.method == PERMUTATION:
-            if not context.row_key:
-                raise ValueError(f"a permutation of {rule.column!r} needs the columns that identify a row")
-            key = prf.column_key(context.key, rule.options.get("domain") or rule.column)
+        else:
             df = permute(df, rule.column, key, context.row_key, where)
-    return df
+    return permute_all(df, list(moved.items()), context.row_key, where) if moved else df
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule], context: MaskContext) -> DataFrame:

@@ -20,6 +20,7 @@ from lethe.operators.events import expired_keys, mask_where, partition_counts, u
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
 from lethe.operators.personindex import index_path, partitions_of, refresh
 from lethe.operators.persons import PERSON, carry, former_epochs, history_path, person_hash, remember, remembered
+from lethe.operators.proof import unproven
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
 from lethe.sinks.catalog import PartitionError, drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
@@ -94,14 +95,10 @@ def _partition_rows(df: DataFrame, column: str) -> dict[str, int]:
     return {row.value: row.n for row in counts.collect()}
 
 
-def _written_rows(
+def _written(
     spark: SparkSession, output: OutputSpec, masked: DataFrame, column: str, partitions: Sequence[str]
-) -> dict[str, int]:
-    """Rows now in the written partitions.
-
-    Counted from the files rather than by a counter during the write: a counter
-    counts a task again when a lost executor makes it run twice.
-    """
+) -> DataFrame:
+    """The written partitions, read back."""
     source = InputSpec(
         format={"csvWithoutHeader": "csv"}.get(output.format, output.format),
         path=output.path,
@@ -113,7 +110,7 @@ def _written_rows(
         # Known here, so nothing has to be read to infer it.
         schema=masked.schema,
     )
-    return _partition_rows(load(spark, source), column)
+    return load(spark, source)
 
 
 def _save_checked(
@@ -127,7 +124,9 @@ def _save_checked(
     if column not in plan.output.partitions:
         raise ValueError(f"{plan.name}: the output must be partitioned by {column}, or runs would replace other months")
     save(masked, plan.output)
-    written = _written_rows(spark, plan.output, masked, column, sorted(expected))
+    # Counted from the files rather than by a counter during the write: a counter
+    # counts a task again when a lost executor makes it run twice.
+    written = _partition_rows(_written(spark, plan.output, masked, column, sorted(expected)), column)
     if written != expected:
         wrong = sorted(v for v in expected if written.get(v) != expected[v])
         raise RuntimeError(f"{plan.name}: row counts differ after the write in partitions {wrong}")
@@ -223,17 +222,20 @@ def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> Tabl
     return TableRun(plan.base, plan.table, tuple(sorted(expected)), to_mask, written - kept, start, datetime.now(), unreadable)
 
 
-def _unmasked(spark: SparkSession, plan: TablePlan, data: DataFrame) -> set[str]:
-    """Partitions whose rows the masked output does not hold in the same number."""
+def _unmasked(spark: SparkSession, plan: TablePlan, run: Run, data: DataFrame) -> dict[str, str]:
+    """Partitions whose masked copy in the output is not proven, with the reasons."""
     column = plan.source.partition_column
-    before = _partition_rows(data, column)
+    before = sorted(_partition_rows(data, column))
     if not before:
-        return set()
+        return {}
+    context = _context(spark, plan, run)
     try:
-        after = _written_rows(spark, plan.output, data, column, sorted(before))
-    except AnalysisException:  # there is no output yet
-        after = {}
-    return {v for v, n in before.items() if after.get(v) != n}
+        written = _written(spark, plan.output, apply_rules(data, plan.rules, context), column, before)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or "") and "TABLE_OR_VIEW_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+        return dict.fromkeys(before, "there is no masked output")
+    return unproven(data, written, column, plan.rules, context, run.former_keys)
 
 
 def purge(
@@ -243,8 +245,8 @@ def purge(
 
     Dropping a partition of an external table leaves its files in place. That is
     refused unless ``metadata_only`` says that it is wanted. With ``only_masked`` a
-    partition stays unless the masked output holds as many rows of it (``kept`` names
-    those). If some partitions cannot be dropped, ``PurgeError`` tells which were.
+    partition stays unless the output is proven to hold its rows masked
+    (``lethe.operators.proof``; ``kept`` names those that stay). If some partitions cannot be dropped, ``PurgeError`` tells which were.
     """
     start = datetime.now()
     table, column = plan.source.table, plan.source.partition_column
@@ -252,15 +254,15 @@ def purge(
         raise ValueError(f"{table} is external: dropping its partitions would keep the files")
     wanted = set(purge_partitions(spark, plan, run))
     partitions = [v for v in existing_partitions(spark, table, column) if v in wanted]
-    kept: set[str] = set()
+    kept: dict[str, str] = {}
     rows_in = rows_out = 0
     problem: Exception | None = None
     if partitions and only_masked:
         data = load(spark, InputSpec("table", table=table))
-        kept = _unmasked(spark, plan, data.where(in_partitions(data, column, partitions)))
+        kept = _unmasked(spark, plan, run, data.where(in_partitions(data, column, partitions)))
         partitions = [v for v in partitions if v not in kept]
-        if kept:
-            logger.warning("%s: partitions %s are not in the masked output and stay", plan.name, sorted(kept))
+        for value, reason in sorted(kept.items()):
+            logger.warning("%s: partition %s stays: %s", plan.name, value, reason)
     if partitions:
         data = load(spark, InputSpec("table", table=table))
         before = _partition_rows(data.where(in_partitions(data, column, partitions)), column)

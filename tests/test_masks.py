@@ -13,7 +13,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lethe.functions import drawing
-from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
+from lethe.operators import permutation
+from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules, permuted
 from lethe.operators.options import parse_bounds, parse_options, to_type
 from lethe.specs import Rule
 
@@ -288,3 +289,32 @@ def test_the_key_is_not_in_the_plan(spark):
     for method in ("id", "randomInts", "consistentStringFormatPreserving", "keepDistribution"):
         plan = apply_rules(frame, [Rule("v", method)], context)._jdf.queryExecution().toString()
         assert "top-secret-key" not in plan
+
+
+def test_several_permutations_at_once(spark, monkeypatch):
+    """The same as one after another, for columns of all types, nulls, null words and null keys."""
+    rows = [(i if i else None, i % 3, f"v{i}" if i % 5 else ("null" if i % 2 else None), i * 0.5 if i % 7 else None, i % 4) for i in range(500)]
+    data = spark.createDataFrame(rows, "id int, part int, v string, x double, few int")
+    rules = [Rule("v", "keepDistribution"), Rule("x", "keepDistribution"), Rule("few", "keepDistribution")]
+    context = MaskContext("k", ("id", "part"))
+    for where in (None, F.col("part") > 0):
+        together = permuted(data, rules, context, where)
+        single = data
+        for rule in rules:
+            single = permuted(single, [rule], context, where)
+        assert Counter(together.collect()) == Counter(single.collect())
+        assert together.schema == data.schema
+    final = together._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # The cells leave once and come back once, the rows are shuffled once to meet them, the rest are links between buckets.
+    assert final.count("ReusedExchange") == 1 and final.count("REPARTITION_BY_COL") == 3, final
+    assert final.count("Exchange hashpartitioning(") == 6, final
+    # Rows that share a key keep all their values, too.
+    copies = permuted(data, rules, MaskContext("k", ("part",))).collect()
+    for i, name in enumerate(data.columns):
+        assert Counter(r[i] for r in copies) == Counter(None if r[i] == "null" else r[i] for r in rows), name
+    monkeypatch.setattr(permutation, "COPIES", 100)
+    with pytest.raises(Exception, match="share a row key"):
+        permuted(data, rules, MaskContext("k", ("part",))).collect()
+    # The same column twice, and a column of the row key, go one after another.
+    again = permuted(data, [*rules, rules[0], Rule("part", "keepDistribution")], context)
+    assert Counter(r.v for r in again.collect()) == Counter(r.v for r in permuted(data, rules, context).collect())

@@ -69,6 +69,16 @@ def test_permutation_shuffles_the_rows_that_take_part_once(spark, data):
     assert text.count("Scan parquet") == 3 and "Union" in text
 
 
+def test_rows_of_a_permutation_are_read_and_shuffled_once(spark, data):
+    """The values between buckets come from the exchange of the rows, which adaptive execution makes once."""
+    moved = apply_rules(load(spark, InputSpec("parquet", data)), [Rule("v", "keepDistribution")], CONTEXT)
+    moved.collect()
+    final = moved._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("REPARTITION_BY_COL") == 2, final
+    # One scan for the rows that take part, one for the others, told apart by the filter that is pushed to the files.
+    assert final.count("Scan parquet") == 2, final
+
+
 def test_few_keys_leave_the_rows_where_they_are(spark, data):
     rows = load(spark, InputSpec("parquet", data))
     keys = F.broadcast(checkpointed(rows.select("id").where("id < 5").distinct()))
