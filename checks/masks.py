@@ -309,18 +309,18 @@ def permuted_lines(column: str, table: str) -> str:
 
 over_table("mask_permute_lines", "lineitem", ("l_orderkey", "l_linenumber"), "l_extendedprice", "keepDistribution",
            permuted_lines("l_extendedprice", "lineitem"))
-TOGETHER = ("l_extendedprice", "l_returnflag", "l_shipdate")
+TOGETHER = ("o_totalprice", "o_orderstatus", "o_orderdate")
 
 
 def mask_permute_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three columns permuted, each by an order of its own, over one shuffle of the rows."""
-    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *TOGETHER)
-    return apply_rules(lines, [Rule(c, "keepDistribution") for c in TOGETHER], fx.context("l_orderkey", "l_linenumber"))
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *TOGETHER)
+    return apply_rules(orders, [Rule(c, "keepDistribution") for c in TOGETHER], fx.context("o_orderkey"))
 
 
 QUERIES["mask_permute_together"] = mask_permute_together
-ORACLES["mask_permute_together"] = "SELECT * FROM " + " JOIN ".join(
-    f"({permuted_lines(c, 'lineitem')}) AS p{i}" + (" USING (l_orderkey, l_linenumber)" if i else "") for i, c in enumerate(TOGETHER))
+ORACLES["mask_permute_together"] = "SELECT * FROM (SELECT o_orderkey, o_custkey FROM orders) AS o " + " ".join(
+    f"JOIN ({permuted(c, 'orders', 'o_orderkey')}) AS p{i} USING (o_orderkey)" for i, c in enumerate(TOGETHER))
 
 
 def mask_permute_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
