@@ -7,13 +7,15 @@ some megabytes (or one text, where a text alone is longer).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lethe.scratch import scratch_path
@@ -35,11 +37,78 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables that ``stored`` makes are noted here while a shelf is open, so that whoever opened it can drop them.
+_shelf: ContextVar[list[str] | None] = ContextVar("shelf", default=None)
+#: Bits of a map of keys, at most, and bits for each key.
+MOST_BITS, BITS_EACH = 1 << 26, 8
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    shelf = _shelf.get()
+    if shelf is not None:
+        shelf.append(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+@contextmanager
+def shelf() -> Iterator[list[str]]:
+    """The paths of all tables that are stored in the block."""
+    paths: list[str] = []
+    token = _shelf.set(paths)
+    try:
+        yield paths
+    finally:
+        _shelf.reset(token)
+
+
+def drop_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` once everything that was to read them is written itself."""
+    for table in tables:
+        drop_paths(table.sparkSession, [table._stored_at])
+
+
+def key_map(keys: DataFrame, hashed: Column) -> DataFrame | None:
+    """A bit for each key, by the low bits of a hash, as words (w, bits); None beyond ``MOST_BITS``.
+
+    Its size is bounded whatever the number of keys, so it is safe to broadcast. It says of a row that its key is
+    surely not there, or perhaps: only the latter need a join.
+    """
+    bits = 1 << max(BITS_EACH * keys.count(), 1 << 10).bit_length()
+    if bits > MOST_BITS:
+        return None
+    words = bits // 64
+    place = F.pmod(hashed, F.lit(bits))
+    return keys.select((place % words).alias("w"), F.call_function("div", place, F.lit(words)).cast("int").alias("b")).groupBy("w").agg(
+        F.expr("bit_or(shiftleft(1L, b))").alias("bits")).withColumn("words", F.lit(words))
+
+
+def split_by_map(df: DataFrame, hashed: Column, found: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose key may be in the map, and those whose key is surely not (None without a map). Nothing is shuffled."""
+    if found is None:
+        return df, None
+    w, b, bits = fresh(df, "_w", "_b", "_bits")
+    words = found.first()
+    if words is None:
+        return df.limit(0), df
+    n = words["words"]
+    place = F.pmod(hashed, F.lit(64 * n))
+    flagged = df.withColumns({w: place % n, b: F.call_function("div", place, F.lit(n)).cast("int")}).join(
+        F.broadcast(found.select(F.col("w").alias(w), F.col("bits").alias(bits))), w, "left")
+    there = F.expr(f"coalesce(shiftright(`{bits}`, `{b}`) & 1L, 0L) = 1L")
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return flagged.where(there).select(*columns), flagged.where(~there).select(*columns)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
@@ -203,6 +272,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = joined.select(F.col("low").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a < b").distinct()
         then = stored(small, "edges")
         before, after = (x.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first() for x in (now, then))
+        drop_stored(now)
         moved, now = before != after, then
         if not moved:
             return now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.llm.common import bounded, fresh, stored, without
+from lethe.llm.common import bounded, drop_stored, fresh, key_map, split_by_map, stored, without
 
 MIN_LINES = 2
 #: Of the pipeline: a repeated line of more words is deleted by itself.
@@ -106,7 +106,9 @@ def suffix_ranks(docs: DataFrame, *, until: int | None = None, min_words: int |
             if now == classes:
                 break
             classes = now
-        rows = stored(_ranked(_ahead(rows.drop("n"), h)).select(*kept, "rank", "n"), "suffixes")
+        then = stored(_ranked(_ahead(rows.drop("n"), h)).select(*kept, "rank", "n"), "suffixes")
+        drop_stored(rows)
+        rows = then
         h *= 2
     return rows, h
 
@@ -121,6 +123,7 @@ def deletions(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int | N
     keyed = _ahead(rows.drop("n"), min_lines - h) if min_lines > h else rows.select(*_DOC, "pos", "k", *extra, F.col("rank").alias("a"), F.lit(0).cast("long").alias("b"))
     last = F.max("k").over(Window.partitionBy(*_DOC))
     keyed = stored(keyed.withColumn("whole", F.col("k") + min_lines - 1 <= last), "keyed")
+    drop_stored(rows)
     first = keyed.where("whole").groupBy("a", "b").agg(
         F.min(F.struct(*_DOC, "k")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     again = F.coalesce(F.col("first") < F.struct(*_DOC, "k"), F.lit(False)) & F.col("whole")
@@ -144,8 +147,14 @@ def dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int | None
     docs = without(docs, *RESULT)
     th, id_, h, gone_, runs = fresh(docs, "_th", "_id", "_h", "_gone", "_runs")
     found = found.withColumnsRenamed({"doc_id": id_, "_th": h, "_gone": gone_, "_runs": runs})
-    joined = docs.withColumn(th, _text_hash()).join(
-        found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(th) == F.col(h)), "left").drop(th, h, id_)
+    found = stored(found, "deletions")
+    # Texts without deletions stay where they are: the map of those with some tells nearly all of them.
+    held = key_map(found, F.col(h))
+    perhaps, surely = split_by_map(docs.withColumn(th, _text_hash()), F.col(th), None if held is None else stored(held, "deletion-map"))
+    joined = perhaps.join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(th) == F.col(h)), "left").drop(th, h, id_)
+    if surely is not None:
+        nothing = {gone_: F.lit(None).cast("array<int>"), runs: F.lit(None).cast("long")}
+        joined = joined.unionByName(surely.drop(th).withColumns(nothing))
     kept = list(docs.schema.fields)
     schema = T.StructType(kept + [T.StructField(k, T.LongType()) for k in RESULT])
 

@@ -17,6 +17,7 @@ table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from lethe.llm.common import bounded, mixed, slices, span_hashes, spans, stored,
 
 RISK, ERROR = 0.02, 0.05
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
+_AT_ONCE = 1 << 14
 _SPACE = np.zeros(256, bool)
 _SPACE[9:14] = _SPACE[32] = True
 _SYMBOL = np.zeros(256, bool)
@@ -77,21 +79,59 @@ def measures_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     filled = seen[line_end] > seen[line_start]
     line_start, line_end, line_doc = line_start[filled], line_end[filled], line_doc[filled]
     n_lines = np.bincount(line_doc, minlength=n)
-    _, first = np.unique(_of(span_hashes(data, line_start, line_end), line_doc), return_index=True)
+    _, first, inverse = np.unique(
+        _of(span_hashes(data, line_start, line_end), line_doc), return_index=True, return_inverse=True)
     n_dup = n_lines - np.bincount(line_doc[first], minlength=n)
+    doubtful = line_doc[_differs(data, line_start, line_end, line_doc, first[inverse])]
     # Windows of words, and the words that those found again cover.
-    keys = window_hashes(span_hashes(data, starts, ends), WINDOW)
+    words = span_hashes(data, starts, ends)
+    _, same, which = np.unique(words, return_index=True, return_inverse=True)
+    doubtful = np.concatenate([doubtful, doc[_differs(data, starts, ends, None, same[which])]])
+    keys = window_hashes(words, WINDOW)
     at = np.flatnonzero(doc[: len(keys)] == doc[WINDOW - 1 :][: len(keys)])
-    _, inverse, count = np.unique(_of(keys[at], doc[at]), return_inverse=True, return_counts=True)
+    _, first, inverse, count = np.unique(_of(keys[at], doc[at]), return_index=True, return_inverse=True, return_counts=True)
     again = at[count[inverse] > 1]
+    model = at[first[inverse]]
+    other = (doc[model] != doc[at]) | (np.stack([which[model + k] != which[at + k] for k in range(WINDOW)]).any(axis=0) if len(at) else False)
+    doubtful = np.unique(np.concatenate([doubtful, doc[at[other]], doc[model[other]]]))
     change = np.zeros(len(starts) + 1, np.int64)
     np.add.at(change, again, 1)
     np.add.at(change, again + WINDOW, -1)
     covered = np.cumsum(change[:-1]) > 0
     n_repeat = np.bincount(doc[covered], minlength=n)
+    for k in doubtful.tolist():
+        n_dup[k], n_repeat[k] = _repeats(data[offsets[k] : offsets[k + 1]].tobytes())
     return [n_words, word_chars, per(_SYMBOL[data]), n_lines, n_dup, n_repeat]
 
 
+def _differs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray | None, model: np.ndarray) -> np.ndarray:
+    """Spans that are not, byte by byte, the span their hash was found with first (or not of the same text)."""
+    length = ends - starts
+    other = length != length[model]
+    if doc is not None:
+        other |= doc != doc[model]
+    check = np.flatnonzero(~other & (model != np.arange(len(model))))
+    for a in range(0, len(check), _AT_ONCE):
+        some = check[a : a + _AT_ONCE]
+        total = np.cumsum(length[some])
+        inside = np.arange(total[-1]) - np.repeat(total - length[some], length[some])
+        wrong = data[np.repeat(starts[some], length[some]) + inside] != data[np.repeat(starts[model[some]], length[some]) + inside]
+        other[some[np.searchsorted(total, np.flatnonzero(wrong), side="right")]] = True
+    # The model of a stranger may have been counted with it.
+    found = np.flatnonzero(other)
+    return np.concatenate([found, model[found]])
+
+
+def _repeats(text: bytes) -> tuple[int, int]:
+    """n_dup_lines and n_repeat_words of one text, without hashes of our own."""
+    lines = [line for line in text.split(b"\n") if line.split()]
+    words = text.split()
+    windows = [tuple(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
+    count = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(WINDOW)}
+    return len(lines) - len(set(lines)), len(covered)
+
+
 def _of(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mixed(hashes ^ mixed(doc.astype(np.uint64) + np.uint64(1)))
 

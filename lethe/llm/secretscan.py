@@ -52,7 +52,8 @@ BASE = (
     Rule("hex", "[0-9a-f]{32,}", 32),
 )
 EXTRA = (
-    Rule("private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", needs=("PRIVATE KEY",)),
+    # Bounded, since the engine recurses over a repeated group: an open one overflows its stack on a text of some KB.
+    Rule("private_key", "-----BEGIN (?:[A-Z]{1,20} ){0,4}PRIVATE KEY-----", needs=("PRIVATE KEY",), version=2),
     Rule("json_token", "eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}", needs=("eyJ",)),
     Rule("host_token", "gh[pousr]_[A-Za-z0-9]{36,}", needs=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("url_login", "://[^\\s:/@]+:[^\\s:/@]+@", needs=("://",)),

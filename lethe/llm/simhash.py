@@ -24,14 +24,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lethe.llm import nearcopies
-from lethe.llm.common import bounded, components, fresh, shingle_hashes, slices, stored, text_bytes
+from lethe.llm.common import bounded, components, drop_stored, fresh, key_map, shingle_hashes, slices, split_by_map, stored, text_bytes
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
+#: Files of a table, at most, whose rows are numbered by file and place.
+MOST_FILES = 1 << 18
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE_WORDS, step: int = 1 << 16) -> np.ndarray:
@@ -148,16 +151,46 @@ def keep_one(docs: DataFrame, *, width: int = nearcopies.SHINGLE_WORDS, similari
     """One row of each group of near copies: the least by doc_id (none last), then by a hash of the text.
 
     Near copies are linked by the similarity of their sets of ``width``-word shingles, not by fingerprints;
-    texts without words are one group. Rows are told apart by a number in a stored copy of ``docs``, never
+    texts without words are one group. Rows are told apart by their place in the files of ``docs``, never
     by ``doc_id``, so tied and missing ids neither keep a copy nor drop another text.
     """
     (row,) = fresh(docs, "_row")
-    tagged = stored(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
+    tagged = _numbered(docs, row)
     rows = tagged.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col(row).alias("row"))
     marked = stored(nearcopies.sketched(rows, width), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th", "row")
-    heads = stored(marked.groupBy("h1", "h2").agg(F.min(order).alias("head")).select("head", F.col("head.row").alias("node")), "heads")
-    sets = marked.join(heads.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    heads = stored(marked.groupBy("h1", "h2").agg(F.min(order).alias("head")).select("h1", "h2", "head", F.col("head.row").alias("node")), "heads")
+    sets = marked.join(heads.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "bands")
     roots = components(nearcopies.links(sets, rows, width, similarity))
-    least = heads.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("head").alias("head"))
-    return tagged.join(least.select(F.col("head.row").alias(row)), row, "left_semi").select(*(F.col(f"`{name}`") for name in docs.columns))
+    grouped = stored(heads.join(roots, "node", "left").select("h1", "h2", "head", F.coalesce("root", "node").alias("root")), "grouped")
+    least = grouped.groupBy("root").agg(F.min("head").alias("least"))
+    # The rows that go: all but the least of each group. Rows that the map of these leaves out stay where they are.
+    stays = grouped.join(least, "root").select("h1", "h2", F.col("least.row").alias("keeper"))
+    gone = stored(marked.select("row", "h1", "h2").join(stays, ["h1", "h2"]).where("row <> keeper").select(F.col("row").alias(row)), "gone")
+    drop_stored(heads, marked, grouped)
+    found = key_map(gone, F.xxhash64(F.col(row)))
+    perhaps, surely = split_by_map(tagged, F.xxhash64(F.col(row)), None if found is None else stored(found, "gone-map"))
+    kept = perhaps.join(gone, row, "left_anti")
+    kept = kept if surely is None else kept.unionByName(surely)
+    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))
+
+
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with a number of its own for each row, the same whenever it is read.
+
+    A Parquet table gives it: the number of the file by name, and the place of the row in it. Anything else, or a table
+    of very many or very long files, is stored first.
+    """
+    try:
+        place = docs.select("*", F.col("_metadata.file_path").alias(f"{row}_file"), F.col("_metadata.row_index").alias(f"{row}_place"))
+    except AnalysisException:
+        place = None
+    if place is not None:
+        files = place.groupBy(f"{row}_file").agg(F.max(f"{row}_place").alias("last"))
+        longest = files.agg(F.count("*").alias("n"), F.max("last").alias("last")).first()
+        if longest["n"] <= MOST_FILES and (longest["last"] or 0) < 1 << 40:
+            # A row for each file, MOST_FILES at most, so it may be broadcast.
+            named = files.select(f"{row}_file", F.row_number().over(Window.orderBy(f"{row}_file")).cast("long").alias(f"{row}_no"))
+            joined = place.join(F.broadcast(stored(named, "files")), f"{row}_file")
+            return joined.select(*(F.col(f"`{name}`") for name in docs.columns), F.expr(f"shiftleft(`{row}_no`, 40) + `{row}_place`").alias(row))
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")

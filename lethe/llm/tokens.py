@@ -2,7 +2,7 @@
 
 A byte-level BPE never merges across pre-tokens, so the ids of a text are those of
 its pre-tokens in a row. The split is done on vectors of code points; the pieces go
-through the tokenizers library and are remembered. Texts with code points
+through the tokenizers library and are remembered. They are found again by a hash and then compared letter by letter. Texts with code points
 beyond the Latin blocks, or with a literal added token (``<|endoftext|>``), go to the library whole.
 """
 
@@ -23,6 +23,8 @@ _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 LONGEST_KEPT = 64
 #: Pieces remembered by a worker before it starts anew.
 KEPT_PIECES = 1_000_000
+#: And code points in them.
+KEPT_CODES = 1 << 24
 _AT_ONCE = 8192
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 
@@ -90,6 +92,8 @@ class Encoder:
     def _reset(self) -> None:
         self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        # The code points of each entry, to tell pieces that only share a hash.
+        self.spelled, self.spelling = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def odd(self, text: str) -> bool:
         """Whether ``text`` has to go to the library whole."""
@@ -114,15 +118,28 @@ class Encoder:
             ids.append(np.fromiter((i for one in found for i in one), np.int32, int(lengths[-1].sum())))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(lengths))])
         self.ids = np.concatenate([self.ids, *ids])
+        widths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.spelled = np.concatenate([self.spelled, self.spelled[-1] + np.cumsum(widths)])
+        self.spelling = np.concatenate([self.spelling, np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)])
         return base
 
+    def _strangers(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Pieces that are spelled otherwise than their entry: equal hashes of different texts."""
+        width = self.spelled[entry + 1] - self.spelled[entry]
+        other = width != ends - starts
+        # Pieces lie end to end; those of another length are left out of the comparison.
+        there = np.repeat(np.where(other, 0, self.spelled[entry]) - starts, ends - starts) + np.arange(len(codes))
+        wrong = self.spelling[np.minimum(there, len(self.spelling) - 1)] != codes if len(codes) else np.zeros(0, bool)
+        other[np.searchsorted(starts, np.flatnonzero(wrong), side="right") - 1] = True
+        return np.flatnonzero(other)
+
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of Latin texts without added tokens: code points, offsets of texts, starts and ends of pieces, entry of each piece."""
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
         starts, ends = split_points(codes, offsets)
-        if len(self.begin) > KEPT_PIECES:
+        if len(self.begin) > KEPT_PIECES or len(self.spelling) > KEPT_CODES:
             self._reset()
         unique, first, inverse = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, unique)
@@ -137,7 +154,12 @@ class Encoder:
             entry[missing] = base + np.arange(len(missing))
             kept = missing[high - low <= LONGEST_KEPT]
             self.keys, self.places = (np.insert(x, at[kept], y[kept]) for x, y in ((self.keys, unique), (self.places, entry)))
-        return codes, offsets, starts, ends, entry[inverse]
+        entry = entry[inverse]
+        strangers = self._strangers(codes, starts, ends, entry)
+        if len(strangers):
+            base = self._add([joined[a:b] for a, b in zip(starts[strangers].tolist(), ends[strangers].tolist(), strict=True)])
+            entry[strangers] = base + np.arange(len(strangers))
+        return codes, offsets, starts, ends, entry
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the number of ids of each text; null is empty."""

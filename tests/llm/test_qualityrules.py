@@ -40,6 +40,29 @@ def test_measures_equal_brute_force():
         assert [[int(m[k]) for m in found] for k in range(len(part))] == [brute(t) for t in part]
 
 
+def thue_morse(letters, n):
+    word, other = letters
+    for _ in range(n.bit_length() - 1):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_lines_and_words_with_one_hash_are_told_apart():
+    a, b = thue_morse("ab", 1024)
+    rows = [f"{a}\n{b}", f"{a} x y {b} x y", f"{b} {a} {b} {a} {b}", f"{a}\n{b}\n{a}", a, b, f"{a} {a} {a} {b}", "plain text\nplain text"]
+    found = q.measures_of(*text_bytes(pa.array(rows, pa.string())))
+    assert [[int(m[k]) for m in found] for k in range(len(rows))] == [brute(t) for t in rows]
+
+
+def test_forged_hashes(monkeypatch):
+    """With eight hashes for all lines and words every count still is right."""
+    monkeypatch.setattr(q, "span_hashes", lambda data, starts, ends: ((ends - starts) % 8).astype("uint64"))
+    for seed in (3, 4):
+        rows = texts(seed)[:60]
+        found = q.measures_of(*text_bytes(pa.array(rows, pa.string())))
+        assert [[int(m[k]) for m in found] for k in range(len(rows))] == [brute(t) for t in rows]
+
+
 def test_tail_is_exact():
     for n, k, p in ((1, 0, 0.3), (20, 3, 0.1), (500, 2, 0.02), (50, 50, 0.4), (300, 20, 0.05)):
         exact = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from pathlib import Path
 
 from lethe.llm import secretscan
 
@@ -72,3 +73,21 @@ def test_plan_has_no_python(spark, path):
     docs = spark.createDataFrame(list(enumerate(corpus()[:9])), "doc_id long, text string").coalesce(1)
     plan = secretscan.findings(docs, secretscan.Ledger(spark, path("ledger")))._jdf.queryExecution().toString()
     assert "Python" not in plan.replace("PythonRDD", "") and "Arrow" not in plan
+
+
+def test_long_adversarial_texts(spark, path):
+    """No rule recurses with the length of a text, which would overflow the stack of the JVM."""
+    size = 10_000_000
+    texts = ["-----BEGIN " + "A " * (size // 2) + "PRIVATE KEY-----", "-----BEGIN " * (size // 11) + "PRIVATE KEY-----", "://" + "a" * size,
+             "://" + "a:" * (size // 2), "password=" + "a" * size, "api_key" * (size // 7), "AKIA" + "A" * size, "a" * size, "ghp_" + "a" * size,
+             "eyJ" + "a" * size, "eyJ" + "a." * (size // 2), "-----BEGIN A B C D PRIVATE KEY-----"]
+    folder = Path(path("texts"))
+    folder.mkdir()
+    for k, text in enumerate(texts):
+        (folder / f"{k}.txt").write_text(text)
+    docs = spark.read.text(path("texts"), wholetext=True).selectExpr("xxhash64(value) AS doc_id", "value AS text")
+    ledger = secretscan.Ledger(spark, path("ledger"))
+    assert secretscan.update(docs, ledger) == len(texts)
+    found = secretscan.digests(secretscan.findings(docs, ledger)).collect()
+    assert sorted(tuple(r)[1:5] for r in found) == sorted(brute(t) for t in texts)
+    assert sum("private_key" in r.spans for r in found) == 1
