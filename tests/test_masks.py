@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lethe.functions import drawing
-from lethe.operators import permutation
+from lethe.operators import dictionary, permutation
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules, permuted
 from lethe.operators.options import parse_bounds, parse_options, to_type
 from lethe.specs import Rule
@@ -318,3 +318,18 @@ def test_several_permutations_at_once(spark, monkeypatch):
     # The same column twice, and a column of the row key, go one after another.
     again = permuted(data, [*rules, rules[0], Rule("part", "keepDistribution")], context)
     assert Counter(r.v for r in again.collect()) == Counter(r.v for r in permuted(data, rules, context).collect())
+
+
+@pytest.mark.parametrize(("sample", "ranges"), [(4096, 256), (40, 7), (1, 3)])
+def test_names_are_numbered_in_order(spark, monkeypatch, sample, ranges):
+    monkeypatch.setattr(dictionary, "SAMPLE", sample)
+    monkeypatch.setattr(dictionary, "RANGES", ranges)
+    names = [f"{'éaßZ😀'[i % 5]}{i * 7919 % 1000:x}" for i in range(1500)] + ["", "same", "same", None]
+    table = spark.createDataFrame([(n, 1) for n in names], "n string, x int").repartition(5)
+    numbered, count = dictionary.numbered_names(table)
+    found = sorted((r["__index"], r["__name"]) for r in numbered.collect())
+    assert found == list(enumerate(sorted({n for n in names if n is not None}))) and count == len(found)
+    # No window without a partition key: none of the tasks sorts all names.
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and plan.count("Window [") >= 1
+    assert dictionary.numbered_names(table.limit(0))[1] == 0
