@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from lethe.functions.drawing import FIRST_NAMES, LAST_NAMES
+from lethe.functions.fpe import TEXT_ALPHABET
 from lethe.operators.masking import apply_rules
 from lethe.specs import Rule
 
@@ -407,6 +408,30 @@ def cipher_duck() -> str:
     return f"SELECT o_orderkey, a * n2 + b + low AS value FROM ({sql}) AS done"
 
 
+def fpe_str_cipher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = fx.table(spark, sf_dir, "customer").select("c_custkey", F.translate("c_name", "#", "é").alias("value"))
+    return apply_rules(names, [Rule("value", "consistentStringFormatPreserving")], fx.context())
+
+
+def text_cipher_duck() -> str:
+    """Ten rounds as ten subqueries over lists of ranks; all characters of the names are in the alphabet."""
+    alphabet = TEXT_ALPHABET.replace("'", "''")
+    size, key = len(TEXT_ALPHABET), f"sha256('{fx.CHECK_KEY}|value')"
+    sql = f"""SELECT c_custkey, len(r) AS n, r[1:len(r) // 2] AS a, r[len(r) // 2 + 1:] AS b FROM (
+        SELECT c_custkey, list_transform({chars_of("replace(c_name, '#', 'é')")}, lambda c: CAST(instr('{alphabet}', c) - 1 AS BIGINT)) AS r FROM customer) AS c"""
+    for i in range(10):
+        own, other = ("a", "b") if i % 2 == 0 else ("b", "a")
+        # Of twelve numbers from each hash, the one for place j.
+        slices = f"CAST('0x' || substr(sha256(concat_ws('|', seed, (j - 1) // 12)), CAST((j - 1) % 12 // 3 * 15 + 1 AS INT), 15) AS BIGINT)"
+        number_of = f"({slices} >> CAST((j - 1) % 3 * 20 AS INT)) % 1048576"
+        moved = f"list_transform(range(1, len({own}) + 1), lambda j: ({own}[j] + {number_of}) % {size})"
+        sql = f"""SELECT c_custkey, n, {moved} AS {own}, {other} FROM (
+          SELECT *, sha256(concat_ws('|', {key}, n, '{i}', CAST({other} AS VARCHAR))) AS seed FROM ({sql}) AS q{i}) AS s{i}"""
+    letters = f"list_transform(list_concat(a, b), lambda x: substr('{alphabet}', CAST(x + 1 AS INT), 1))"
+    return f"SELECT c_custkey, array_to_string({letters}, '') AS value FROM ({sql}) AS done"
+
+
+QUERIES["fpe_str_cipher"], ORACLES["fpe_str_cipher"] = fpe_str_cipher, text_cipher_duck()
 QUERIES["fpe_num_cipher"], ORACLES["fpe_num_cipher"] = fpe_num_cipher, cipher_duck()
 QUERIES["fpe_num_roundtrip"] = fpe_num_roundtrip
 ORACLES["fpe_num_roundtrip"] = "SELECT o_orderkey, o_orderkey AS value, TRUE AS length_kept FROM orders"

@@ -5,7 +5,8 @@ alphabet, in the manner of FFX. It is not the certified FF1 mode, and short valu
 at most among n. Characters outside the alphabet keep their place.
 
 Whole numbers of up to 64 bits are built-in expressions: keyed SHA-256 in the rounds, on a
-rectangle that has exactly as many cells as there are numbers of the size. Texts and wide
+rectangle that has exactly as many cells as there are numbers of the size. Texts are built-in expressions as well: two
+halves of their characters, each in turn shifted modulo the alphabet by a key stream of SHA-256 slices of the other. Wide
 decimals have no JVM function for their arithmetic, so they run as an Arrow UDF, with
 keyed BLAKE2b; each batch computes every distinct value once.
 """
@@ -21,11 +22,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, ShortType, StringType
 
+from lethe.functions import prf
 from lethe.functions.text import let
 
 ROUNDS = 10
-#: Characters of an alphabet in a block of a long text; the last block has up to twice as many.
-BLOCK_CHARACTERS = 128
+#: Numbers of a key stream that one hash gives.
+STREAM_PER_HASH = 3 * prf.SLICES
 
 DIGITS = "0123456789"
 # The text alphabet is Latin letters of both cases with accents,
@@ -68,40 +70,6 @@ def _permute(number: int, sizes: tuple[int, int], label: str, key: bytes, forwar
     return a * sizes[1] + b
 
 
-def translate_text(text: str, rank: dict[str, int], key: bytes, forward: bool) -> str:
-    """Encrypt or decrypt the characters of an alphabet (character -> rank), leaving the others in place.
-
-    Long texts go in blocks, so the work is linear in the length. A block's rounds also
-    depend on the encrypted block before it, so equal blocks do not show.
-    """
-    places = [i for i, c in enumerate(text) if c in rank]
-    if not places:
-        return text
-    alphabet, out, before = list(rank), list(text), ""
-    blocks = max(1, len(places) // BLOCK_CHARACTERS)
-    for b in range(blocks):
-        # The last block also holds what is left, so no block is short in a long text.
-        block = places[b * BLOCK_CHARACTERS : (b + 1) * BLOCK_CHARACTERS if b < blocks - 1 else None]
-        was = "".join(text[i] for i in block)
-        _translate_block(out, block, alphabet, rank, f"{len(places)}|{before}", key, forward)
-        before = f"{b}|" + ("".join(out[i] for i in block) if forward else was)
-    return "".join(out)
-
-
-def _translate_block(
-    out: list[str], places: list[int], alphabet: list[str], rank: dict[str, int], label: str, key: bytes, forward: bool
-) -> None:
-    radix, length = len(rank), len(places)
-    number = 0
-    for i in places:
-        number = number * radix + rank[out[i]]
-    sizes = (radix ** (length // 2), radix ** (length - length // 2))
-    number = _permute(number, sizes, label, key, forward)
-    for i in reversed(places):
-        number, digit = divmod(number, radix)
-        out[i] = alphabet[digit]
-
-
 def translate_number(number: int, largest: int, key: bytes, forward: bool) -> int:
     """Permute the whole numbers with the same sign and digit count that fit the type.
 
@@ -220,14 +188,88 @@ def _distinct(batch: pd.Series, change: Callable) -> pd.Series:
     return pd.Series([changed[c] for c in codes], index=batch.index, dtype="object")
 
 
+def _key_stream(seed: Column, length: Column) -> Column:
+    """Numbers of 20 bits, as many as asked for, from hashes of a seed: three of each slice of 60 bits."""
+    last = F.call_function("div", length - 1, F.lit(STREAM_PER_HASH)).cast("int")
+
+    def block(b: Column) -> Column:
+        return let(
+            F.sha2(F.concat_ws("|", seed, b.cast("string")), 256),
+            lambda h: F.array(*[prf.number(h, prf.SLICE_DIGITS * i + 1, prf.SLICE_DIGITS) for i in range(prf.SLICES)]))
+
+    slices = F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), block))
+    bits = 4 * prf.SLICE_DIGITS // 3
+    parts = F.transform(slices, lambda p: F.array(p % (1 << bits), F.shiftright(p, bits) % (1 << bits), F.shiftright(p, 2 * bits)))
+    return F.slice(F.flatten(parts), F.lit(1), length)
+
+
+def _shifted(half: Column, other: Column, label: Column, radix: int, forward: bool) -> Column:
+    """A half, each rank moved by the key stream that the other half gives."""
+    seed = F.sha2(F.concat_ws("|", label, other.cast("string")), 256)
+    # Bound once: inside the stream it would be hashed anew for every block.
+    stream = let(seed, lambda s: _key_stream(s, F.size(half)))
+    if forward:
+        return F.zip_with(half, stream, lambda x, s: (x + s) % radix)
+    # The streams are below 2 ** 20, so this multiple of the radix keeps the difference from being negative.
+    above = ((1 << 20) // radix + 1) * radix
+    return F.zip_with(half, stream, lambda x, s: (x - s + above) % radix)
+
+
+def _rounds(ranks: Column, radix: int, derived_key: str, forward: bool) -> Column:
+    """Alternating Feistel rounds over an array of ranks: even ones move the first half by the second, odd ones the other way."""
+
+    def of(all_ranks: Column) -> Column:
+        n = F.size(all_ranks)
+        cut = F.call_function("div", n, F.lit(2)).cast("int")
+        halves = {"a": F.slice(all_ranks, F.lit(1), cut), "b": F.slice(all_ranks, cut + 1, n - cut)}
+        start = F.struct(*[half.cast("array<bigint>").alias(name) for name, half in halves.items()], n.alias("n"))
+        order = F.array(*[F.lit(i) for i in (range(ROUNDS) if forward else reversed(range(ROUNDS)))])
+
+        def step(s: Column, i: Column) -> Column:
+            label = F.concat_ws("|", F.lit(derived_key), s["n"].cast("string"), i.cast("string"))
+            even = F.struct(_shifted(s["a"], s["b"], label, radix, forward).alias("a"), s["b"].alias("b"), s["n"].alias("n"))
+            odd = F.struct(s["a"].alias("a"), _shifted(s["b"], s["a"], label, radix, forward).alias("b"), s["n"].alias("n"))
+            return F.when(i % 2 == 0, even).otherwise(odd)
+
+        return let(F.aggregate(order, start, step), lambda s: F.concat(s["a"], s["b"]))
+
+    return let(ranks, of)
+
+
 def text_column(value: Column, alphabet: str, derived_key: str, forward: bool) -> Column:
-    key, rank = bytes.fromhex(derived_key), {c: i for i, c in enumerate(alphabet)}
+    """Encrypt or decrypt the characters of an alphabet, leaving the others in place; the work grows linearly with the length.
 
-    @F.pandas_udf("string")
-    def run(batch: pd.Series) -> pd.Series:
-        return _distinct(batch, lambda v: translate_text(v, rank, key, forward))
+    The ranks of the characters run through ``_rounds``; each character hashes a few bytes in each round, so long texts need no blocks.
+    """
+    letters = F.array(*[F.lit(c) for c in alphabet])
+    # By code point, since looking a character up in the alphabet would compare it with each.
+    place = {ord(c): i for i, c in enumerate(alphabet)}
+    ranks = F.expr(f"array({', '.join(str(place.get(code, -1)) for code in range(max(place) + 1))})")
+    rank = lambda c: F.coalesce(F.get(ranks, F.ascii(c)), F.lit(-1))
+
+    def spelled(ranks: Column) -> Column:
+        return F.transform(ranks, lambda r: F.get(letters, r.cast("int")))
+
+    def plain(chars: Column) -> Column:
+        return F.array_join(spelled(_rounds(F.transform(chars, rank), len(alphabet), derived_key, forward)), "")
+
+    def mixed(chars: Column) -> Column:
+        # Characters with their places, those of the alphabet and the others apart, brought together by place again.
+        placed = F.transform(chars, lambda c, i: F.struct(i.alias("i"), c.alias("c")))
+        inside = F.filter(placed, lambda p: rank(p["c"]) >= 0)
+        outside = F.filter(placed, lambda p: rank(p["c"]) < 0)
+
+        def merged(own: Column) -> Column:
+            moved = spelled(_rounds(F.transform(own, lambda p: rank(p["c"])), len(alphabet), derived_key, forward))
+            back = F.zip_with(own, moved, lambda p, c: F.struct(p["i"].alias("i"), c.alias("c")))
+            return F.array_join(F.transform(F.array_sort(F.concat(back, outside)), lambda p: p["c"]), "")
+
+        return let(inside, merged)
+
+    def of(chars: Column) -> Column:
+        return F.when(F.exists(chars, lambda c: rank(c) < 0), mixed(chars)).otherwise(plain(chars))
 
-    return run(value)
+    return F.when(F.length(value) > 0, let(F.split(value, ""), of)).otherwise(value)
 
 
 def number_column(value: Column, dtype: DataType, derived_key: str, forward: bool) -> Column:
