@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lethe.identifiers import column_path
 from lethe.operators.configuration import RULE_COLUMNS, TABLE_KEY
 from lethe.sinks.catalog import add_partition
 from lethe.sinks.writers import save
-from lethe.specs import OutputSpec
+from lethe.sources.readers import load
+from lethe.specs import InputSpec, OutputSpec
 
 # Audit columns, in table order.
 MASK_AUDIT_COLUMNS = (
@@ -46,6 +50,10 @@ PURGE_AUDIT_COLUMNS = (
     "dt",
 )
 AUDIT_DAY_FORMAT = "%Y-%m-%d"
+# Partition columns below the day, so that a repeated run replaces its own rows.
+RUN_ID, TABLE_ID = "run_id", "table_id"
+
+logger = logging.getLogger(__name__)
 
 _LIST_NAMES = MASK_AUDIT_COLUMNS[2:6]
 
@@ -119,6 +127,59 @@ def union_audits(audits: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, audits)
 
 
+def _earlier(spark: SparkSession, spec: OutputSpec, run_id: str, table_id: str) -> tuple[bool, Row | None]:
+    """Whether the saved audits are laid out by run and table (or there are none), and what an earlier attempt has saved."""
+    source = InputSpec(
+        format={"csvWithoutHeader": "csv"}.get(spec.format, spec.format), path=spec.path, table=spec.table,
+        delimiter=spec.delimiter, partition_column=spec.partition_column)
+    if spec.format == "table" and not spark.catalog.tableExists(spec.table):
+        return True, None
+    try:
+        saved = load(spark, source)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
+            return True, None
+        raise
+    if RUN_ID not in saved.columns:
+        return False, None
+    mine = saved.where((F.col(RUN_ID) == run_id) & (F.col(TABLE_ID) == table_id))
+    # One row at most, from the one folder of this run and table.
+    return True, mine.withColumn(spec.partition_column, F.col(column_path(spec.partition_column)).cast("string")).first()
+
+
+def _with_earlier(audit: DataFrame, row: Row) -> DataFrame:
+    """The audit of a purge together with what the earlier attempt has dropped: what is gone is not dropped twice."""
+    sums = ("input_row_count", "output_row_count", "processing_time")
+    dropped = F.array(*[F.lit(v) for v in row["purged_partitions"]]).cast("array<string>")
+    return audit.withColumns({
+        "purged_partitions": F.array_sort(F.array_union("purged_partitions", dropped)),
+        "start_date": F.least("start_date", F.lit(row["start_date"])), **{c: F.col(c) + F.lit(row[c]) for c in sums}})
+
+
+def replace_audit(audit: DataFrame, spec: OutputSpec, run_id: str, table_id: str) -> None:
+    """Save the audit of one table in one run, in the place of what an earlier attempt of that run has saved.
+
+    Audits lie in a partition of their own for each run and table, below the day of the first attempt; a repeated run
+    overwrites that partition, which Spark stages and then swaps, and no other. Tables that end at the same time
+    write different partitions. A purge adds to what earlier attempts have dropped. Without a partition column, and where audits are saved already that are not laid out like this,
+    rows are appended as before.
+    """
+    if not spec.partition_column:
+        append_audit([audit], spec)
+        return
+    laid_out, earlier = _earlier(audit.sparkSession, spec, run_id, table_id)
+    if not laid_out:
+        logger.warning("%s holds audits without run identities: a repeated run adds to them", spec.path or spec.table)
+        append_audit([audit], spec)
+        return
+    if earlier is not None:
+        if "purged_partitions" in audit.columns:
+            audit = _with_earlier(audit, earlier)
+        audit = audit.withColumn(spec.partition_column, F.lit(earlier[spec.partition_column]))
+    audit = audit.withColumns({RUN_ID: F.lit(run_id), TABLE_ID: F.lit(table_id)})
+    append_audit([audit], replace(spec, mode="overwrite_partitions", further_columns=(*spec.further_columns, RUN_ID, TABLE_ID)))
+
+
 def append_audit(audits: Sequence[DataFrame], spec: OutputSpec) -> None:
     """Append the audits of a run; register their partitions when a table stands over the path."""
     if not audits:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lethe.functions.calendar import EVENT_MONTH_FORMAT
 from lethe.identifiers import column_path
-from lethe.operators.audit import TableRun, append_audit, mask_audit, purge_audit
+from lethe.operators.audit import TableRun, mask_audit, purge_audit, replace_audit
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
 from lethe.operators.events import expired_keys, mask_where, partition_counts, unreadable_events
 from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
@@ -311,7 +311,7 @@ def run(
     purge_audit_spec: OutputSpec | None = None,
     parallel: int = 1,
 ) -> RunReport:
-    """Work through a typed configuration; both audits are appended as each table ends.
+    """Work through a typed configuration; both audits are saved as each table ends, in the place of those of an earlier attempt.
 
     Every plan is checked before the first table is touched. A table is masked
     before its originals are purged. A table that fails does not stop the others:
@@ -338,10 +338,9 @@ def run(
             report.kept |= part.kept
             report.failures |= part.failures
             # A later crash must not take the audit of what was already done with it.
-            if mask_audit_spec is not None and part.masked:
-                append_audit([mask_audit(config, part.masked, run.principal)], mask_audit_spec)
-            if purge_audit_spec is not None and part.purged:
-                append_audit([purge_audit(config, part.purged, run.principal)], purge_audit_spec)
+            for spec, audit, done in ((mask_audit_spec, mask_audit, part.masked), (purge_audit_spec, purge_audit, part.purged)):
+                if spec is not None and done:
+                    replace_audit(audit(config, done, run.principal), spec, run.identity, f"{done[0].base}.{done[0].table}")
     if report.failures:
         raise RunError(report)
     return report

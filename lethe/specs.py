@@ -130,6 +130,11 @@ class Run:
     first_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)
     last_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)
 
+    @property
+    def identity(self) -> str:
+        """What a repeated run has in common with its earlier attempts."""
+        return f"{self.run_date.isoformat()}-{self.mode}"
+
     @property
     def month(self) -> str:
         return self.run_date.strftime("%Y%m")

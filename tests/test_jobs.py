@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from lethe.operators.audit import TableRun, append_audit, mask_audit, replace_audit
 from lethe.operators.configuration import plan_rows, plans, rules_for
 from lethe.operators.events import expired_keys, mask_where, split_by_keys
 from lethe.operators.masking import MaskContext
@@ -208,8 +209,9 @@ def test_whole_run(spark, data, path):
         report = jobs.run(spark, config, RUN, *audits)
     assert not report.kept and report.masked[0].partitions == ("199902",) and report.purged[0].partitions == ()
     mask, purge = (load(spark, InputSpec("orc", spec.path)).orderBy("start_date").collect() for spec in audits)
-    assert [(r.tableName, r.columnNames, r.input_row_count, r.output_row_count) for r in mask] == [("t", ["v"], 8, 8)] * 2
-    assert [(r.purged_partitions, r.input_row_count, r.output_row_count) for r in purge] == [(["199901"], 4, 0), ([], 0, 0)]
+    # The second attempt has replaced the audits of the first; what that one has purged stays on record.
+    assert [(r.tableName, r.columnNames, r.input_row_count, r.output_row_count) for r in mask] == [("t", ["v"], 8, 8)]
+    assert [(r.purged_partitions, r.input_row_count, r.output_row_count) for r in purge] == [(["199901"], 4, 0)]
     assert mask[0].principalKeytab == "me" and mask[0].processing_time >= 0
     assert sorted({r.dt for r in spark.table(f"{database}.t").collect()}) == ["199902", "199903", "199904"]
 
@@ -413,3 +415,38 @@ def test_index_follows_changed_partitions(spark, data, path):
     assert refresh(spark, source, "person", index, run) == 0
     with pytest.raises(ValueError, match="no folders"):
         refresh(spark, replace(source, partition_column="day"), "person", path("other"), run)
+
+
+@pytest.mark.parametrize("fmt", ["orc", "parquet", "table"])
+@pytest.mark.parametrize("mode", ["append", "overwrite_partitions"])
+def test_a_repeated_run_replaces_its_audits(spark, data, path, fmt, mode):
+    """Two equal runs over two tables leave one set of rows, on whatever day and in whatever mode."""
+    database = scratch_database(spark, "twice")
+    rows = []
+    for name in ("a", "b"):
+        data.write.partitionBy("dt").saveAsTable(f"{database}.{name}")
+        rows.append(BASE | {"base": database, "table_name": name, "input_format": "table", "output_path": path(name),
+                            "output_partitioned_by": "dt", "anonymisation_methode": "XReplace"})
+    config = typed_config(config_rows(spark, *rows))
+    spec = OutputSpec(fmt, None if fmt == "table" else path("audit"), f"{database}.audit" if fmt == "table" else None, "dt", mode=mode)
+    saved = lambda: load(spark, InputSpec(fmt, spec.path, spec.table)).collect()
+    for _ in range(2):
+        jobs.run(spark, config, RUN, spec, parallel=2)
+        assert sorted((r.tableName, r.run_id) for r in saved()) == [("a", "2000-03-10-normal"), ("b", "2000-03-10-normal")]
+    days = {r.dt for r in saved()}
+    # A later attempt keeps the day, another run has rows of its own.
+    audit = mask_audit(config, [TableRun(database, "a", (), 1, 1, datetime(2030, 1, 1), datetime(2030, 1, 1))], "me")
+    replace_audit(audit, spec, RUN.identity, f"{database}.a")
+    assert {r.dt for r in saved()} == days and sorted((r.tableName, r.input_row_count) for r in saved()) == [("a", 1), ("b", 8)]
+    jobs.run(spark, config, replace(RUN, run_date=date(2000, 4, 10)), spec)
+    assert len(saved()) == 4
+
+
+def test_audits_of_an_earlier_layout_are_added_to(spark, data, path):
+    row = BASE | {"input_format": "parquet", "input_path": path("in"), "output_path": path("out"), "anonymisation_methode": "XReplace"}
+    data.write.partitionBy("dt").parquet(path("in"))
+    config, spec = typed_config(config_rows(spark, row)), OutputSpec("orc", path("audit"), partition_column="dt")
+    audit = mask_audit(config, [TableRun("b", "t", (), 1, 1, datetime(2030, 1, 1), datetime(2030, 1, 1))], "me")
+    append_audit([audit], spec)
+    jobs.run(spark, config, RUN, spec)
+    assert len(load(spark, InputSpec("orc", path("audit"))).collect()) == 2
