@@ -12,7 +12,7 @@ from checks import fixtures as fx
 from checks.files import month_table
 from checks.masks import number, seed
 from lethe.operators import audit, events
-from lethe.operators.configuration import plan_rows, rules_for, tables
+from lethe.operators.configuration import plan_rows, plans, rules_for, tables
 from lethe.operators.masking import apply_rules
 from lethe.operators.options import options_map
 from lethe.plans import jobs
@@ -484,3 +484,15 @@ def job_run_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run(spark, config, replace(EVENT_RUN, mode="stock"), *specs, parallel=3)
     jobs.run(spark, config.where("table_name <> 'orders_by_month'"), replace(EVENT_RUN, mode="stock"), *specs, parallel=3)
     return audit_summary(spark, specs)
+
+
+@query("job_run_resumed", AUDIT_DUCK)
+def job_run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An attempt that masks, five partitions at a time, and stops before it purges or audits; the next one goes on: the audits are those of one run."""
+    base, config = scratch_path(spark, "audit"), run_config(spark, sf_dir)
+    specs = [OutputSpec("orc", f"{base}/{kind}", partition_column="dt") for kind in ("mask", "purge")]
+    run = replace(EVENT_RUN, mode="stock", state=f"{base}/state", step_partitions=5)
+    for plan in plans(config):
+        (jobs.retain_mask_by_event if plan.clock else jobs.retain_mask)(spark, plan, run)
+    jobs.run(spark, config, run, *specs)
+    return audit_summary(spark, specs)

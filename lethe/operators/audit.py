@@ -156,12 +156,13 @@ def _with_earlier(audit: DataFrame, row: Row) -> DataFrame:
         "start_date": F.least("start_date", F.lit(row["start_date"])), **{c: F.col(c) + F.lit(row[c]) for c in sums}})
 
 
-def replace_audit(audit: DataFrame, spec: OutputSpec, run_id: str, table_id: str) -> None:
+def replace_audit(audit: DataFrame, spec: OutputSpec, run_id: str, table_id: str, whole: bool = False) -> None:
     """Save the audit of one table in one run, in the place of what an earlier attempt of that run has saved.
 
     Audits lie in a partition of their own for each run and table, below the day of the first attempt; a repeated run
     overwrites that partition, which Spark stages and then swaps, and no other. Tables that end at the same time
-    write different partitions. A purge adds to what earlier attempts have dropped. Without a partition column, and where audits are saved already that are not laid out like this,
+    write different partitions. A purge adds to what earlier attempts have dropped, unless the audit is ``whole`` and
+    names that already. Without a partition column, and where audits are saved already that are not laid out like this,
     rows are appended as before.
     """
     if not spec.partition_column:
@@ -173,7 +174,7 @@ def replace_audit(audit: DataFrame, spec: OutputSpec, run_id: str, table_id: str
         append_audit([audit], spec)
         return
     if earlier is not None:
-        if "purged_partitions" in audit.columns:
+        if "purged_partitions" in audit.columns and not whole:
             audit = _with_earlier(audit, earlier)
         audit = audit.withColumn(spec.partition_column, F.lit(earlier[spec.partition_column]))
     audit = audit.withColumns({RUN_ID: F.lit(run_id), TABLE_ID: F.lit(table_id)})

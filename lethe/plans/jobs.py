@@ -17,10 +17,11 @@ from lethe.identifiers import column_path
 from lethe.operators.audit import TableRun, mask_audit, purge_audit, replace_audit
 from lethe.operators.configuration import EXECUTION_TRIGGER, plans
 from lethe.operators.events import expired_keys, mask_where, partition_counts, unreadable_events
-from lethe.operators.masking import ALL_METHODS, MaskContext, apply_rules
+from lethe.operators.masking import ALL_METHODS, PERMUTATION, MaskContext, apply_rules
 from lethe.operators.personindex import index_path, partitions_of, refresh
 from lethe.operators.persons import PERSON, carry, former_epochs, history_path, person_hash, remember, remembered
 from lethe.operators.proof import unproven
+from lethe.operators.runstate import MASKED, PURGING, RunState, Step, state_of
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
 from lethe.sinks.catalog import PartitionError, drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
@@ -113,6 +114,12 @@ def _written(
     return load(spark, source)
 
 
+def _is_absent(error: AnalysisException) -> bool:
+    """Does the error say that there is no such path or table?"""
+    condition = error.getCondition() or ""
+    return "PATH_NOT_FOUND" in condition or "TABLE_OR_VIEW_NOT_FOUND" in condition
+
+
 def _save_checked(
     spark: SparkSession, plan: TablePlan, masked: DataFrame, expected: dict[str, int]
 ) -> int:
@@ -133,19 +140,61 @@ def _save_checked(
     return sum(written.values())
 
 
+def _still_masked(
+    spark: SparkSession, plan: TablePlan, data: DataFrame, known: dict[str, Step], present: dict[str, int]
+) -> dict[str, Step]:
+    """The steps on record that still hold: the original has the rows it had, or is purged, and so has the output."""
+    same = {v: s for v, s in known.items() if present.get(v, s.rows_in) == s.rows_in}
+    if not same:
+        return {}
+    column = plan.source.partition_column
+    try:
+        written = _partition_rows(_written(spark, plan.output, data, column, sorted(same)), column)
+    except AnalysisException as error:
+        if not _is_absent(error):
+            raise
+        return {}
+    return {v: s for v, s in same.items() if written.get(v) == s.rows_out}
+
+
+def _batches(plan: TablePlan, run: Run, values: Sequence[str]) -> list[Sequence[str]]:
+    """The partitions of each step; a permutation mixes the rows of all, so it takes them at once."""
+    whole = not run.state or run.step_partitions <= 0 or any(r.method == PERMUTATION for r in plan.rules)
+    size = len(values) if whole else run.step_partitions
+    return [values[i : i + size] for i in range(0, len(values), size)] if values else []
+
+
 def retain_mask(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
-    """Mask the partitions that have expired by the run date."""
+    """Mask the partitions that have expired by the run date.
+
+    With ``Run.state`` each checked step is put on record, and partitions that an earlier attempt of this run
+    has masked are not masked again.
+    """
     _check_plan(plan)
     start = datetime.now()
     partitions = mask_partitions(spark, plan, run)
+    state = state_of(spark, plan, run)
     rows_in = rows_out = 0
     if partitions:
+        column = plan.source.partition_column
         data = load(spark, replace(plan.source, partition_values=tuple(partitions)))
-        expected = _partition_rows(data, plan.source.partition_column)
-        rows_in = sum(expected.values())
-        if expected:
-            masked = apply_rules(data, plan.rules, _context(spark, plan, run))
-            rows_out = _save_checked(spark, plan, masked, expected)
+        expected = _partition_rows(data, column)
+        if state is not None:
+            known = {v: s for v, s in state.steps(MASKED).items() if v in set(partitions)}
+            done = _still_masked(spark, plan, data, known, expected)
+            expected = {v: n for v, n in expected.items() if v not in done}
+            rows_in, rows_out = sum(s.rows_in for s in done.values()), sum(s.rows_out for s in done.values())
+            start = min([start, *(s.begun for s in done.values())])
+        rows_in += sum(expected.values())
+        steps = _batches(plan, run, sorted(expected))
+        for step in steps:
+            begun, own = datetime.now(), {v: expected[v] for v in step}
+            # A run without a state has one step, of all that was loaded.
+            rows = data if state is None else data.where(in_partitions(data, column, step))
+            rows_out += _save_checked(spark, plan, apply_rules(rows, plan.rules, _context(spark, plan, run)), own)
+            if state is not None:
+                ended = datetime.now()
+                state.record(MASKED, {v: Step(n, n, begun, ended) for v, n in own.items()})
     return TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now())
 
 
@@ -159,7 +208,30 @@ def _fits_broadcast(keys: DataFrame) -> bool:
     return keys.count() * _BYTES_PER_KEY <= limit
 
 
+def _event_run_of(plan: TablePlan, state: RunState) -> TableRun | None:
+    """What an earlier attempt of this run has done to a table by events, if it came to its end."""
+    steps = state.steps(MASKED)
+    end = steps.pop(None, None)
+    if end is None:
+        return None
+    values = tuple(sorted(v for v, s in steps.items() if s.ended == end.ended))
+    return TableRun(plan.base, plan.table, values, end.rows_in, end.rows_out, end.begun, end.ended, end.unreadable)
+
+
 def retain_mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
+    """Mask by events (``_mask_by_event``); with ``Run.state`` a table that an earlier attempt of this run has finished is left as it is."""
+    state = state_of(spark, plan, run)
+    done = None if state is None else _event_run_of(plan, state)
+    if done is None:
+        done = _mask_by_event(spark, plan, run)
+        if state is not None:
+            # All in one write: the row without a partition holds the sums and says that the rest is complete.
+            sums = Step(done.rows_in, done.rows_out, done.start, done.end, done.unreadable_events)
+            state.record(MASKED, {None: sums} | {v: Step(0, 0, done.start, done.end) for v in done.partitions})
+    return done
+
+
+def _mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
     """Mask the rows of persons whose event lies before run month - keep.
 
     The partitions in which such persons have rows are rewritten as a whole: the persons
@@ -232,7 +304,7 @@ def _unmasked(spark: SparkSession, plan: TablePlan, run: Run, data: DataFrame) -
     try:
         written = _written(spark, plan.output, apply_rules(data, plan.rules, context), column, before)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or "") and "TABLE_OR_VIEW_NOT_FOUND" not in (error.getCondition() or ""):
+        if not _is_absent(error):
             raise
         return dict.fromkeys(before, "there is no masked output")
     return unproven(data, written, column, plan.rules, context, run.former_keys)
@@ -247,13 +319,18 @@ def purge(
     refused unless ``metadata_only`` says that it is wanted. With ``only_masked`` a
     partition stays unless the output is proven to hold its rows masked
     (``lethe.operators.proof``; ``kept`` names those that stay). If some partitions cannot be dropped, ``PurgeError`` tells which were.
+    With ``Run.state`` the result also names what earlier attempts of this run have dropped, killed ones too.
     """
     start = datetime.now()
     table, column = plan.source.table, plan.source.partition_column
     if not metadata_only and is_external(spark, table):
         raise ValueError(f"{table} is external: dropping its partitions would keep the files")
     wanted = set(purge_partitions(spark, plan, run))
-    partitions = [v for v in existing_partitions(spark, table, column) if v in wanted]
+    existing = existing_partitions(spark, table, column)
+    partitions = [v for v in existing if v in wanted]
+    state = state_of(spark, plan, run)
+    # Partitions that an earlier attempt was about to drop, and that are gone.
+    gone = {} if state is None else {v: s for v, s in state.steps(PURGING).items() if v not in set(existing)}
     kept: dict[str, str] = {}
     rows_in = rows_out = 0
     problem: Exception | None = None
@@ -266,6 +343,9 @@ def purge(
     if partitions:
         data = load(spark, InputSpec("table", table=table))
         before = _partition_rows(data.where(in_partitions(data, column, partitions)), column)
+        if state is not None:
+            now = datetime.now()
+            state.record(PURGING, {v: Step(before.get(v, 0), 0, start, now) for v in partitions})
         try:
             drop_partitions(spark, table, column, partitions)
         except PartitionError as error:
@@ -276,6 +356,9 @@ def purge(
         if partitions:
             data = load(spark, InputSpec("table", table=table))
             rows_out = data.where(in_partitions(data, column, partitions)).count()
+    rows_in += sum(s.rows_in for s in gone.values())
+    start = min([start, *(s.begun for s in gone.values())])
+    partitions = [*partitions, *sorted(gone)]
     done = TableRun(plan.base, plan.table, tuple(partitions), rows_in, rows_out, start, datetime.now(), kept=tuple(sorted(kept)))
     if problem is not None:
         raise PurgeError(done, problem)
@@ -316,7 +399,8 @@ def run(
     Every plan is checked before the first table is touched. A table is masked
     before its originals are purged. A table that fails does not stop the others:
     what was done is audited, then ``RunError`` names the failures. ``parallel``
-    tables are worked on at a time, each as ordinary Spark jobs.
+    tables are worked on at a time, each as ordinary Spark jobs. With ``Run.state`` a run that was killed goes on
+    where it stopped.
     """
     todo = plans(config)
     for plan in todo:
@@ -340,7 +424,8 @@ def run(
             # A later crash must not take the audit of what was already done with it.
             for spec, audit, done in ((mask_audit_spec, mask_audit, part.masked), (purge_audit_spec, purge_audit, part.purged)):
                 if spec is not None and done:
-                    replace_audit(audit(config, done, run.principal), spec, run.identity, f"{done[0].base}.{done[0].table}")
+                    named = f"{done[0].base}.{done[0].table}"
+                    replace_audit(audit(config, done, run.principal), spec, run.identity, named, whole=bool(run.state))
     if report.failures:
         raise RunError(report)
     return report

@@ -125,6 +125,10 @@ class Run:
     former_keys: tuple[str, ...] = field(default=(), repr=False)
     # Keep, beside the history, which partitions can hold whom, so that event runs open only those.
     person_index: bool = False
+    # The folder of the run's state (``lethe.operators.runstate``): a repeated attempt skips the steps that are on record.
+    state: str | None = None
+    # With a state: partitions masked and recorded at a time; 0 means all at once. Permutations always take all.
+    step_partitions: int = 0
     # Names for the masks ``firstname`` and ``lastname``: short lists, or inputs whose first column has
     # them. Without either the lists of the library are used.
     first_names: tuple[str, ...] | InputSpec = field(default=(), repr=False)
