@@ -135,8 +135,10 @@ ORACLES: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following
           FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
         hits AS (
-          SELECT *, following IS NOT NULL AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, k) > 1 AS again FROM filled),
-        covered AS (SELECT *, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone FROM hits),
+          SELECT *, following IS NOT NULL AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, k) > 1 AS again,
+            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) > 50 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, k) > 1 AS alone
+          FROM filled),
+        covered AS (SELECT *, alone OR again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone FROM hits),
         runs AS (
           SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM covered),
         merged AS (

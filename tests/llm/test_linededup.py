@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
@@ -9,9 +10,9 @@ from lethe.llm import linededup
 SCHEMA = "doc_id long, text string, N_LINES string, pos string"
 
 
-def brute(rows, least):
-    """Texts after deletion, lines deleted and maximal runs; rows of distinct ids."""
-    seen, out = set(), {}
+def brute(rows, least, words=None):
+    """Texts after deletion, lines deleted and maximal runs; rows of distinct ids. Lines of more than ``words`` words count alone."""
+    seen, alone, out = set(), set(), {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         lines = [] if text is None else text.split("\n")
         filled = [k for k, x in enumerate(lines) if x.strip(" \t\n\v\f\r")]
@@ -21,6 +22,11 @@ def brute(rows, least):
             if run in seen:
                 gone |= set(range(i, i + least))
             seen.add(run)
+        for i, k in enumerate(filled):
+            if words is not None and len(re.findall(r"[^\x20\x09-\x0D]+", lines[k])) > words:
+                if (lines[k],) in alone:
+                    gone.add(i)
+                alone.add((lines[k],))
         runs = sum(i - 1 not in gone for i in gone)
         cut = {filled[i] for i in gone}
         kept = None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in cut)
@@ -36,11 +42,11 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("least", [1, 2, 3, 5])
-def test_equals_brute_force(spark, least):
+@pytest.mark.parametrize("least, words", [(1, None), (2, None), (2, 1), (2, 49), (3, 49), (4, None), (5, 1), (7, None)])
+def test_equals_brute_force(spark, least, words):
     rows = corpus(least)
-    found = linededup.dedup(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA), min_lines=least).collect()
-    assert {r.doc_id: (r.text, r.n_lines, r.n_deleted, r.n_runs) for r in found} == brute(rows, least)
+    found = linededup.dedup(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA), min_lines=least, min_words=words).collect()
+    assert {r.doc_id: (r.text, r.n_lines, r.n_deleted, r.n_runs) for r in found} == brute(rows, least, words)
     assert len(found) == len(rows)
 
 
