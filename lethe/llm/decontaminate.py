@@ -6,8 +6,9 @@ has fewer. Training texts are scanned by vectors of word hashes; each hit is ver
 word for word, so the hash only selects candidates.
 
 The set is broadcast only while the item texts stay under ``limit_bytes``, which is
-measured first; a larger benchmark is taken in parts of that size, each against all
-documents, with a table in the shared folder between two parts.
+measured first; a larger benchmark is taken in parts by hash, made finer until no part is larger (but for
+one of a single item), each against all documents, with a table in the shared folder between two parts. Repeated
+items are taken once.
 
 Nulls: a null text has no words, an item with null text no window; a null id is kept as
 null (items: not listed). Repeated documents are each scanned. Empty tables: an
@@ -135,15 +136,31 @@ def clean(
     return _scanned(docs, benchmark, width, limit_bytes, drop_share)
 
 
+def _part_of(parts: int):
+    return F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+
+
+def _parts(items: DataFrame, limit_bytes: int) -> int:
+    """A number of parts of which none is over the limit, unless it is a single item."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 if size <= limit_bytes else 2 * -(-size // limit_bytes)
+    while parts > 1:
+        sizes = items.groupBy(_part_of(parts).alias("part")).agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n"))
+        if sizes.where((F.col("n") > 1) & (F.col("size") > limit_bytes)).isEmpty():
+            break
+        parts *= 2
+    return parts
+
+
 def _scanned(docs: DataFrame, benchmark: DataFrame, width: int, limit_bytes: int, drop_share: float | None = None) -> DataFrame:
     docs = without(docs, *RESULT)
-    items = benchmark.select(F.col("item_id").cast("string"), "text")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // limit_bytes) or 1
+    # Copies of one item would all fall into one part.
+    items = benchmark.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL").distinct()
+    parts = _parts(items, limit_bytes)
     kept = T.StructType(docs.schema.fields)
     schema = T.StructType(kept.fields + [T.StructField(k, T._parse_datatype_string(v)) for k, v in RESULT.items()])
     for part in range(parts):
-        own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+        own = items if parts == 1 else items.where(_part_of(parts) == part)
         windows = WindowSet([tuple(row) for row in own.collect()], width)
         last, shared = part == parts - 1, docs.sparkSession.sparkContext.broadcast(windows)
         finish = _cutter(kept, drop_share) if last and drop_share is not None else None

@@ -6,12 +6,12 @@ text, the greatest answer of each filter is kept, and a logistic unit makes the
 
 ``fit`` trains on a bounded sample (``SAMPLE`` rows of either label, those least in a hash
 order, whole texts, at most ``SAMPLE_WORDS`` words in all), since such a model gains
-nothing from more. ``calibrate`` then looks at every labelled row that was kept out of the
-training: one logistic curve for all languages turns answers into scores, and each
+nothing from more. ``calibrate`` then looks at every labelled row of a bucket of ids that the
+training never draws from: one logistic curve for all languages turns answers into scores, and each
 language gets the threshold with the best F1. Both use histograms, a row for each language and
 answer bin. The score itself depends on the text alone.
 
-Nulls: a null text is empty and scored like one; label rows without id or label are left out;
+Nulls: a null text is empty and scored like one; a null id has the bucket of the empty text, which is held out; label rows without id or label are left out;
 a document with several label rows is toxic if one says so. Texts without words
 have the least answer of the training. A null or rare language has
 the threshold of all. Repeated documents are each scored. Without labels of both kinds every
@@ -168,7 +168,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, seed: i
 
 
 def _bucket():
-    return F.crc32(F.col("doc_id").cast("string")) % 5
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
 
 
 def _labels(labels: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lethe.llm import decontaminate
 
@@ -67,3 +68,15 @@ def test_cleaned_cuts_the_hit_span(spark):
     for limit in (1 << 20, 12):
         cleaned = decontaminate.clean(df, items, limit_bytes=limit)
         assert dict(map(tuple, cleaned.collect())) == {1: "Keep this text. ! And this one .", 3: "clean", 4: None}
+
+
+def test_repeated_items_are_split_into_parts_under_the_limit(spark):
+    items = spark.createDataFrame([(1, "one two three")] * 500 + [(k, f"item {k} of many") for k in range(2, 40)] + [(99, "w " * 400)], "item_id long, text string")
+    once = items.select(F.col("item_id").cast("string"), "text").distinct()
+    parts = decontaminate._parts(once, 60)
+    sizes = once.groupBy(decontaminate._part_of(parts)).agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n"))
+    assert all(r["size"] <= 60 or r.n == 1 for r in sizes.collect())
+    assert decontaminate._parts(once, 1 << 20) == 1
+    docs = spark.createDataFrame([(1, "x one two three"), (2, "clean")], "doc_id long, text string")
+    found = decontaminate.scan(docs, items.where("item_id = 1"), limit_bytes=4)
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in found.collect()) == [(1, 3, ["1"]), (2, 0, [])]

@@ -82,3 +82,11 @@ def test_without_labels_or_documents(spark):
     assert {r.predicted for r in toxicity.classify(docs, none).collect()} == {0}
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_a_null_id_is_held_out(spark):
+    rows, _ = corpus(5)
+    docs = spark.createDataFrame([(None, *r[1:]) for r in rows[:2]] + rows[2:], SCHEMA)
+    labels = spark.createDataFrame([(None, 1), (2, 0)], "doc_id long, toxic int")
+    found = toxicity.digests(toxicity.classify(docs, labels)).collect()
+    assert [r.held_out for r in found if r.doc_id is None] == [True, True] and all(r.held_out is not None for r in found)
