@@ -5,6 +5,10 @@ have it. Fingerprints that differ in at most ``DISTANCE`` bits agree on ``k`` of
 ``DISTANCE + k`` blocks of bits, so each fingerprint goes once into the bucket of each
 choice of ``k`` blocks. ``k`` grows with the number of distinct fingerprints, to
 keep chance meetings in a bucket few; the links found are the same for every ``k``.
+A bucket of over ``BUCKET`` fingerprints, as templates make them, is not searched: its
+members go into buckets of further blocks of their other bits, until buckets are small or
+only ``LAST_BITS`` bits are left to differ, which bound a bucket by themselves. Within a
+task a search that gets nowhere near linear does the same.
 
 Only distinct fingerprints are compared, so copies cost one row each. A bucket
 emits a spanning forest of its links, never its pairs: a search takes each
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,10 @@ from lethe.llm.common import bounded, components, drop_stored, fresh, key_map, s
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
+#: Fingerprints of a bucket that is searched as it is, and bits outside a key that bound a bucket's size by themselves.
+BUCKET, LAST_BITS = 1 << 20, 20
+#: Blocks to agree on where a large bucket is split, and comparisons that a search has, for each fingerprint and in all.
+FINER, SEARCH_EACH, SEARCH = 2, 64, 1 << 24
 #: Files of a table, at most, whose rows are numbered by file and place.
 MOST_FILES = 1 << 18
 
@@ -60,75 +68,141 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
+def _choices(bits: list[int], k: int) -> list[int]:
+    """Masks of the choices of k of DISTANCE + k blocks of these bits: numbers that differ in at most DISTANCE of the bits agree under one."""
+    blocks = DISTANCE + k
+    edges = [len(bits) * i // blocks for i in range(blocks + 1)]
+    parts = [sum(1 << b for b in bits[i:j]) for i, j in pairwise(edges)]
+    return [reduce(int.__or__, chosen) for chosen in combinations(parts, k)]
+
+
 def _masks(n: int) -> list[int]:
-    """Bit masks of the buckets: the choices of k of DISTANCE + k blocks, keys of about log2 n bits or more."""
-    for k in range(1, 9):
-        blocks = DISTANCE + k
-        edges = [64 * i // blocks for i in range(blocks + 1)]
-        parts = [(1 << b) - (1 << a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        if 64 * k // blocks >= np.log2(max(n, 1)) - 2:
-            break
-    masks = [reduce(int.__or__, chosen) for chosen in combinations(parts, k)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
-
-
-def forest(values: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
+    """Bit masks of the buckets of n fingerprints, with keys of about log2 n bits or more."""
+    wanted = np.log2(max(n, 1)) - 2
+    k = next((k for k in range(1, 8) if 64 * k // (DISTANCE + k) >= wanted), 8)
+    return [_signed(m) for m in _choices(list(range(64)), k)]
+
+
+def _finer(mask: int) -> list[int]:
+    """Masks of the buckets that take the place of one bucket of ``mask``."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    return [_signed((mask % (1 << 64)) | m) for m in _choices(free, FINER)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def forest(values: np.ndarray, distance: int = DISTANCE, *, search: int = SEARCH) -> list[tuple[int, int]]:
     """Links within ``distance`` that connect what all such links connect; values are distinct."""
-    links, rest = [], values.view(np.uint64)
-    while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            one = queue.pop()
-            near = np.bitwise_count(rest ^ np.uint64(one)) <= distance
-            if near.any():
-                found = rest[near].tolist()
-                links += [(one, other) for other in found]
-                queue += found
-                rest = rest[~near]
+    links, rest, queue = [], values.view(np.uint64), []
+    left = search + SEARCH_EACH * len(rest)
+    while len(rest) > (0 if queue else 1):
+        if left < 0:
+            # Members that lie apart: what is not searched yet is parted by blocks of the bits that differ.
+            todo = np.concatenate([np.array(queue, np.uint64), rest])
+            bits = int(np.bitwise_or.reduce(todo ^ todo[0]))
+            places = [b for b in range(64) if bits >> b & 1]
+            if len(places) > DISTANCE + FINER:
+                for mask in _choices(places, FINER):
+                    keys = todo & np.uint64(mask)
+                    order = np.argsort(keys, kind="stable")
+                    links += np.stack(_run_links(keys[order], todo[order], search=search), axis=1).tolist()
+                return links
+            left = len(rest) ** 2
+        if not queue:
+            queue, rest = [int(rest[0])], rest[1:]
+        one = queue.pop()
+        left -= len(rest)
+        near = np.bitwise_count(rest ^ np.uint64(one)) <= distance
+        if near.any():
+            found = rest[near].tolist()
+            links += [(one, other) for other in found]
+            queue += found
+            rest = rest[~near]
     return links
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links in runs of one bucket; rows come sorted by bucket, and a run may span batches."""
-    held: list[np.ndarray] = []
-
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], ["a", "b"])
-
-    def of(rows: np.ndarray) -> pa.RecordBatch:
-        change = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1
-        begin, end = np.concatenate([[0], change]), np.concatenate([change, [len(rows)]])
-        fp = np.ascontiguousarray(rows[:, 2]).view(np.uint64)
-        pair = begin[end - begin == 2]
-        a, b = fp[pair], fp[pair + 1]
-        near = np.bitwise_count(a ^ b) <= DISTANCE
-        more = [x for i, j in zip(begin.tolist(), end.tolist(), strict=True) if j - i > 2 for x in forest(fp[i:j])]
-        more = np.array(more, np.uint64).reshape(-1, 2)
-        return out(np.concatenate([a[near], more[:, 0]]), np.concatenate([b[near], more[:, 1]]))
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = np.stack([batch.column(k).to_numpy() for k in ("t", "key", "fp")], axis=1)
-        if held and (held[-1][-1, :2] != rows[0, :2]).any():
-            yield of(np.concatenate(held))
-            held = []
-        last = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))
-        cut = last[-1] + 1 if len(last) else 0
-        if cut:
-            yield of(np.concatenate([*held, rows[:cut]]))
-            held = []
-        held.append(rows[cut:])
-    if held:
-        yield of(np.concatenate(held))
-
-
-def links(distinct: DataFrame) -> DataFrame:
-    """Verified links (a, b) between distinct fingerprints (column fp), enough to connect all that links connect."""
+def _run_links(keys: np.ndarray, fp: np.ndarray, **search) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the runs of equal keys."""
+    begin, end = _runs(keys)
+    pair = begin[end - begin == 2]
+    a, b = fp[pair], fp[pair + 1]
+    near = np.bitwise_count(a ^ b) <= DISTANCE
+    long = end - begin > 2
+    more = [x for i, j in zip(begin[long].tolist(), end[long].tolist(), strict=True) for x in forest(fp[i:j], **search)]
+    more = np.array(more, np.uint64).reshape(-1, 2)
+    return np.concatenate([a[near], more[:, 0]]), np.concatenate([b[near], more[:, 1]])
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of equal keys (rows, where they have columns)."""
+    differ = keys[1:] != keys[:-1]
+    change = np.flatnonzero(differ.any(axis=1) if differ.ndim > 1 else differ) + 1
+    edges = np.concatenate([[0], change, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
+    return edges[:-1], edges[1:]
+
+
+def _bucket_links(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links (mask null) of buckets of ``most`` rows or fewer; the rows of larger ones pass through, with their mask.
+
+        Rows come sorted by bucket, and a bucket may span batches. No more than ``most`` rows and a batch are held.
+        """
+        held, passed = np.zeros((0, 3), np.int64), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([held, np.stack([batch.column(k).to_numpy() for k in ("mask", "key", "fp")], axis=1)])
+            begin, end = _runs(rows[:, :2])
+            large = end - begin > most
+            if passed is not None and (rows[0, :2] == passed).all():
+                large[0] = True
+            over = np.repeat(large, end - begin)
+            # The last bucket may go on in the next batch.
+            stop, passed = (len(rows), rows[-1, :2]) if large[-1] else (begin[-1], None)
+            if large.any():
+                yield _link_batch(rows[over, 2], rows[over, 2], rows[over, 0])
+            yield _searched(rows[:stop][~over[:stop]])
+            held = rows[stop:]
+        yield _searched(held)
+
+    return run
+
+
+def _searched(rows: np.ndarray) -> pa.RecordBatch:
+    return _link_batch(*_run_links(rows[:, :2], np.ascontiguousarray(rows[:, 2]).view(np.uint64)))
+
+
+def _link_batch(a: np.ndarray, b: np.ndarray, mask: np.ndarray | None = None) -> pa.RecordBatch:
+    masks = pa.nulls(len(a), pa.int64()) if mask is None else pa.array(mask)
+    return pa.RecordBatch.from_arrays([masks, pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["mask", "a", "b"])
+
+
+def links(distinct: DataFrame, *, most: int = BUCKET) -> DataFrame:
+    """Verified links (a, b) between distinct fingerprints (column fp), enough to connect all that links connect.
+
+    Buckets of over ``most`` members are split by further bits; which links connect is the same for every ``most``.
+    """
     masks = _masks(distinct.count())
-    tables = F.explode(F.array(*(F.struct(F.lit(t).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks))))
-    rows = distinct.select("fp", tables.alias("x")).select("x.t", "x.key", "fp")
-    return rows.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(_bucket_links, "a long, b long")
+    spread = distinct.select("fp", F.explode(F.lit(masks)).alias("mask"))
+    found = []
+    while True:
+        free = max(64 - (m % (1 << 64)).bit_count() for m in masks)
+        # No more than 2 ** free fingerprints agree on the other bits.
+        bound = most if free > LAST_BITS else 1 << LAST_BITS
+        rows = spread.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        searched = stored(rows.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(
+            _bucket_links(bound), "mask long, a long, b long"), "links")
+        found.append(searched.where("mask IS NULL").select("a", "b"))
+        over = searched.where("mask IS NOT NULL")
+        # Masks, not buckets: 15 at first for up to 8 million fingerprints, and 15 for each of them in the next round.
+        coarse = [row["mask"] for row in over.select("mask").distinct().collect()]
+        if not coarse:
+            return reduce(DataFrame.union, found)
+        masks = [fine for mask in coarse for fine in _finer(mask)]
+        finer = distinct.sparkSession.createDataFrame([(mask, fine) for mask in coarse for fine in _finer(mask)], "mask long, fine long")
+        spread = over.join(F.broadcast(finer), "mask").select(F.col("a").alias("fp"), F.col("fine").alias("mask"))
 
 
 def assign(docs: DataFrame) -> DataFrame:

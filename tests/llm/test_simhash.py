@@ -4,6 +4,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 
 from lethe.llm import simhash
@@ -75,9 +77,9 @@ def test_links_of_dense_and_chance_buckets(spark):
     values = np.unique(np.array([v if v < 1 << 63 else v - (1 << 64) for v in values], np.int64))
     near = [(i, j) for i in range(len(values)) for j in range(i) if (int(values[i]) ^ int(values[j])) % (1 << 64) and ((int(values[i]) ^ int(values[j])) & (1 << 64) - 1).bit_count() <= 4]
     want = roots(len(values), near)
-    for rows in (values, rng.permutation(values)):
+    for rows, most in ((values, simhash.BUCKET), (rng.permutation(values), simhash.BUCKET), (values, 100)):
         df = spark.createDataFrame([(int(v),) for v in rows], "fp long")
-        edges = [tuple(r) for r in simhash.links(df).collect()]
+        edges = [tuple(r) for r in simhash.links(df, most=most).collect()]
         at = {int(v): k for k, v in enumerate(values)}
         assert roots(len(values), [(at[a], at[b]) for a, b in edges]) == want
 
@@ -91,6 +93,52 @@ def test_every_mask_choice_covers_close_pairs():
             assert any(m & flips == 0 for m in masks)
 
 
+def test_a_template_that_links_nothing_is_split(spark):
+    """Fingerprints that agree on 44 bits and are mostly further apart than a link: one bucket of each mask holds them all."""
+    rng = np.random.default_rng(4)
+    values = np.unique(rng.integers(0, 1 << 20, 600) << 11)
+    marks = [int(v) for v in values]
+    near = [(i, j) for i in range(len(marks)) for j in range(i) if (marks[i] ^ marks[j]).bit_count() <= 4]
+    at = {v: k for k, v in enumerate(marks)}
+    edges = [tuple(r) for r in simhash.links(spark.createDataFrame([(v,) for v in marks], "fp long"), most=50).collect()]
+    assert roots(len(marks), [(at[a], at[b]) for a, b in edges]) == roots(len(marks), near)
+
+
+@pytest.mark.parametrize("search", [0, 10**4])
+def test_a_search_that_is_cut_short_finds_the_same(search):
+    rng = np.random.default_rng(6)
+    sparse = rng.integers(0, 1 << 22, 900) << 30
+    dense = [int(sparse[0]) ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 60, (200, 2))]
+    values = np.unique(np.concatenate([sparse, dense]).astype(np.int64))
+    marks = [int(v) for v in values]
+    near = [(i, j) for i in range(len(marks)) for j in range(i) if (marks[i] ^ marks[j]).bit_count() <= 4]
+    at = {v: k for k, v in enumerate(marks)}
+    links = simhash.forest(values, search=search)
+    assert all((a ^ b).bit_count() <= 4 for a, b in links)
+    assert roots(len(marks), [(at[a], at[b]) for a, b in links]) == roots(len(marks), near)
+
+
+def test_a_large_bucket_passes_through_however_batches_fall():
+    rows = np.array([(1, 0, 5)] * 3 + [(1, 1, k) for k in range(40)] + [(2, 0, 7), (2, 0, 6)], np.int64)
+    for step in (1, 3, 7, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in rows[i : i + step].T], ["mask", "key", "fp"]) for i in range(0, len(rows), step)]
+        out = [row for b in simhash._bucket_links(10)(iter(batches)) for row in b.to_pylist()]
+        assert sorted(r["a"] for r in out if r["mask"] == 1) == list(range(40))
+        assert {(r["a"], r["b"]) for r in out if r["mask"] is None} >= {(7, 6)}
+        assert all(r["mask"] in (None, 1) for r in out)
+
+
+def test_finer_masks_cover_close_pairs():
+    rng = random.Random(3)
+    for mask in simhash._masks(10**6):
+        for fine in simhash._finer(mask):
+            assert mask % (1 << 64) & fine % (1 << 64) == mask % (1 << 64) and fine != mask
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(50):
+            flips = sum(1 << b for b in rng.sample(free, 4))
+            assert any(m % (1 << 64) & flips == 0 for m in simhash._finer(mask))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     found = dict(map(tuple, components(edges).collect()))
