@@ -4,10 +4,11 @@
 and packs ids into blocks. A block is one self-contained binary file image (a
 cell of a Parquet file, so that Spark's commit protocol covers lost executors):
 document ids and lengths, a bit-plane for each bit of an id, and a rank directory.
-``read`` opens such files again.
+``read`` opens such files again; ``access``, ``counts`` and ``occurrences`` answer from their planes, without undoing them.
 
 Nulls: a null text is empty, so its ids are the end id alone; a null ``doc_id`` sorts first.
-Repeated rows each keep their own entry, ordered by text among equal ids. An empty
+Repeated rows each keep their own entry, ordered by a hash of the text, then by text, among
+equal ids; many rows of one id, or alike, are dealt over several shards. An empty
 table gives no file rows. Other columns are not read. A document longer than a
 block makes its block longer.
 """
@@ -121,6 +122,26 @@ class WaveletMatrix:
             i = self._place(level, bit, i - self._zeros[level] if bit else i)
         return i
 
+    def _places(self, level: int, bit: int, k: np.ndarray) -> np.ndarray:
+        """``_place`` of several k at once."""
+        if len(k) * _RANK_BITS > self.n:
+            return np.flatnonzero(np.unpackbits(self._planes[level], count=self.n, bitorder="little") == bit)[k]
+        ones = self._ranks[level].astype(np.int64)
+        before = ones if bit else np.arange(len(ones)) * _RANK_BITS - ones
+        step = np.searchsorted(before, k, side="right") - 1
+        steps = np.pad(self._planes[level], (0, -len(self._planes[level]) % (_RANK_BITS // 8))).reshape(-1, _RANK_BITS // 8)
+        seen = np.cumsum(np.unpackbits(steps[step], axis=1, bitorder="little") == bit, axis=1)
+        return step * _RANK_BITS + np.argmax(seen > (k - before[step])[:, None], axis=1)
+
+    def positions(self, token: int) -> np.ndarray:
+        """The positions of all occurrences of ``token``, ascending."""
+        low, high = self._interval(token, self.n)
+        i = np.arange(low, high)
+        for level in range(self.levels - 1, -1, -1):
+            bit = token >> (self.levels - 1 - level) & 1
+            i = self._places(level, bit, i - self._zeros[level] if bit else i)
+        return i
+
     def all(self) -> np.ndarray:
         """Every id, in order: the planes are undone from the last to the first."""
         values = np.zeros(self.n, np.uint32)
@@ -204,9 +225,10 @@ def _blocks(vocabulary: str, end_id: int, block_ids: int):
 def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
     """Encode ``docs`` (doc_id, text) and write shards, ranges of ascending ``doc_id``, to ``path``."""
     # The partition of a range sort is its place in the order, so shard numbers ascend with doc_id.
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
-    bounded(ordered).mapInArrow(_blocks(vocabulary, end_id, block_ids), FILE_SCHEMA).write.option(
+    # Rows of one id are told by text, rows alike by a number: these may change places, as their ids are the same.
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange("doc_id", "th", "row").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "th", "text")
+    bounded(ordered.select("doc_id", "text")).mapInArrow(_blocks(vocabulary, end_id, block_ids), FILE_SCHEMA).write.option(
         "compression", "uncompressed").parquet(path)
 
 
@@ -240,3 +262,52 @@ def digests(blocks: DataFrame) -> DataFrame:
 
     return bounded(blocks).select("start", "image").mapInArrow(
         check, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def _answers(blocks: DataFrame, answer, schema: str) -> DataFrame:
+    """Rows that ``answer`` gives for each block: a list of columns from its start, document ids, lengths and matrix."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, image in zip(batch.column("start").to_pylist(), batch.column("image"), strict=True):
+                for columns in answer(start, *from_image(image.as_py())):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) if isinstance(c, np.ndarray) else c for c in columns], names)
+
+    return bounded(blocks).select("start", "image").mapInArrow(run, schema)
+
+
+def access(blocks: DataFrame, positions: list[int]) -> DataFrame:
+    """position and token of a given list of positions in the sequence of all ids; those beyond its end have no row."""
+    wanted = np.unique(np.array(positions, np.int64))
+
+    def answer(start, doc_ids, known, lengths, matrix):
+        own = wanted[(wanted >= start) & (wanted < start + matrix.n)]
+        yield own, np.array([matrix.access(i) for i in (own - start).tolist()], np.int64)
+
+    return _answers(blocks, answer, "position long, token long")
+
+
+def counts(blocks: DataFrame, tokens: list[int]) -> DataFrame:
+    """token and n, its occurrences in all blocks, for each of a given list of tokens that occurs."""
+    wanted = np.unique(np.array(tokens, np.int64))
+
+    def answer(start, doc_ids, known, lengths, matrix):
+        yield wanted, np.array([matrix.count(t) for t in wanted.tolist()], np.int64)
+
+    return _answers(blocks, answer, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def occurrences(blocks: DataFrame, tokens: list[int]) -> DataFrame:
+    """A row for each occurrence of the given tokens: token, position in all ids, doc_id and place in the document."""
+    wanted = np.unique(np.array(tokens, np.int64))
+
+    def answer(start, doc_ids, known, lengths, matrix):
+        ends = np.cumsum(lengths)
+        for token in wanted.tolist():
+            found = matrix.positions(token)
+            doc = np.searchsorted(ends, found, side="right")
+            yield (np.full(len(found), token, np.int64), start + found,
+                   pa.array(doc_ids[doc], pa.int64(), mask=~known[doc]), found - (ends - lengths)[doc])
+
+    return _answers(blocks, answer, "token long, position long, doc_id long, place long")
