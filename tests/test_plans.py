@@ -15,6 +15,7 @@ from lethe.operators.readiness import latest_partition, scan_window
 from lethe.scratch import checkpointed
 from lethe.session import KEY_SETTING, RECOMMENDED, masking_key, recommended, setting
 from lethe.sources import load, load_columns
+from lethe.sources.readers import spread
 from lethe.specs import InputSpec, Rule
 
 CONTEXT = MaskContext(key="k", row_key=("id",))
@@ -55,6 +56,20 @@ def test_encryption_of_texts_neither_shuffles_nor_uses_python(spark, data):
         assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
 
 
+def test_a_join_on_ciphers_encrypts_each_value_once(spark, data):
+    rows = apply_rules(load(spark, InputSpec("parquet", data)), [Rule("v", "consistentStringFormatPreserving")], CONTEXT)
+    other = rows.select(F.col("v").alias("other"))
+    text = rows.join(other, F.col("v") == F.col("other"))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in text.split("\n") if "Filter" in line]
+    assert filters and not any("sha2" in line for line in filters)
+
+
+def test_spread_rows_lie_in_many_tasks(spark, data):
+    rows = spread(load(spark, InputSpec("parquet", data)).coalesce(1))
+    assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert rows.count() == 100
+
+
 def test_many_rules_are_one_projection(spark, data):
     rules = [Rule("v", "id"), Rule("w", "XReplace"), Rule("w", "hashWithSha1")]
     text = plan(apply_rules(load(spark, InputSpec("parquet", data)), rules, CONTEXT))
