@@ -411,7 +411,7 @@ def cipher_duck() -> str:
 
 
 def fpe_str_cipher(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = fx.table(spark, sf_dir, "customer").select("c_custkey", F.translate("c_name", "#", "é").alias("value"))
+    names = spread(fx.table(spark, sf_dir, "customer").select("c_custkey", F.translate("c_name", "#", "é").alias("value")))
     return apply_rules(names, [Rule("value", "consistentStringFormatPreserving")], fx.context())
 
 
