@@ -70,7 +70,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays, the least by id (none last), then by text. Texts without words are one group."""
+    """One row of each group of near copies stays, the least by id (none last), then by text. Texts without words are one group.
+
+    Groups are those of SimHash fingerprints, as in ``op10_simhash``, joined where sets of 5-word shingles are similar at 0.8.
+    """
     return simhash.keep_one(docs)
 
 

@@ -16,7 +16,7 @@ caller, who knows which row stands for them. Rows are told by their number alone
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,18 +62,20 @@ def sketches(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return h[0], h[1], bands
 
 
-def sketched(rows: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, th, row, size of the set, its hashes h1 and h2, and bands, for rows with these first three and text."""
-    schema = "doc_id long, th long, row long, size long, h1 long, h2 long, bands array<long>"
+def sketched(rows: DataFrame, fingerprints: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, th, row, fingerprint of the text, size of the set, its hashes h1 and h2, and bands, for rows with these first three and text."""
+    schema = "doc_id long, th long, row long, fp long, size long, h1 long, h2 long, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, bounds = sets_of(*text_bytes(batch.column("text")), width)
+            data, offsets = text_bytes(batch.column("text"))
+            hashes, bounds = sets_of(data, offsets, width)
             h1, h2, bands = sketches(hashes, bounds)
+            fp = fingerprints(data, offsets)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), pa.array(bands.view(np.int64).ravel()))
-            columns = [*(batch.column(k) for k in ("doc_id", "th", "row")), pa.array(np.diff(bounds)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "row", "size", "h1", "h2", "bands"])
+            columns = [*(batch.column(k) for k in ("doc_id", "th", "row")), pa.array(fp.view(np.int64)), pa.array(np.diff(bounds)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "row", "fp", "size", "h1", "h2", "bands"])
 
     return bounded(rows).mapInArrow(run, schema)
 

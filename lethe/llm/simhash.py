@@ -224,18 +224,20 @@ def digests(assigned: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, *, width: int = nearcopies.SHINGLE_WORDS, similarity: tuple[int, int] = nearcopies.SIMILARITY) -> DataFrame:
     """One row of each group of near copies: the least by doc_id (none last), then by a hash of the text.
 
-    Near copies are linked by the similarity of their sets of ``width``-word shingles, not by fingerprints;
-    texts without words are one group. Rows are told apart by their place in the files of ``docs``, never
+    Near copies are texts whose fingerprints link, as in ``assign``, and also texts whose sets of ``width``-word shingles are as
+    similar as ``similarity``, which fingerprints of 64 bits find only in part. Texts without words are one group. Rows are told apart by their place in the files of ``docs``, never
     by ``doc_id``, so tied and missing ids neither keep a copy nor drop another text.
     """
     (row,) = fresh(docs, "_row")
     tagged = _numbered(docs, row)
     rows = tagged.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col(row).alias("row"))
-    marked = stored(nearcopies.sketched(rows, width), "sketches")
+    marked = stored(nearcopies.sketched(rows, fingerprints_of, width), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th", "row")
     heads = stored(marked.groupBy("h1", "h2").agg(F.min(order).alias("head")).select("h1", "h2", "head", F.col("head.row").alias("node")), "heads")
     sets = marked.join(heads.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "bands")
-    roots = components(nearcopies.links(sets, rows, width, similarity))
+    similar = nearcopies.links(sets, rows, width, similarity)
+    near = _fingerprint_links(marked.select("fp", "h1", "h2").distinct().join(heads, ["h1", "h2"]).select("fp", "node"))
+    roots = components(similar.union(near))
     grouped = stored(heads.join(roots, "node", "left").select("h1", "h2", "head", F.coalesce("root", "node").alias("root")), "grouped")
     least = grouped.groupBy("root").agg(F.min("head").alias("least"))
     # The rows that go: all but the least of each group. Rows that the map of these leaves out stay where they are.
@@ -249,6 +251,17 @@ def keep_one(docs: DataFrame, *, width: int = nearcopies.SHINGLE_WORDS, similari
     return kept.select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
+def _fingerprint_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes with fingerprints (node, fp) that connect what ``links`` connects; a node may have several fingerprints."""
+    pairs = stored(nodes, "marks")
+    distinct = stored(pairs.groupBy("fp").agg(F.min("node").alias("least")), "least-nodes")
+    alike = pairs.join(distinct, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    found = links(distinct.select("fp"))
+    ends = [distinct.select(F.col("fp").alias(end), F.col("least").alias(f"least_{end}")) for end in ("a", "b")]
+    across = found.join(ends[0], "a").join(ends[1], "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    return alike.union(across)
+
+
 def _numbered(docs: DataFrame, row: str) -> DataFrame:
     """``docs`` with a number of its own for each row, the same whenever it is read.
 

@@ -113,3 +113,17 @@ def test_tied_and_missing_ids_do_not_decide(spark):
     rows = [(1, a), (1, b), (2, a), (3, b), (1, c), (0, c), (None, "no id"), (None, "no id")]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (1, b), (0, c), (None, "no id")], key=str)
+
+
+def test_near_copies_by_fingerprint_go(spark, tables):
+    """Texts whose fingerprints link, though their sets of 5-word shingles have little in common."""
+    sim = _brute("test_simhash")
+    refrain = " ".join(f"r{k}" for k in range(5)) + " "
+    texts = [refrain * 60 + " ".join(f"{x}{k}" for k in range(6)) for x in "ab"]
+    marks = [sim.fingerprint(t) for t in texts]
+    assert (marks[0] ^ marks[1]).bit_count() <= 4
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    assert len(sets[0] & sets[1]) < 0.5 * len(sets[0] | sets[1])
+    rows = [(2, texts[0], "en", "s", 0), (1, texts[1], "en", "s", 0), (3, "another text", "en", "s", 0)]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), tables[0])
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
