@@ -9,8 +9,9 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegralType, StringType, StructField, StructType
 
 from lethe.functions.calendar import EVENT_MONTH_FORMAT
 from lethe.identifiers import column_path
@@ -23,6 +24,7 @@ from lethe.operators.persons import PERSON, carry, former_epochs, history_path,
 from lethe.operators.proof import unproven
 from lethe.operators.runstate import MASKED, PURGING, RunState, Step, state_of
 from lethe.plans.partitions import constant, event_source_partitions, mask_partitions, purge_partitions
+from lethe.scratch import scratch_path
 from lethe.sinks.catalog import PartitionError, drop_partitions, existing_partitions, is_external
 from lethe.sinks.writers import dynamic_overwrite, save
 from lethe.sources.readers import in_partitions, load, load_columns, string_partitions
@@ -32,6 +34,7 @@ logger = logging.getLogger(__name__)
 
 # What a key takes in a broadcast table: 64 characters and the row around them.
 _BYTES_PER_KEY = 128
+_HASH, _MINE = "__hash", "__mine"
 
 
 @dataclass
@@ -208,6 +211,31 @@ def _fits_broadcast(keys: DataFrame) -> bool:
     return keys.count() * _BYTES_PER_KEY <= limit
 
 
+def _in_clear(spark: SparkSession, data: DataFrame, key: str, person: Column, mine: DataFrame, everybody: DataFrame) -> DataFrame | None:
+    """The keys in the data whose hashes are among all persons, and whether they are among this run's (``_MINE``).
+
+    Each key is hashed once and the rows meet keys of their own kind, so no shuffle of rows carries hashes. None for
+    keys of other types than texts and whole numbers, where equal keys may be written, and so hashed, differently.
+    """
+    if not (data.schema[key].dataType == StringType() or isinstance(data.schema[key].dataType, IntegralType)):
+        return None
+    seen = data.select(F.col(column_path(key))).where(F.col(column_path(key)).isNotNull()).distinct()
+    hashed = seen.withColumn(_HASH, person)
+    current = mine.select(F.col(PERSON).alias(_HASH), F.lit(True).alias(_MINE)).distinct()
+    found = hashed.join(everybody.select(F.col(PERSON).alias(_HASH)), _HASH, "left_semi").join(current, _HASH, "left")
+    path = scratch_path(spark, "keys")
+    found.select(F.col(column_path(key)), F.coalesce(_MINE, F.lit(False)).alias(_MINE)).write.parquet(path)
+    return spark.read.schema(StructType([data.schema[key], StructField(_MINE, BooleanType())])).parquet(path)
+
+
+def _forget(keys: DataFrame) -> None:
+    """Remove the files of keys in clear."""
+    spark = keys.sparkSession
+    for file in {name.rsplit("/", 1)[0] for name in keys.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _event_run_of(plan: TablePlan, state: RunState) -> TableRun | None:
     """What an earlier attempt of this run has done to a table by events, if it came to its end."""
     steps = state.steps(MASKED)
@@ -274,22 +302,36 @@ def _mask_by_event(spark: SparkSession, plan: TablePlan, run: Run) -> TableRun:
         everything = everything.where(in_partitions(everything, column, candidates))
     # This run's persons are among all persons, so one measure holds for both.
     small = _fits_broadcast(everybody)
+    clear = None
     if small:
         mine, everybody = F.broadcast(mine), F.broadcast(everybody)
-    elif plan.output.partitions:
-        plan = replace(plan, output=replace(plan.output, rebalance=True))
-    # One row for each partition that holds expired persons: theirs, and all of its rows.
-    rows = everything.select(person.alias(PERSON), F.col(column_path(column)).cast("string").alias(column))
-    counts = partition_counts(rows, mine, PERSON, column).collect()
-    if not counts:
-        return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
-    expected = {row[column]: row.all_rows for row in counts}
-    if None in expected:
-        raise ValueError(f"{plan.name}: expired persons have rows without a value of {column}")
-    to_mask = sum(row.expired_rows for row in counts)
-    data = everything.where(in_partitions(everything, column, sorted(expected)))
-    masked = mask_where(data, everybody, PERSON, plan.rules, _context(spark, plan, run), person)
-    written = _save_checked(spark, plan, masked, expected)
+    else:
+        if plan.output.partitions:
+            plan = replace(plan, output=replace(plan.output, rebalance=True))
+        clear = _in_clear(spark, everything, key, person, mine, everybody)
+    try:
+        # One row for each partition that holds expired persons: theirs, and all of its rows.
+        partition = F.col(column_path(column)).cast("string").alias(column)
+        if clear is None:
+            counts = partition_counts(everything.select(person.alias(PERSON), partition), mine, PERSON, column).collect()
+        else:
+            counts = partition_counts(everything.select(F.col(column_path(key)), partition), clear.where(_MINE), key, column).collect()
+        if not counts:
+            return TableRun(plan.base, plan.table, (), 0, 0, start, datetime.now(), unreadable)
+        expected = {row[column]: row.all_rows for row in counts}
+        if None in expected:
+            raise ValueError(f"{plan.name}: expired persons have rows without a value of {column}")
+        to_mask = sum(row.expired_rows for row in counts)
+        data = everything.where(in_partitions(everything, column, sorted(expected)))
+        context = _context(spark, plan, run)
+        if clear is None:
+            masked = mask_where(data, everybody, PERSON, plan.rules, context, person)
+        else:
+            masked = mask_where(data, clear, key, plan.rules, context)
+        written = _save_checked(spark, plan, masked, expected)
+    finally:
+        if clear is not None:
+            _forget(clear)
     kept = sum(expected.values()) - to_mask
     return TableRun(plan.base, plan.table, tuple(sorted(expected)), to_mask, written - kept, start, datetime.now(), unreadable)
 

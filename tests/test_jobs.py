@@ -6,6 +6,8 @@ from collections import Counter
 from dataclasses import replace
 from datetime import date, datetime
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +114,20 @@ def test_event_clock(spark, data, path, request, most):
     assert (outcome.rows_in, outcome.rows_out) == (n, n)
 
 
+def test_rows_are_not_shuffled_with_hashes_of_persons(spark, data, path, request, monkeypatch):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    seen, real = [], jobs.partition_counts
+    monkeypatch.setattr(jobs, "partition_counts", lambda rows, *rest: seen.append((rows.columns, rest[0].inputFiles())) or real(rows, *rest))
+    events = spark.createDataFrame([("p0", "19990815", "200002")], "person string, left string, dt string")
+    jobs.retain_mask_by_event(spark, event_plan(spark, data, path, events), RUN)
+    [(columns, files)] = seen
+    assert columns == ["person", "dt"]
+    # The keys in clear are gone with the run.
+    assert files and not any(Path(f.removeprefix("file:")).exists() for f in files)
+
+
 def test_event_clock_without_expired_persons(spark, data, path):
     events = spark.createDataFrame([("p0", "20000101", "200002")], "person string, left string, dt string")
     outcome = jobs.retain_mask_by_event(spark, event_plan(spark, data, path, events), RUN)
