@@ -6,8 +6,9 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from lethe.llm import suffixdedup
+from lethe.llm import induced, suffixdedup
 
 SCHEMA = "doc_id long, text string, n_bytes string, TH string"
 
@@ -79,5 +80,50 @@ def test_rows_alike_count_as_one_document(spark):
         assert found == [(1, 0), (1, 0), (2, 300), (3, 200), (3, 200), (3, 200)]
 
 
+def _dealt(rows, spark):
+    """Blobs of segments of a small table, by shard."""
+    parts = suffixdedup.without_copies(suffixdedup.sliced(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
+    asked = parts.mapInArrow(suffixdedup._anchors(1, 100, 20), "shard long, slice long, keys binary")
+    answers = asked.groupBy("shard").applyInArrow(suffixdedup._again, "shard long, slice long, bits binary").groupBy("slice").agg(
+        F.collect_list(F.struct("shard", "bits")).alias("answers"))
+    return parts.join(answers, "slice", "left").mapInArrow(suffixdedup._cut(1, 100, 20), "shard long, blob binary").collect()
+
+
+def test_what_a_phrase_shorter_than_a_window_joins_is_not_dealt_or_sorted(spark, monkeypatch):
+    rng = random.Random(4)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    short, longer = ([own(n) for _ in range(10)] for n in (50, 80))
+    assert not _dealt([(i, own(300) + short[i % 10] + own(300)) for i in range(200)], spark)
+    # A phrase that fills a core meets in a shard, but no window of it is elsewhere, so nothing is left to sort.
+    blobs = [r.blob for r in _dealt([(i, own(300) + longer[i % 10] + own(300)) for i in range(200)], spark)]
+    sizes, suffixes = [], induced.suffixes
+    monkeypatch.setattr(induced, "suffixes", lambda t, *a, **k: sizes.append(len(t)) or suffixes(t, *a, **k))
+    assert sum(len(suffixdedup._unpack(b)[-1]) for b in blobs) > 5000
+    assert not len(suffixdedup.repeats(blobs, 100, 20)[0]) and not sizes
+
+
+def test_whole_copies_are_not_dealt(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(500)) for _ in range(20)]
+    rows = [(20 * k + i, t) for k in range(5) for i, t in enumerate(texts)] + [(None, texts[3])] * 2 + [(7, texts[7])]
+    assert not _dealt(rows[:100], spark)
+    found = suffixdedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    whole = sorted((r.doc_id is not None, r.doc_id or 0, r.n_removed, r.n_spans) for r in found)
+    kept = {(i, t) for i, t in enumerate(texts) if i != 3} | {(None, texts[3])}
+    assert whole == sorted((i is not None, i or 0, 0 if (i, t) in kept else 500, 0 if (i, t) in kept else 1) for i, t in rows)
+
+
+@pytest.mark.parametrize("length, anchor", [(100, 20), (21, 6), (20, 20), (9, 1)])
+def test_halves_hold_each_window_once_and_their_core(length, anchor):
+    rng = np.random.default_rng(length)
+    data = rng.integers(97, 100, 4000, np.uint8)
+    offsets = np.array([0, 5, 5, 1500, 1500 + length, 4000])
+    doc, first, last, place = suffixdedup.segments(data, offsets, length, anchor)
+    own, low, high, core, width = suffixdedup.halves(first, last, place, length, anchor)
+    windows = [(int(doc[k]), w) for k, a, b in zip(own, low, high) for w in range(a, b + 1)]
+    assert sorted(windows) == [(d, w) for d in range(5) for w in range(offsets[d + 1] - offsets[d] - length + 1)]
+    assert (core >= high).all() and (core + width <= low + length).all()
+
+
 def test_empty_table(spark):
     assert suffixdedup.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
