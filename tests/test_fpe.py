@@ -133,3 +133,11 @@ def test_long_texts_are_masked_whole(spark):
         assert closed == brute(text, alphabet)
         changed = [a != b for a, b in zip(text, closed, strict=True) if a in alphabet]
         assert sum(changed) > 0.8 * len(changed)
+
+
+def test_a_key_stream_is_read_by_place_and_not_cut(spark):
+    texts = [("Zürich 1" * 13)[:n] for n in (23, 24, 25, 26, 27, 47, 48, 49, 50, 51, 97)]
+    assert translated(spark, texts, fpe.TEXT_ALPHABET) == [brute(t, fpe.TEXT_ALPHABET) for t in texts]
+    frame = spark.createDataFrame([(t,) for t in texts], "v string").select(fpe.text_column(F.col("v"), fpe.TEXT_ALPHABET, KEY.hex(), True))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and "slice(flatten(" not in plan and "zip_with" not in plan
